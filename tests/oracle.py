@@ -1,0 +1,52 @@
+"""Side-by-side run of a registered query and its SQL twin."""
+
+from __future__ import annotations
+
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for table in TABLES:
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return con
+
+
+def spark_rows(df):
+    names = sorted(df.columns)
+    return names, [tuple(row) for row in df.select(*[f"`{n}`" for n in names]).collect()]
+
+
+def duck_rows(con, sql):
+    result = con.sql(sql)
+    order = sorted(range(len(result.columns)), key=lambda i: result.columns[i])
+    names = [result.columns[i] for i in order]
+    return names, [tuple(row[i] for i in order) for row in result.fetchall()]
+
+
+def _key(row):
+    return tuple((v is not None, repr(round(v, 3)) if isinstance(v, float) else repr(v)) for v in row)
+
+
+def differences(left, right, limit=3):
+    """Rows present on one side only, compared exactly."""
+    if len(left) != len(right):
+        return [f"{len(left)} rows against {len(right)}"]
+    found = []
+    for a, b in zip(sorted(left, key=_key), sorted(right, key=_key)):
+        same = all(
+            x == y or (isinstance(x, float) and isinstance(y, float) and math.isnan(x) and math.isnan(y))
+            for x, y in zip(a, b)
+        )
+        if not same or [type(x) for x in a] != [type(y) for y in b]:
+            found.append((a, b))
+            if len(found) == limit:
+                break
+    return found
