@@ -1,2 +1,53 @@
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+"""Serving and raw tables written in batches and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewire.catalog.ingest import TICK_ID_SQL
+from tidewire.catalog.inputs import TICKS_SQL, ntz, tick_messages, ticks
+from tidewire.operators import messages as M
+from tidewire.plans.speed import latest_ticks
+from tidewire.schemas import TICK_TOPIC, struct
+from tidewire.session import run_folder
+from tidewire.sources.tables import read_topic_table
+from tidewire.streaming import serving
+
+ROW = struct({"symbol": "string", "window_start": "timestamp", "timestamp": "timestamp", "bitcoin_price": "double"})
+
+
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches with keys in common; the second runs twice, as after a failure."""
+    rows = latest_ticks(ticks(spark, sf_dir)).select(*ROW.fieldNames())
+    log = f"{run_folder(spark, 'upsert')}/log"
+    even_hour = F.hour("window_start") % 2 == 0
+    higher = rows.filter(even_hour).withColumn("bitcoin_price", F.col("bitcoin_price") + 1)
+    zero = rows.filter(F.hour("window_start") == 0).withColumn("bitcoin_price", F.lit(0.0))
+    for batch_id, batch in [(0, rows), (1, higher), (2, zero), (1, higher)]:
+        serving.append_batch(batch, batch_id, log, "window_start")
+    return ntz(serving.latest(spark, log, ROW, ["symbol", "window_start"]), "window_start", "timestamp")
+
+
+def append_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tick messages typed, given an id and appended to the raw table."""
+    path = f"{run_folder(spark, 'append')}/{TICK_TOPIC}"
+    typed = M.conform(M.parse(tick_messages(spark, sf_dir), TICK_TOPIC), TICK_TOPIC)
+    serving.append_raw(typed, path, "last_updated")
+    rows = read_topic_table(spark, path, TICK_TOPIC)
+    return ntz(rows.select("id", "symbol", "last_updated", "price_usd", "event_day"), "last_updated")
+
+
+QUERIES = {"upsert_latest": upsert_latest, "append_raw": append_raw}
+
+SQL = {
+    "upsert_latest": f"""WITH {TICKS_SQL}
+SELECT symbol, window_start, max(last_updated) AS timestamp,
+       CASE WHEN hour(window_start) = 0 THEN 0 WHEN hour(window_start) % 2 = 0
+            THEN arg_max(price_usd, last_updated) + 1 ELSE arg_max(price_usd, last_updated) END AS bitcoin_price
+FROM (SELECT *, time_bucket(INTERVAL '5 minutes', last_updated) AS window_start FROM ticks)
+GROUP BY symbol, window_start""",
+    "append_raw": f"""WITH {TICKS_SQL}
+SELECT {TICK_ID_SQL} AS id, symbol, last_updated, price_usd, CAST(last_updated AS DATE) AS event_day
+FROM ticks""",
+}

@@ -1,2 +1,191 @@
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+"""Streams over the given tables, drained and read back; the SQL twin is the batch form."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewire.catalog.inputs import (
+    DOCUMENT_WORDS,
+    POSTS_SQL,
+    SCORED_SQL,
+    SPEED_INPUT_SQL,
+    TICKS_SQL,
+    as_posts,
+    as_ticks,
+    ntz,
+    read,
+    rounded,
+)
+from tidewire.catalog.ingest import POST_ID_SQL, TICK_ID_SQL
+from tidewire.catalog.market import SPEED_VIEW_SQL, speed_view as market_view
+from tidewire.catalog.social import _AVERAGES_SQL, AVERAGES
+from tidewire.functions.sentiment import lexicon_scorer
+from tidewire.operators import messages as M
+from tidewire.plans.speed import scored_posts
+from tidewire.schemas import POST_TOPIC, TICK_TOPIC, struct
+from tidewire.session import configure, run_folder, stream_session
+from tidewire.sources.tables import read_topic_table
+from tidewire.streaming import ingest, run, serving, speed
+
+
+def events(session: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream."""
+    schema = session.read.parquet(f"{sf_dir}/events.parquet").schema
+    rows = session.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def ticks(session: SparkSession, sf_dir: str) -> DataFrame:
+    return as_ticks(events(session, sf_dir))
+
+
+def posts(session: SparkSession, sf_dir: str) -> DataFrame:
+    return as_posts(events(session, sf_dir), read(session, sf_dir, "documents"))
+
+
+def scored(session: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_posts(posts(session, sf_dir), lexicon_scorer(DOCUMENT_WORDS))
+
+
+def feed(session: SparkSession, sf_dir: str) -> DataFrame:
+    """Both topics on one stream of messages."""
+    return M.union_topics(
+        M.tick_message(ticks(session, sf_dir)), M.post_message(posts(session, sf_dir))
+    )
+
+
+def stream_global_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    folder = run_folder(spark, "global_avg")
+    session = stream_session(spark)
+    means = speed.running_means(scored(session, sf_dir)).withColumn("scope_day", F.lit("1970-01-01").cast("date"))
+    write = serving.log_writer(f"{folder}/log", "scope_day")
+    run.drain(run.each_batch(means, "update", write), f"{folder}/checkpoint")
+    schema = struct({"scope_day": "date", **{name: "double" for name in AVERAGES}})
+    rows = serving.latest(spark, f"{folder}/log", schema, ["scope_day"])
+    return rounded(rows.drop("scope_day"), 6, *AVERAGES)
+
+
+def stream_posts_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    folder = run_folder(spark, "posts_5m")
+    counts = speed.post_counts(posts(stream_session(spark), sf_dir))
+    write = serving.log_writer(f"{folder}/log", "window_start")
+    run.drain(run.each_batch(counts, "update", write), f"{folder}/checkpoint")
+    schema = struct({"window_start": "timestamp", "posts": "long"})
+    return ntz(serving.latest(spark, f"{folder}/log", schema, ["window_start"]), "window_start")
+
+
+def stream_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows still open at the end of the stream are not in the result."""
+    configure(spark)
+    folder = run_folder(spark, "change")
+    rows = speed.changes(speed.closed_windows(ticks(stream_session(spark), sf_dir)))
+    write = serving.log_writer(f"{folder}/log", "window_start")
+    run.drain(run.each_batch(rows, "append", write), f"{folder}/checkpoint")
+    rows = serving.latest(spark, f"{folder}/log", speed.CHANGE_SCHEMA, ["symbol", "window_start"])
+    return ntz(rounded(rows, 6, "change_from_kafka"), "window_start", "timestamp")
+
+
+def stream_speed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    folder = run_folder(spark, "speed")
+    session = stream_session(spark)
+    windows = speed.speed_windows(ticks(session, sf_dir), scored(session, sf_dir))
+    write = serving.log_writer(f"{folder}/log", "window_start")
+    run.drain(run.each_batch(windows, "update", write), f"{folder}/checkpoint")
+    return market_view(speed.speed_view(spark, f"{folder}/log"))
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every post arrives twice."""
+    configure(spark)
+    folder = run_folder(spark, "dedup")
+    session = stream_session(spark)
+    copies = [posts(session, sf_dir), posts(session, sf_dir)]
+    typed = [c.select(M.natural_id(POST_TOPIC).alias("id"), "post_id", "created_utc", "title") for c in copies]
+    once = ingest.without_repeats(typed[0].unionByName(typed[1]), POST_TOPIC)
+    once = once.withColumn("event_day", F.col("created_utc").cast("date"))
+    run.drain(run.append_to(once, f"{folder}/posts"), f"{folder}/checkpoint")
+    schema = struct({"id": "string", "post_id": "long", "created_utc": "timestamp", "title": "string", "event_day": "date"})
+    rows = spark.read.schema(schema).parquet(f"{folder}/posts")
+    return ntz(rows.select("post_id", "created_utc", "title"), "created_utc")
+
+
+def _raw_tables(spark: SparkSession, sf_dir: str) -> str:
+    configure(spark)
+    folder = run_folder(spark, "raw")
+    run.drain_all(ingest.raw_writers(feed(stream_session(spark), sf_dir), [TICK_TOPIC, POST_TOPIC], folder))
+    return folder
+
+
+def stream_raw_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two append streams side by side off one feed; the tick table."""
+    rows = read_topic_table(spark, f"{_raw_tables(spark, sf_dir)}/{TICK_TOPIC}", TICK_TOPIC)
+    return ntz(rows, "last_updated")
+
+
+def stream_raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same streams; the post table."""
+    rows = read_topic_table(spark, f"{_raw_tables(spark, sf_dir)}/{POST_TOPIC}", POST_TOPIC)
+    rows = rows.withColumn("upvote_ratio", F.col("upvote_ratio").cast("double"))
+    return ntz(rounded(rows, 4, "upvote_ratio"), "created_utc", "created")
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages cut off before their last character end up as text in the quarantine table."""
+    configure(spark)
+    folder = run_folder(spark, "quarantine")
+    session = stream_session(spark)
+    sent = M.tick_message(ticks(session, sf_dir), "tick_id")
+    text = F.col("value").cast("string")
+    cut = F.when(F.col("tick_id") % 5 == 0, F.concat(F.lit("cut "), F.col("tick_id"))).otherwise(text)
+    sent = sent.withColumn("value", cut.cast("binary"))
+    run.drain(ingest.quarantine_writer(sent, TICK_TOPIC, folder), f"{folder}/checkpoint")
+    schema = struct({M.CORRUPT: "string", "topic": "string"})
+    rows = spark.read.schema(schema).parquet(f"{folder}/quarantine")
+    return rows.select("topic", F.col(M.CORRUPT).alias("message"))
+
+
+QUERIES = {
+    "stream_global_avg": stream_global_avg,
+    "stream_posts_5m": stream_posts_5m,
+    "stream_change": stream_change,
+    "stream_speed_rows": stream_speed_rows,
+    "stream_dedup": stream_dedup,
+    "stream_raw_sink": stream_raw_sink,
+    "stream_raw_posts": stream_raw_posts,
+    "stream_quarantine": stream_quarantine,
+}
+
+SQL = {
+    "stream_global_avg": f"WITH {POSTS_SQL},\n{SCORED_SQL}\nSELECT {_AVERAGES_SQL} FROM scored",
+    "stream_posts_5m": f"""WITH {POSTS_SQL}
+SELECT time_bucket(INTERVAL '5 minutes', created_utc) AS window_start, count(*) AS posts
+FROM posts GROUP BY ALL""",
+    "stream_change": f"""WITH {TICKS_SQL},
+rows AS (SELECT symbol, time_bucket(INTERVAL '5 minutes', last_updated) AS window_start,
+                max(last_updated) AS timestamp, arg_max(price_usd, last_updated) AS bitcoin_price
+         FROM ticks GROUP BY ALL),
+lagged AS (SELECT *, lag(bitcoin_price) OVER (PARTITION BY symbol ORDER BY timestamp) AS p FROM rows)
+SELECT symbol, window_start, timestamp, bitcoin_price,
+       round(coalesce((bitcoin_price - p) / nullif(p, 0) * 100, 0), 6) AS change_from_kafka
+FROM lagged
+WHERE window_start + INTERVAL 5 MINUTES
+      <= (SELECT date_trunc('millisecond', max(last_updated)) - INTERVAL 10 MINUTES FROM ticks)""",
+    "stream_speed_rows": f"WITH {SPEED_INPUT_SQL}\n{SPEED_VIEW_SQL}",
+    "stream_dedup": f"WITH {POSTS_SQL} SELECT post_id, created_utc, title FROM posts",
+    "stream_raw_sink": f"""WITH {TICKS_SQL}
+SELECT {TICK_ID_SQL} AS id, name, symbol, num_market_pairs, max_supply, infinite_supply, last_updated,
+       price_usd, market_cap_usd, volume_24h_usd, percent_change_24h, percent_change_1h,
+       CAST(last_updated AS DATE) AS event_day
+FROM ticks""",
+    "stream_raw_posts": f"""WITH {POSTS_SQL}
+SELECT {POST_ID_SQL} AS id, date_trunc('second', created_utc) AS created_utc, subreddit, selftext, title,
+       subreddit_name_prefixed, round(CAST(score / 100.0 AS DOUBLE), 4) AS upvote_ratio, category, score,
+       created, num_comments, url, view_count, send_replies, CAST(created_utc AS DATE) AS event_day
+FROM posts""",
+    "stream_quarantine": f"""WITH {TICKS_SQL}
+SELECT 'bitcoin_data' AS topic, 'cut ' || tick_id AS message FROM ticks WHERE tick_id % 5 = 0""",
+}

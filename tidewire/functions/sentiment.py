@@ -56,24 +56,28 @@ def lexicon_scorer(words: Mapping[str, Sequence[str]] = MARKET_WORDS) -> Scorer:
     Words are runs of the letters a to z in the lower-cased text. The counts are
     a narrow expression per row: no token rows, no join, no shuffle.
     """
+    for word in (word for label in LABELS for word in words[label]):
+        if not (word.isascii() and word.isalpha() and word == word.lower()):
+            raise ValueError(f"not a run of the letters a to z: {word}")
+    every = [word for label in LABELS for word in words[label]]
+
+    def shares(hits: Column) -> Column:
+        count = {
+            label: F.array_size(F.filter(hits, lambda word: word.isin(list(words[label]))))
+            for label in LABELS
+        }
+        total = (count["bullish"] + count["bearish"] + count["neutral"] + 2).cast("double")
+        return F.struct(*[((count[label] + 1) / total).alias(label) for label in LABELS])
 
     def score(text: Column) -> Column:
-        lowered = F.lower(text)
-        hits = {label: F.regexp_count(lowered, F.lit(_word_pattern(words[label]))) for label in LABELS}
-        total = hits["bullish"] + hits["bearish"] + hits["neutral"]
-        return F.struct(
-            *[((hits[label] + 1) / (total + 2).cast("double")).alias(label) for label in LABELS]
-        )
+        tokens = F.split(F.lower(text), "[^a-z]+")
+        hits = F.filter(tokens, lambda word: word.isin(every))
+        # The one-element array names the hits, so that the text is split only once.
+        return F.transform(F.array(hits), shares)[0]
 
     return score
 
 
-def _word_pattern(words: Sequence[str]) -> str:
-    if not words or any(not w.isascii() or not w.isalpha() or w != w.lower() for w in words):
-        raise ValueError("lexicon words must be plain lower-case letters a to z")
-    return f"(?<![a-z])(?:{'|'.join(words)})(?![a-z])"
-
-
 def model_scorer(load: Callable[[], Callable[[pd.Series], pd.DataFrame]]) -> Scorer:
     """Scores of a user model, loaded once per Python worker.
 
