@@ -5,6 +5,10 @@ key all rows of the table. Here rows meet only within (key, time bucket). What a
 bucket needs from before its start is carried in as one seed row per bucket.
 Carries are found on one row per bucket, again bucketed by the next longer span,
 so the ordered groups are at most 1,440 minutes of a day and then the days.
+
+Instants are distinct within a key and have microseconds, so a bucket of one
+minute holds at most 60 million narrow rows of a key, whatever the total.
+Shorter first spans, such as ``("second", "hour", "year")``, bound it further.
 """
 
 from __future__ import annotations
@@ -58,34 +62,44 @@ def as_of(
 
     Left rows without one stay, with NULLs. Right rows of one instant are told
     apart by ``ties``; the greatest wins.
+
+    Only distinct instants of the left side go through the ordered pass, and the
+    left rows then look theirs up by equality. So very many left rows at one
+    instant never meet in a window, and the skew of the lookup join is left to
+    AQE, which splits it, or turns it into a broadcast if the answers are small.
     """
     keys = list(by)
-    found = F.struct(*[F.col(column).alias(name) for column, name in values.items()]).alias("_fact")
-    facts = right.select(*keys, F.col(right_at).alias("_at"), found, *ties)
+    fact = F.struct(*[F.col(column).alias(name) for column, name in values.items()]).alias("_fact")
+    facts = right.select(*keys, F.col(right_at).alias("_at"), fact, *ties)
     if ties:
         # One right row per (key, instant), so that the ordered pass has no ties left.
-        newest = F.max_by("_fact", F.struct(*ties) if len(ties) > 1 else F.col(ties[0]))
-        facts = facts.groupBy(*keys, "_at").agg(newest.alias("_fact"))
+        greatest = F.max_by("_fact", F.struct(*ties) if len(ties) > 1 else F.col(ties[0]))
+        facts = facts.groupBy(*keys, "_at").agg(greatest.alias("_fact"))
     facts = facts.filter(F.col("_at").isNotNull())
-    row = F.struct(*[F.col(column) for column in left.columns]).alias("_row")
-    asked = left.select(*keys, F.col(left_at).alias("_at"), row)
+    asked = left.select(*keys, F.col(left_at).alias("_at"), F.lit(True).alias("_asked"))
+    asked = asked.filter(F.col("_at").isNotNull()).distinct()
     both = facts.unionByName(asked, allowMissingColumns=True).withColumn(
         "_bucket", F.date_trunc(spans[0], "_at")
     )
     instant = F.when(F.col("_fact").isNotNull(), F.col("_at"))
     slots = _tails(both, keys, "_fact", instant, list(values.values()))
     seeds = _seeds(slots, keys, spans, "_fact")
-    # Within one instant a fact comes before the rows that ask for it.
+    # Within one instant a fact comes before the question.
     order = Window.partitionBy(*keys, "_bucket").orderBy(
         F.col("_at").asc_nulls_first(), F.col("_fact").isNull()
     )
     newest = F.last("_fact", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return (
+    answers = (
         both.unionByName(seeds, allowMissingColumns=True)
         .withColumn("_newest", newest)
-        .filter(F.col("_row").isNotNull())
-        .select("_row.*", *[F.col(f"_newest.{name}").alias(name) for name in values.values()])
+        .filter(F.col("_asked"))
+        .select(
+            *keys,
+            F.col("_at").alias(left_at),
+            *[F.col(f"_newest.{name}").alias(name) for name in values.values()],
+        )
     )
+    return left.join(answers, [*keys, left_at], "left").select(*left.columns, *values.values())
 
 
 def _tails(

@@ -45,7 +45,7 @@ def of_listed_forums(posts: DataFrame, listed: DataFrame) -> DataFrame:
 
 def newest_per_forum(posts: DataFrame, tie_break: str, n: int = NEWEST_PER_FORUM) -> DataFrame:
     order = [F.col("created_utc").desc(), F.col(tie_break)]
-    return top_n(posts, ["subreddit"], order, n, rank="newest_rank", spread_by=tie_break)
+    return top_n(posts, ["subreddit"], order, n, rank="newest_rank", spread=64)
 
 
 def drop_repeats(posts: DataFrame, arrival: Column, key: str = "id") -> DataFrame:

@@ -14,18 +14,17 @@ def top_n(
     order: Sequence[Column],
     n: int,
     rank: str = "rank",
-    spread_by: str | None = None,
-    spread: int = 64,
+    spread: int | None = None,
 ) -> DataFrame:
-    """First ``n`` rows per group with their rank from 1.
+    """First ``n`` rows per group with their rank from 1. ``order`` must be total.
 
-    The rank filter becomes a group limit that prunes before the shuffle. With
-    ``spread_by`` a group is first ranked in ``spread`` parts by hash of that
-    column, so one hot group never meets in one task before it is cut down to
-    ``n * spread`` rows.
+    The rank filter becomes a group limit that keeps ``n`` rows per group and
+    input partition before the shuffle. With few groups over very many input
+    partitions, ``spread`` merges those in that many parts per group first, so
+    that no task takes a hot group's rows from all partitions.
     """
-    if spread_by:
-        part = F.pmod(F.xxhash64(spread_by), F.lit(spread))
+    if spread:
+        part = F.pmod(F.spark_partition_id(), F.lit(spread))
         df = _limit(df.withColumn("_part", part), [*keys, "_part"], order, n, "_rank")
         df = df.drop("_part", "_rank")
     return _limit(df, keys, order, n, rank)

@@ -15,9 +15,12 @@ from tidewire.functions.sentiment import LABELS
 def day_range(df: DataFrame, at: str, as_of: dt.datetime, days_back: int = 0) -> DataFrame:
     """Rows from the start of the day ``days_back`` days before ``as_of``, up to ``as_of``.
 
-    The bounds are literals, so they reach the scan.
+    The bounds are literals, so they reach the scan, and on a table partitioned
+    by event day only the folders of those days are read.
     """
     start = dt.datetime.combine(as_of.date(), dt.time()) - dt.timedelta(days=days_back)
+    if "event_day" in df.columns:
+        df = df.filter(F.col("event_day").between(F.lit(start.date()), F.lit(as_of.date())))
     return df.filter((F.col(at) >= F.lit(start)) & (F.col(at) < F.lit(as_of)))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -42,19 +42,22 @@ CHANGE_SCHEMA = struct(
 def speed_windows(
     ticks: DataFrame,
     scored: DataFrame,
-    watermark: str = WATERMARK,
+    watermark: str | None = WATERMARK,
     minutes: int = WINDOW_MINUTES,
 ) -> DataFrame:
     """Ticks and posts in one windowed aggregate with one state store.
 
     Rows carry their kind instead of being joined: a tick row per asset and
     window, a post row per window. ``speed_view`` puts them together.
+    ``watermark`` is None for inputs that have theirs, as after dropping repeats.
     """
     tick_part = ticks.select(
         F.lit("tick").alias("kind"), "symbol", F.col("last_updated").alias("at"), "price_usd"
     )
     post_part = scored.select(F.lit("post").alias("kind"), F.col("created_utc").alias("at"), "sentiment")
-    both = tick_part.unionByName(post_part, allowMissingColumns=True).withWatermark("at", watermark)
+    both = tick_part.unionByName(post_part, allowMissingColumns=True)
+    if watermark:
+        both = both.withWatermark("at", watermark)
     windows = both.groupBy(F.window("at", f"{minutes} minutes"), "kind", "symbol").agg(
         F.max("at").alias("timestamp"),
         F.max_by("price_usd", "at").alias("bitcoin_price"),
@@ -64,9 +67,13 @@ def speed_windows(
     return windows.select("kind", "symbol", F.col("window.start").alias("window_start"), *WINDOW_SCHEMA.fieldNames()[3:])
 
 
-def speed_view(spark: SparkSession, log: str) -> DataFrame:
-    """Speed rows read off the log of window rows."""
-    windows = latest(spark, log, WINDOW_SCHEMA, WINDOW_KEY)
+def speed_view(spark: SparkSession, log: str, days: Column | None = None) -> DataFrame:
+    """Speed rows read off the log of window rows.
+
+    With ``days``, a condition on ``event_day``, the first row of that range has
+    no predecessor and its change is 0.
+    """
+    windows = latest(spark, log, WINDOW_SCHEMA, WINDOW_KEY, days)
     ticks = windows.filter("kind = 'tick'").select("symbol", "window_start", "timestamp", "bitcoin_price")
     posts = windows.filter("kind = 'post'").select("window_start", "posts_last_5_minutes", *AVERAGES)
     return with_change(join_posts(ticks, posts))
@@ -124,8 +131,7 @@ class PriceChange(StatefulProcessor):
                 change_from_kafka=change,
             )
             last = price
-        if last is not None:
-            self._last.update((last,))
+        self._last.update((last,))
 
     def close(self) -> None:
         pass
