@@ -140,6 +140,15 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(log).count() == 3
 
 
+def test_reading_a_log_leaves_its_schema_alone(spark, tmp_path):
+    before = speed.CHANGE_SCHEMA.fieldNames()
+    row = [("A", at(0), at(0), 1.0, 0.0)]
+    serving.append_batch(spark.createDataFrame(row, speed.CHANGE_SCHEMA), 0, f"{tmp_path}/log", "window_start")
+    for _ in range(2):
+        assert serving.latest(spark, f"{tmp_path}/log", speed.CHANGE_SCHEMA, ["symbol"]).columns == before
+    assert speed.CHANGE_SCHEMA.fieldNames() == before
+
+
 def messages(spark, sf_dir):
     tick = M.tick_message(inputs.ticks(spark, sf_dir))
     post = M.post_message(inputs.posts(spark, sf_dir))

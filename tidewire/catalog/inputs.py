@@ -80,7 +80,10 @@ def as_posts(event_rows: DataFrame, documents: DataFrame) -> DataFrame:
     )
     has_body = F.length(selftext) > 0
     title = F.when(has_body, F.concat(F.lit("Document "), F.col("doc_id"))).otherwise(F.col("text"))
-    joined = clicks.join(documents.select("doc_id", "text", "lang", "source"), "doc_id")
+    # Spread by the join key before the join: the texts of a large file with one row
+    # group are then not all read by the task that works on them.
+    texts = documents.select("doc_id", "text", "lang", "source").repartition("doc_id")
+    joined = clicks.join(texts, "doc_id")
     return joined.select(
         F.col("event_id").alias("post_id"),
         F.col("ts").alias("created_utc"),

@@ -48,7 +48,8 @@ def latest(
 
     A key must always fall on the same day, as a window start does.
     """
-    full = T.StructType(schema.fields).add("event_day", "date").add("batch_id", "long")
+    # A copy of the field list: adding to a StructType extends the list it was given.
+    full = T.StructType([*schema.fields]).add("event_day", "date").add("batch_id", "long")
     log = spark.read.schema(full).parquet(path)
     if days is not None:
         log = log.filter(days)
