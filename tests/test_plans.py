@@ -11,7 +11,9 @@ from tidewire.catalog import inputs
 from tidewire.functions.sentiment import constant_scorer
 from tidewire.plans import daily, speed
 
-BATCH = [name for name in catalog.all_queries() if not name.startswith(("stream_", "upsert", "append"))]
+# Streams and queries that write tables run on being called; model queries are Python by nature.
+SKIP = ("stream_", "upsert", "append", "publish", "landed", "sentiment_model", "forecast_model")
+BATCH = [name for name in catalog.all_queries() if not name.startswith(SKIP)]
 
 
 def plan_of(df):

@@ -167,7 +167,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     posts = tables.read_topic_table(spark, f"{folder}/{POST_TOPIC}", POST_TOPIC)
     sent = inputs.ticks(spark, sf_dir).count()
     assert ticks.count() == 3 * sent and ticks.dropDuplicates(["id"]).count() == sent
-    assert spark.read.parquet(f"{folder}/bad/{TICK_TOPIC}/quarantine").count() == 3
+    bad = tables.read_quarantine(spark, f"{folder}/{TICK_TOPIC}", TICK_TOPIC)
+    assert rows_of(bad) == [("oops",)] * 3
     once = batch_speed.speed_rows(ticks.dropDuplicates(["id"]), posts.dropDuplicates(["id"]))
     names = ["symbol", "timestamp", "bitcoin_price", "posts_last_5_minutes", F.round("avg_sentiment_bullish", 9)]
     assert rows_of(speed.speed_view(spark, f"{folder}/speed_log").select(*names)) == rows_of(once.select(*names))
@@ -180,6 +181,18 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert rows_of(got) == rows_of(expected.select(*names)) and got.count() > 0
 
 
+def test_interval_trigger_keeps_running(spark, tmp_path):
+    land(spark, f"{tmp_path}/in", [("A", at(0), 1.0)])
+    rows = stream_of(spark, f"{tmp_path}/in").withColumn("event_day", F.col("last_updated").cast("date"))
+    query = run.start(run.append_to(rows, f"{tmp_path}/out"), f"{tmp_path}/c", interval="1 second")
+    query.processAllAvailable()
+    land(spark, f"{tmp_path}/in", [("B", at(1), 2.0)])
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert rows_of(spark.read.parquet(f"{tmp_path}/out").select("symbol")) == [("A",), ("B",)]
+
+
 def test_topics_as_files(spark, tmp_path):
     topics.write_topic(messages(spark, "/root/testdata/sf0.001"), fmt="parquet", path=f"{tmp_path}/feed")
     read = topics.read_topics(spark, [TICK_TOPIC], "parquet", path=f"{tmp_path}/feed")

@@ -19,7 +19,7 @@ from tidewire.catalog.inputs import (
     ticks,
 )
 from tidewire.functions import scalars as S
-from tidewire.functions.forecast import trend_forecaster
+from tidewire.functions.forecast import model_forecaster, trend_forecaster
 from tidewire.functions.sentiment import lexicon_scorer
 from tidewire.operators.ordered import as_of
 from tidewire.plans import daily, speed
@@ -194,6 +194,16 @@ def forecast_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_closes(spark, sf_dir).select("symbol", "day", forecast), 6, "predicted_price")
 
 
+def _load_mean_model():
+    """Stands in for a user model: the mean of the scaled closes."""
+    return lambda data: data.mean(axis=1)
+
+
+def forecast_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forecast = model_forecaster(_load_mean_model)(F.col("last_closes")).alias("predicted_price")
+    return rounded(_closes(spark, sf_dir).select("symbol", "day", forecast), 6, "predicted_price")
+
+
 QUERIES = {
     "day_range": day_range,
     "five_day_range": five_day_range,
@@ -217,6 +227,7 @@ QUERIES = {
     "last5_closes": last5_closes,
     "minmax_scale": minmax_scale,
     "forecast_trend": forecast_trend,
+    "forecast_model": forecast_model,
 }
 
 SPEED_VIEW_SQL = """SELECT symbol, window_start, timestamp, bitcoin_price, posts_last_5_minutes,
@@ -356,6 +367,9 @@ SELECT symbol, day, round((c[1] - lo) / span, 6) AS scaled_1, round((c[2] - lo)
        round((c[3] - lo) / span, 6) AS scaled_3, round((c[4] - lo) / span, 6) AS scaled_4,
        round((c[5] - lo) / span, 6) AS scaled_5, round(c[5], 6) AS restored_5
 FROM spans""",
+    "forecast_model": f"""WITH {CLOSES_SQL}
+SELECT symbol, day, round(CASE WHEN len(c) < 5 THEN 0 ELSE list_avg(c) END, 6) AS predicted_price
+FROM closes""",
     "forecast_trend": f"""WITH {CLOSES_SQL}
 SELECT symbol, day, round(CASE WHEN len(c) < 5 THEN 0
          ELSE list_avg(c) + 3 * (-2 * c[1] - c[2] + c[4] + 2 * c[5]) / 10 END, 6) AS predicted_price

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +89,22 @@ def sentiment_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("post_id", "sentiment.*")
 
 
+def _load_length_model():
+    """Stands in for a user model: scores from the length of the text."""
+
+    def model(texts: pd.Series) -> pd.DataFrame:
+        length = texts.str.len()
+        up = length / (length + 1000)
+        return pd.DataFrame({"bullish": up, "bearish": 1 - up, "neutral": 0.5})
+
+    return model
+
+
+def sentiment_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = speed.scored_posts(posts(spark, sf_dir), Z.model_scorer(_load_length_model))
+    return rounded(rows.select("post_id", "sentiment.*"), 6, *Z.LABELS)
+
+
 def map_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scored(spark, sf_dir).withColumn("sentiment_scores", Z.score_map(F.col("sentiment")))
     scores = F.col("sentiment_scores")
@@ -136,6 +153,7 @@ QUERIES = {
     "post_text": post_text,
     "sentiment_lexicon": sentiment_lexicon,
     "sentiment_constant": sentiment_constant,
+    "sentiment_model": sentiment_model,
     "map_access": map_access,
     "sentiment_global_avg": sentiment_global_avg,
     "avg_scores_default": avg_scores_default,
@@ -171,6 +189,10 @@ FROM scored""",
     "sentiment_constant": f"""WITH {POSTS_SQL}
 SELECT post_id, CAST(0.5 AS DOUBLE) AS bullish, CAST(0.5 AS DOUBLE) AS bearish, CAST(0.5 AS DOUBLE) AS neutral
 FROM posts""",
+    "sentiment_model": f"""WITH {POSTS_SQL}
+SELECT post_id, round(n / (n + 1000), 6) AS bullish, round(1 - n / (n + 1000), 6) AS bearish,
+       CAST(0.5 AS DOUBLE) AS neutral
+FROM (SELECT post_id, CAST(length({POST_TEXT_SQL}) AS DOUBLE) AS n FROM posts)""",
     "map_access": f"""WITH {POSTS_SQL},
 {SCORED_SQL}
 SELECT post_id, round(bullish, 4) AS Sentiment_Score_Bullish, round(bearish, 4) AS Sentiment_Score_Bearish,

@@ -25,7 +25,7 @@ from tidewire.operators import messages as M
 from tidewire.plans.speed import scored_posts
 from tidewire.schemas import POST_TOPIC, TICK_TOPIC, struct
 from tidewire.session import configure, run_folder, stream_session
-from tidewire.sources.tables import read_topic_table
+from tidewire.sources.tables import read_quarantine, read_topic_table
 from tidewire.streaming import ingest, run, serving, speed
 
 
@@ -134,7 +134,7 @@ def stream_raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages cut off before their last character end up as text in the quarantine table."""
+    """Damaged messages end up as text in the quarantine folders of the raw table."""
     configure(spark)
     folder = run_folder(spark, "quarantine")
     session = stream_session(spark)
@@ -142,10 +142,9 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("value").cast("string")
     cut = F.when(F.col("tick_id") % 5 == 0, F.concat(F.lit("cut "), F.col("tick_id"))).otherwise(text)
     sent = sent.withColumn("value", cut.cast("binary"))
-    run.drain(ingest.quarantine_writer(sent, TICK_TOPIC, folder), f"{folder}/checkpoint")
-    schema = struct({M.CORRUPT: "string", "topic": "string"})
-    rows = spark.read.schema(schema).parquet(f"{folder}/quarantine")
-    return rows.select("topic", F.col(M.CORRUPT).alias("message"))
+    run.drain_all(ingest.raw_writers(sent, [TICK_TOPIC], folder))
+    rows = read_quarantine(spark, f"{folder}/{TICK_TOPIC}", TICK_TOPIC)
+    return rows.select(F.col(M.CORRUPT).alias("message"))
 
 
 QUERIES = {
@@ -187,5 +186,5 @@ SELECT {POST_ID_SQL} AS id, date_trunc('second', created_utc) AS created_utc, su
        created, num_comments, url, view_count, send_replies, CAST(created_utc AS DATE) AS event_day
 FROM posts""",
     "stream_quarantine": f"""WITH {TICKS_SQL}
-SELECT 'bitcoin_data' AS topic, 'cut ' || tick_id AS message FROM ticks WHERE tick_id % 5 = 0""",
+SELECT 'cut ' || tick_id AS message FROM ticks WHERE tick_id % 5 = 0""",
 }

@@ -27,11 +27,8 @@ TOPICS = [TICK_TOPIC, POST_TOPIC]
 
 
 def speed_writers(feed: DataFrame, folder: str, scorer: Scorer | None = None) -> dict[str, DataStreamWriter]:
-    """Raw tables, bad messages and the speed log off one feed, each with its own checkpoint."""
+    """Two raw tables and the speed log off one feed, each with its own checkpoint."""
     writers = ingest.raw_writers(feed, TOPICS, folder)
-    for topic in TOPICS:
-        writer = ingest.quarantine_writer(feed, topic, f"{folder}/bad/{topic}")
-        writers[f"{folder}/checkpoint/bad_{topic}"] = writer
     ticks = ingest.without_repeats(ingest.typed_rows(feed, TICK_TOPIC), TICK_TOPIC)
     posts = ingest.without_repeats(ingest.typed_rows(feed, POST_TOPIC), POST_TOPIC)
     windows = speed.speed_windows(ticks, scored_posts(posts, scorer), watermark=None)

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.functions.scalars import columns_of, content_id, timestamp_text
+from tidewire.functions.scalars import columns_of, content_id, event_day, timestamp_text
 from tidewire.schemas import (
+    BAD,
+    CORRUPT,
+    GOOD,
     POST_KEYS,
     POST_TOPIC,
     SELECTED_KEYS,
@@ -18,9 +21,6 @@ from tidewire.schemas import (
     topic_keys,
 )
 
-CORRUPT = "_corrupt_record"
-
-
 def decode(messages: DataFrame, *keep: str) -> DataFrame:
     """Message bytes to text."""
     return messages.select(*keep, F.col("value").cast("string").alias("value"))
@@ -68,6 +68,27 @@ def conform(parsed: DataFrame, topic: str, *keep: str) -> DataFrame:
     return typed.select(*keep, natural_id(topic).alias("id"), *names)
 
 
+def event_time(topic: str) -> str:
+    topic_keys(topic)
+    return "last_updated" if topic == TICK_TOPIC else "created_utc"
+
+
+def landed(messages: DataFrame, topic: str) -> DataFrame:
+    """Rows of a raw table: typed rows and, apart from them, the text of bad messages.
+
+    Both come from one parse and go to one sink.
+    """
+    typed = conform(parse_or_flag(messages, topic), topic, CORRUPT)
+    is_bad = F.col(CORRUPT).isNotNull()
+    return typed.withColumns(
+        {
+            "id": F.when(~is_bad, F.col("id")),
+            "status": F.when(is_bad, F.lit(BAD)).otherwise(F.lit(GOOD)),
+            "event_day": event_day(F.col(event_time(topic))),
+        }
+    )
+
+
 def _conformed(key: str, kind: str) -> Column:
     text = F.col(f"`{key}`")
     if key == "created":

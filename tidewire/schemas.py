@@ -100,6 +100,11 @@ SUBMISSION_SCHEMA = T.StructType(
     ]
 )
 
+# Raw tables keep bad messages beside the rows, in folders of their own.
+GOOD, BAD = "good", "bad"
+CORRUPT = "_corrupt_record"
+RAW_PARTITIONS = ("status", "event_day")
+
 # What a message source delivers, whatever the connector.
 MESSAGE_SCHEMA = T.StructType().add("topic", "string").add("value", "binary")
 
@@ -127,13 +132,19 @@ def typed_schema(topic: str) -> T.StructType:
     return struct({"id": "string", **columns})
 
 
+def raw_table_schema(topic: str) -> T.StructType:
+    """Stored columns of a raw table, partition columns last."""
+    schema = T.StructType([*typed_schema(topic).fields]).add(CORRUPT, "string")
+    return schema.add("status", "string").add("event_day", "date")
+
+
 def table_schemas() -> dict[str, T.StructType]:
     """Schemas of the two raw tables and the two serving tables."""
     return {
-        TICK_TOPIC: typed_schema(TICK_TOPIC),
-        POST_TOPIC: typed_schema(POST_TOPIC),
-        "speed_layer": struct({"symbol": "string", **SPEED_COLUMNS}),
-        "batch_layer": struct({"symbol": "string", **BATCH_COLUMNS}),
+        TICK_TOPIC: raw_table_schema(TICK_TOPIC),
+        POST_TOPIC: raw_table_schema(POST_TOPIC),
+        "speed_layer": struct({"symbol": "string", **SPEED_COLUMNS, "event_day": "date"}),
+        "batch_layer": struct({"symbol": "string", **BATCH_COLUMNS, "event_day": "date"}),
     }
 
 
@@ -147,9 +158,10 @@ def create_tables(
     for table, schema in table_schemas().items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         at = f" LOCATION '{location}/{table}'" if location else ""
+        partitions = ", ".join(name for name in RAW_PARTITIONS if name in schema.names)
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {namespace}.{table} ({columns}, event_day date) "
-            f"USING {fmt} PARTITIONED BY (event_day){at}"
+            f"CREATE TABLE IF NOT EXISTS {namespace}.{table} ({columns}) "
+            f"USING {fmt} PARTITIONED BY ({partitions}){at}"
         )
         names.append(f"{namespace}.{table}")
     return names

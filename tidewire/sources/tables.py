@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.schemas import SUBMISSION_SCHEMA, typed_schema
+from tidewire.schemas import BAD, CORRUPT, GOOD, SUBMISSION_SCHEMA, raw_table_schema
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -14,9 +15,15 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_topic_table(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """Typed raw table of one topic, partitioned by event day."""
-    schema = T.StructType(typed_schema(topic).fields + [T.StructField("event_day", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    """Typed rows of a raw table, with their event day."""
+    stored = spark.read.schema(raw_table_schema(topic)).parquet(path)
+    return stored.filter(F.col("status") == GOOD).drop("status", CORRUPT)
+
+
+def read_quarantine(spark: SparkSession, path: str, topic: str) -> DataFrame:
+    """Texts of the bad messages of a raw table."""
+    stored = spark.read.schema(raw_table_schema(topic)).parquet(path)
+    return stored.filter(F.col("status") == BAD).select(CORRUPT)
 
 
 def read_table(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
@@ -24,10 +31,12 @@ def read_table(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     return spark.read.format(fmt).options(**options).load()
 
 
-def read_listings(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Landed listing payloads, one JSON document per file, as column ``value``."""
+def read_listings(
+    spark: SparkSession, path: str, streaming: bool = False, per_line: bool = False
+) -> DataFrame:
+    """Landed listing payloads as column ``value``: one JSON document per file, or per line."""
     reader = spark.readStream if streaming else spark.read
-    return reader.format("text").option("wholetext", "true").load(path)
+    return reader.format("text").option("wholetext", str(not per_line).lower()).load(path)
 
 
 def read_submissions(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:

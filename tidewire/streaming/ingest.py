@@ -1,32 +1,20 @@
-"""Raw layer on streams: topic messages to typed tables, repeats, bad messages."""
+"""Raw layer on streams: topic messages to tables, repeats."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidewire.functions.scalars import event_day
 from tidewire.operators import messages as M
-from tidewire.schemas import TICK_TOPIC
+from tidewire.schemas import RAW_PARTITIONS
 from tidewire.streaming.run import append_to
 
 WATERMARK = "10 minutes"
 
 
-def event_time(topic: str) -> str:
-    return "last_updated" if topic == TICK_TOPIC else "created_utc"
-
-
 def typed_rows(feed: DataFrame, topic: str) -> DataFrame:
-    """Good messages of one topic as typed rows with their event day."""
-    parsed = M.good(M.parse_or_flag(M.of_topic(feed, topic), topic))
-    return M.conform(parsed, topic).withColumn("event_day", event_day(F.col(event_time(topic))))
-
-
-def bad_messages(feed: DataFrame, topic: str) -> DataFrame:
-    flagged = M.parse_or_flag(M.of_topic(feed, topic), topic, "topic")
-    return M.quarantined(flagged, "topic")
+    """Good messages of one topic as typed rows."""
+    return M.conform(M.good(M.parse_or_flag(M.of_topic(feed, topic), topic)), topic)
 
 
 def raw_writers(
@@ -34,15 +22,13 @@ def raw_writers(
 ) -> dict[str, DataStreamWriter]:
     """One append stream per topic, keyed by checkpoint folder."""
     return {
-        f"{folder}/checkpoint/{topic}": append_to(typed_rows(feed, topic), f"{folder}/{topic}", fmt)
+        f"{folder}/checkpoint/{topic}": append_to(
+            M.landed(M.of_topic(feed, topic), topic), f"{folder}/{topic}", fmt, RAW_PARTITIONS
+        )
         for topic in topics
     }
 
 
-def quarantine_writer(feed: DataFrame, topic: str, folder: str, fmt: str = "parquet") -> DataStreamWriter:
-    return append_to(bad_messages(feed, topic), f"{folder}/quarantine", fmt, partition="topic")
-
-
 def without_repeats(rows: DataFrame, topic: str, watermark: str = WATERMARK) -> DataFrame:
     """First copy of each row; ids are forgotten once the watermark has passed them."""
-    return rows.withWatermark(event_time(topic), watermark).dropDuplicatesWithinWatermark(["id"])
+    return rows.withWatermark(M.event_time(topic), watermark).dropDuplicatesWithinWatermark(["id"])

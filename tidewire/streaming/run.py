@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -33,9 +33,11 @@ def drain_all(writers: dict[str, DataStreamWriter], timeout: int | None = None)
         query.awaitTermination(timeout)
 
 
-def append_to(df: DataFrame, path: str, fmt: str = "parquet", partition: str = "event_day") -> DataStreamWriter:
-    """Append rows to a raw table partitioned by event day."""
-    return df.writeStream.format(fmt).outputMode("append").partitionBy(partition).option("path", path)
+def append_to(
+    df: DataFrame, path: str, fmt: str = "parquet", partitions: Sequence[str] = ("event_day",)
+) -> DataStreamWriter:
+    """Append rows to a table partitioned by event day."""
+    return df.writeStream.format(fmt).outputMode("append").partitionBy(*partitions).option("path", path)
 
 
 def each_batch(df: DataFrame, mode: str, write: Callable[[DataFrame, int], None]) -> DataStreamWriter:

@@ -14,18 +14,20 @@ from pyspark.sql import types as T
 
 from tidewire.functions.scalars import event_day
 from tidewire.operators.topn import top_n
+from tidewire.schemas import RAW_PARTITIONS
 
 
 def append_batch(rows: DataFrame, batch_id: int, path: str, at: str) -> None:
     """Write one batch of serving rows; the same batch again replaces itself.
 
-    Serving rows are one per key and window, so a day is small enough for one file.
+    Rows are gathered by day, so that a batch adds few files. Serving rows are
+    one per key and window; in a batch job AQE still splits a large day.
     """
     stamped = rows.withColumns(
         {"event_day": event_day(F.col(at)), "batch_id": F.lit(batch_id).cast("bigint")}
     )
     (
-        stamped.repartition("event_day")
+        stamped.hint("rebalance", "event_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_day", "batch_id")
@@ -57,11 +59,10 @@ def latest(
     return newest.select(*schema.fieldNames())
 
 
-def append_raw(rows: DataFrame, path: str, at: str, fmt: str = "parquet") -> None:
-    """Batch append to a raw table partitioned by event day.
+def append_raw(landed: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Batch append to a raw table.
 
     ``rebalance`` lets AQE merge small days into one file and split large ones.
     """
-    stamped = rows.withColumn("event_day", event_day(F.col(at)))
-    balanced = stamped.hint("rebalance", "event_day")
-    balanced.write.format(fmt).mode("append").partitionBy("event_day").save(path)
+    balanced = landed.hint("rebalance", *RAW_PARTITIONS)
+    balanced.write.format(fmt).mode("append").partitionBy(*RAW_PARTITIONS).save(path)
