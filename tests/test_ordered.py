@@ -41,8 +41,8 @@ def test_lag_equals_plain_lag(spark, seed, n, keyed):
     keys = ["k"] if keyed else []
     plain = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("at")
     expected = df.withColumn("p", F.lag("v").over(plain))
-    for spans in (("minute", "day"), ("second", "hour", "year"), ("day",)):
-        got = lag_by(df, keys, "at", {"v": "p"}, spans)
+    for limit in (10**6, 20, 0):
+        got = lag_by(df, keys, "at", {"v": "p"}, limit)
         assert rows_of(got) == rows_of(expected)
 
 
@@ -69,9 +69,9 @@ def brute_as_of(left, right, by):
     return sorted(out)
 
 
-@given(seed=st.integers(0, 10**6), keyed=st.booleans())
+@given(seed=st.integers(0, 10**6), keyed=st.booleans(), limit=st.sampled_from([0, 5, 10**6]))
 @relaxed
-def test_as_of_equals_brute_force(spark, seed, keyed):
+def test_as_of_equals_brute_force(spark, seed, keyed, limit):
     rng = random.Random(seed)
     instants = [START + dt.timedelta(minutes=rng.choice([0, 1, 2, 700, 5000, 20000, 20001])) for _ in range(60)]
     right = [(i, rng.choice("ab"), at, rng.random()) for i, at in enumerate(instants[:30])]
@@ -81,20 +81,36 @@ def test_as_of_equals_brute_force(spark, seed, keyed):
     right_df = spark.createDataFrame(right, shape).withColumnRenamed("at", "seen")
     got = as_of(
         left_df.select("id", "k", "at"), right_df, "at", "seen", {"id": "tick", "v": "price"},
-        by=["k"] if keyed else [], ties=["id"],
+        by=["k"] if keyed else [], ties=["id"], limit=limit,
     )
     expected = brute_as_of(left_df.collect(), spark.createDataFrame(right, shape).collect(), keyed)
     assert sorted((r.id, r.tick, r.price) for r in got.collect()) == expected
 
 
 def test_no_task_gets_a_whole_key(spark):
-    """With no key the only single partition holds one row per day."""
-    plan = lag_by(ticks(spark, 50, 1), [], "at", {"v": "p"})._jdf.queryExecution().executedPlan().toString()
-    lines = plan.splitlines()
+    """With no key, only rows counted by day or second meet in a single partition."""
+    df = ticks(spark, 50, 1)
+    keyed = lag_by(df, ["k"], "at", {"v": "p"})._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in keyed
+    lines = lag_by(df, [], "at", {"v": "p"})._jdf.queryExecution().executedPlan().toString().splitlines()
     single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
-    assert len(single) == 1 and "SortAggregate" in lines[single[0] + 1]
-    plan = lag_by(ticks(spark, 50, 1), ["k"], "at", {"v": "p"})._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    below = [" ".join(lines[i + 1 : i + 6]) for i in single]
+    assert single and all("HashAggregate" in part and "_day" in part for part in below)
+
+
+def shuffles_of_rows(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("FileScan"), plan.count("ReusedExchange")
+
+
+def test_a_shuffle_before_the_lookup_is_done_once(spark, sf_dir):
+    """The mean price per time is needed three times but read and shuffled once."""
+    from tidewire.catalog import inputs
+    from tidewire.plans.speed import price_changes
+
+    scans, reused = shuffles_of_rows(price_changes(inputs.ticks(spark, sf_dir), ["symbol"]))
+    assert reused >= 1 and scans <= 2  # the second scan is for rows without a time
 
 
 @pytest.mark.parametrize("spread", [None, 3])

@@ -72,11 +72,12 @@ def test_late_rows_are_dropped_on_the_stream_only(spark, tmp_path):
     assert [r.bitcoin_price for r in prices] == [3.0, 2.0, 4.0]
 
 
-def test_repeats_over_micro_batches(spark, tmp_path):
+@pytest.mark.parametrize("spread", [None, 3])
+def test_repeats_over_micro_batches(spark, tmp_path, spread):
     shape = "id string, created_utc timestamp, n int"
     for i in range(3):
         land(spark, f"{tmp_path}/in", [("p", at(0), i), (f"q{i}", at(i), i)], shape)
-    rows = ingest.without_repeats(stream_of(spark, f"{tmp_path}/in", shape), POST_TOPIC)
+    rows = ingest.without_repeats(stream_of(spark, f"{tmp_path}/in", shape), POST_TOPIC, spread=spread)
     rows = rows.withColumn("event_day", F.col("created_utc").cast("date"))
     run.drain(run.append_to(rows, f"{tmp_path}/out"), f"{tmp_path}/c")
     stored = spark.read.parquet(f"{tmp_path}/out")
@@ -162,7 +163,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     for _ in range(3):
         topics.write_topic(messages(spark, sf_dir), fmt="parquet", path=f"{tmp_path}/feed")
     for _ in range(2):  # the second run finds nothing new
-        jobs.run_speed(spark, folder, "parquet", available_now=True, path=f"{tmp_path}/feed")
+        jobs.run_speed(spark, folder, "parquet", available_now=True, spread=2, path=f"{tmp_path}/feed")
     ticks = tables.read_topic_table(spark, f"{folder}/{TICK_TOPIC}", TICK_TOPIC)
     posts = tables.read_topic_table(spark, f"{folder}/{POST_TOPIC}", POST_TOPIC)
     sent = inputs.ticks(spark, sf_dir).count()

@@ -26,11 +26,16 @@ from tidewire.streaming import ingest, run, serving, speed
 TOPICS = [TICK_TOPIC, POST_TOPIC]
 
 
-def speed_writers(feed: DataFrame, folder: str, scorer: Scorer | None = None) -> dict[str, DataStreamWriter]:
-    """Two raw tables and the speed log off one feed, each with its own checkpoint."""
+def speed_writers(
+    feed: DataFrame, folder: str, scorer: Scorer | None = None, spread: int | None = None
+) -> dict[str, DataStreamWriter]:
+    """Two raw tables and the speed log off one feed, each with its own checkpoint.
+
+    ``spread`` is for feeds in which single posts come in very many copies.
+    """
     writers = ingest.raw_writers(feed, TOPICS, folder)
     ticks = ingest.without_repeats(ingest.typed_rows(feed, TICK_TOPIC), TICK_TOPIC)
-    posts = ingest.without_repeats(ingest.typed_rows(feed, POST_TOPIC), POST_TOPIC)
+    posts = ingest.without_repeats(ingest.typed_rows(feed, POST_TOPIC), POST_TOPIC, spread=spread)
     windows = speed.speed_windows(ticks, scored_posts(posts, scorer), watermark=None)
     writers[f"{folder}/checkpoint/speed"] = run.each_batch(
         windows, "update", serving.log_writer(f"{folder}/speed_log", "window_start")
@@ -44,11 +49,12 @@ def run_speed(
     fmt: str = "kafka",
     available_now: bool = False,
     scorer: Scorer | None = None,
+    spread: int | None = None,
     **options: str,
 ) -> None:
     session = stream_session(spark)
     feed = read_topics_stream(session, TOPICS, fmt, **options)
-    writers = speed_writers(feed, folder, scorer)
+    writers = speed_writers(feed, folder, scorer, spread)
     if available_now:
         run.drain_all(writers)
         return
@@ -78,12 +84,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="kafka")
     parser.add_argument("--option", action="append", default=[], help="source option key=value")
     parser.add_argument("--available-now", action="store_true", help="work off what is there, then stop")
+    parser.add_argument("--spread", type=int, help="parts a post with very many copies is split into")
     parser.add_argument("--as-of", type=dt.datetime.fromisoformat)
     args = parser.parse_args(argv)
     spark = build_session(f"tidewire-{args.job}")
     if args.job == "speed":
         options = dict(option.split("=", 1) for option in args.option)
-        run_speed(spark, args.folder, args.format, args.available_now, **options)
+        run_speed(spark, args.folder, args.format, args.available_now, spread=args.spread, **options)
     else:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         run_daily(spark, args.folder, args.as_of or now)

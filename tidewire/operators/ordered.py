@@ -1,51 +1,45 @@
 """Ordered lookups without one long ordered group: lag and as-of join by time buckets.
 
 A plain ``lag`` over a key sorts all rows of that key in one task, and over no
-key all rows of the table. Here rows meet only within (key, time bucket). What a
-bucket needs from before its start is carried in as one seed row per bucket.
-Carries are found on one row per bucket, again bucketed by the next longer span,
-so the ordered groups are at most 1,440 minutes of a day and then the days.
-
-Instants are distinct within a key and have microseconds, so a bucket of one
-minute holds at most 60 million narrow rows of a key, whatever the total.
-Shorter first spans, such as ``("second", "hour", "year")``, bound it further.
+key all rows of the table. Here rows meet only within (key, bucket). A bucket is
+a day, or a second on crowded days: those of a key with more than ``limit``
+rows. What a bucket needs from before its start comes in as one seed row.
+
+Bounds, whatever the skew: instants are distinct within a key and have
+microseconds, so a second holds at most a million rows and any other bucket at
+most ``limit``. Seeds are found on one row per day of a key and, on crowded days,
+one row per second.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPANS = ("minute", "day")
+DAY, SECOND = 86_400_000_000, 1_000_000  # microseconds
+LIMIT = 5_000_000
+MOST_CROWDED = 100_000
+BEFORE = (Window.unboundedPreceding, -1)
 
 
 def lag_by(
-    df: DataFrame,
-    keys: Sequence[str],
-    at: str,
-    values: dict[str, str],
-    spans: Sequence[str] = SPANS,
+    df: DataFrame, keys: Sequence[str], at: str, values: dict[str, str], limit: int = LIMIT
 ) -> DataFrame:
     """Values of the row before, per key in order of ``at``.
 
     ``values`` maps a column to the name of its lagged copy. ``at`` must be
     unique within a key; rows without it stay, with NULLs.
     """
-    lagged = F.struct(*[F.col(column).alias(name) for column, name in values.items()])
-    row = df.withColumn("_bucket", F.date_trunc(spans[0], F.col(at))).withColumn("_value", lagged)
-    row = row.withColumn("_row", F.lit(True))
-    slots = _tails(row, list(keys), "_value", F.col(at), list(values.values()))
-    seeds = _seeds(slots, list(keys), spans, "_value")
-    seeded = row.unionByName(seeds, allowMissingColumns=True)
+    rows, seeds = _bucketed(df, list(keys), at, F.col(at), list(values), limit)
+    seeded = rows.unionByName(seeds, allowMissingColumns=True)
+    # A seed has no time and comes first.
     order = Window.partitionBy(*keys, "_bucket").orderBy(F.col(at).asc_nulls_first())
-    previous = F.when(F.col(at).isNotNull(), F.lag("_value").over(order))
-    return (
-        seeded.withColumn("_previous", previous)
-        .filter(F.col("_row"))
-        .select(*df.columns, *[F.col(f"_previous.{name}").alias(name) for name in values.values()])
-    )
+    lagged = {name: F.lag(column).over(order) for column, name in values.items()}
+    timed = seeded.withColumns(lagged).filter(F.col(at).isNotNull()).select(*df.columns, *lagged)
+    return timed.unionByName(df.filter(F.col(at).isNull()), allowMissingColumns=True)
 
 
 def as_of(
@@ -56,91 +50,120 @@ def as_of(
     values: dict[str, str],
     by: Sequence[str] = (),
     ties: Sequence[str] = (),
-    spans: Sequence[str] = SPANS,
+    limit: int = LIMIT,
 ) -> DataFrame:
     """Each left row with the values of the newest right row at or before it.
 
-    Left rows without one stay, with NULLs. Right rows of one instant are told
-    apart by ``ties``; the greatest wins.
+    ``values`` maps a right column to its name in the result. Left rows without
+    a match stay, with NULLs. Right rows of one instant are told apart by
+    ``ties``; the greatest wins.
 
     Only distinct instants of the left side go through the ordered pass, and the
     left rows then look theirs up by equality. So very many left rows at one
     instant never meet in a window, and the skew of the lookup join is left to
     AQE, which splits it, or turns it into a broadcast if the answers are small.
     """
-    keys = list(by)
-    fact = F.struct(*[F.col(column).alias(name) for column, name in values.items()]).alias("_fact")
-    facts = right.select(*keys, F.col(right_at).alias("_at"), fact, *ties)
+    keys, names = list(by), list(values.values())
+    facts = right.select(
+        *keys,
+        F.col(right_at).alias("_at"),
+        *[F.col(column).alias(name) for column, name in values.items()],
+        *[F.col(column).alias(f"_tie_{column}") for column in ties],
+    ).filter(F.col("_at").isNotNull())
     if ties:
         # One right row per (key, instant), so that the ordered pass has no ties left.
-        greatest = F.max_by("_fact", F.struct(*ties) if len(ties) > 1 else F.col(ties[0]))
-        facts = facts.groupBy(*keys, "_at").agg(greatest.alias("_fact"))
-    facts = facts.filter(F.col("_at").isNotNull())
-    asked = left.select(*keys, F.col(left_at).alias("_at"), F.lit(True).alias("_asked"))
-    asked = asked.filter(F.col("_at").isNotNull()).distinct()
-    both = facts.unionByName(asked, allowMissingColumns=True).withColumn(
-        "_bucket", F.date_trunc(spans[0], "_at")
+        age = F.struct(*[F.col(f"_tie_{column}") for column in ties])
+        greatest = F.max_by(F.struct(*names), age).alias("_fact")
+        facts = facts.groupBy(*keys, "_at").agg(greatest).select(*keys, "_at", "_fact.*")
+    asked = left.select(*keys, F.col(left_at).alias("_at")).filter(F.col("_at").isNotNull())
+    both = facts.withColumn("_is_fact", F.lit(True)).unionByName(
+        asked.distinct(), allowMissingColumns=True
     )
-    instant = F.when(F.col("_fact").isNotNull(), F.col("_at"))
-    slots = _tails(both, keys, "_fact", instant, list(values.values()))
-    seeds = _seeds(slots, keys, spans, "_fact")
+    instant = F.when(F.col("_is_fact"), F.col("_at"))
+    rows, seeds = _bucketed(both, keys, "_at", instant, names, limit)
+    seeded = rows.unionByName(seeds.withColumn("_is_fact", F.lit(True)), allowMissingColumns=True)
     # Within one instant a fact comes before the question.
     order = Window.partitionBy(*keys, "_bucket").orderBy(
-        F.col("_at").asc_nulls_first(), F.col("_fact").isNull()
+        F.col("_at").asc_nulls_first(), F.col("_is_fact").desc_nulls_last()
     )
-    newest = F.last("_fact", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    fact = F.when(F.col("_is_fact"), F.struct(*names))
+    newest = F.last(fact, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     answers = (
-        both.unionByName(seeds, allowMissingColumns=True)
-        .withColumn("_newest", newest)
-        .filter(F.col("_asked"))
-        .select(
-            *keys,
-            F.col("_at").alias(left_at),
-            *[F.col(f"_newest.{name}").alias(name) for name in values.values()],
-        )
+        seeded.withColumn("_newest", newest)
+        .filter(F.col("_is_fact").isNull())
+        .select(*keys, F.col("_at").alias(left_at), "_newest.*")
     )
-    return left.join(answers, [*keys, left_at], "left").select(*left.columns, *values.values())
+    return left.join(answers, [*keys, left_at], "left").select(*left.columns, *names)
 
 
-def _tails(
-    rows: DataFrame, keys: list[str], value: str, instant: Column, names: list[str]
-) -> DataFrame:
-    """Per bucket the value at the newest ``instant``, or NULL where there is none.
+def _start(at: Column, span: int) -> Column:
+    micros = F.unix_micros(at)
+    return micros - F.pmod(micros, F.lit(span))
+
+
+def _bucketed(
+    rows: DataFrame, keys: list[str], at: str, instant: Column, values: list[str], limit: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that have a time with their ``_bucket``, and per bucket the newest
+    ``values`` before its start.
 
-    Fields are taken one by one: numbers then stay in hash aggregation with
-    map-side combine, which a struct buffer would not.
+    ``instant`` is the time of a row that has something to carry, else NULL.
+    Values are carried field by field: numbers then stay in hash aggregation
+    with map-side combine, which a struct buffer would not.
+
+    The rows are used three times. All three uses have the same filter and read
+    the same values, so that a shuffle behind ``rows`` is done once and reused.
     """
-    newest = [F.max_by(f"{value}.{name}", instant).alias(name) for name in names]
-    slots = rows.groupBy(*keys, "_bucket").agg(F.max(instant).alias("_newest_at"), *newest)
-    tail = F.when(F.col("_newest_at").isNotNull(), F.struct(*[F.col(name) for name in names]))
-    return slots.select(*keys, "_bucket", tail.alias("_tail"))
-
-
-def _seeds(slots: DataFrame, keys: list[str], spans: Sequence[str], value: str) -> DataFrame:
-    carried = _carry_in(slots, keys, spans[1:]).filter(F.col("_carry").isNotNull())
-    return carried.select(*keys, "_bucket", F.col("_carry").alias(value))
-
-
-def _carry_in(slots: DataFrame, keys: list[str], spans: Sequence[str]) -> DataFrame:
-    """Newest non-NULL ``_tail`` of the slots before each slot, as ``_carry``."""
-    before = (Window.unboundedPreceding, -1)
-    if not spans:
-        group = keys if keys else [F.lit(0)]
-        window = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(*before)
-        return slots.withColumn("_carry", F.last("_tail", ignorenulls=True).over(window))
-    span = F.date_trunc(spans[0], "_bucket")
-    parents = slots.groupBy(*keys, span.alias("_span")).agg(
-        F.max_by("_tail", F.when(F.col("_tail").isNotNull(), F.col("_bucket"))).alias("_tail")
+    second = _start(F.col(at), SECOND)
+    timed = rows.withColumn("_day", _start(F.col(at), DAY)).filter(F.col("_day").isNotNull())
+    # Counted over the values for that reason; it is the number of rows.
+    sizes = [F.count_if(F.col(v).isNull()) + F.count_if(F.col(v).isNotNull()) for v in values]
+    size = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
+    tails = [F.max(instant).alias("_newest"), *[F.max_by(v, instant).alias(v) for v in values]]
+    tail = F.when(F.col("_newest").isNotNull(), F.struct(*values))
+    newest_tail = F.last(tail, ignorenulls=True)
+
+    days = timed.groupBy(*keys, "_day").agg(size.alias("_n"), *tails)
+    # Each of them holds more than ``limit`` rows, and only the most crowded are
+    # taken, so their list is safe to broadcast. A day left out by that holds
+    # less than one part in MOST_CROWDED of all rows. The order is total: every
+    # use of the list must see the same days.
+    crowded = (
+        days.filter(F.col("_n") > limit)
+        .orderBy(F.col("_n").desc(), *keys, "_day")
+        .limit(MOST_CROWDED)
+        .select(
+            *[F.col(key).alias(f"_crowded_{key}") for key in keys],
+            F.col("_day").alias("_crowded_day"),
+        )
+    )
+
+    def with_crowded(df: DataFrame, how: str) -> DataFrame:
+        same = [F.col(key).eqNullSafe(F.col(f"_crowded_{key}")) for key in keys]
+        same.append(F.col("_day") == F.col("_crowded_day"))
+        return df.join(F.broadcast(crowded), reduce(Column.__and__, same), how)
+
+    by_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_day").rowsBetween(*BEFORE)
+    day_carry = with_crowded(
+        days.select(*keys, "_day", newest_tail.over(by_key).alias("_carry")), "left"
     )
-    parent_carry = _carry_in(
-        parents.withColumnRenamed("_span", "_bucket"), keys, spans[1:]
-    ).select(*keys, F.col("_bucket").alias("_span"), F.col("_carry").alias("_tail"))
-    seeded = slots.withColumn("_span", span).unionByName(parent_carry, allowMissingColumns=True)
-    window = (
-        Window.partitionBy(*keys, "_span")
-        .orderBy(F.col("_bucket").asc_nulls_first())
-        .rowsBetween(*before)
+    is_crowded = F.col("_crowded_day").isNotNull()
+    long_seeds = day_carry.filter(~is_crowded).select(*keys, F.col("_day").alias("_bucket"), "_carry")
+
+    seconds = with_crowded(timed, "inner").groupBy(*keys, "_day", second.alias("_bucket")).agg(*tails)
+    seconds = seconds.select(*keys, "_day", "_bucket", tail.alias("_tail"))
+    into_day = day_carry.filter(is_crowded).select(*keys, "_day", F.col("_carry").alias("_tail"))
+    by_day = Window.partitionBy(*keys, "_day").orderBy(F.col("_bucket").asc_nulls_first())
+    carried = F.last("_tail", ignorenulls=True).over(by_day.rowsBetween(*BEFORE))
+    short_seeds = (
+        seconds.unionByName(into_day, allowMissingColumns=True)
+        .select(*keys, "_bucket", carried.alias("_carry"))
+        .filter(F.col("_bucket").isNotNull())
     )
-    carried = seeded.withColumn("_carry", F.last("_tail", ignorenulls=True).over(window))
-    return carried.filter(F.col("_bucket").isNotNull()).drop("_span")
 
+    bucket = F.when(is_crowded, second).otherwise(F.col("_day")).alias("_bucket")
+    seeds = long_seeds.unionByName(short_seeds).filter(F.col("_carry").isNotNull())
+    return (
+        with_crowded(timed, "left").select(*rows.columns, bucket),
+        seeds.select(*keys, "_bucket", "_carry.*"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidewire.operators import messages as M
@@ -29,6 +30,18 @@ def raw_writers(
     }
 
 
-def without_repeats(rows: DataFrame, topic: str, watermark: str = WATERMARK) -> DataFrame:
-    """First copy of each row; ids are forgotten once the watermark has passed them."""
-    return rows.withWatermark(M.event_time(topic), watermark).dropDuplicatesWithinWatermark(["id"])
+def without_repeats(
+    rows: DataFrame, topic: str, watermark: str = WATERMARK, spread: int | None = None
+) -> DataFrame:
+    """First copy of each row; ids are forgotten once the watermark has passed them.
+
+    All copies of a row meet in one task. Where single rows come in very many
+    copies, ``spread`` first drops repeats in that many parts by input partition,
+    so that at most ``spread`` copies of a row are left to meet. That costs one
+    more shuffle and state for each part, so it is off by default.
+    """
+    timed = rows.withWatermark(M.event_time(topic), watermark)
+    if spread:
+        parted = timed.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(spread)))
+        timed = parted.dropDuplicatesWithinWatermark(["id", "_part"]).drop("_part")
+    return timed.dropDuplicatesWithinWatermark(["id"])
