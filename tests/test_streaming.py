@@ -141,6 +141,29 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(log).count() == 3
 
 
+def test_rewritten_days(spark, tmp_path):
+    """Rewriting a day, also twice, leaves the view alone; a later row still wins."""
+    log, schema = f"{tmp_path}/log", struct({"k": "string", "at": "timestamp", "v": "integer"})
+    next_day = at(24 * 60)
+    serving.append_batch(spark.createDataFrame([("a", at(0), 1), ("b", at(0), 1), ("c", next_day, 1)], schema), 0, log, "at")
+    serving.append_batch(spark.createDataFrame([("a", at(0), 2)], schema), 1, log, "at")
+    view = rows_of(serving.latest(spark, log, schema, ["k"]))
+    over = F.col("event_day") == F.lit(at(0).date())
+    for _ in range(2):
+        serving.rewrite_days(spark, log, schema, ["k"], over)
+    assert rows_of(serving.latest(spark, log, schema, ["k"])) == view
+    rewritten = spark.read.schema(schema).parquet(f"{log}/part={serving.DAYS}")
+    assert rows_of(rewritten.select("k", "at", "v")) == [r for r in view if r[0] != "c"]
+    late = spark.createDataFrame([("b", at(0), 9)], schema)
+    serving.append_batch(late, 2, log, "at")
+    expected = {"a": 2, "b": 9, "c": 1}
+    for _ in range(2):
+        assert {r.k: r.v for r in serving.latest(spark, log, schema, ["k"]).collect()} == expected
+        serving.rewrite_days(spark, log, schema, ["k"], over)
+    batches = spark.read.parquet(log).filter("part = 'days'").select("batch_id").distinct()
+    assert sorted(r.batch_id for r in batches.collect()) == [1, 2]
+
+
 def test_reading_a_log_leaves_its_schema_alone(spark, tmp_path):
     before = speed.CHANGE_SCHEMA.fieldNames()
     row = [("A", at(0), at(0), 1.0, 0.0)]
@@ -240,3 +263,5 @@ def test_command_line(spark, tmp_path, sf_dir):
     serving.append_batch(windows, 0, f"{tmp_path}/speed_log", "window_start")
     jobs.main(["daily", "--folder", str(tmp_path), "--as-of", "2024-01-15 23:59:00"])
     assert spark.read.parquet(f"{tmp_path}/batch_log").count() == 4
+    days = spark.read.parquet(f"{tmp_path}/speed_log").filter("part = 'days'").select("event_day").distinct()
+    assert [str(r.event_day) for r in days.collect()] == ["2024-01-14"]

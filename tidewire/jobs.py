@@ -66,10 +66,16 @@ def run_speed(
 def run_daily(
     spark: SparkSession, folder: str, as_of: dt.datetime, forecaster: Forecaster | None = None
 ) -> DataFrame:
-    """Store the row of the day of ``as_of``; the same ``as_of`` again replaces it."""
+    """Store the row of the day of ``as_of``; the same ``as_of`` again replaces it.
+
+    The day before is over, so its part of the speed log is rewritten first.
+    """
+    log = f"{folder}/speed_log"
+    over = F.col("event_day") == F.lit(as_of.date() - dt.timedelta(days=1))
+    serving.rewrite_days(spark, log, speed.WINDOW_SCHEMA, speed.WINDOW_KEY, over)
     first = as_of.date() - dt.timedelta(days=TIME_STEP)
     days = F.col("event_day").between(F.lit(first), F.lit(as_of.date()))
-    rows = daily_row_as_of(speed.speed_view(spark, f"{folder}/speed_log", days), as_of, forecaster)
+    rows = daily_row_as_of(speed.speed_view(spark, log, days), as_of, forecaster)
     schema = struct({"symbol": "string", **BATCH_COLUMNS})
     rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     batch_id = int(as_of.replace(tzinfo=dt.timezone.utc).timestamp())

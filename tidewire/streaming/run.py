@@ -20,17 +20,20 @@ def start(
 
 def drain(writer: DataStreamWriter, checkpoint: str, timeout: int | None = None) -> None:
     """Work off everything that has arrived, then stop."""
-    query = start(writer, checkpoint, available_now=True)
-    if query.awaitTermination(timeout) is False:
-        query.stop()
-        raise TimeoutError(f"stream {query.id} still running after {timeout} s")
+    _await(start(writer, checkpoint, available_now=True), timeout)
 
 
 def drain_all(writers: dict[str, DataStreamWriter], timeout: int | None = None) -> None:
     """Several streams side by side, keyed by their own checkpoint folders."""
     running = [start(writer, folder, available_now=True) for folder, writer in writers.items()]
     for query in running:
-        query.awaitTermination(timeout)
+        _await(query, timeout)
+
+
+def _await(query: StreamingQuery, timeout: int | None) -> None:
+    if query.awaitTermination(timeout) is False:
+        query.stop()
+        raise TimeoutError(f"stream {query.id} still running after {timeout} s")
 
 
 def append_to(

@@ -1,7 +1,9 @@
 """Serving tables: an append-only log and a view with the latest row per key.
 
 A batch writes only below its own ``batch_id``. Running it again after a failure
-replaces those files and changes nothing in the view.
+replaces those files and changes nothing in the view. Days that are over are
+rewritten beside the log as one batch each, and the view reads both, so that the
+many small files of such days may expire at any time.
 """
 
 from __future__ import annotations
@@ -16,6 +18,10 @@ from tidewire.functions.scalars import event_day
 from tidewire.operators.topn import top_n
 from tidewire.schemas import RAW_PARTITIONS
 
+# Top folders of a serving table: batches as they came, and days that are over.
+LOG, DAYS = "log", "days"
+FOLDERS = ("part", "event_day", "batch_id")
+
 
 def append_batch(rows: DataFrame, batch_id: int, path: str, at: str) -> None:
     """Write one batch of serving rows; the same batch again replaces itself.
@@ -23,14 +29,18 @@ def append_batch(rows: DataFrame, batch_id: int, path: str, at: str) -> None:
     Rows are gathered by day, so that a batch adds few files. Serving rows are
     one per key and window; in a batch job AQE still splits a large day.
     """
-    stamped = rows.withColumns(
-        {"event_day": event_day(F.col(at)), "batch_id": F.lit(batch_id).cast("bigint")}
-    )
+    stamps = {"event_day": event_day(F.col(at)), "batch_id": F.lit(batch_id).cast("bigint")}
+    _write(rows.withColumns(stamps), path, LOG)
+
+
+def _write(stamped: DataFrame, path: str, part: str) -> None:
+    """Replaces only the folders that get rows."""
     (
-        stamped.hint("rebalance", "event_day")
+        stamped.withColumn("part", F.lit(part))
+        .hint("rebalance", "event_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_day", "batch_id")
+        .partitionBy(*FOLDERS)
         .parquet(path)
     )
 
@@ -50,13 +60,36 @@ def latest(
 
     A key must always fall on the same day, as a window start does.
     """
+    return _newest(_read(spark, path, schema, days), keys).select(*schema.fieldNames())
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, days: Column | None) -> DataFrame:
     # A copy of the field list: adding to a StructType extends the list it was given.
-    full = T.StructType([*schema.fields]).add("event_day", "date").add("batch_id", "long")
-    log = spark.read.schema(full).parquet(path)
-    if days is not None:
-        log = log.filter(days)
-    newest = top_n(log, keys, [F.col("batch_id").desc()], 1)
-    return newest.select(*schema.fieldNames())
+    full = T.StructType([*schema.fields]).add("part", "string")
+    full = full.add("event_day", "date").add("batch_id", "long")
+    stored = spark.read.schema(full).parquet(path)
+    return stored if days is None else stored.filter(days)
+
+
+def _newest(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return top_n(stored, keys, [F.col("batch_id").desc()], 1)
+
+
+def rewrite_days(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], days: Column
+) -> None:
+    """Rewrite the given days as one batch each, those with anything new.
+
+    The batch takes the number of the last batch seen for the day: rows that
+    come in later have a higher one and still win. No folder that is being read
+    is written.
+    """
+    stored = _read(spark, path, schema, days)
+    last = {part: F.max(F.when(F.col("part") == part, F.col("batch_id"))) for part in (LOG, DAYS)}
+    news = stored.groupBy("event_day").agg(last[LOG].alias("_log"), last[DAYS].alias("_days"))
+    news = news.filter(F.col("_days").isNull() | (F.col("_log") > F.col("_days")))
+    rows = _newest(stored, keys).select(*schema.fieldNames(), "event_day")
+    _write(rows.join(news.select("event_day", F.col("_log").alias("batch_id")), "event_day"), path, DAYS)
 
 
 def append_raw(landed: DataFrame, path: str, fmt: str = "parquet") -> None:
