@@ -75,7 +75,10 @@ def test_speed_rows_by_hand(spark):
     )
     posts = spark.createDataFrame([("T", None, at(2)), ("U", "", at(3)), ("V", None, at(12))], POSTS)
     rows = speed.speed_rows(ticks, posts, constant_scorer(0.25)).orderBy("timestamp").collect()
-    got = [(r.timestamp, r.bitcoin_price, r.posts_last_5_minutes, r.change_from_kafka, r.avg_sentiment_bullish) for r in rows]
+    got = [
+        (r.timestamp, r.bitcoin_price, r.posts_last_5_minutes, r.change_from_kafka, r.avg_sentiment_bullish)
+        for r in rows
+    ]
     assert got == [
         (at(4), 110.0, 2, 0.0, 0.25),  # first row: change 0
         (at(7), 0.0, 0, -100.0, 0.5),  # no posts: 0 and 0.5

@@ -176,7 +176,8 @@ def test_reading_a_log_leaves_its_schema_alone(spark, tmp_path):
 def messages(spark, sf_dir):
     tick = M.tick_message(inputs.ticks(spark, sf_dir))
     post = M.post_message(inputs.posts(spark, sf_dir))
-    bad = spark.createDataFrame([(TICK_TOPIC, bytearray(b"oops")), ("other", bytearray(b"{}"))], "topic string, value binary")
+    odd = [(TICK_TOPIC, bytearray(b"oops")), ("other", bytearray(b"{}"))]
+    bad = spark.createDataFrame(odd, "topic string, value binary")
     return M.union_topics(tick, post, bad)
 
 

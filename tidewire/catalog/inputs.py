@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators import messages as M
-from tidewire.schemas import POST_TOPIC, TICK_TOPIC
 from tidewire.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -113,6 +113,11 @@ def pct_change_lag_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changes(speed.price_changes(ticks(spark, sf_dir), []))
 
 
+def pct_change_lag_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with so low a limit that many days count as crowded."""
+    return _changes(speed.price_changes(ticks(spark, sf_dir), ["symbol"], limit=60))
+
+
 def avg_price_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ticks(spark, sf_dir).groupBy("last_updated").agg(F.avg("price_usd").alias("bitcoin_price"))
     return ntz(rounded(rows, 6, "bitcoin_price"), "last_updated")
@@ -142,6 +147,17 @@ def asof_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(rows, "created_utc")
 
 
+def asof_price_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each post with the newest tick at or before it that the same user caused."""
+    asked = posts(spark, sf_dir).select("post_id", "created_utc", F.col("view_count").cast("bigint").alias("user_id"))
+    seen = ticks(spark, sf_dir).withColumn("user_id", F.expr("max_supply div 1000"))
+    rows = as_of(
+        asked, seen, "created_utc", "last_updated", {"tick_id": "tick_id", "price_usd": "price_usd"},
+        by=["user_id"], ties=["tick_id"],
+    )
+    return ntz(rows, "created_utc")
+
+
 def daily_ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = daily.daily_prices(ticks(spark, sf_dir), "last_updated", "price_usd", ["symbol"])
     return rounded(rows, 6, "change_from_kafka")
@@ -216,10 +232,12 @@ QUERIES = {
     "pct_change": pct_change,
     "pct_change_lag": pct_change_lag,
     "pct_change_lag_global": pct_change_lag_global,
+    "pct_change_lag_crowded": pct_change_lag_crowded,
     "avg_price_by_time": avg_price_by_time,
     "posts_by_time": posts_by_time,
     "join_window_inner": join_window_inner,
     "asof_price": asof_price,
+    "asof_price_by_user": asof_price_by_user,
     "daily_ohlc": daily_ohlc,
     "sentiment_weighted": sentiment_weighted,
     "batch_rows": batch_rows,
@@ -312,6 +330,7 @@ FROM lagged""",
 FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k FROM events)""",
     "pct_change_lag": _change_sql("PARTITION BY symbol", "symbol,"),
     "pct_change_lag_global": _change_sql("", ""),
+    "pct_change_lag_crowded": _change_sql("PARTITION BY symbol", "symbol,"),
     "avg_price_by_time": f"""WITH {TICKS_SQL}
 SELECT last_updated, round(avg(price_usd), 6) AS bitcoin_price FROM ticks GROUP BY last_updated""",
     "posts_by_time": f"""WITH {POSTS_SQL}
@@ -334,6 +353,12 @@ FROM lagged""",
 {POSTS_SQL}
 SELECT post_id, created_utc, tick_id, price_usd
 FROM posts ASOF LEFT JOIN ticks ON posts.created_utc >= ticks.last_updated""",
+    "asof_price_by_user": f"""WITH {TICKS_SQL},
+{POSTS_SQL}
+SELECT post_id, created_utc, p.user_id, tick_id, price_usd
+FROM (SELECT post_id, created_utc, CAST(view_count AS BIGINT) AS user_id FROM posts) p
+ASOF LEFT JOIN (SELECT tick_id, price_usd, last_updated, max_supply // 1000 AS user_id FROM ticks) t
+  ON p.user_id = t.user_id AND p.created_utc >= t.last_updated""",
     "daily_ohlc": f"""WITH {TICKS_SQL}
 SELECT *, round((close_price - open_price) / nullif(open_price, 0) * 100, 6) AS change_from_kafka
 FROM (SELECT symbol, CAST(last_updated AS DATE) AS day, arg_min(price_usd, last_updated) AS open_price,

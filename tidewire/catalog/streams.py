@@ -68,9 +68,18 @@ def stream_global_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_posts_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _post_counts(spark, sf_dir, None)
+
+
+def stream_posts_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of the last five minutes, once a minute."""
+    return _post_counts(spark, sf_dir, "1 minute")
+
+
+def _post_counts(spark: SparkSession, sf_dir: str, slide: str | None) -> DataFrame:
     configure(spark)
     folder = run_folder(spark, "posts_5m")
-    counts = speed.post_counts(posts(stream_session(spark), sf_dir))
+    counts = speed.post_counts(posts(stream_session(spark), sf_dir), slide=slide)
     write = serving.log_writer(f"{folder}/log", "window_start")
     run.drain(run.each_batch(counts, "update", write), f"{folder}/checkpoint")
     schema = struct({"window_start": "timestamp", "posts": "long"})
@@ -150,6 +159,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_global_avg": stream_global_avg,
     "stream_posts_5m": stream_posts_5m,
+    "stream_posts_sliding": stream_posts_sliding,
     "stream_change": stream_change,
     "stream_speed_rows": stream_speed_rows,
     "stream_dedup": stream_dedup,
@@ -163,6 +173,10 @@ SQL = {
     "stream_posts_5m": f"""WITH {POSTS_SQL}
 SELECT time_bucket(INTERVAL '5 minutes', created_utc) AS window_start, count(*) AS posts
 FROM posts GROUP BY ALL""",
+    "stream_posts_sliding": f"""WITH {POSTS_SQL}
+SELECT date_trunc('minute', created_utc) - to_minutes(i) AS window_start, count(*) AS posts
+FROM posts, range(5) r(i)
+GROUP BY ALL""",
     "stream_change": f"""WITH {TICKS_SQL},
 rows AS (SELECT symbol, time_bucket(INTERVAL '5 minutes', last_updated) AS window_start,
                 max(last_updated) AS timestamp, arg_max(price_usd, last_updated) AS bitcoin_price

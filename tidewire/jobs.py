@@ -15,7 +15,6 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidewire.functions.forecast import TIME_STEP, Forecaster
 from tidewire.functions.sentiment import Scorer
-from tidewire.operators import messages as M
 from tidewire.plans.daily import daily_row_as_of
 from tidewire.plans.speed import scored_posts
 from tidewire.schemas import BATCH_COLUMNS, POST_TOPIC, TICK_TOPIC, struct

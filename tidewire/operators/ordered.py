@@ -6,8 +6,8 @@ a day, or a second on crowded days: those of a key with more than ``limit``
 rows. What a bucket needs from before its start comes in as one seed row.
 
 Bounds, whatever the skew: instants are distinct within a key and have
-microseconds, so a second holds at most a million rows and any other bucket at
-most ``limit``. Seeds are found on one row per day of a key and, on crowded days,
+microseconds, so a second holds at most a million rows of either side, and any
+other bucket at most ``limit``. Seeds are found on one row per day of a key and, on crowded days,
 one row per second.
 """
 

@@ -23,7 +23,9 @@ _local_folder: dict[str, str] = {}
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    builder = SparkSession.builder.appName(app_name)
+    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **conf}.items():
