@@ -108,6 +108,21 @@ def test_model_scorer_loads_once_per_worker_and_scores_by_label(spark):
     assert got == [pytest.approx((0.03, 0.3, 0.0)), pytest.approx((0.08, 0.8, 0.0))]
 
 
+def test_python_functions_travel_without_the_package(tmp_path):
+    """Workers can load them from a folder where the package cannot be imported."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from tidewire.catalog.social import _load_length_model
+    from tidewire.streaming.speed import PriceChange
+
+    (tmp_path / "dump").write_bytes(cloudpickle.dumps((PriceChange(), _load_length_model)))
+    code = "import pickle; p, f = pickle.load(open('dump', 'rb')); print(type(p).__name__, len(f()(__import__('pandas').Series(['abc']))))"
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert run.stdout.split() == ["PriceChange", "1"], run.stderr
+
+
 def test_constant_scorer(spark):
     assert tuple(one(spark, constant_scorer()(F.lit("x")))) == (0.5, 0.5, 0.5)
 

@@ -123,7 +123,12 @@ def ntz(df: DataFrame, *names: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, digits) for name in names})
+    """Rounded for comparison with the SQL twin, which does the same.
+
+    Exact halves at the last digit are common among shares and ratios, and the
+    order of a sum then decides which way they go. The small shift settles that.
+    """
+    return df.withColumns({name: F.round(F.col(name) + 1e-10, digits) for name in names})
 
 
 # SQL twins.

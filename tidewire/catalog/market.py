@@ -249,10 +249,10 @@ QUERIES = {
 }
 
 SPEED_VIEW_SQL = """SELECT symbol, window_start, timestamp, bitcoin_price, posts_last_5_minutes,
-       round(change_from_kafka, 6) AS change_from_kafka,
-       round(avg_sentiment_bullish, 6) AS avg_sentiment_bullish,
-       round(avg_sentiment_bearish, 6) AS avg_sentiment_bearish,
-       round(avg_sentiment_neutral, 6) AS avg_sentiment_neutral
+       round(change_from_kafka + 1e-10, 6) AS change_from_kafka,
+       round(avg_sentiment_bullish + 1e-10, 6) AS avg_sentiment_bullish,
+       round(avg_sentiment_bearish + 1e-10, 6) AS avg_sentiment_bearish,
+       round(avg_sentiment_neutral + 1e-10, 6) AS avg_sentiment_neutral
 FROM speed"""
 
 
@@ -260,8 +260,8 @@ def _change_sql(partition: str, keys: str) -> str:
     return f"""WITH {TICKS_SQL},
 by_time AS (SELECT {keys} last_updated, avg(price_usd) AS price_usd FROM ticks GROUP BY ALL),
 lagged AS (SELECT *, lag(price_usd) OVER ({partition} ORDER BY last_updated) AS previous_price FROM by_time)
-SELECT {keys} last_updated, round(price_usd, 6) AS price_usd, round(previous_price, 6) AS previous_price,
-       round((price_usd - previous_price) / nullif(previous_price, 0) * 100, 6) AS change_percent
+SELECT {keys} last_updated, round(price_usd + 1e-10, 6) AS price_usd, round(previous_price + 1e-10, 6) AS previous_price,
+       round((price_usd - previous_price) / nullif(previous_price, 0) * 100 + 1e-10, 6) AS change_percent
 FROM lagged"""
 
 
@@ -291,9 +291,9 @@ fitted AS (
 
 def _daily_view(timestamp: str) -> str:
     return f"""SELECT symbol, day, {timestamp} AS timestamp, open_price, close_price, posts_last_day,
-       round((close_price - open_price) / nullif(open_price, 0) * 100, 6) AS change_from_kafka,
-       round(up, 6) AS avg_sentiment_bullish, round(down, 6) AS avg_sentiment_bearish,
-       round(same, 6) AS avg_sentiment_neutral, round(predicted, 6) AS predicted_bitcoin_price,
+       round((close_price - open_price) / nullif(open_price, 0) * 100 + 1e-10, 6) AS change_from_kafka,
+       round(up + 1e-10, 6) AS avg_sentiment_bullish, round(down + 1e-10, 6) AS avg_sentiment_bearish,
+       round(same + 1e-10, 6) AS avg_sentiment_neutral, round(predicted + 1e-10, 6) AS predicted_bitcoin_price,
        hi AS Max_Price, lo AS Min_Price
 FROM fitted"""
 
@@ -323,16 +323,16 @@ rows AS (SELECT symbol, time_bucket(INTERVAL '5 minutes', last_updated) AS w, ma
                 arg_max(price_usd, last_updated) AS bitcoin_price FROM ticks GROUP BY ALL),
 lagged AS (SELECT *, lag(bitcoin_price) OVER (PARTITION BY symbol ORDER BY timestamp) AS p FROM rows)
 SELECT symbol, timestamp, bitcoin_price,
-       round(coalesce((bitcoin_price - p) / nullif(p, 0) * 100, 0), 6) AS change_from_kafka
+       round(coalesce((bitcoin_price - p) / nullif(p, 0) * 100, 0) + 1e-10, 6) AS change_from_kafka
 FROM lagged""",
-    "pct_change": """SELECT event_id, round(coalesce((value - k) / nullif(k, 0) * 100, 0), 6) AS change_or_zero,
-       round((value - k) / nullif(k, 0) * 100, 6) AS change_or_null
+    "pct_change": """SELECT event_id, round(coalesce((value - k) / nullif(k, 0) * 100, 0) + 1e-10, 6) AS change_or_zero,
+       round((value - k) / nullif(k, 0) * 100 + 1e-10, 6) AS change_or_null
 FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k FROM events)""",
     "pct_change_lag": _change_sql("PARTITION BY symbol", "symbol,"),
     "pct_change_lag_global": _change_sql("", ""),
     "pct_change_lag_crowded": _change_sql("PARTITION BY symbol", "symbol,"),
     "avg_price_by_time": f"""WITH {TICKS_SQL}
-SELECT last_updated, round(avg(price_usd), 6) AS bitcoin_price FROM ticks GROUP BY last_updated""",
+SELECT last_updated, round(avg(price_usd) + 1e-10, 6) AS bitcoin_price FROM ticks GROUP BY last_updated""",
     "posts_by_time": f"""WITH {POSTS_SQL}
 SELECT time_bucket(INTERVAL '5 minutes', created_utc) AS window_start, count(selftext) AS number_of_posts,
        count(*) AS all_posts
@@ -346,8 +346,8 @@ grouped AS (
   JOIN (SELECT *, time_bucket(INTERVAL '5 minutes', created_utc) AS w FROM posts) USING (w)
   GROUP BY last_updated),
 lagged AS (SELECT *, lag(bitcoin_price) OVER (ORDER BY last_updated) AS p FROM grouped)
-SELECT last_updated, round(bitcoin_price, 6) AS bitcoin_price, number_of_posts,
-       round((bitcoin_price - p) / nullif(p, 0) * 100, 6) AS change_percent
+SELECT last_updated, round(bitcoin_price + 1e-10, 6) AS bitcoin_price, number_of_posts,
+       round((bitcoin_price - p) / nullif(p, 0) * 100 + 1e-10, 6) AS change_percent
 FROM lagged""",
     "asof_price": f"""WITH {TICKS_SQL},
 {POSTS_SQL}
@@ -360,18 +360,18 @@ FROM (SELECT post_id, created_utc, CAST(view_count AS BIGINT) AS user_id FROM po
 ASOF LEFT JOIN (SELECT tick_id, price_usd, last_updated, max_supply // 1000 AS user_id FROM ticks) t
   ON p.user_id = t.user_id AND p.created_utc >= t.last_updated""",
     "daily_ohlc": f"""WITH {TICKS_SQL}
-SELECT *, round((close_price - open_price) / nullif(open_price, 0) * 100, 6) AS change_from_kafka
+SELECT *, round((close_price - open_price) / nullif(open_price, 0) * 100 + 1e-10, 6) AS change_from_kafka
 FROM (SELECT symbol, CAST(last_updated AS DATE) AS day, arg_min(price_usd, last_updated) AS open_price,
              arg_max(price_usd, last_updated) AS close_price, max(price_usd) AS max_price,
              min(price_usd) AS min_price
       FROM ticks GROUP BY ALL)""",
     "sentiment_weighted": f"""WITH {SPEED_INPUT_SQL}
 SELECT symbol, CAST(timestamp AS DATE) AS day, CAST(sum(posts_last_5_minutes) AS BIGINT) AS posts_last_day,
-       round(sum(avg_sentiment_bullish * posts_last_5_minutes) / nullif(sum(posts_last_5_minutes), 0), 6)
+       round(sum(avg_sentiment_bullish * posts_last_5_minutes) / nullif(sum(posts_last_5_minutes), 0) + 1e-10, 6)
          AS weighted_sentiment_bullish,
-       round(sum(avg_sentiment_bearish * posts_last_5_minutes) / nullif(sum(posts_last_5_minutes), 0), 6)
+       round(sum(avg_sentiment_bearish * posts_last_5_minutes) / nullif(sum(posts_last_5_minutes), 0) + 1e-10, 6)
          AS weighted_sentiment_bearish,
-       round(sum(avg_sentiment_neutral * posts_last_5_minutes) / nullif(sum(posts_last_5_minutes), 0), 6)
+       round(sum(avg_sentiment_neutral * posts_last_5_minutes) / nullif(sum(posts_last_5_minutes), 0) + 1e-10, 6)
          AS weighted_sentiment_neutral
 FROM speed GROUP BY ALL""",
     "batch_rows": f"WITH {SPEED_INPUT_SQL},\n{DAILY_SQL}\n{_daily_view('timestamp')}",
@@ -388,15 +388,15 @@ FROM closes""",
     "minmax_scale": f"""WITH {CLOSES_SQL},
 ranged AS (SELECT *, list_min(c) AS lo, list_max(c) AS hi FROM closes WHERE len(c) = 5),
 spans AS (SELECT *, CASE WHEN hi > lo THEN hi - lo ELSE 1 END AS span FROM ranged)
-SELECT symbol, day, round((c[1] - lo) / span, 6) AS scaled_1, round((c[2] - lo) / span, 6) AS scaled_2,
-       round((c[3] - lo) / span, 6) AS scaled_3, round((c[4] - lo) / span, 6) AS scaled_4,
-       round((c[5] - lo) / span, 6) AS scaled_5, round(c[5], 6) AS restored_5
+SELECT symbol, day, round((c[1] - lo) / span + 1e-10, 6) AS scaled_1, round((c[2] - lo) / span + 1e-10, 6) AS scaled_2,
+       round((c[3] - lo) / span + 1e-10, 6) AS scaled_3, round((c[4] - lo) / span + 1e-10, 6) AS scaled_4,
+       round((c[5] - lo) / span + 1e-10, 6) AS scaled_5, round(c[5] + 1e-10, 6) AS restored_5
 FROM spans""",
     "forecast_model": f"""WITH {CLOSES_SQL}
-SELECT symbol, day, round(CASE WHEN len(c) < 5 THEN 0 ELSE list_avg(c) END, 6) AS predicted_price
+SELECT symbol, day, round(CASE WHEN len(c) < 5 THEN 0 ELSE list_avg(c) END + 1e-10, 6) AS predicted_price
 FROM closes""",
     "forecast_trend": f"""WITH {CLOSES_SQL}
 SELECT symbol, day, round(CASE WHEN len(c) < 5 THEN 0
-         ELSE list_avg(c) + 3 * (-2 * c[1] - c[2] + c[4] + 2 * c[5]) / 10 END, 6) AS predicted_price
+         ELSE list_avg(c) + 3 * (-2 * c[1] - c[2] + c[4] + 2 * c[5]) / 10 END + 1e-10, 6) AS predicted_price
 FROM closes""",
 }

@@ -161,9 +161,9 @@ QUERIES = {
     "zero_shot_embedding": zero_shot_embedding,
 }
 
-_AVERAGES_SQL = """round(coalesce(avg(bullish), 0.5), 6) AS avg_sentiment_bullish,
-       round(coalesce(avg(bearish), 0.5), 6) AS avg_sentiment_bearish,
-       round(coalesce(avg(neutral), 0.5), 6) AS avg_sentiment_neutral"""
+_AVERAGES_SQL = """round(coalesce(avg(bullish), 0.5) + 1e-10, 6) AS avg_sentiment_bullish,
+       round(coalesce(avg(bearish), 0.5) + 1e-10, 6) AS avg_sentiment_bearish,
+       round(coalesce(avg(neutral), 0.5) + 1e-10, 6) AS avg_sentiment_neutral"""
 
 SQL = {
     "recent_posts": f"""WITH {POSTS_SQL}
@@ -184,19 +184,19 @@ SELECT post_id, title, score + 1 AS score, created_utc + INTERVAL 1 MINUTE AS po
     "post_text": f"WITH {POSTS_SQL} SELECT post_id, {POST_TEXT_SQL} AS text FROM posts",
     "sentiment_lexicon": f"""WITH {POSTS_SQL},
 {SCORED_SQL}
-SELECT post_id, round(bullish, 4) AS bullish, round(bearish, 4) AS bearish, round(neutral, 4) AS neutral
+SELECT post_id, round(bullish + 1e-10, 4) AS bullish, round(bearish + 1e-10, 4) AS bearish, round(neutral + 1e-10, 4) AS neutral
 FROM scored""",
     "sentiment_constant": f"""WITH {POSTS_SQL}
 SELECT post_id, CAST(0.5 AS DOUBLE) AS bullish, CAST(0.5 AS DOUBLE) AS bearish, CAST(0.5 AS DOUBLE) AS neutral
 FROM posts""",
     "sentiment_model": f"""WITH {POSTS_SQL}
-SELECT post_id, round(n / (n + 1000), 6) AS bullish, round(1 - n / (n + 1000), 6) AS bearish,
+SELECT post_id, round(n / (n + 1000) + 1e-10, 6) AS bullish, round(1 - n / (n + 1000) + 1e-10, 6) AS bearish,
        CAST(0.5 AS DOUBLE) AS neutral
 FROM (SELECT post_id, CAST(length({POST_TEXT_SQL}) AS DOUBLE) AS n FROM posts)""",
     "map_access": f"""WITH {POSTS_SQL},
 {SCORED_SQL}
-SELECT post_id, round(bullish, 4) AS Sentiment_Score_Bullish, round(bearish, 4) AS Sentiment_Score_Bearish,
-       round(neutral, 4) AS Sentiment_Score_Neutral, CAST(NULL AS DOUBLE) AS missing_key
+SELECT post_id, round(bullish + 1e-10, 4) AS Sentiment_Score_Bullish, round(bearish + 1e-10, 4) AS Sentiment_Score_Bearish,
+       round(neutral + 1e-10, 4) AS Sentiment_Score_Neutral, CAST(NULL AS DOUBLE) AS missing_key
 FROM scored""",
     "sentiment_global_avg": f"""WITH {POSTS_SQL},
 {SCORED_SQL}
@@ -225,7 +225,7 @@ matches AS (
   SELECT vec_id, p.label,
          (list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), p.p) + 1) / 2 AS s
   FROM embeddings e JOIN prototypes p ON p.label IN (0, 1, 2))
-SELECT vec_id, round(max(s) FILTER (label = 0), 4) AS bullish, round(max(s) FILTER (label = 1), 4) AS bearish,
-       round(max(s) FILTER (label = 2), 4) AS neutral
+SELECT vec_id, round(max(s) FILTER (label = 0) + 1e-10, 4) AS bullish, round(max(s) FILTER (label = 1) + 1e-10, 4) AS bearish,
+       round(max(s) FILTER (label = 2) + 1e-10, 4) AS neutral
 FROM matches GROUP BY vec_id""",
 }

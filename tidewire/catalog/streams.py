@@ -183,7 +183,7 @@ rows AS (SELECT symbol, time_bucket(INTERVAL '5 minutes', last_updated) AS windo
          FROM ticks GROUP BY ALL),
 lagged AS (SELECT *, lag(bitcoin_price) OVER (PARTITION BY symbol ORDER BY timestamp) AS p FROM rows)
 SELECT symbol, window_start, timestamp, bitcoin_price,
-       round(coalesce((bitcoin_price - p) / nullif(p, 0) * 100, 0), 6) AS change_from_kafka
+       round(coalesce((bitcoin_price - p) / nullif(p, 0) * 100, 0) + 1e-10, 6) AS change_from_kafka
 FROM lagged
 WHERE window_start + INTERVAL 5 MINUTES
       <= (SELECT date_trunc('millisecond', max(last_updated)) - INTERVAL 10 MINUTES FROM ticks)""",
@@ -196,7 +196,7 @@ SELECT {TICK_ID_SQL} AS id, name, symbol, num_market_pairs, max_supply, infinite
 FROM ticks""",
     "stream_raw_posts": f"""WITH {POSTS_SQL}
 SELECT {POST_ID_SQL} AS id, date_trunc('second', created_utc) AS created_utc, subreddit, selftext, title,
-       subreddit_name_prefixed, round(CAST(score / 100.0 AS DOUBLE), 4) AS upvote_ratio, category, score,
+       subreddit_name_prefixed, round(CAST(score / 100.0 AS DOUBLE) + 1e-10, 4) AS upvote_ratio, category, score,
        created, num_comments, url, view_count, send_replies, CAST(created_utc AS DATE) AS event_day
 FROM posts""",
     "stream_quarantine": f"""WITH {TICKS_SQL}
