@@ -1,7 +1,7 @@
 """The two jobs: the streaming speed layer and the daily batch.
 
-``spark-submit tidewire/jobs.py speed --folder F --format kafka --option kafka.bootstrap.servers=H:P``
-``spark-submit tidewire/jobs.py daily --folder F [--as-of "2024-01-15 23:59:00"]``
+``spark-submit run_job.py speed --folder F --format kafka --option kafka.bootstrap.servers=H:P``
+``spark-submit run_job.py daily --folder F [--as-of "2024-01-15 23:59:00"]``
 """
 
 from __future__ import annotations
@@ -99,7 +99,3 @@ def main(argv: list[str] | None = None) -> None:
     else:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         run_daily(spark, args.folder, args.as_of or now)
-
-
-if __name__ == "__main__":
-    main()

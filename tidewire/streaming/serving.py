@@ -26,18 +26,18 @@ FOLDERS = ("part", "event_day", "batch_id")
 def append_batch(rows: DataFrame, batch_id: int, path: str, at: str) -> None:
     """Write one batch of serving rows; the same batch again replaces itself.
 
-    Rows are gathered by day, so that a batch adds few files. Serving rows are
-    one per key and window; in a batch job AQE still splits a large day.
+    Rows are gathered by day, so that a batch adds few files; serving rows are one
+    per key and window, so a day is small. (Streams run without AQE, which the
+    ``rebalance`` hint would need.)
     """
     stamps = {"event_day": event_day(F.col(at)), "batch_id": F.lit(batch_id).cast("bigint")}
-    _write(rows.withColumns(stamps), path, LOG)
+    _write(rows.withColumns(stamps).repartition("event_day"), path, LOG)
 
 
 def _write(stamped: DataFrame, path: str, part: str) -> None:
     """Replaces only the folders that get rows."""
     (
         stamped.withColumn("part", F.lit(part))
-        .hint("rebalance", "event_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*FOLDERS)
@@ -89,7 +89,8 @@ def rewrite_days(
     news = stored.groupBy("event_day").agg(last[LOG].alias("_log"), last[DAYS].alias("_days"))
     news = news.filter(F.col("_days").isNull() | (F.col("_log") > F.col("_days")))
     rows = _newest(stored, keys).select(*schema.fieldNames(), "event_day")
-    _write(rows.join(news.select("event_day", F.col("_log").alias("batch_id")), "event_day"), path, DAYS)
+    rows = rows.join(news.select("event_day", F.col("_log").alias("batch_id")), "event_day")
+    _write(rows.hint("rebalance", "event_day"), path, DAYS)
 
 
 def append_raw(landed: DataFrame, path: str, fmt: str = "parquet") -> None:
