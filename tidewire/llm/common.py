@@ -25,8 +25,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words_of(text: Column) -> Column:
     """Words of a text, in order; none of a null or blank text."""
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), GAP, " "), " ")
-    return F.array_remove(parts, "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import html_extract, packing, simhash, topk
+from tidewire.llm import html_extract, language_id, packing, quality, simhash, topk, toxicity
 from tidewire.llm.common import table
 from tidewire.session import configure
 
@@ -42,11 +42,29 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("row.doc_id", *[name for name in judged.columns if name != "row"])
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_documents(documents, labels)
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    found = language_id.fit_and_predict(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -55,7 +73,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_main_text": op2_main_text,
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op5_pack": op5_pack,
+    "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
 }
 
