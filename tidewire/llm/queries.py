@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import html_extract, language_id, packing, quality, simhash, topk, toxicity
+from tidewire.llm import (
+    html_extract,
+    language_id,
+    licenses,
+    packing,
+    quality,
+    raking,
+    simhash,
+    sql,
+    topk,
+    toxicity,
+    url_filters,
+)
 from tidewire.llm.common import table
 from tidewire.session import configure
 
@@ -20,23 +32,6 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
-OP1_SQL = """
-WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
-  WHERE q.vec_id % 50 = 0)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
-      FROM scored)
-WHERE rank <= 5
-"""
-
-
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return html_extract.extract(table(spark, sf_dir, "pages"))
@@ -45,7 +40,9 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     judged = quality.judge(table(spark, sf_dir, "documents"))
-    return judged.select("row.doc_id", *[name for name in judged.columns if name != "row"])
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    distances = [F.round(name, 6).alias(name) for name in ("class_distance", "word_distance")]
+    return judged.select("row.doc_id", *names, *distances, "base_failed", "kept")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +67,55 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are the pages, at times that follow from their ids; every rule that may hold
+    for one of them is added to a list, removed and added again on days drawn from its name."""
+    configure(spark)
+    start = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
+    seconds = F.expr("make_dt_interval(0, 0, 0, cast(pmod(page_id * 7919, 2592000) as decimal(18, 6)))")
+    captures = table(spark, sf_dir, "pages").select("page_id", "url", (start + seconds).alias("fetched_at"))
+    rules = captures.select(F.explode(url_filters.keys_of(F.col("url"))).alias("rule")).distinct()
+    drawn = [
+        F.conv(F.substring(F.md5("rule"), at, 4), 16, 10).cast("int").alias(name)
+        for name, at in (("a", 1), ("b", 5), ("c", 9))
+    ]
+    a, b, c = (F.col(name) for name in "abc")
+    days = {"add": [a % 28, a % 28 + 9 + c % 7], "remove": [a % 28 + 1 + b % 7]}
+    log = F.array(
+        *[
+            F.struct(F.lit(action).alias("action"), (start + F.make_dt_interval(day)).alias("dated"))
+            for action, all_days in days.items()
+            for day in all_days
+        ]
+    )
+    kinds = F.array(*[F.lit(name) for name in ("gambling", "malware", "spam", url_filters.ALLOW)])
+    entries = (
+        rules.select("rule", *drawn)
+        .select("rule", kinds[F.col("c") % 4].alias("category"), F.explode(log).alias("entry"))
+        .select("rule", "category", "entry.action", "entry.dated")
+    )
+    found = url_filters.evaluate(captures, entries, "url", "fetched_at")
+    return found.select("row.*", "n_active", "categories", "blocked")
+
+
+def mixing_dims() -> dict[str, Column]:
+    """Source and language as given, and a topic by the form of the text."""
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": raking.form_topic(F.col("text"))}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    mixed = raking.mix(table(spark, sf_dir, "documents"), mixing_dims())
+    share = F.round("share", 5).alias("share")
+    return mixed.select("row.doc_id", "source", "lang", "topic", "n_tokens", share, "kept")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "sentences", "licenses", "n_unknown")
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_main_text": op2_main_text,
@@ -78,6 +124,15 @@ QUERIES = {
     "op5_pack": op5_pack,
     "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
+    "op8_url_filter": op8_url_filter,
+    "op9_mixing": op9_mixing,
+    "op10_licenses": op10_licenses,
 }
 
-SQL = {"op1_top_k": OP1_SQL}
+SQL = {
+    "op1_top_k": sql.TOP_K,
+    "op3_quality": sql.QUALITY,
+    "op8_url_filter": sql.URL_FILTER,
+    "op9_mixing": sql.MIXING,
+    "op10_licenses": sql.LICENSES,
+}

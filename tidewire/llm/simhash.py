@@ -186,18 +186,22 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _classes(marked: DataFrame) -> DataFrame:
+    """(f, root) of every fingerprint in ``marked``; linked ones have one root."""
+    prints = marked.select("f").distinct()
+    roots = components(links(prints))
+    return prints.join(roots, prints["f"] == roots["node"], "left").select(
+        "f", F.coalesce("root", "f").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row for each row of ``docs``."""
     marked = checkpointed(
-        docs.select(
-            F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("f")
-        )
-    )
-    prints = marked.groupBy("f").agg(F.min("doc_id").alias("least"))
-    roots = components(links(prints.select("f")))
-    linked = prints.join(roots, prints["f"] == roots["node"], "left").select(
-        "f", F.coalesce("root", "f").alias("root"), "least"
+        docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("f"))
     )
+    least = marked.groupBy("f").agg(F.min("doc_id").alias("least"))
+    linked = least.join(_classes(marked), "f")
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = linked.join(smallest, "root").select("f", "component_id")
     return marked.join(classes, "f").select(
@@ -205,3 +209,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the one with the smallest id.
+
+    Rows without an id come last; of rows with one id, the one with the smallest digest stays.
+    """
+    given = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)).alias("id"),
+        F.xxhash64(*[F.col(f"`{name}`") for name in docs.columns]).alias("digest"),
+        F.col(text_col).alias("text"),
+    )
+    marked = checkpointed(given.select("id", "digest", fingerprint_column(F.col("text")).alias("f")))
+    alike = marked.groupBy("f", "id", "digest").agg(F.count("*").alias("n"))
+    first = (
+        alike.join(_classes(marked), "f")
+        .groupBy("root")
+        .agg(F.min(F.struct("id", "digest", "n")).alias("first"))
+        .select("first.*")
+    )
+    stay = given.select("row", "id", "digest").join(first, ["id", "digest"])
+    # Few rows have an equal beside them that has to go.
+    again = stay.filter("n > 1").dropDuplicates(["id", "digest"])
+    return stay.filter("n = 1").unionByName(again).select("row.*")
