@@ -31,7 +31,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import GAP, WORD, let, words_of
+from tidewire.llm.common import GAP, WORD, checkpointed, let, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -121,7 +121,8 @@ def references(docs: DataFrame) -> dict[str, tuple[list[float], dict[str, float]
     tokens = known.select("lang", F.explode(plain_words(F.col("text"))).alias("word")).withColumn(
         "bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS))
     )
-    by_bucket = tokens.groupBy("lang", "bucket").agg(F.count("*").alias("n"))
+    # Used three times; BUCKETS rows a language.
+    by_bucket = checkpointed(tokens.groupBy("lang", "bucket").agg(F.count("*").alias("n")))
     totals = by_bucket.groupBy("lang").agg(F.sum("n").alias("words"))
     everything = totals.agg(F.sum("words").alias("w")).first()["w"] or 0
     least = max(REFERENCE_WORDS, LANGUAGE_SHARE * everything)
