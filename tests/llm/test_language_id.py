@@ -1,0 +1,74 @@
+import zlib
+
+import numpy as np
+
+from tidewire.llm import language_id
+
+
+def test_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = language_id.fit_and_predict(docs).select("row.doc_id", "row.lang", "held_out", "lang_pred", "score")
+    rows = got.collect()
+    for row in rows:
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= row["score"] <= 1
+    unseen = [row for row in rows if row["held_out"]]
+    assert sum(row["lang"] == row["lang_pred"] for row in unseen) >= 0.98 * len(unseen)
+
+
+def test_edge_rows(spark, documents):
+    rows = [(i, "der Hund und die Katze im Haus", "de") for i in range(40)]
+    rows += [(100 + i, "the dog and the cat in the house", "en") for i in range(40)]
+    odd = [
+        (900, None, "de"), (901, "", "en"), (902, "12 !? ½", "en"), (903, "the cat", None), (None, "der Hund", "de"),
+        (904, "the " * 50000, None), (905, "日本語", None), (1, rows[1][1], "de"),
+    ]
+    docs = documents(*rows, *odd).withColumnRenamed("source", "lang_pred").withColumnRenamed("n_chars", "score")
+    got = language_id.fit_and_predict(docs).select("row.doc_id", "held_out", "lang_pred", "score").collect()
+    assert len(got) == len(rows) + len(odd)
+    found = {row["doc_id"]: row for row in got}
+    for i in (900, 901, 902):
+        assert (found[i]["lang_pred"], found[i]["score"]) == ("und", 0.0)
+    assert found[903]["lang_pred"] == found[904]["lang_pred"] == "en"
+    assert found[None]["lang_pred"] == "de" and found[None]["held_out"]
+    assert found[905]["lang_pred"] in ("de", "en")
+
+
+def test_held_out_languages_are_not_read(spark, documents):
+    rows = [(i, f"der Hund {i} und die Katze", "de") for i in range(60)]
+    rows += [(100 + i, f"the dog {i} and the cat", "en") for i in range(60)]
+    turned = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 4 == 2 else lang) for i, t, lang in rows]
+    a, b = (
+        sorted(language_id.fit_and_predict(documents(*r)).select("row.doc_id", "lang_pred", "score").collect())
+        for r in (rows, turned)
+    )
+    assert a == b
+
+
+def test_nothing_to_learn_from(documents):
+    docs = documents((1, "some text", None), (2, "more text", None))
+    got = language_id.fit_and_predict(docs).select("lang_pred", "score").collect()
+    assert [tuple(row) for row in got] == [("und", 0.0)] * 2
+    assert language_id.fit_and_predict(docs.limit(0)).count() == 0
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(0)
+    logits = rng.normal(size=(4000, 3))
+    labels = np.array([rng.choice(3, p=p) for p in language_id.softmax(logits)])
+    assert abs(language_id.best_temperature(logits * 4, labels) - 4) < 0.4
+
+
+def test_penalties_leave_weights_sparse():
+    rng = np.random.default_rng(0)
+    rows, labels = [], []
+    for i in range(200):
+        noise = rng.choice(np.arange(100, 5000), 30, replace=False)
+        at = np.sort(np.append(noise, i % 2))
+        x = np.full(len(at), 1 / np.sqrt(len(at)))
+        rows.append((np.append(at, language_id.WIDTH), np.append(x, 1.0)))
+        labels.append(i % 2)
+    weights = language_id.ftrl(rows, np.array(labels), 2)
+    used = np.flatnonzero(np.abs(weights[:-1]).sum(axis=1))
+    assert 0 in used and 1 in used and len(used) < 4000
+    assert weights[0, 0] > 0 > weights[1, 0]
