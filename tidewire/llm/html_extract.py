@@ -226,6 +226,8 @@ class _Reader(HTMLParser):
             self.link_chars += len(_GAP.sub(" ", data).strip())
 
     def finish(self) -> list[Block]:
+        if self.rawdata.startswith("<!--"):
+            self.rawdata = ""  # an open comment reaches to the end
         self.close()
         self._flush()
         return self.blocks

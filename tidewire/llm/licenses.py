@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 LICENCE_WORDS = (
     r"licen[sc]|copyright|copyleft|permission|warrant|redistribut|public domain"
     r"|free software|all rights reserved|creative commons|\bcc by\b|\bcc0\b"
+    r"|to endorse|\bas is\b|be liable"
 )
 # Fixed values. Known sentences, as patterns on the normalised sentence; the first that fits counts.
 SENTENCES = (

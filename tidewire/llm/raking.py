@@ -79,7 +79,8 @@ def _goals(
     if shares is None:
         values = values.withColumn("w", F.pow("there", F.lit(flatness)))
     else:
-        given = cells.sparkSession.createDataFrame(list(shares.items()), f"{dim} string, w double")
+        pairs = [(value, float(share)) for value, share in shares.items()]
+        given = cells.sparkSession.createDataFrame(pairs, f"{dim} string, w double")
         values = values.join(given, dim).filter("w > 0")
     values = checkpointed(values)
     full = -1
