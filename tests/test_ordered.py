@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
-from tidewire.operators.ordered import as_of, lag_by
+from tidewire.operators.ordered import DAY, SECOND, as_of, lag_by
 from tidewire.operators.topn import top_n
 
 START = dt.datetime(2024, 1, 1)
@@ -41,8 +42,8 @@ def test_lag_equals_plain_lag(spark, seed, n, keyed):
     keys = ["k"] if keyed else []
     plain = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("at")
     expected = df.withColumn("p", F.lag("v").over(plain))
-    for limit in (10**6, 20, 0):
-        got = lag_by(df, keys, "at", {"v": "p"}, limit)
+    for span in (SECOND, DAY, 60 * SECOND, 1000):
+        got = lag_by(df, keys, "at", {"v": "p"}, span)
         assert rows_of(got) == rows_of(expected)
 
 
@@ -69,9 +70,9 @@ def brute_as_of(left, right, by):
     return sorted(out)
 
 
-@given(seed=st.integers(0, 10**6), keyed=st.booleans(), limit=st.sampled_from([0, 5, 10**6]))
+@given(seed=st.integers(0, 10**6), keyed=st.booleans(), span=st.sampled_from([SECOND, 60 * SECOND, DAY]))
 @relaxed
-def test_as_of_equals_brute_force(spark, seed, keyed, limit):
+def test_as_of_equals_brute_force(spark, seed, keyed, span):
     rng = random.Random(seed)
     instants = [START + dt.timedelta(minutes=rng.choice([0, 1, 2, 700, 5000, 20000, 20001])) for _ in range(60)]
     right = [(i, rng.choice("ab"), at, rng.random()) for i, at in enumerate(instants[:30])]
@@ -81,14 +82,14 @@ def test_as_of_equals_brute_force(spark, seed, keyed, limit):
     right_df = spark.createDataFrame(right, shape).withColumnRenamed("at", "seen")
     got = as_of(
         left_df.select("id", "k", "at"), right_df, "at", "seen", {"id": "tick", "v": "price"},
-        by=["k"] if keyed else [], ties=["id"], limit=limit,
+        ties=["id"], by=["k"] if keyed else [], span=span,
     )
     expected = brute_as_of(left_df.collect(), spark.createDataFrame(right, shape).collect(), keyed)
     assert sorted((r.id, r.tick, r.price) for r in got.collect()) == expected
 
 
 def test_no_task_gets_a_whole_key(spark):
-    """With no key, only rows counted by day or second meet in a single partition."""
+    """With no key, only rows counted by day meet in a single partition."""
     df = ticks(spark, 50, 1)
     keyed = lag_by(df, ["k"], "at", {"v": "p"})._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in keyed
@@ -98,19 +99,52 @@ def test_no_task_gets_a_whole_key(spark):
     assert single and all("HashAggregate" in part and "_day" in part for part in below)
 
 
-def shuffles_of_rows(df):
+def executed(df):
+    """The plan that ran; the initial plans that stand beside it are left out."""
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    return plan.count("FileScan"), plan.count("ReusedExchange")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"== Initial Plan ==.*?(== Final Plan ==|$)", "", plan, flags=re.S)
 
 
-def test_a_shuffle_before_the_lookup_is_done_once(spark, sf_dir):
-    """The mean price per time is needed three times but read and shuffled once."""
+def test_inputs_are_read_once(spark, sf_dir):
+    """Lookups and what they carry share one shuffle of the rows, and nothing is broadcast by hint."""
     from tidewire.catalog import inputs
     from tidewire.plans.speed import price_changes
 
-    scans, reused = shuffles_of_rows(price_changes(inputs.ticks(spark, sf_dir), ["symbol"]))
-    assert reused >= 1 and scans <= 2  # the second scan is for rows without a time
+    ticks = inputs.ticks(spark, sf_dir)
+    plan = executed(price_changes(ticks, ["symbol"]))
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") >= 1
+    asked = inputs.ticks(spark, sf_dir).select("tick_id", F.col("last_updated").alias("created_utc"))
+    found = as_of(asked, ticks, "created_utc", "last_updated", {"price_usd": "p"}, ["tick_id"])
+    assert "ResolvedHint" not in found._jdf.queryExecution().analyzed().toString()
+    assert executed(found).count("FileScan") == 2  # one for each side
+
+
+def test_hot_second_and_hot_instant(spark):
+    """A third of all rows in one second of one key, a third of all questions at one instant."""
+    from tidewire.operators import ordered
+
+    n = 6000
+    micros = F.when(F.col("id") % 3 == 0, F.col("id") * 100).otherwise(F.col("id") * 7_000_000)
+    facts = spark.range(n, numPartitions=12).select(
+        "id", F.lit("a").alias("k"), F.timestamp_micros(F.lit(1_704_067_200_000_000) + micros).alias("at"), F.rand(1).alias("v")
+    )
+    plain = Window.partitionBy("k").orderBy("at")
+    expected = facts.withColumn("p", F.lag("v").over(plain))
+    assert rows_of(lag_by(facts, ["k"], "at", {"v": "p"})) == rows_of(expected)
+
+    hot = F.when(F.col("id") % 3 == 0, F.lit(1_704_067_200_000_000 + 9)).otherwise(
+        F.lit(1_704_067_200_000_000) + F.col("id") * 5_000_000
+    )
+    asked = spark.range(n, numPartitions=48).select("id", F.lit("a").alias("k"), F.timestamp_micros(hot).alias("at"))
+    got = as_of(asked, facts.withColumnRenamed("id", "fact"), "at", "at", {"fact": "fact"}, ["fact"], by=["k"])
+    assert got.filter("id % 3 = 0").select("fact").distinct().count() == 1
+    assert got.count() == n
+    # The questions of the hot instant are dealt to SPREAD groups; none has a third of all.
+    part = F.pmod(F.spark_partition_id(), F.lit(ordered.SPREAD))
+    groups = asked.groupBy("at", part.alias("part")).count().agg(F.max("count")).first()[0]
+    print(f"largest group of one instant: {groups} of {n} rows")
+    assert groups <= n / 3 / ordered.SPREAD * 1.5
 
 
 @pytest.mark.parametrize("spread", [None, 3])

@@ -96,13 +96,13 @@ def test_speed_log_over_micro_batches_equals_batch(spark, sf_dir, tmp_path):
     stream = stream_of(spark, f"{tmp_path}/in", schema)
     documents = inputs.read(spark, sf_dir, "documents")
     scorer = lexicon_scorer(inputs.DOCUMENT_WORDS)
-    scored = batch_speed.scored_posts(inputs.as_posts(stream, documents), scorer)
+    scored = batch_speed.scored_posts(inputs.as_posts(stream, documents, events), scorer)
     windows = speed.speed_windows(inputs.as_ticks(stream), scored)
     writer = run.each_batch(windows, "update", serving.log_writer(f"{tmp_path}/log", "window_start"))
     run.drain(writer, f"{tmp_path}/checkpoint")
     names = ["symbol", "timestamp", "bitcoin_price", "posts_last_5_minutes"]
     names += [F.round(c, 9) for c in ["change_from_kafka", *speed.AVERAGES]]
-    expected = batch_speed.speed_rows(inputs.as_ticks(events), inputs.as_posts(events, documents), scorer)
+    expected = batch_speed.speed_rows(inputs.as_ticks(events), inputs.as_posts(events, documents, events), scorer)
     batches = spark.read.parquet(f"{tmp_path}/log").select("batch_id").distinct().count()
     assert batches >= 3
     assert rows_of(speed.speed_view(spark, f"{tmp_path}/log").select(*names)) == rows_of(expected.select(*names))

@@ -266,13 +266,14 @@ SELECT post_id, {POST_ID_SQL} AS id, date_trunc('second', created_utc) AS create
        category, score, created, num_comments, url, view_count, send_replies
 FROM posts""",
     "content_id": f"WITH {POSTS_SQL} SELECT post_id, {POST_ID_SQL} AS id FROM posts",
-    "topic_union": """SELECT topic, count(*) AS messages, count(DISTINCT event_id) AS distinct_messages
-FROM (SELECT CASE WHEN event_type = 'click' THEN 'reddit_data' ELSE 'bitcoin_data' END AS topic, event_id
-      FROM events
+    "topic_union": f"""WITH {POSTS_SQL}
+SELECT topic, count(*) AS messages, count(DISTINCT id) AS distinct_messages
+FROM (SELECT 'bitcoin_data' AS topic, event_id AS id FROM events WHERE event_type <> 'click'
+      UNION ALL SELECT 'reddit_data', post_id FROM posts
       UNION ALL SELECT 'audit', event_id FROM events WHERE event_type = 'error')
 GROUP BY topic""",
-    "topic_split": """SELECT event_id AS message_id,
-       CASE WHEN event_type = 'click' THEN 'reddit_data' ELSE 'bitcoin_data' END AS branch
-FROM events
+    "topic_split": f"""WITH {POSTS_SQL}
+SELECT event_id AS message_id, 'bitcoin_data' AS branch FROM events WHERE event_type <> 'click'
+UNION ALL SELECT post_id, 'reddit_data' FROM posts
 UNION ALL SELECT event_id, 'unsupported' FROM events WHERE event_type = 'error'""",
 }

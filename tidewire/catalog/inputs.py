@@ -1,8 +1,8 @@
 """The given tables seen as ticks, posts and messages, in Spark and in SQL.
 
 Ticks are the events other than clicks, the event type being the asset. Posts
-are the clicks with the text of a document; every document can be drawn and its
-whole text is used, as the body or (for posts without one) as the title.
+are the documents, each at the time of an event; the whole text of every document
+is used, as the body or (for posts without one) as the title.
 """
 
 from __future__ import annotations
@@ -21,11 +21,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = dt.datetime(2024, 1, 15, 23, 59)
 AS_OF_SQL = "TIMESTAMP '2024-01-15 23:59:00'"
 # A poll with posts in its five minutes.
-POLL_AT = dt.datetime(2024, 1, 8, 18, 5)
-POLL_AT_SQL = "TIMESTAMP '2024-01-08 18:05:00'"
+POLL_AT = dt.datetime(2024, 1, 15, 4, 10)
+POLL_AT_SQL = "TIMESTAMP '2024-01-15 04:10:00'"
 FORUM_LIST = ["src0", "src1", "src2", "src3", "src4", "src5", "src6", "src7"]
 FORUM_LIST_SQL = ", ".join(f"'{name}'" for name in FORUM_LIST)
 ASSET = "purchase"
+# Documents in a row are so many events apart; a prime, so that they meet different events.
+SPACING = 7919
 
 # Words that occur in the given documents, standing in for market words.
 DOCUMENT_WORDS = {
@@ -66,25 +68,21 @@ def as_ticks(event_rows: DataFrame) -> DataFrame:
     )
 
 
-def as_posts(event_rows: DataFrame, documents: DataFrame) -> DataFrame:
-    doc_count = documents.agg(F.count("*").alias("n")).scalar()
-    event_id, k = F.col("event_id"), props_k()
-    clicks = event_rows.filter(F.col("event_type") == "click").select(
-        "event_id", "ts", "user_id", k.alias("k"), (event_id % doc_count).alias("doc_id")
-    )
+def as_posts(event_rows: DataFrame, documents: DataFrame, all_events: DataFrame) -> DataFrame:
+    """``event_rows`` may be a part of the events, or a stream of them."""
+    event_count = all_events.agg(F.count("*").alias("n")).scalar()
+    doc_id, k = F.col("doc_id"), props_k()
     selftext = (
-        F.when(event_id % 3 == 0, F.lit(None))
-        .when(event_id % 7 == 0, F.lit(""))
-        .otherwise(F.col("text"))
+        F.when(doc_id % 3 == 0, F.lit(None)).when(doc_id % 7 == 0, F.lit("")).otherwise(F.col("text"))
     )
     has_body = F.length(selftext) > 0
-    title = F.when(has_body, F.concat(F.lit("Document "), F.col("doc_id"))).otherwise(F.col("text"))
-    # Spread by the join key before the join: the texts of a large file with one row
-    # group are then not all read by the task that works on them.
-    texts = documents.select("doc_id", "text", "lang", "source").repartition("doc_id")
-    joined = clicks.join(texts, "doc_id")
-    return joined.select(
-        F.col("event_id").alias("post_id"),
+    title = F.when(has_body, F.concat(F.lit("Document "), doc_id)).otherwise(F.col("text"))
+    sent = event_rows.select("event_id", "ts", "user_id", k.alias("k"))
+    texts = documents.select("doc_id", "text", "lang", "source").withColumn(
+        "event_id", doc_id * SPACING % event_count
+    )
+    return sent.join(texts, "event_id").select(
+        doc_id.alias("post_id"),
         F.col("ts").alias("created_utc"),
         F.col("source").alias("subreddit"),
         selftext.alias("selftext"),
@@ -95,7 +93,7 @@ def as_posts(event_rows: DataFrame, documents: DataFrame) -> DataFrame:
         F.col("k").alias("score"),
         F.date_trunc("second", "ts").alias("created"),
         (F.col("user_id") % 100).cast("int").alias("num_comments"),
-        F.concat(F.lit("https://example.org/p/"), "event_id").alias("url"),
+        F.concat(F.lit("https://example.org/p/"), doc_id).alias("url"),
         F.col("user_id").cast("int").alias("view_count"),
         (F.col("user_id") % 2 == 0).alias("send_replies"),
     )
@@ -106,7 +104,8 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_posts(events(spark, sf_dir), read(spark, sf_dir, "documents"))
+    rows = events(spark, sf_dir)
+    return as_posts(rows, read(spark, sf_dir, "documents"), rows)
 
 
 def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,21 +141,20 @@ TICKS_SQL = """ticks AS (
   FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events)
   WHERE event_type <> 'click')"""
 
-POSTS_SQL = """posts AS (
+POSTS_SQL = f"""posts AS (
   SELECT post_id, created_utc, subreddit, selftext,
-         CASE WHEN length(selftext) > 0 THEN 'Document ' || doc_id ELSE text END AS title,
+         CASE WHEN length(selftext) > 0 THEN 'Document ' || post_id ELSE text END AS title,
          'r/' || subreddit AS subreddit_name_prefixed, CAST(k / 100.0 AS FLOAT) AS upvote_ratio,
          category, k AS score, date_trunc('second', created_utc) AS created,
          CAST(user_id % 100 AS INTEGER) AS num_comments,
          'https://example.org/p/' || post_id AS url, CAST(user_id AS INTEGER) AS view_count,
          user_id % 2 = 0 AS send_replies
   FROM (
-    SELECT e.event_id AS post_id, e.ts AS created_utc, d.source AS subreddit, d.text, d.doc_id,
+    SELECT d.doc_id AS post_id, e.ts AS created_utc, d.source AS subreddit, d.text,
            d.lang AS category, e.user_id, CAST(regexp_extract(e.props, '[0-9]+') AS INTEGER) AS k,
-           CASE WHEN e.event_id % 3 = 0 THEN NULL WHEN e.event_id % 7 = 0 THEN '' ELSE d.text END
+           CASE WHEN d.doc_id % 3 = 0 THEN NULL WHEN d.doc_id % 7 = 0 THEN '' ELSE d.text END
              AS selftext
-    FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
-    WHERE e.event_type = 'click'))"""
+    FROM documents d JOIN events e ON e.event_id = d.doc_id * {SPACING} % (SELECT count(*) FROM events)))"""
 
 POST_TEXT_SQL = "CASE WHEN selftext IS NULL THEN title ELSE title || ' : ' || selftext END"
 

@@ -21,7 +21,7 @@ from tidewire.catalog.inputs import (
 from tidewire.functions import scalars as S
 from tidewire.functions.forecast import model_forecaster, trend_forecaster
 from tidewire.functions.sentiment import lexicon_scorer
-from tidewire.operators.ordered import as_of
+from tidewire.operators.ordered import DAY, as_of
 from tidewire.plans import daily, speed
 
 SENTIMENTS = ["avg_sentiment_bullish", "avg_sentiment_bearish", "avg_sentiment_neutral"]
@@ -114,8 +114,8 @@ def pct_change_lag_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pct_change_lag_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with so low a limit that many days count as crowded."""
-    return _changes(speed.price_changes(ticks(spark, sf_dir), ["symbol"], limit=60))
+    """The same with buckets of a day, so that many rows meet in each."""
+    return _changes(speed.price_changes(ticks(spark, sf_dir), ["symbol"], span=DAY))
 
 
 def avg_price_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +143,7 @@ def asof_price(spark: SparkSession, sf_dir: str) -> DataFrame:
         "created_utc",
         "last_updated",
         {"tick_id": "tick_id", "price_usd": "price_usd"},
+        ties=["tick_id"],
     )
     return ntz(rows, "created_utc")
 

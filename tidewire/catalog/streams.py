@@ -41,7 +41,9 @@ def ticks(session: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(session: SparkSession, sf_dir: str) -> DataFrame:
-    return as_posts(events(session, sf_dir), read(session, sf_dir, "documents"))
+    return as_posts(
+        events(session, sf_dir), read(session, sf_dir, "documents"), read(session, sf_dir, "events")
+    )
 
 
 def scored(session: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,19 @@
 """Ordered lookups without one long ordered group: lag and as-of join by time buckets.
 
 A plain ``lag`` over a key sorts all rows of that key in one task, and over no
-key all rows of the table. Here rows meet only within (key, bucket). A bucket is
-a day, or a second on crowded days: those of a key with more than ``limit``
-rows. What a bucket needs from before its start comes in as one seed row.
-
-Bounds, whatever the skew: instants are distinct within a key and have
-microseconds, so a second holds at most a million rows of either side, and any
-other bucket at most ``limit``. Seeds are found on one row per day of a key and, on crowded days,
-one row per second.
+key all rows of the table. Here rows meet only within a slot, that is a key and a
+bucket of time. Buckets have one fixed span for all keys and days. What a slot
+needs from before its start is carried in: from bucket to bucket within a day,
+and from day to day.
+
+Bounds, whatever the input and its skew: instants are distinct within a key and
+have microseconds, so a bucket holds at most ``span`` rows of facts, a million for
+the default second. A day of a key has 86,400 such buckets, and the days of a key
+are bounded by the calendar.
+
+The rows are shuffled once, by slot. Both uses of them, for what a slot leaves
+behind and for the lookup, read all columns, so that Spark takes the same shuffle
+for both.
 """
 
 from __future__ import annotations
@@ -20,26 +25,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY, SECOND = 86_400_000_000, 1_000_000  # microseconds
-LIMIT = 5_000_000
-MOST_CROWDED = 100_000
+# Parts that the questions of one instant are spread over.
+SPREAD = 16
 BEFORE = (Window.unboundedPreceding, -1)
 
 
 def lag_by(
-    df: DataFrame, keys: Sequence[str], at: str, values: dict[str, str], limit: int = LIMIT
+    df: DataFrame, keys: Sequence[str], at: str, values: dict[str, str], span: int = SECOND
 ) -> DataFrame:
     """Values of the row before, per key in order of ``at``.
 
     ``values`` maps a column to the name of its lagged copy. ``at`` must be
     unique within a key; rows without it stay, with NULLs.
     """
-    rows, seeds = _bucketed(df, list(keys), at, F.col(at), list(values), limit)
-    seeded = rows.unionByName(seeds, allowMissingColumns=True)
-    # A seed has no time and comes first.
-    order = Window.partitionBy(*keys, "_bucket").orderBy(F.col(at).asc_nulls_first())
-    lagged = {name: F.lag(column).over(order) for column, name in values.items()}
-    timed = seeded.withColumns(lagged).filter(F.col(at).isNotNull()).select(*df.columns, *lagged)
-    return timed.unionByName(df.filter(F.col(at).isNull()), allowMissingColumns=True)
+    keys, columns = list(keys), list(values)
+    rows = _slotted(df, keys, F.col(at), span)
+    tails = [F.max_by(column, at).alias(column) for column in columns]
+    seeds = _carried(_per_slot(rows, df.columns, tails), keys, columns)
+    order = Window.partitionBy("_slot").orderBy(at)
+    first = F.row_number().over(order) == 1
+    lagged = {
+        name: F.when(F.col(at).isNull(), None)
+        .when(first, F.col(f"_carry.{column}"))
+        .otherwise(F.lag(column).over(order))
+        for column, name in values.items()
+    }
+    return rows.join(seeds, "_slot", "left").select(
+        *df.columns, *[column.alias(name) for name, column in lagged.items()]
+    )
 
 
 def as_of(
@@ -48,20 +61,20 @@ def as_of(
     left_at: str,
     right_at: str,
     values: dict[str, str],
+    ties: Sequence[str],
     by: Sequence[str] = (),
-    ties: Sequence[str] = (),
-    limit: int = LIMIT,
+    span: int = SECOND,
 ) -> DataFrame:
     """Each left row with the values of the newest right row at or before it.
 
     ``values`` maps a right column to its name in the result. Left rows without
-    a match stay, with NULLs. Right rows of one instant are told apart by
-    ``ties``; the greatest wins.
+    a match stay, with NULLs, and so do those with a NULL key or time. Right rows
+    of one instant are told apart by ``ties``, which are not NULL; the greatest wins.
 
-    Only distinct instants of the left side go through the ordered pass, and the
-    left rows then look theirs up by equality. So very many left rows at one
-    instant never meet in a window, and the skew of the lookup join is left to
-    AQE, which splits it, or turns it into a broadcast if the answers are small.
+    The left side is shuffled once, by key, instant and one of ``SPREAD`` parts. Only
+    the distinct ones of these go through the ordered pass, and the left rows take
+    their answers by equality. So very many left rows at one instant never meet in
+    one task.
     """
     keys, names = list(by), list(values.values())
     facts = right.select(
@@ -70,100 +83,107 @@ def as_of(
         *[F.col(column).alias(name) for column, name in values.items()],
         *[F.col(column).alias(f"_tie_{column}") for column in ties],
     ).filter(F.col("_at").isNotNull())
-    if ties:
-        # One right row per (key, instant), so that the ordered pass has no ties left.
+    # One right row per (key, instant). By a single column each value is picked by
+    # itself, which stays in hash aggregation; a struct would not.
+    if len(ties) == 1:
+        facts = facts.groupBy(*keys, "_at").agg(*[F.max_by(n, f"_tie_{ties[0]}").alias(n) for n in names])
+    else:
         age = F.struct(*[F.col(f"_tie_{column}") for column in ties])
         greatest = F.max_by(F.struct(*names), age).alias("_fact")
         facts = facts.groupBy(*keys, "_at").agg(greatest).select(*keys, "_at", "_fact.*")
-    asked = left.select(*keys, F.col(left_at).alias("_at")).filter(F.col("_at").isNotNull())
-    both = facts.withColumn("_is_fact", F.lit(True)).unionByName(
-        asked.distinct(), allowMissingColumns=True
+
+    part = F.when(F.col(left_at).isNull(), F.spark_partition_id() + SPREAD).otherwise(
+        F.pmod(F.spark_partition_id(), F.lit(SPREAD))
     )
-    instant = F.when(F.col("_is_fact"), F.col("_at"))
-    rows, seeds = _bucketed(both, keys, "_at", instant, names, limit)
-    seeded = rows.unionByName(seeds.withColumn("_is_fact", F.lit(True)), allowMissingColumns=True)
-    # Within one instant a fact comes before the question.
-    order = Window.partitionBy(*keys, "_bucket").orderBy(
-        F.col("_at").asc_nulls_first(), F.col("_is_fact").desc_nulls_last()
+    ask = F.struct(*keys, F.col(left_at).alias("_at"), part.alias("_part"))
+    asking = left.withColumn("_ask", ask).repartition("_ask")
+    whole = [F.col(f"_ask.{name}").isNotNull() for name in [*keys, "_at"]]
+    asked = _grouped(asking, "_ask", left.columns, reduce(Column.__and__, whole)).select(
+        *[F.col(f"_ask.{key}").alias(key) for key in keys], F.col("_ask._at").alias("_at"), "_ask"
     )
-    fact = F.when(F.col("_is_fact"), F.struct(*names))
+
+    both = facts.withColumn("_is_fact", F.lit(1)).unionByName(asked, allowMissingColumns=True)
+    rows = _slotted(both, keys, F.col("_at"), span)
+    instant = F.when(F.col("_is_fact") == 1, F.col("_at"))
+    tails = [F.max_by(name, instant).alias(name) for name in names]
+    seeds = _carried(_per_slot(rows, both.columns, tails, F.max("_is_fact")), keys, names)
+    # Within one instant a fact comes before the questions.
+    order = Window.partitionBy("_slot").orderBy("_at", F.col("_is_fact").desc_nulls_last())
+    fact = F.when(F.col("_is_fact") == 1, F.struct(*names))
     newest = F.last(fact, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     answers = (
-        seeded.withColumn("_newest", newest)
-        .filter(F.col("_is_fact").isNull())
-        .select(*keys, F.col("_at").alias(left_at), "_newest.*")
+        rows.join(seeds, "_slot", "left")
+        .withColumn("_newest", F.coalesce(newest, "_carry"))
+        .filter(F.col("_ask").isNotNull())
+        .select("_ask", "_newest.*")
     )
-    return left.join(answers, [*keys, left_at], "left").select(*left.columns, *names)
+    return asking.join(answers, "_ask", "left").select(*left.columns, *names)
 
 
-def _start(at: Column, span: int) -> Column:
+def _slotted(rows: DataFrame, keys: list[str], at: Column, span: int) -> DataFrame:
+    """Rows with their ``_slot``, dealt out by it.
+
+    A struct compares NULL keys as equal. Rows without a time have no bucket, and
+    share their slot with those of the same input partition only.
+    """
     micros = F.unix_micros(at)
-    return micros - F.pmod(micros, F.lit(span))
+    bucket = (micros - F.pmod(micros, F.lit(span))).alias("_bucket")
+    alone = F.when(at.isNull(), F.spark_partition_id()).alias("_alone")
+    return rows.withColumn("_slot", F.struct(*keys, bucket, alone)).repartition("_slot")
+
 
+def _grouped(
+    rows: DataFrame, key: str, columns: Sequence[str], where: Column, *aggregates: Column
+) -> DataFrame:
+    """Groups of the rows that were dealt out by ``key``, those where ``where`` holds.
+
+    The condition is part of an aggregate over all columns. As a filter, or with
+    fewer columns, it would reach below the shuffle, which then could not be the one
+    that the lookup uses.
+    """
+    kept = F.max(F.when(where, F.xxhash64(*columns))).alias("_kept")
+    return rows.groupBy(key).agg(*aggregates, kept).filter("_kept is not null").drop("_kept")
 
-def _bucketed(
-    rows: DataFrame, keys: list[str], at: str, instant: Column, values: list[str], limit: int
-) -> tuple[DataFrame, DataFrame]:
-    """Rows that have a time with their ``_bucket``, and per bucket the newest
-    ``values`` before its start.
 
-    ``instant`` is the time of a row that has something to carry, else NULL.
-    Values are carried field by field: numbers then stay in hash aggregation
-    with map-side combine, which a struct buffer would not.
+def _per_slot(
+    rows: DataFrame, columns: Sequence[str], tails: list[Column], has: Column | None = None
+) -> DataFrame:
+    """Newest values of each slot that has a bucket; ``_has`` is NULL if there are none.
 
-    The rows are used three times. All three uses have the same filter and read
-    the same values, so that a shuffle behind ``rows`` is done once and reused.
+    Values are carried field by field: numbers then stay in hash aggregation, which
+    a struct buffer would not.
     """
-    second = _start(F.col(at), SECOND)
-    timed = rows.withColumn("_day", _start(F.col(at), DAY)).filter(F.col("_day").isNotNull())
-    # Counted over the values for that reason; it is the number of rows.
-    sizes = [F.count_if(F.col(v).isNull()) + F.count_if(F.col(v).isNotNull()) for v in values]
-    size = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
-    tails = [F.max(instant).alias("_newest"), *[F.max_by(v, instant).alias(v) for v in values]]
-    tail = F.when(F.col("_newest").isNotNull(), F.struct(*values))
-    newest_tail = F.last(tail, ignorenulls=True)
-
-    days = timed.groupBy(*keys, "_day").agg(size.alias("_n"), *tails)
-    # Each of them holds more than ``limit`` rows, and only the most crowded are
-    # taken, so their list is safe to broadcast. A day left out by that holds
-    # less than one part in MOST_CROWDED of all rows. The order is total: every
-    # use of the list must see the same days.
-    crowded = (
-        days.filter(F.col("_n") > limit)
-        .orderBy(F.col("_n").desc(), *keys, "_day")
-        .limit(MOST_CROWDED)
-        .select(
-            *[F.col(key).alias(f"_crowded_{key}") for key in keys],
-            F.col("_day").alias("_crowded_day"),
-        )
+    has = F.max(F.lit(1)) if has is None else has
+    timed = F.col("_slot._bucket").isNotNull()
+    return _grouped(rows, "_slot", columns, timed, *tails, has.alias("_has"))
+
+
+def _carried(slots: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """(_slot, _carry): the newest values of the key before each slot, where there are any."""
+    bucket = F.col("_bucket")
+    slots = slots.select(
+        "_slot",
+        *[F.col(f"_slot.{key}").alias(f"_key_{key}") for key in keys],
+        F.col("_slot._bucket").alias("_bucket"),
+        *values,
+        "_has",
+    ).withColumn("_day", bucket - F.pmod(bucket, F.lit(DAY)))
+    names = [f"_key_{key}" for key in keys]
+    has_at = F.when(F.col("_has") == 1, bucket)
+    days = slots.groupBy(*names, "_day").agg(
+        F.max(has_at).alias("_newest"), *[F.max_by(value, has_at).alias(value) for value in values]
     )
 
-    def with_crowded(df: DataFrame, how: str) -> DataFrame:
-        same = [F.col(key).eqNullSafe(F.col(f"_crowded_{key}")) for key in keys]
-        same.append(F.col("_day") == F.col("_crowded_day"))
-        return df.join(F.broadcast(crowded), reduce(Column.__and__, same), how)
+    def newest(there: Column, window) -> Column:
+        return F.last(F.when(there, F.struct(*values)), ignorenulls=True).over(window.rowsBetween(*BEFORE))
 
-    by_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_day").rowsBetween(*BEFORE)
-    day_carry = with_crowded(
-        days.select(*keys, "_day", newest_tail.over(by_key).alias("_carry")), "left"
-    )
-    is_crowded = F.col("_crowded_day").isNotNull()
-    long_seeds = day_carry.filter(~is_crowded).select(*keys, F.col("_day").alias("_bucket"), "_carry")
-
-    seconds = with_crowded(timed, "inner").groupBy(*keys, "_day", second.alias("_bucket")).agg(*tails)
-    seconds = seconds.select(*keys, "_day", "_bucket", tail.alias("_tail"))
-    into_day = day_carry.filter(is_crowded).select(*keys, "_day", F.col("_carry").alias("_tail"))
-    by_day = Window.partitionBy(*keys, "_day").orderBy(F.col("_bucket").asc_nulls_first())
-    carried = F.last("_tail", ignorenulls=True).over(by_day.rowsBetween(*BEFORE))
-    short_seeds = (
-        seconds.unionByName(into_day, allowMissingColumns=True)
-        .select(*keys, "_bucket", carried.alias("_carry"))
-        .filter(F.col("_bucket").isNotNull())
+    by_key = Window.partitionBy(*(names or [F.lit(0)])).orderBy("_day")
+    into_day = days.select(
+        F.struct(*names, "_day").alias("_of"), newest(F.col("_newest").isNotNull(), by_key).alias("_into")
     )
-
-    bucket = F.when(is_crowded, second).otherwise(F.col("_day")).alias("_bucket")
-    seeds = long_seeds.unionByName(short_seeds).filter(F.col("_carry").isNotNull())
-    return (
-        with_crowded(timed, "left").select(*rows.columns, bucket),
-        seeds.select(*keys, "_bucket", "_carry.*"),
+    by_day = Window.partitionBy(*names, "_day").orderBy("_bucket")
+    within = slots.select(
+        "_slot", F.struct(*names, "_day").alias("_of"), newest(F.col("_has") == 1, by_day).alias("_within")
     )
+    carry = F.coalesce("_within", "_into").alias("_carry")
+    return within.join(into_day, "_of").select("_slot", carry).filter(F.col("_carry").isNotNull())

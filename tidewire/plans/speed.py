@@ -13,7 +13,7 @@ from tidewire.functions.sentiment import (
     lexicon_scorer,
     mean_scores,
 )
-from tidewire.operators.ordered import LIMIT, lag_by
+from tidewire.operators.ordered import SECOND, lag_by
 
 WINDOW_MINUTES = 5
 
@@ -99,8 +99,8 @@ def draft_rows(ticks: DataFrame, posts: DataFrame, minutes: int = WINDOW_MINUTES
     ).drop("_previous_price")
 
 
-def price_changes(ticks: DataFrame, keys: list[str], limit: int = LIMIT) -> DataFrame:
+def price_changes(ticks: DataFrame, keys: list[str], span: int = SECOND) -> DataFrame:
     """Mean price per time and its percent change from the time before; NULL for the first."""
     by_time = ticks.groupBy(*keys, "last_updated").agg(F.avg("price_usd").alias("price_usd"))
-    lagged = lag_by(by_time, keys, "last_updated", {"price_usd": "previous_price"}, limit)
+    lagged = lag_by(by_time, keys, "last_updated", {"price_usd": "previous_price"}, span)
     return lagged.withColumn("change_percent", pct_change(F.col("price_usd"), F.col("previous_price")))
