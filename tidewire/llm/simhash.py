@@ -224,11 +224,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     marked = checkpointed(given.select("id", "digest", fingerprint_column(F.col("text")).alias("f")))
     alike = marked.groupBy("f", "id", "digest").agg(F.count("*").alias("n"))
+    # One row for each fingerprint before the join, however many copies have it.
+    first = alike.groupBy("f").agg(F.min(F.struct("id", "digest", "n")).alias("first"))
     first = (
-        alike.join(_classes(marked), "f")
-        .groupBy("root")
-        .agg(F.min(F.struct("id", "digest", "n")).alias("first"))
-        .select("first.*")
+        first.join(_classes(marked), "f").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     )
     stay = given.select("row", "id", "digest").join(first, ["id", "digest"])
     # Few rows have an equal beside them that has to go.
