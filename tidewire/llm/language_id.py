@@ -39,22 +39,21 @@ UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def n_gram_counts(text: str | None) -> np.ndarray | None:
-    """Counts of hashed n-grams of the letters; None if there is no letter."""
+def n_grams(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+    """Hashed n-grams of the letters and their dampened counts; None if there is no letter."""
     letters = " ".join(_LETTERS.findall((text or "").lower()))
     if not any(map(str.isalpha, letters)):
         return None
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le", "replace"), np.uint32)
-    counts = np.zeros(WIDTH)
+    keys = []
     for order in ORDERS:
-        if len(codes) < order:
-            break
-        key = np.full(len(codes) - order + 1, order, np.uint32)
+        key = np.full(max(0, len(codes) - order + 1), order, np.uint32)
         for k in range(order):
-            key = (key * np.uint32(0x01000193)) ^ codes[k : len(codes) - order + 1 + k]
-        key = (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-        counts += np.bincount(key, minlength=WIDTH)
-    return counts
+            key = (key * np.uint32(0x01000193)) ^ codes[k : len(key) + k]
+        keys.append((key * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS))
+    counts = np.bincount(np.concatenate(keys), minlength=WIDTH)
+    at = np.flatnonzero(counts)
+    return at, np.log1p(counts[at])
 
 
 @dataclass
@@ -70,12 +69,12 @@ class Model:
         return self.languages, self.weights, self.squares, self.bias, self.temperature
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        counts = n_gram_counts(text) if self.languages else None
-        if counts is None:
+        found = n_grams(text) if self.languages else None
+        if found is None:
             return UNKNOWN, 0.0
-        tf = np.log1p(counts)
-        length = np.sqrt((tf * tf) @ self.squares) or 1.0
-        shares = softmax(((tf @ self.weights) / length + self.bias) / self.temperature)
+        at, tf = found
+        length = np.sqrt((tf * tf) @ self.squares[at])
+        shares = softmax(((tf @ self.weights[at]) / length + self.bias) / self.temperature)
         best = int(np.argmax(shares))
         return self.languages[best], float(shares[best])
 
@@ -133,9 +132,9 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found = np.zeros(WIDTH, np.int64)
     for batch in batches:
         for text in batch.column(0):
-            counts = n_gram_counts(text.as_py())
-            if counts is not None:
-                found += counts > 0
+            grams = n_grams(text.as_py())
+            if grams is not None:
+                found[grams[0]] += 1
     at = np.flatnonzero(found)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["gram", "docs"])
 
@@ -144,11 +143,10 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         grams, values, langs = [], [], []
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            counts = n_gram_counts(text.as_py())
-            if counts is not None:
-                at = np.flatnonzero(counts)
-                grams.append(at.astype(np.int32).tobytes())
-                values.append(np.log1p(counts[at]).astype(np.float32).tobytes())
+            found = n_grams(text.as_py())
+            if found is not None:
+                grams.append(found[0].astype(np.int32).tobytes())
+                values.append(found[1].astype(np.float32).tobytes())
                 langs.append(lang)
         columns = [pa.array(langs, pa.string()), pa.array(grams, pa.binary()), pa.array(values, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "grams", "tf"])
@@ -205,7 +203,8 @@ def predict_column(spark, model: Model, text: Column) -> Column:
         for batch in texts:
             yield pd.DataFrame([own.predict(text) for text in batch], columns=["lang_pred", "score"])
 
-    return F.pandas_udf(predict, "lang_pred string, score double")(text)
+    # Otherwise a filter on the result would have Spark predict twice.
+    return F.pandas_udf(predict, "lang_pred string, score double").asNondeterministic()(text)
 
 
 def held_out(id_col: Column) -> Column:
