@@ -39,8 +39,8 @@ def test_change_is_carried_over_micro_batches_and_restarts(spark, tmp_path):
     prices = [100.0, 110.0, 0.0, 55.0, 66.0]
 
     def drain():
-        rows = speed.changes(speed.closed_windows(stream_of(spark, source)))
-        writer = run.each_batch(rows, "append", serving.log_writer(log, "window_start"))
+        rows = speed.price_windows(stream_of(spark, source))
+        writer = run.each_batch(rows, "update", serving.log_writer(log, "window_start"))
         run.drain(writer, f"{tmp_path}/checkpoint", timeout=120)
 
     for i, price in enumerate(prices[:3]):
@@ -48,9 +48,8 @@ def test_change_is_carried_over_micro_batches_and_restarts(spark, tmp_path):
     drain()
     for i, price in enumerate(prices[3:], start=3):
         land(spark, source, [("A", at(i * 5, 30), price)])
-    land(spark, source, [("C", at(600), 1.0)])  # moves the watermark
-    drain()
-    rows = serving.latest(spark, log, speed.CHANGE_SCHEMA, ["symbol", "window_start"])
+    drain()  # the last windows are still open
+    rows = speed.change_view(spark, log)
     got = sorted((r.symbol, r.window_start, round(r.change_from_kafka, 6)) for r in rows.collect())
     expected = [("A", at(5 * i), c) for i, c in enumerate([0.0, 10.0, -100.0, 0.0, 20.0])]
     assert got == expected + [("B", at(5 * i), 0.0) for i in range(3)]
@@ -62,7 +61,7 @@ def test_late_rows_are_dropped_on_the_stream_only(spark, tmp_path):
     land(spark, source, [("A", at(60), 2.0)])
     land(spark, source, [("A", at(70), 4.0)])
     land(spark, source, [("A", at(1), 3.0)])
-    windows = speed.closed_windows(stream_of(spark, source))
+    windows = speed.price_windows(stream_of(spark, source))
     run.drain(run.each_batch(windows, "update", serving.log_writer(f"{tmp_path}/log", "window_start")), f"{tmp_path}/c")
     schema = struct({"symbol": "string", "window_start": "timestamp", "timestamp": "timestamp", "bitcoin_price": "double"})
     rows = serving.latest(spark, f"{tmp_path}/log", schema, ["symbol", "window_start"])
@@ -165,12 +164,44 @@ def test_rewritten_days(spark, tmp_path):
 
 
 def test_reading_a_log_leaves_its_schema_alone(spark, tmp_path):
-    before = speed.CHANGE_SCHEMA.fieldNames()
-    row = [("A", at(0), at(0), 1.0, 0.0)]
-    serving.append_batch(spark.createDataFrame(row, speed.CHANGE_SCHEMA), 0, f"{tmp_path}/log", "window_start")
+    before = speed.PRICE_SCHEMA.fieldNames()
+    row = [("A", at(0), at(0), 1.0)]
+    serving.append_batch(spark.createDataFrame(row, speed.PRICE_SCHEMA), 0, f"{tmp_path}/log", "window_start")
+    for _ in range(2):
+        assert serving.latest(spark, f"{tmp_path}/log", speed.PRICE_SCHEMA, ["symbol"]).columns == before
+    assert speed.PRICE_SCHEMA.fieldNames() == before
+
+
+def test_a_new_checkpoint_over_an_old_log(spark, tmp_path):
+    """Batches of a later run win, although they count from 0 again."""
+    log, schema = f"{tmp_path}/log", struct({"k": "string", "at": "timestamp", "v": "integer"})
+    old, new = (serving.run_number(spark, f"{tmp_path}/checkpoint{i}") for i in (1, 2))
+    assert old < new and serving.run_number(spark, f"{tmp_path}/checkpoint1") == old
+    for run_id, batch_id, value in [(old, 7, 1), (new, 0, 2)]:
+        rows = spark.createDataFrame([("a", at(0), value)], schema)
+        serving.append_batch(rows, batch_id, log, "at", run_id)
+    over = F.col("event_day") == F.lit(at(0).date())
     for _ in range(2):
-        assert serving.latest(spark, f"{tmp_path}/log", speed.CHANGE_SCHEMA, ["symbol"]).columns == before
-    assert speed.CHANGE_SCHEMA.fieldNames() == before
+        assert [r.v for r in serving.latest(spark, log, schema, ["k"]).collect()] == [2]
+        serving.rewrite_days(spark, log, schema, ["k"], over)
+
+
+def test_a_day_is_written_by_several_tasks(spark, tmp_path):
+    schema = struct({"k": "string", "at": "timestamp"})
+    rows = spark.createDataFrame([(str(i), at(i % 60)) for i in range(200)], schema)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as in a stream
+    serving.append_batch(rows, 0, f"{tmp_path}/log", "at", files=3)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = spark.read.parquet(f"{tmp_path}/log").select(F.input_file_name()).distinct().count()
+    assert 2 <= files <= 3
+
+
+def test_log_is_read_once(spark, tmp_path):
+    shape = speed.WINDOW_SCHEMA
+    rows = spark.createDataFrame([], shape)
+    serving.append_batch(rows, 0, f"{tmp_path}/log", "window_start")
+    plan = speed.speed_view(spark, f"{tmp_path}/log")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
 
 
 def messages(spark, sf_dir):
@@ -187,7 +218,9 @@ def test_jobs_end_to_end(spark, tmp_path):
     for _ in range(3):
         topics.write_topic(messages(spark, sf_dir), fmt="parquet", path=f"{tmp_path}/feed")
     for _ in range(2):  # the second run finds nothing new
-        jobs.run_speed(spark, folder, "parquet", available_now=True, spread=2, path=f"{tmp_path}/feed")
+        jobs.run_speed(
+            spark, folder, "parquet", available_now=True, spread=2, state_partitions=4, path=f"{tmp_path}/feed"
+        )
     ticks = tables.read_topic_table(spark, f"{folder}/{TICK_TOPIC}", TICK_TOPIC)
     posts = tables.read_topic_table(spark, f"{folder}/{POST_TOPIC}", POST_TOPIC)
     sent = inputs.ticks(spark, sf_dir).count()
@@ -198,12 +231,21 @@ def test_jobs_end_to_end(spark, tmp_path):
     names = ["symbol", "timestamp", "bitcoin_price", "posts_last_5_minutes", F.round("avg_sentiment_bullish", 9)]
     assert rows_of(speed.speed_view(spark, f"{folder}/speed_log").select(*names)) == rows_of(once.select(*names))
 
+    before = inputs.AS_OF.date() - dt.timedelta(days=1)
+    names = ["symbol", "open_price", "close_price", "posts_last_day", F.round("predicted_bitcoin_price", 6), "Max_Price", "Min_Price"]
     for _ in range(2):
         stored = jobs.run_daily(spark, folder, inputs.AS_OF)
-    expected = daily.daily_row_as_of(once, inputs.AS_OF)
-    names = ["symbol", "timestamp", "open_price", "close_price", "posts_last_day", F.round("predicted_bitcoin_price", 6), "Max_Price", "Min_Price"]
-    got = stored.select(*names).withColumn("posts_last_day", F.col("posts_last_day").cast("bigint"))
-    assert rows_of(got) == rows_of(expected.select(*names)) and got.count() > 0
+        jobs.run_upkeep(spark, folder, inputs.AS_OF)
+        today = stored.filter(F.col("event_day") == F.lit(inputs.AS_OF.date()))
+        expected = daily.daily_row_as_of(once, inputs.AS_OF)
+        assert rows_of(today.select("timestamp", *names)) == rows_of(expected.select("timestamp", *names))
+        assert today.count() > 0
+        over = stored.filter(F.col("event_day") == F.lit(before))
+        whole = daily.daily_rows(once).filter(F.col("day") == F.lit(before))
+        assert rows_of(over.select(*names)) == rows_of(whole.select(*names)) and over.count() > 0
+    closed = tables.read_topic_table(spark, f"{folder}/{TICK_TOPIC}", TICK_TOPIC, closed_before=inputs.AS_OF.date())
+    two_days = F.col("event_day") >= F.lit(before)
+    assert rows_of(closed.filter(two_days).select("id")) == rows_of(ticks.filter(two_days).select("id"))
 
 
 def test_interval_trigger_keeps_running(spark, tmp_path):
@@ -262,7 +304,12 @@ def test_command_line(spark, tmp_path, sf_dir):
         {"kind": F.lit("tick"), "posts_last_5_minutes": F.lit(1), **{c: F.lit(None).cast("double") for c in speed.AVERAGES}}
     )
     serving.append_batch(windows, 0, f"{tmp_path}/speed_log", "window_start")
+    sent = [inputs.tick_messages(spark, sf_dir), inputs.post_messages(spark, sf_dir)]
+    for topic, rows in zip(jobs.TOPICS, sent):
+        serving.append_raw(M.landed(rows, topic), f"{tmp_path}/{topic}")
     jobs.main(["daily", "--folder", str(tmp_path), "--as-of", "2024-01-15 23:59:00"])
-    assert spark.read.parquet(f"{tmp_path}/batch_log").count() == 4
+    stored = spark.read.parquet(f"{tmp_path}/batch_layer").groupBy("event_day").count().collect()
+    assert sorted((str(r.event_day), r["count"]) for r in stored) == [("2024-01-14", 4), ("2024-01-15", 4)]
+    jobs.main(["upkeep", "--folder", str(tmp_path), "--as-of", "2024-01-15 23:59:00"])
     days = spark.read.parquet(f"{tmp_path}/speed_log").filter("part = 'days'").select("event_day").distinct()
-    assert [str(r.event_day) for r in days.collect()] == ["2024-01-14"]
+    assert sorted(str(r.event_day) for r in days.collect()) == ["2024-01-13", "2024-01-14"]

@@ -62,14 +62,14 @@ def epoch_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = ticks(spark, sf_dir).groupBy("symbol").agg(
         F.max("last_updated").alias("last_updated"),
-        F.max_by("price_usd", "last_updated").alias("price_usd"),
+        speed.newest("price_usd", "last_updated").alias("price_usd"),
     )
     return ntz(newest, "last_updated")
 
 
 def latest_speed_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = speed_input(spark, sf_dir).orderBy(F.col("timestamp").desc(), "symbol").limit(1)
-    return speed_view(rows)
+    scorer = lexicon_scorer(DOCUMENT_WORDS)
+    return speed_view(speed.latest_speed_row(ticks(spark, sf_dir), posts(spark, sf_dir), scorer))
 
 
 def speed_view(rows: DataFrame) -> DataFrame:
@@ -269,8 +269,9 @@ FROM lagged"""
 CLOSES_SQL = f"""{TICKS_SQL},
 days AS (SELECT symbol, CAST(last_updated AS DATE) AS day, arg_max(price_usd, last_updated) AS close_price
          FROM ticks GROUP BY ALL),
-closes AS (SELECT symbol, day, list(close_price) OVER (PARTITION BY symbol ORDER BY day
-             ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c FROM days)"""
+closes AS (SELECT symbol, day, list(close_price) FILTER (close_price IS NOT NULL) OVER (
+             PARTITION BY symbol ORDER BY day RANGE BETWEEN INTERVAL 4 DAYS PRECEDING AND CURRENT ROW) AS c
+           FROM days)"""
 
 DAILY_SQL = """daily AS (
   SELECT symbol, CAST(timestamp AS DATE) AS day, max(timestamp) AS timestamp,
@@ -280,22 +281,22 @@ DAILY_SQL = """daily AS (
          avg(avg_sentiment_bullish) AS up, avg(avg_sentiment_bearish) AS down,
          avg(avg_sentiment_neutral) AS same, max(bitcoin_price) AS hi, min(bitcoin_price) AS lo
   FROM speed GROUP BY ALL),
-numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY day) AS i FROM daily),
+numbered AS (SELECT *, day - DATE '2024-01-01' AS i FROM daily),
 fitted AS (
-  SELECT *, CASE WHEN count(*) OVER w = 5
+  SELECT *, CASE WHEN count(close_price) OVER w = 5
               THEN regr_intercept(close_price, i) OVER w + regr_slope(close_price, i) OVER w * (i + 1)
               ELSE 0 END AS predicted
   FROM numbered
-  WINDOW w AS (PARTITION BY symbol ORDER BY day ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))"""
+  WINDOW w AS (PARTITION BY symbol ORDER BY i RANGE BETWEEN 4 PRECEDING AND CURRENT ROW))"""
 
 
-def _daily_view(timestamp: str) -> str:
-    return f"""SELECT symbol, day, {timestamp} AS timestamp, open_price, close_price, posts_last_day,
+def daily_sql_view(timestamp: str) -> str:
+    return f"""SELECT symbol, day, {timestamp} AS timestamp, coalesce(open_price, 0) AS open_price,
+       coalesce(close_price, 0) AS close_price, posts_last_day,
        round((close_price - open_price) / nullif(open_price, 0) * 100 + 1e-10, 6) AS change_from_kafka,
        round(up + 1e-10, 6) AS avg_sentiment_bullish, round(down + 1e-10, 6) AS avg_sentiment_bearish,
        round(same + 1e-10, 6) AS avg_sentiment_neutral, round(predicted + 1e-10, 6) AS predicted_bitcoin_price,
-       hi AS Max_Price, lo AS Min_Price
+       coalesce(hi, 0) AS Max_Price, coalesce(lo, 0) AS Min_Price
 FROM fitted"""
 
 
@@ -375,13 +376,13 @@ SELECT symbol, CAST(timestamp AS DATE) AS day, CAST(sum(posts_last_5_minutes) AS
        round(sum(avg_sentiment_neutral * posts_last_5_minutes) / nullif(sum(posts_last_5_minutes), 0) + 1e-10, 6)
          AS weighted_sentiment_neutral
 FROM speed GROUP BY ALL""",
-    "batch_rows": f"WITH {SPEED_INPUT_SQL},\n{DAILY_SQL}\n{_daily_view('timestamp')}",
+    "batch_rows": f"WITH {SPEED_INPUT_SQL},\n{DAILY_SQL}\n{daily_sql_view('timestamp')}",
     "batch_row_as_of": f"""WITH {SPEED_INPUT_SQL.replace('speed AS (', 'all_speed AS (')},
 speed AS (SELECT * FROM all_speed
-          WHERE timestamp >= CAST(date_trunc('day', {AS_OF_SQL}) AS TIMESTAMP) - INTERVAL 5 DAYS
+          WHERE timestamp >= CAST(date_trunc('day', {AS_OF_SQL}) AS TIMESTAMP) - INTERVAL 4 DAYS
             AND timestamp < {AS_OF_SQL}),
 {DAILY_SQL}
-{_daily_view(AS_OF_SQL)} WHERE day = CAST({AS_OF_SQL} AS DATE)""",
+{daily_sql_view(AS_OF_SQL)} WHERE day = CAST({AS_OF_SQL} AS DATE)""",
     "last5_closes": f"""WITH {CLOSES_SQL}
 SELECT symbol, day, CAST(len(c) AS INTEGER) AS n_closes, c[1] AS close_1, c[2] AS close_2, c[3] AS close_3,
        c[4] AS close_4, c[5] AS close_5

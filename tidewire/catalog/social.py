@@ -63,14 +63,13 @@ def newest30_per_forum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every post polled twice, the second time with a higher score."""
+    """Every post polled twice, the second time by two producers at once that saw other scores."""
     rows = posts(spark, sf_dir)
     rows = rows.select("post_id", M.natural_id(POST_TOPIC).alias("id"), "created_utc", "score", "title")
     first = rows.withColumn("polled_at", F.col("created_utc"))
-    again = rows.withColumn("score", F.col("score") + 1).withColumn(
-        "polled_at", F.col("created_utc") + F.expr("INTERVAL 1 MINUTE")
-    )
-    kept = P.drop_repeats(first.unionByName(again), F.col("polled_at"))
+    later = rows.withColumn("polled_at", F.col("created_utc") + F.expr("INTERVAL 1 MINUTE"))
+    again = later.withColumn("score", F.explode(F.array(F.col("score") - 1, F.col("score") + 1)))
+    kept = P.drop_repeats(first.unionByName(again), F.col("polled_at"), [F.col("score").desc()])
     return ntz(kept.select("post_id", "title", "score", "polled_at"), "polled_at")
 
 

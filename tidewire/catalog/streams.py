@@ -2,32 +2,44 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire import jobs
 from tidewire.catalog.inputs import (
     DOCUMENT_WORDS,
     POSTS_SQL,
     SCORED_SQL,
     SPEED_INPUT_SQL,
+    SPEED_SQL,
     TICKS_SQL,
     as_posts,
     as_ticks,
     ntz,
+    posts as batch_posts,
     read,
     rounded,
+    ticks as batch_ticks,
 )
 from tidewire.catalog.ingest import POST_ID_SQL, TICK_ID_SQL
-from tidewire.catalog.market import SPEED_VIEW_SQL, speed_view as market_view
+from tidewire.catalog.market import DAILY_SQL, SPEED_VIEW_SQL, daily_sql_view, speed_view as market_view
 from tidewire.catalog.social import _AVERAGES_SQL, AVERAGES
 from tidewire.functions.sentiment import lexicon_scorer
 from tidewire.operators import messages as M
+from tidewire.plans import daily, speed as batch_speed
 from tidewire.plans.speed import scored_posts
-from tidewire.schemas import POST_TOPIC, TICK_TOPIC, struct
+from tidewire.schemas import POST_TOPIC, TICK_TOPIC, create_tables, refresh_tables, struct, table_schemas
 from tidewire.session import configure, run_folder, stream_session
+from tidewire.sources import topics
 from tidewire.sources.tables import read_quarantine, read_topic_table
 from tidewire.streaming import ingest, run, serving, speed
 
+# State partitions of the queries' streams, which are small.
+STATE_PARTITIONS = 8
+JOBS_AS_OF = dt.datetime(2024, 1, 25, 12, 0)
+
 
 def events(session: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream."""
@@ -50,17 +62,19 @@ def scored(session: SparkSession, sf_dir: str) -> DataFrame:
     return scored_posts(posts(session, sf_dir), lexicon_scorer(DOCUMENT_WORDS))
 
 
-def feed(session: SparkSession, sf_dir: str) -> DataFrame:
-    """Both topics on one stream of messages."""
-    return M.union_topics(
-        M.tick_message(ticks(session, sf_dir)), M.post_message(posts(session, sf_dir))
-    )
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of both topics, as the producers send them."""
+    return M.union_topics(M.tick_message(batch_ticks(spark, sf_dir)), M.post_message(batch_posts(spark, sf_dir)))
+
+
+def session_for(spark: SparkSession) -> SparkSession:
+    return stream_session(spark, STATE_PARTITIONS)
 
 
 def stream_global_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     folder = run_folder(spark, "global_avg")
-    session = stream_session(spark)
+    session = session_for(spark)
     means = speed.running_means(scored(session, sf_dir)).withColumn("scope_day", F.lit("1970-01-01").cast("date"))
     write = serving.log_writer(f"{folder}/log", "scope_day")
     run.drain(run.each_batch(means, "update", write), f"{folder}/checkpoint")
@@ -81,7 +95,7 @@ def stream_posts_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _post_counts(spark: SparkSession, sf_dir: str, slide: str | None) -> DataFrame:
     configure(spark)
     folder = run_folder(spark, "posts_5m")
-    counts = speed.post_counts(posts(stream_session(spark), sf_dir), slide=slide)
+    counts = speed.post_counts(posts(session_for(spark), sf_dir), slide=slide)
     write = serving.log_writer(f"{folder}/log", "window_start")
     run.drain(run.each_batch(counts, "update", write), f"{folder}/checkpoint")
     schema = struct({"window_start": "timestamp", "posts": "long"})
@@ -89,20 +103,20 @@ def _post_counts(spark: SparkSession, sf_dir: str, slide: str | None) -> DataFra
 
 
 def stream_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows still open at the end of the stream are not in the result."""
+    """Windows still open at the end of the stream are in the result like others."""
     configure(spark)
     folder = run_folder(spark, "change")
-    rows = speed.changes(speed.closed_windows(ticks(stream_session(spark), sf_dir)))
+    windows = speed.price_windows(ticks(session_for(spark), sf_dir))
     write = serving.log_writer(f"{folder}/log", "window_start")
-    run.drain(run.each_batch(rows, "append", write), f"{folder}/checkpoint")
-    rows = serving.latest(spark, f"{folder}/log", speed.CHANGE_SCHEMA, ["symbol", "window_start"])
+    run.drain(run.each_batch(windows, "update", write), f"{folder}/checkpoint")
+    rows = speed.change_view(spark, f"{folder}/log")
     return ntz(rounded(rows, 6, "change_from_kafka"), "window_start", "timestamp")
 
 
 def stream_speed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     folder = run_folder(spark, "speed")
-    session = stream_session(spark)
+    session = session_for(spark)
     windows = speed.speed_windows(ticks(session, sf_dir), scored(session, sf_dir))
     write = serving.log_writer(f"{folder}/log", "window_start")
     run.drain(run.each_batch(windows, "update", write), f"{folder}/checkpoint")
@@ -113,7 +127,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every post arrives twice."""
     configure(spark)
     folder = run_folder(spark, "dedup")
-    session = stream_session(spark)
+    session = session_for(spark)
     copies = [posts(session, sf_dir), posts(session, sf_dir)]
     typed = [c.select(M.natural_id(POST_TOPIC).alias("id"), "post_id", "created_utc", "title") for c in copies]
     once = ingest.without_repeats(typed[0].unionByName(typed[1]), POST_TOPIC)
@@ -124,22 +138,25 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(rows.select("post_id", "created_utc", "title"), "created_utc")
 
 
-def _raw_tables(spark: SparkSession, sf_dir: str) -> str:
+def _raw_table(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """Both topics published as files, each streamed into its raw table; one of the tables."""
     configure(spark)
     folder = run_folder(spark, "raw")
-    run.drain_all(ingest.raw_writers(feed(stream_session(spark), sf_dir), [TICK_TOPIC, POST_TOPIC], folder))
-    return folder
+    topics.write_topic(messages(spark, sf_dir), "parquet", path=f"{folder}/feed")
+    session = session_for(spark)
+    feeds = {t: topics.read_topics_stream(session, [t], "parquet", path=f"{folder}/feed") for t in jobs.TOPICS}
+    run.drain_all(ingest.raw_writers(feeds, folder))
+    return read_topic_table(spark, f"{folder}/{topic}", topic)
 
 
 def stream_raw_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two append streams side by side off one feed; the tick table."""
-    rows = read_topic_table(spark, f"{_raw_tables(spark, sf_dir)}/{TICK_TOPIC}", TICK_TOPIC)
-    return ntz(rows, "last_updated")
+    """Two append streams side by side, each off its own topic; the tick table."""
+    return ntz(_raw_table(spark, sf_dir, TICK_TOPIC), "last_updated")
 
 
 def stream_raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same streams; the post table."""
-    rows = read_topic_table(spark, f"{_raw_tables(spark, sf_dir)}/{POST_TOPIC}", POST_TOPIC)
+    rows = _raw_table(spark, sf_dir, POST_TOPIC)
     rows = rows.withColumn("upvote_ratio", F.col("upvote_ratio").cast("double"))
     return ntz(rounded(rows, 4, "upvote_ratio"), "created_utc", "created")
 
@@ -148,16 +165,94 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged messages end up as text in the quarantine folders of the raw table."""
     configure(spark)
     folder = run_folder(spark, "quarantine")
-    session = stream_session(spark)
+    session = session_for(spark)
     sent = M.tick_message(ticks(session, sf_dir), "tick_id")
     text = F.col("value").cast("string")
     cut = F.when(F.col("tick_id") % 5 == 0, F.concat(F.lit("cut "), F.col("tick_id"))).otherwise(text)
     sent = sent.withColumn("value", cut.cast("binary"))
-    run.drain_all(ingest.raw_writers(sent, [TICK_TOPIC], folder))
+    run.drain_all(ingest.raw_writers({TICK_TOPIC: sent}, folder))
     rows = read_quarantine(spark, f"{folder}/{TICK_TOPIC}", TICK_TOPIC)
     return rows.select(F.col(M.CORRUPT).alias("message"))
 
 
+def _job_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Both jobs over damaged and late messages.
+
+    Every third price is text that is no number, and so are all after 22:00. The first
+    drain gets all messages but every fifth, the second the rest, which are late for
+    the stream. The daily job runs for every day of the last week, then twice for the last.
+    """
+    configure(spark)
+    folder = run_folder(spark, "jobs")
+    number = F.pmod(F.xxhash64("value"), F.lit(5))
+    sent = damaged_messages(spark, sf_dir).withColumn("late", number == 0)
+    for late in (False, True):
+        topics.write_topic(sent.filter(F.col("late") == late), "parquet", path=f"{folder}/feed")
+        jobs.run_speed(
+            spark, folder, "parquet", available_now=True, scorer=lexicon_scorer(DOCUMENT_WORDS),
+            state_partitions=STATE_PARTITIONS, path=f"{folder}/feed",
+        )
+    for days in (7, 7):
+        jobs.run_daily(spark, folder, JOBS_AS_OF, scorer=lexicon_scorer(DOCUMENT_WORDS), late_days=days)
+    return folder
+
+
+def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = batch_ticks(spark, sf_dir)
+    tick = M.tick_message(rows, "tick_id", "last_updated")
+    text = F.col("value").cast("string")
+    broken = F.regexp_replace(text, r'"Price \(USD\)":[^,}]*', '"Price (USD)":"n/a"')
+    is_broken = (F.col("tick_id") % 3 == 0) | (F.hour("last_updated") >= 22)
+    tick = tick.withColumn("value", F.when(is_broken, broken).otherwise(text).cast("binary"))
+    return M.union_topics(tick.select("topic", "value"), M.post_message(batch_posts(spark, sf_dir)))
+
+
+def _daily_view(rows: DataFrame) -> DataFrame:
+    averages = ["avg_sentiment_bullish", "avg_sentiment_bearish", "avg_sentiment_neutral"]
+    return ntz(rounded(rows, 6, "change_from_kafka", "predicted_bitcoin_price", *averages), "timestamp")
+
+
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored daily rows of the days that are over: late rows count, bad prices do not."""
+    folder = _job_folder(spark, sf_dir)
+    rows = spark.read.schema(table_schemas()["batch_layer"]).parquet(f"{folder}/batch_layer")
+    return _daily_view(rows.filter(F.col("event_day") < F.lit(JOBS_AS_OF.date())))
+
+
+def daily_rows_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages through the batch plans, every day of the table."""
+    configure(spark)
+    sent = damaged_messages(spark, sf_dir)
+    tick, post = (M.conform(M.parse(M.of_topic(sent, t), t), t) for t in jobs.TOPICS)
+    speed_rows = batch_speed.speed_rows(tick, post, lexicon_scorer(DOCUMENT_WORDS))
+    return _daily_view(daily.daily_rows(speed_rows))
+
+
+def serving_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs' tables by name: created over the jobs' folder and read by SQL."""
+    folder = _job_folder(spark, sf_dir)
+    space = "market_" + folder.rsplit("-", 1)[1]
+    refresh_tables(spark, create_tables(spark, space, location=folder))
+    rows = spark.sql(
+        f"""SELECT b.event_day, b.symbol, b.close_price, b.Max_Price, count(*) AS speed_rows
+            FROM {space}.batch_layer b JOIN {space}.speed_layer s USING (symbol, event_day)
+            WHERE b.event_day < DATE '{JOBS_AS_OF.date()}'
+            GROUP BY ALL"""
+    )
+    return rows
+
+
+def stream_result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean scores in a named result table, read by SQL after a bounded wait."""
+    configure(spark)
+    folder = run_folder(spark, "result")
+    session = session_for(spark)
+    means = speed.running_means(scored(session, sf_dir))
+    name = "result_" + folder.rsplit("-", 1)[1]
+    run.drain(run.memory_table(means, name, "complete"), f"{folder}/checkpoint", timeout=600)
+    return rounded(session.sql(f"SELECT * FROM {name}"), 6, *AVERAGES)
+
+
 QUERIES = {
     "stream_global_avg": stream_global_avg,
     "stream_posts_5m": stream_posts_5m,
@@ -168,8 +263,23 @@ QUERIES = {
     "stream_raw_sink": stream_raw_sink,
     "stream_raw_posts": stream_raw_posts,
     "stream_quarantine": stream_quarantine,
+    "stream_result_table": stream_result_table,
+    "daily_job": daily_job,
+    "daily_rows_damaged": daily_rows_damaged,
+    "serving_tables": serving_tables,
 }
 
+# Ticks as the messages carry them, prices that can't be read as NULL.
+_DAMAGED = TICKS_SQL.replace("value AS price_usd", "CASE WHEN NOT (event_id % 3 = 0 OR hour(ts) >= 22) THEN value END AS price_usd")
+_DAMAGED_POSTS = POSTS_SQL.replace("e.ts AS created_utc", "date_trunc('second', e.ts) AS created_utc")
+_DAMAGED_SPEED = SPEED_SQL.replace(
+    "lag(bitcoin_price) OVER (PARTITION BY symbol ORDER BY timestamp)",
+    "last_value(bitcoin_price IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY timestamp"
+    " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
+)
+_DAMAGED_INPUT = f"{_DAMAGED},\n{_DAMAGED_POSTS},\n{SCORED_SQL},\n{_DAMAGED_SPEED},\n{DAILY_SQL}"
+_OVER = f"day BETWEEN DATE '{JOBS_AS_OF.date()}' - 7 AND DATE '{JOBS_AS_OF.date()}' - 1"
+
 SQL = {
     "stream_global_avg": f"WITH {POSTS_SQL},\n{SCORED_SQL}\nSELECT {_AVERAGES_SQL} FROM scored",
     "stream_posts_5m": f"""WITH {POSTS_SQL}
@@ -186,9 +296,7 @@ rows AS (SELECT symbol, time_bucket(INTERVAL '5 minutes', last_updated) AS windo
 lagged AS (SELECT *, lag(bitcoin_price) OVER (PARTITION BY symbol ORDER BY timestamp) AS p FROM rows)
 SELECT symbol, window_start, timestamp, bitcoin_price,
        round(coalesce((bitcoin_price - p) / nullif(p, 0) * 100, 0) + 1e-10, 6) AS change_from_kafka
-FROM lagged
-WHERE window_start + INTERVAL 5 MINUTES
-      <= (SELECT date_trunc('millisecond', max(last_updated)) - INTERVAL 10 MINUTES FROM ticks)""",
+FROM lagged""",
     "stream_speed_rows": f"WITH {SPEED_INPUT_SQL}\n{SPEED_VIEW_SQL}",
     "stream_dedup": f"WITH {POSTS_SQL} SELECT post_id, created_utc, title FROM posts",
     "stream_raw_sink": f"""WITH {TICKS_SQL}
@@ -203,4 +311,15 @@ SELECT {POST_ID_SQL} AS id, date_trunc('second', created_utc) AS created_utc, su
 FROM posts""",
     "stream_quarantine": f"""WITH {TICKS_SQL}
 SELECT 'cut ' || tick_id AS message FROM ticks WHERE tick_id % 5 = 0""",
+    "stream_result_table": f"WITH {POSTS_SQL},\n{SCORED_SQL}\nSELECT {_AVERAGES_SQL} FROM scored",
+    "daily_job": f"""WITH {_DAMAGED_INPUT}
+SELECT symbol, timestamp, open_price, close_price, posts_last_day, change_from_kafka, avg_sentiment_bullish,
+       avg_sentiment_bearish, avg_sentiment_neutral, predicted_bitcoin_price, Max_Price, Min_Price, day AS event_day
+FROM ({daily_sql_view("CAST(day + 1 AS TIMESTAMP) - INTERVAL 1 SECOND")}) WHERE {_OVER}""",
+    "daily_rows_damaged": f"WITH {_DAMAGED_INPUT}\n{daily_sql_view('timestamp')}",
+    "serving_tables": f"""WITH {_DAMAGED_INPUT}
+SELECT day AS event_day, symbol, close_price, Max_Price, count(*) AS speed_rows
+FROM ({daily_sql_view('timestamp')}) d
+JOIN (SELECT symbol, CAST(timestamp AS DATE) AS day FROM speed) USING (symbol, day)
+WHERE {_OVER} GROUP BY ALL""",
 }

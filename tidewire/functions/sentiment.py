@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,22 +99,18 @@ def model_scorer(load: Callable[[], Callable[[pd.Series], pd.DataFrame]]) -> Sco
 def label_prototypes(vectors: DataFrame, labels: Mapping[str, int]) -> DataFrame:
     """One row with the mean vector of each label, as a struct of arrays.
 
-    Means are taken per position with map-side partial sums; the result holds
+    Vectors are summed whole, with map-side partial sums; the result holds
     ``len(labels)`` vectors whatever the input size.
     """
-    wanted = vectors.filter(F.col("label").isin(list(labels.values())))
-    means = (
-        wanted.select("label", F.posexplode("embedding").alias("pos", "x"))
-        .groupBy("label", "pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"))
-    )
 
-    def vector(label: str) -> Column:
-        part = F.when(F.col("label") == labels[label], F.struct("pos", "x"))
-        ordered = F.array_sort(F.collect_list(part))
-        return F.transform(ordered, lambda p: p["x"]).alias(label)
+    def of(label: str) -> Column:
+        return F.first(F.when(F.col("label") == labels[label], F.col("mean")), ignorenulls=True).alias(label)
 
-    return means.agg(F.struct(*[vector(label) for label in LABELS]).alias("prototypes"))
+    dense = vectors.filter(F.col("label").isin(list(labels.values()))).select(
+        "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("vector")
+    )
+    means = dense.groupBy("label").agg(vector_to_array(Summarizer.mean(F.col("vector"))).alias("mean"))
+    return means.agg(F.struct(*[of(label) for label in LABELS]).alias("prototypes"))
 
 
 def embedding_scorer(prototypes: Column) -> Scorer:

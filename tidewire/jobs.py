@@ -1,7 +1,8 @@
-"""The two jobs: the streaming speed layer and the daily batch.
+"""The jobs: the streaming speed layer, the daily batch, and upkeep of the tables.
 
 ``spark-submit run_job.py speed --folder F --format kafka --option kafka.bootstrap.servers=H:P``
 ``spark-submit run_job.py daily --folder F [--as-of "2024-01-15 23:59:00"]``
+``spark-submit run_job.py upkeep --folder F [--as-of "2024-01-15 23:59:00"]``
 """
 
 from __future__ import annotations
@@ -15,30 +16,39 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidewire.functions.forecast import TIME_STEP, Forecaster
 from tidewire.functions.sentiment import Scorer
-from tidewire.plans.daily import daily_row_as_of
-from tidewire.plans.speed import scored_posts
-from tidewire.schemas import BATCH_COLUMNS, POST_TOPIC, TICK_TOPIC, struct
+from tidewire.plans.daily import daily_rows
+from tidewire.plans.speed import scored_posts, speed_rows as batch_speed_rows
+from tidewire.schemas import BATCH_COLUMNS, POST_TOPIC, SPEED_COLUMNS, TICK_TOPIC, struct, table_schemas
 from tidewire.session import build_session, stream_session
+from tidewire.sources.tables import read_topic_table
 from tidewire.sources.topics import read_topics_stream
 from tidewire.streaming import ingest, run, serving, speed
 
 TOPICS = [TICK_TOPIC, POST_TOPIC]
+# State partitions of a job's streams; a checkpoint keeps the number it was started with.
+STATE_PARTITIONS = 200
 
 
 def speed_writers(
-    feed: DataFrame, folder: str, scorer: Scorer | None = None, spread: int | None = None
+    spark: SparkSession,
+    feeds: dict[str, DataFrame],
+    folder: str,
+    scorer: Scorer | None = None,
+    spread: int | None = ingest.SPREAD,
 ) -> dict[str, DataStreamWriter]:
-    """Two raw tables and the speed log off one feed, each with its own checkpoint.
+    """Two raw tables and the speed log, each with its own checkpoint.
 
-    ``spread`` is for feeds in which single posts come in very many copies.
+    ``feeds`` has the messages of each topic. A raw table subscribes to its topic
+    alone, and the speed query parses each topic once.
     """
-    writers = ingest.raw_writers(feed, TOPICS, folder)
-    ticks = ingest.without_repeats(ingest.typed_rows(feed, TICK_TOPIC), TICK_TOPIC)
-    posts = ingest.without_repeats(ingest.typed_rows(feed, POST_TOPIC), POST_TOPIC, spread=spread)
-    windows = speed.speed_windows(ticks, scored_posts(posts, scorer), watermark=None)
-    writers[f"{folder}/checkpoint/speed"] = run.each_batch(
-        windows, "update", serving.log_writer(f"{folder}/speed_log", "window_start")
+    writers = ingest.raw_writers(feeds, folder)
+    ticks, posts = (
+        ingest.without_repeats(ingest.typed_rows(feeds[topic], topic), topic, spread=spread) for topic in TOPICS
     )
+    windows = speed.speed_windows(ticks, scored_posts(posts, scorer), watermark=None)
+    checkpoint = f"{folder}/checkpoint/speed"
+    write = serving.log_writer(f"{folder}/speed_log", "window_start", serving.run_number(spark, checkpoint))
+    writers[checkpoint] = run.each_batch(windows, "update", write)
     return writers
 
 
@@ -48,12 +58,13 @@ def run_speed(
     fmt: str = "kafka",
     available_now: bool = False,
     scorer: Scorer | None = None,
-    spread: int | None = None,
+    spread: int | None = ingest.SPREAD,
+    state_partitions: int = STATE_PARTITIONS,
     **options: str,
 ) -> None:
-    session = stream_session(spark)
-    feed = read_topics_stream(session, TOPICS, fmt, **options)
-    writers = speed_writers(feed, folder, scorer, spread)
+    session = stream_session(spark, state_partitions)
+    feeds = {topic: read_topics_stream(session, [topic], fmt, **options) for topic in TOPICS}
+    writers = speed_writers(spark, feeds, folder, scorer, spread)
     if available_now:
         run.drain_all(writers)
         return
@@ -62,40 +73,85 @@ def run_speed(
     session.streams.awaitAnyTermination()
 
 
+def speed_rows_to(
+    spark: SparkSession, folder: str, as_of: dt.datetime, days_back: int, scorer: Scorer | None = None
+) -> DataFrame:
+    """Speed rows of the days up to ``as_of``.
+
+    Days that are over come from the raw tables, which have the rows that were too late
+    for the stream; the open day comes from the speed log.
+    """
+    today = as_of.date()
+    over = F.col("event_day").between(F.lit(today - dt.timedelta(days=days_back)), F.lit(today - dt.timedelta(days=1)))
+    ticks, posts = (
+        read_topic_table(spark, f"{folder}/{topic}", topic).filter(over).dropDuplicates(["id"]) for topic in TOPICS
+    )
+    past = batch_speed_rows(ticks, posts, scorer)
+    live = speed.speed_view(spark, f"{folder}/speed_log", F.col("event_day") == F.lit(today))
+    return past.unionByName(live).filter(F.col("timestamp") < F.lit(as_of))
+
+
 def run_daily(
-    spark: SparkSession, folder: str, as_of: dt.datetime, forecaster: Forecaster | None = None
+    spark: SparkSession,
+    folder: str,
+    as_of: dt.datetime,
+    forecaster: Forecaster | None = None,
+    scorer: Scorer | None = None,
+    late_days: int = 1,
 ) -> DataFrame:
-    """Store the row of the day of ``as_of``; the same ``as_of`` again replaces it.
+    """Store speed and daily rows of the day of ``as_of`` and of the ``late_days`` before.
 
-    The day before is over, so its part of the speed log is rewritten first.
+    The daily row of a day that is over is stamped with its last second, that of the
+    open day with ``as_of``. A later run replaces the days that it computes, with what
+    has come in late by then.
     """
-    log = f"{folder}/speed_log"
-    over = F.col("event_day") == F.lit(as_of.date() - dt.timedelta(days=1))
-    serving.rewrite_days(spark, log, speed.WINDOW_SCHEMA, speed.WINDOW_KEY, over)
-    first = as_of.date() - dt.timedelta(days=TIME_STEP)
-    days = F.col("event_day").between(F.lit(first), F.lit(as_of.date()))
-    rows = daily_row_as_of(speed.speed_view(spark, log, days), as_of, forecaster)
-    schema = struct({"symbol": "string", **BATCH_COLUMNS})
-    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    batch_id = int(as_of.replace(tzinfo=dt.timezone.utc).timestamp())
-    serving.append_batch(rows, batch_id, f"{folder}/batch_log", "timestamp")
-    return serving.latest(spark, f"{folder}/batch_log", schema, ["symbol", "timestamp"])
+    rows = speed_rows_to(spark, folder, as_of, late_days + TIME_STEP - 1, scorer)
+    first = F.lit(as_of.date() - dt.timedelta(days=late_days))
+    days = daily_rows(rows, forecaster).filter(F.col("day") >= first)
+    end = F.timestamp_seconds(F.unix_seconds((F.date_add("day", 1)).cast("timestamp")) - 1)
+    days = days.withColumn("timestamp", F.when(F.col("day") == F.lit(as_of.date()), F.lit(as_of)).otherwise(end))
+    stored = {
+        "speed_layer": rows.filter(F.col("timestamp").cast("date") >= first),
+        "batch_layer": days,
+    }
+    for table, shape in (("speed_layer", SPEED_COLUMNS), ("batch_layer", BATCH_COLUMNS)):
+        columns = [F.col(f.name).cast(f.dataType) for f in struct({"symbol": "string", **shape}).fields]
+        serving.replace_days(stored[table].select(*columns), f"{folder}/{table}", "timestamp")
+    return spark.read.schema(table_schemas()["batch_layer"]).parquet(f"{folder}/batch_layer")
+
+
+def run_upkeep(spark: SparkSession, folder: str, as_of: dt.datetime, days_back: int = 2) -> None:
+    """Rewrite the days before ``as_of`` of raw tables and speed log into few files."""
+    last = as_of.date() - dt.timedelta(days=1)
+    first = as_of.date() - dt.timedelta(days=days_back)
+    for topic in TOPICS:
+        serving.close_raw_days(spark, f"{folder}/{topic}", topic, first, last)
+    over = F.col("event_day").between(F.lit(first), F.lit(last))
+    serving.rewrite_days(spark, f"{folder}/speed_log", speed.WINDOW_SCHEMA, speed.WINDOW_KEY, over)
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
-    parser.add_argument("job", choices=["speed", "daily"])
+    parser.add_argument("job", choices=["speed", "daily", "upkeep"])
     parser.add_argument("--folder", required=True, help="root of tables, logs and checkpoints")
     parser.add_argument("--format", default="kafka")
     parser.add_argument("--option", action="append", default=[], help="source option key=value")
     parser.add_argument("--available-now", action="store_true", help="work off what is there, then stop")
-    parser.add_argument("--spread", type=int, help="parts a post with very many copies is split into")
+    parser.add_argument("--spread", type=int, default=ingest.SPREAD, help="parts in which repeats are dropped first")
+    parser.add_argument("--state-partitions", type=int, default=STATE_PARTITIONS)
+    parser.add_argument("--late-days", type=int, default=1, help="days before that the daily job computes again")
     parser.add_argument("--as-of", type=dt.datetime.fromisoformat)
     args = parser.parse_args(argv)
     spark = build_session(f"tidewire-{args.job}")
     if args.job == "speed":
         options = dict(option.split("=", 1) for option in args.option)
-        run_speed(spark, args.folder, args.format, args.available_now, spread=args.spread, **options)
+        run_speed(
+            spark, args.folder, args.format, args.available_now,
+            spread=args.spread or None, state_partitions=args.state_partitions, **options,
+        )
+        return
+    as_of = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    if args.job == "daily":
+        run_daily(spark, args.folder, as_of, late_days=args.late_days)
     else:
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        run_daily(spark, args.folder, args.as_of or now)
+        run_upkeep(spark, args.folder, as_of)

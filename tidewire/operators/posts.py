@@ -48,10 +48,10 @@ def newest_per_forum(posts: DataFrame, tie_break: str, n: int = NEWEST_PER_FORUM
     return top_n(posts, ["subreddit"], order, n, rank="newest_rank", spread=64)
 
 
-def drop_repeats(posts: DataFrame, arrival: Column, key: str = "id") -> DataFrame:
-    """The newest copy of each post.
+def drop_repeats(posts: DataFrame, arrival: Column, ties: Sequence[Column], key: str = "id") -> DataFrame:
+    """The newest copy of each post; of copies that arrived together the first by ``ties``.
 
     Copies are pruned inside each input partition first, so a post with very
     many copies ships at most one row per task.
     """
-    return top_n(posts, [key], [arrival.desc()], 1).drop("rank")
+    return top_n(posts, [key], [arrival.desc(), *ties], 1).drop("rank")

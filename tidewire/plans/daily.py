@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewire.functions.forecast import TIME_STEP, Forecaster, trend_forecaster
 from tidewire.functions.scalars import event_day, pct_change
 from tidewire.functions.sentiment import LABELS
+from tidewire.plans.speed import newest, oldest
 
 
 def day_range(df: DataFrame, at: str, as_of: dt.datetime, days_back: int = 0) -> DataFrame:
@@ -27,8 +28,8 @@ def day_range(df: DataFrame, at: str, as_of: dt.datetime, days_back: int = 0) ->
 def daily_prices(df: DataFrame, at: str, price: str, keys: list[str]) -> DataFrame:
     """Open, close, high, low and change per key and day."""
     days = df.groupBy(*keys, event_day(F.col(at)).alias("day")).agg(
-        F.min_by(price, at).alias("open_price"),
-        F.max_by(price, at).alias("close_price"),
+        oldest(price, at).alias("open_price"),
+        newest(price, at).alias("close_price"),
         F.max(price).alias("max_price"),
         F.min(price).alias("min_price"),
     )
@@ -36,11 +37,13 @@ def daily_prices(df: DataFrame, at: str, price: str, keys: list[str]) -> DataFra
 
 
 def last_closes(days: DataFrame, keys: list[str], steps: int = TIME_STEP) -> DataFrame:
-    """Closes of the last ``steps`` days up to each day, oldest first.
+    """Closes of the last ``steps`` calendar days up to each day, oldest first.
 
-    Ordered per key over one row per day: bounded by the calendar.
+    Days without a row or a readable price have no close, and a forecast takes all
+    ``steps``. Ordered per key over one row per day: bounded by the calendar.
     """
-    window = Window.partitionBy(*keys).orderBy("day").rowsBetween(1 - steps, 0)
+    number = F.unix_date("day")
+    window = Window.partitionBy(*keys).orderBy(number).rangeBetween(1 - steps, 0)
     return days.withColumn("last_closes", F.collect_list("close_price").over(window))
 
 
@@ -54,8 +57,8 @@ def daily_rows(
     forecaster = forecaster or trend_forecaster()
     days = speed.groupBy(*keys, event_day(F.col("timestamp")).alias("day")).agg(
         F.max("timestamp").alias("timestamp"),
-        F.coalesce(F.min_by("bitcoin_price", "timestamp"), F.lit(0.0)).alias("open_price"),
-        F.coalesce(F.max_by("bitcoin_price", "timestamp"), F.lit(0.0)).alias("close_price"),
+        oldest("bitcoin_price", "timestamp").alias("open_price"),
+        newest("bitcoin_price", "timestamp").alias("close_price"),
         F.coalesce(F.sum(F.col("posts_last_5_minutes").cast("bigint")), F.lit(0)).alias("posts_last_day"),
         *[
             F.coalesce(F.avg(f"avg_sentiment_{label}"), F.lit(0.0)).alias(f"avg_sentiment_{label}")
@@ -65,12 +68,13 @@ def daily_rows(
         F.coalesce(F.min("bitcoin_price"), F.lit(0.0)).alias("Min_Price"),
     )
     closes = last_closes(days, keys)
+    # Prices default in the output only: a close that is not there is no close of 0.
     return closes.select(
         *keys,
         "day",
         "timestamp",
-        "open_price",
-        "close_price",
+        F.coalesce("open_price", F.lit(0.0)).alias("open_price"),
+        F.coalesce("close_price", F.lit(0.0)).alias("close_price"),
         "posts_last_day",
         pct_change(F.col("close_price"), F.col("open_price")).alias("change_from_kafka"),
         *[f"avg_sentiment_{label}" for label in LABELS],
@@ -85,9 +89,9 @@ def daily_row_as_of(
 ) -> DataFrame:
     """What the daily job stores at ``as_of``: the row of that day, stamped with the run time.
 
-    Five more days are read for the forecast.
+    The four days before are read for the forecast.
     """
-    recent = day_range(speed, "timestamp", as_of, days_back=TIME_STEP)
+    recent = day_range(speed, "timestamp", as_of, days_back=TIME_STEP - 1)
     rows = daily_rows(recent, forecaster)
     return rows.filter(F.col("day") == F.lit(as_of.date())).withColumn("timestamp", F.lit(as_of))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.scalars import pct_change, post_text, window_start
@@ -18,6 +18,15 @@ from tidewire.operators.ordered import SECOND, lag_by
 WINDOW_MINUTES = 5
 
 
+def newest(value: str, at: str) -> Column:
+    """The value at the latest time that has one; a price that can't be read is no price."""
+    return F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at)))
+
+
+def oldest(value: str, at: str) -> Column:
+    return F.min_by(value, F.when(F.col(value).isNotNull(), F.col(at)))
+
+
 def scored_posts(posts: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """Posts with a struct of three scores over title and body."""
     scorer = scorer or lexicon_scorer()
@@ -28,7 +37,7 @@ def latest_ticks(ticks: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
     """Newest tick per asset and window."""
     return ticks.groupBy("symbol", window_start(F.col("last_updated"), minutes).alias("window_start")).agg(
         F.max("last_updated").alias("timestamp"),
-        F.max_by("price_usd", "last_updated").alias("bitcoin_price"),
+        newest("price_usd", "last_updated").alias("bitcoin_price"),
     )
 
 
@@ -40,12 +49,17 @@ def post_windows(scored: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
 
 
 def join_posts(tick_windows: DataFrame, windows: DataFrame) -> DataFrame:
-    """Tick windows with their posts; 0 posts and score 0.5 where there are none.
+    """Tick windows with their posts.
 
     Both sides are already one row per window (and asset), so no pair of single
     rows is ever built.
     """
-    return tick_windows.join(windows, "window_start", "left").select(
+    return with_defaults(tick_windows.join(windows, "window_start", "left"))
+
+
+def with_defaults(rows: DataFrame) -> DataFrame:
+    """0 posts and score 0.5 where a window has none."""
+    return rows.select(
         "symbol",
         "window_start",
         "timestamp",
@@ -59,11 +73,13 @@ def join_posts(tick_windows: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def with_change(rows: DataFrame) -> DataFrame:
-    """Percent change against the speed row before; 0 for the first.
+    """Percent change against the price of the speed row before; 0 for the first.
 
-    An asset has at most 288 speed rows per day, whatever the tick rate.
+    Rows without a readable price are passed over. An asset has at most 288 speed rows
+    per day, whatever the tick rate.
     """
-    previous = F.lag("bitcoin_price").over(Window.partitionBy("symbol").orderBy("timestamp"))
+    before = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.last("bitcoin_price", ignorenulls=True).over(before)
     return rows.withColumn("change_from_kafka", pct_change(F.col("bitcoin_price"), previous, 0.0))
 
 
@@ -71,6 +87,16 @@ def speed_rows(ticks: DataFrame, posts: DataFrame, scorer: Scorer | None = None)
     return with_change(join_posts(latest_ticks(ticks), post_windows(scored_posts(posts, scorer))))
 
 
+def latest_speed_row(ticks: DataFrame, posts: DataFrame, scorer: Scorer | None = None) -> DataFrame:
+    """The newest speed row. Only the posts of its window are scored."""
+    row = with_change(latest_ticks(ticks)).orderBy(F.col("timestamp").desc(), "symbol").limit(1)
+    of_window = posts.withColumn("window_start", window_start(F.col("created_utc"), WINDOW_MINUTES))
+    # One row, whatever the input.
+    wanted = of_window.join(F.broadcast(row.select("window_start")), "window_start", "left_semi")
+    joined = join_posts(row, post_windows(scored_posts(wanted.drop("window_start"), scorer)))
+    return joined.join(F.broadcast(row.select("symbol", "change_from_kafka")), "symbol")
+
+
 def draft_rows(ticks: DataFrame, posts: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
     """Ticks joined to the posts of their window, by tick time: mean price, post count, change.
 

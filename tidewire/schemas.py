@@ -65,7 +65,7 @@ BATCH_COLUMNS = {
     "timestamp": "timestamp",
     "open_price": "double",
     "close_price": "double",
-    "posts_last_day": "integer",
+    "posts_last_day": "long",
     "change_from_kafka": "double",
     "avg_sentiment_bullish": "double",
     "avg_sentiment_bearish": "double",
@@ -148,6 +148,18 @@ def table_schemas() -> dict[str, T.StructType]:
     }
 
 
+def refresh_tables(spark: SparkSession, names: list[str]) -> None:
+    """Make the catalog see the days that jobs have written since.
+
+    Tables over a stream's folder have no partitions in the catalog; they list what
+    the stream has committed.
+    """
+    for name in names:
+        if any(column.isPartition for column in spark.catalog.listColumns(name)):
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.catalog.refreshTable(name)
+
+
 def create_tables(
     spark: SparkSession, namespace: str = "market", fmt: str = "parquet", location: str | None = None
 ) -> list[str]:

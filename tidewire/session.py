@@ -39,20 +39,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
     """A sibling session for one stateful stream.
 
     The number of state partitions is fixed by the checkpoint at first start, so
     it is set here and not shared with the caller's batch settings.
     """
     session = configure(spark.newSession())
-    if state_partitions is None:
-        local = spark.sparkContext.master.startswith("local")
-        state_partitions = (
-            spark.sparkContext.defaultParallelism
-            if local
-            else int(spark.conf.get("spark.sql.shuffle.partitions"))
-        )
     session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return session

@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewire.schemas import BAD, CORRUPT, GOOD, SUBMISSION_SCHEMA, raw_table_schema
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+def closed_path(path: str) -> str:
+    """Where the rewritten days of a raw table are."""
+    return f"{path}_days"
+
 
+def read_topic_table(
+    spark: SparkSession, path: str, topic: str, closed_before: dt.date | None = None
+) -> DataFrame:
+    """Typed rows of a raw table, with their event day.
 
-def read_topic_table(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """Typed rows of a raw table, with their event day."""
+    Days before ``closed_before`` come from their rewritten files.
+    """
     stored = spark.read.schema(raw_table_schema(topic)).parquet(path)
+    if closed_before is not None:
+        days = spark.read.schema(raw_table_schema(topic)).parquet(closed_path(path))
+        day = F.col("event_day")
+        stored = stored.filter((day >= F.lit(closed_before)) | day.isNull()).unionByName(
+            days.filter(day < F.lit(closed_before))
+        )
     return stored.filter(F.col("status") == GOOD).drop("status", CORRUPT)
 
 

@@ -39,5 +39,6 @@ def read_topics(
 
 
 def write_topic(messages: DataFrame, fmt: str = "kafka", mode: str = "append", **options: str) -> None:
-    """Publish ``topic`` and ``value`` rows."""
-    messages.select("topic", "value").write.format(fmt).mode(mode).options(**options).save()
+    """Publish ``topic`` and ``value`` rows; as files, each topic in a folder of its own."""
+    writer = messages.select("topic", "value").write.format(fmt).mode(mode).options(**options)
+    (writer if fmt == "kafka" else writer.partitionBy("topic")).save()

@@ -11,6 +11,8 @@ from tidewire.schemas import RAW_PARTITIONS
 from tidewire.streaming.run import append_to
 
 WATERMARK = "10 minutes"
+# Parts in which repeats are dropped first.
+SPREAD = 8
 
 
 def typed_rows(feed: DataFrame, topic: str) -> DataFrame:
@@ -18,27 +20,25 @@ def typed_rows(feed: DataFrame, topic: str) -> DataFrame:
     return M.conform(M.good(M.parse_or_flag(M.of_topic(feed, topic), topic)), topic)
 
 
-def raw_writers(
-    feed: DataFrame, topics: list[str], folder: str, fmt: str = "parquet"
-) -> dict[str, DataStreamWriter]:
-    """One append stream per topic, keyed by checkpoint folder."""
+def raw_writers(feeds: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, DataStreamWriter]:
+    """One append stream for each topic off its own feed, keyed by checkpoint folder."""
     return {
         f"{folder}/checkpoint/{topic}": append_to(
             M.landed(M.of_topic(feed, topic), topic), f"{folder}/{topic}", fmt, RAW_PARTITIONS
         )
-        for topic in topics
+        for topic, feed in feeds.items()
     }
 
 
 def without_repeats(
-    rows: DataFrame, topic: str, watermark: str = WATERMARK, spread: int | None = None
+    rows: DataFrame, topic: str, watermark: str = WATERMARK, spread: int | None = SPREAD
 ) -> DataFrame:
     """First copy of each row; ids are forgotten once the watermark has passed them.
 
-    All copies of a row meet in one task. Where single rows come in very many
-    copies, ``spread`` first drops repeats in that many parts by input partition,
-    so that at most ``spread`` copies of a row are left to meet. That costs one
-    more shuffle and state for each part, so it is off by default.
+    Copies are many: every poll sends a post again while it is recent. They are dropped
+    in ``spread`` parts by input partition first, so that at most as many copies of a
+    row are left to meet in one task. That costs one more shuffle and state for each
+    part; None leaves it out.
     """
     timed = rows.withWatermark(M.event_time(topic), watermark)
     if spread:

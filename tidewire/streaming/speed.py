@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewire.functions.sentiment import LABELS, mean_scores
-from tidewire.plans.speed import WINDOW_MINUTES, join_posts, with_change
+from tidewire.plans.speed import WINDOW_MINUTES, newest, with_change, with_defaults
 from tidewire.schemas import struct
 from tidewire.streaming.ingest import WATERMARK
 from tidewire.streaming.serving import latest
@@ -28,13 +24,12 @@ WINDOW_SCHEMA = struct(
         **{name: "double" for name in AVERAGES},
     }
 )
-CHANGE_SCHEMA = struct(
+PRICE_SCHEMA = struct(
     {
         "symbol": "string",
         "window_start": "timestamp",
         "timestamp": "timestamp",
         "bitcoin_price": "double",
-        "change_from_kafka": "double",
     }
 )
 
@@ -60,7 +55,7 @@ def speed_windows(
         both = both.withWatermark("at", watermark)
     windows = both.groupBy(F.window("at", f"{minutes} minutes"), "kind", "symbol").agg(
         F.max("at").alias("timestamp"),
-        F.max_by("price_usd", "at").alias("bitcoin_price"),
+        newest("price_usd", "at").alias("bitcoin_price"),
         F.count("*").alias("posts_last_5_minutes"),
         *mean_scores(F.col("sentiment")),
     )
@@ -68,15 +63,24 @@ def speed_windows(
 
 
 def speed_view(spark: SparkSession, log: str, days: Column | None = None) -> DataFrame:
-    """Speed rows read off the log of window rows.
+    """Speed rows read off the log of window rows, which is read and ranked once.
 
+    Ticks take the posts of their window over a window's rows, one for each asset.
     With ``days``, a condition on ``event_day``, the first row of that range has
     no predecessor and its change is 0.
     """
     windows = latest(spark, log, WINDOW_SCHEMA, WINDOW_KEY, days)
-    ticks = windows.filter("kind = 'tick'").select("symbol", "window_start", "timestamp", "bitcoin_price")
-    posts = windows.filter("kind = 'post'").select("window_start", "posts_last_5_minutes", *AVERAGES)
-    return with_change(join_posts(ticks, posts))
+    names = ["posts_last_5_minutes", *AVERAGES]
+    is_post = F.col("kind") == "post"
+    of_window = Window.partitionBy("window_start")
+    posts = {name: F.max(F.when(is_post, F.col(name))).over(of_window) for name in names}
+    return with_change(with_defaults(windows.withColumns(posts).filter(~is_post)))
+
+
+def change_view(spark: SparkSession, log: str, days: Column | None = None) -> DataFrame:
+    """Live change of each asset against its window before, open windows included."""
+    ticks = latest(spark, log, PRICE_SCHEMA, ["symbol", "window_start"], days)
+    return with_change(ticks)
 
 
 def post_counts(
@@ -93,55 +97,14 @@ def running_means(scored: DataFrame) -> DataFrame:
     return scored.groupBy().agg(*mean_scores(F.col("sentiment")))
 
 
-def closed_windows(ticks: DataFrame, watermark: str = WATERMARK, minutes: int = WINDOW_MINUTES) -> DataFrame:
-    """Newest tick per asset and window, for windows the watermark has passed."""
+def price_windows(ticks: DataFrame, watermark: str = WATERMARK, minutes: int = WINDOW_MINUTES) -> DataFrame:
+    """Newest readable price per asset and window. In update mode open windows appear at once."""
     windows = (
         ticks.withWatermark("last_updated", watermark)
         .groupBy(F.window("last_updated", f"{minutes} minutes"), "symbol")
         .agg(
             F.max("last_updated").alias("timestamp"),
-            F.max_by("price_usd", "last_updated").alias("bitcoin_price"),
+            newest("price_usd", "last_updated").alias("bitcoin_price"),
         )
     )
     return windows.select("symbol", F.col("window.start").alias("window_start"), "timestamp", "bitcoin_price")
-
-
-class PriceChange(StatefulProcessor):
-    """Keeps the last price of an asset and adds the change against it.
-
-    Windows of one asset close in time order, so only those of one micro-batch
-    have to be sorted: one row per window, never single ticks.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        price = T.StructType([T.StructField("price", T.DoubleType())])
-        self._last = handle.getValueState("last_price", price)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self._last.get() if self._last.exists() else None
-        last = held[0] if held else None
-        for row in sorted(rows, key=lambda r: r["window_start"]):
-            price = row["bitcoin_price"]
-            change = (price - last) / last * 100 if last and price is not None else 0.0
-            yield Row(
-                symbol=row["symbol"],
-                window_start=row["window_start"],
-                timestamp=row["timestamp"],
-                bitcoin_price=price,
-                change_from_kafka=change,
-            )
-            last = price
-        self._last.update((last,))
-
-    def close(self) -> None:
-        pass
-
-
-def changes(windows: DataFrame) -> DataFrame:
-    """Live change against the previously closed window of the same asset."""
-    return windows.groupBy("symbol").transformWithState(
-        statefulProcessor=PriceChange(),
-        outputStructType=CHANGE_SCHEMA,
-        outputMode="Append",
-        timeMode="None",
-    )
