@@ -28,6 +28,32 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
+def skewed_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, floor: int = 1000, share: float = 1e-5
+) -> DataFrame:
+    """Join on keys of which some may have a large part of the left rows.
+
+    Keys with more than ``floor`` rows and ``share`` of all are split into parts of about
+    that size, and their right rows repeated for each. At most 1 / share keys are split,
+    whatever the input, so their list is broadcast.
+    """
+    bound = max(floor, share * left.count())
+    hot = (
+        left.groupBy(*keys)
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > bound)
+        .select(*keys, F.ceil(F.col("n") / bound).cast("int").alias("_parts"))
+    )
+    row = F.monotonically_increasing_id()
+    no_key = F.greatest(*[F.col(key).isNull().cast("int") for key in keys], F.lit(0)) == 1
+    # Rows with a null key meet nothing and go anywhere.
+    part = F.when(no_key, F.pmod(row, F.lit(1 << 20))).otherwise(F.pmod(row, F.coalesce("_parts", F.lit(1))))
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("_part", part.cast("int")).drop("_parts")
+    last = F.coalesce("_parts", F.lit(1)) - 1
+    copies = right.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.join(copies.drop("_parts"), [*keys, "_part"], how).drop("_part")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by files in the shared folder."""
     spark = df.sparkSession

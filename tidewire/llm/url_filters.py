@@ -7,9 +7,8 @@ active when it was fetched: its host, the domains above it and the leading parts
 its path are looked up by equality, and the interval must hold the fetch time. An
 allow rule outweighs block rules that are less specific.
 
-Captures with one URL and time are looked up once. Look-up keys are salted in
-``SALTS`` ways, so that a host with a third of all captures is spread over as many
-tasks; the list, which is the smaller side, is repeated for each.
+Captures with one URL and time are looked up once. A host, or a capture, with a large
+part of all rows is split into parts, and its few list entries are repeated for each.
 
 Defined results
 - A null, empty or unreadable URL has no keys, and a null time meets no interval:
@@ -25,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
+from tidewire.llm.common import skewed_join
+
 PATH_DEPTH = 3
 ALLOW = "allow"
 
@@ -90,14 +90,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, url_col: str, time_col: st
         F.col(time_col).alias("at"),
     )
     asked = given.select("url", "at").distinct()
-    looked_up = (
-        asked.withColumn("salt", F.pmod(F.xxhash64("url", "at"), F.lit(SALTS)).cast("int"))
-        .select("url", "at", "salt", F.explode(keys_of(F.col("url"))).alias("rule"))
-    )
-    rules = intervals(entries).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    active = looked_up.join(rules, ["salt", "rule"]).filter(
+    looked_up = asked.select("url", "at", F.explode(keys_of(F.col("url"))).alias("rule"))
+    active = skewed_join(looked_up, intervals(entries), ["rule"], "inner").filter(
         (F.col("at") >= F.col("valid_from"))
         & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to")))
     )
@@ -119,12 +113,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, url_col: str, time_col: st
             (F.col("block").isNotNull() & (F.col("block") > F.coalesce("allow", F.lit(-1)))).alias("blocked"),
         )
     )
-    # Rows are salted by their task, so that many captures alike do not meet in one.
-    left = given.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).alias("g")
-    right = verdicts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).alias("v")
-    # Null URLs and times are in no verdict, so plain equality does.
-    same = [F.col(f"g.{name}") == F.col(f"v.{name}") for name in ("salt", "url", "at")]
-    return left.join(right, same, "left").select(
+    return skewed_join(given, verdicts, ["url", "at"], "left").select(
         "row",
         F.coalesce("n_active", F.lit(0).cast("bigint")).alias("n_active"),
         F.coalesce("categories", F.lit("")).alias("categories"),
