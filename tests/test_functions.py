@@ -114,13 +114,16 @@ def test_python_functions_travel_without_the_package(tmp_path):
     import sys
 
     from pyspark import cloudpickle
+    from tidewire.catalog.market import _load_mean_model
     from tidewire.catalog.social import _load_length_model
-    from tidewire.streaming.speed import PriceChange
 
-    (tmp_path / "dump").write_bytes(cloudpickle.dumps((PriceChange(), _load_length_model)))
-    code = "import pickle; p, f = pickle.load(open('dump', 'rb')); print(type(p).__name__, len(f()(__import__('pandas').Series(['abc']))))"
+    (tmp_path / "dump").write_bytes(cloudpickle.dumps((_load_mean_model, _load_length_model)))
+    code = (
+        "import pickle, numpy, pandas; m, f = pickle.load(open('dump', 'rb'));"
+        "print(m()(numpy.ones((1, 5, 1))).shape[0], len(f()(pandas.Series(['abc']))))"
+    )
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
-    assert run.stdout.split() == ["PriceChange", "1"], run.stderr
+    assert run.stdout.split() == ["1", "1"], run.stderr
 
 
 def test_constant_scorer(spark):
