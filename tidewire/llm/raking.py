@@ -20,7 +20,8 @@ Defined results
   sampled; targets of values without tokens are left out. Shares are scaled to 1.
 - Without targets a dimension's shares follow its tokens to the power ``flatness``.
 - A value whose target is more than it has gives all it has; the others of its
-  dimension share the rest.
+  dimension share the rest. Where targets of several dimensions can't be met
+  together, sweeps end once one of them brings little.
 - Documents without tokens weigh nothing; they have their cell's share like others.
 - A null id is drawn as the text ``null``. Rows with one id are kept or left together.
 - An empty table gives no rows.
@@ -38,6 +39,8 @@ FLATNESS = 0.9
 KEPT_SHARE = 0.6
 MAX_SWEEPS = 40
 TOLERANCE = 1e-9
+# A sweep that leaves more than this of the largest error before it is the last.
+STALL = 0.8
 SALTS = 16
 # Up to this number, cells go to the documents; beyond, documents are shuffled.
 BROADCAST_CELLS = 100_000
@@ -117,6 +120,7 @@ def rake(
     unwanted = F.greatest(*[F.col(f"{dim}_goal").isNull().cast("int") for dim in dims], F.lit(0)) == 1
     fitted = checkpointed(fitted.withColumn("factor", F.when(unwanted, 0.0).otherwise(F.col("factor"))))
     mass = F.col("tokens") * F.least(F.lit(1.0), F.col("factor"))
+    before = float("inf")
     for _ in range(MAX_SWEEPS):
         off = [f"{dim}_off" for dim in dims]
         for dim in dims:
@@ -130,8 +134,9 @@ def rake(
         fitted = checkpointed(fitted)
         worst = fitted.filter("factor > 0").agg(F.max(F.greatest(*off, F.lit(0.0))).alias("off")).first()["off"]
         fitted = fitted.drop(*off)
-        if (worst or 0.0) < TOLERANCE:
+        if (worst or 0.0) < TOLERANCE or worst > STALL * before:
             break
+        before = worst
     return fitted.select(*cells.columns, F.least(F.lit(1.0), F.col("factor")).alias("share"))
 
 
