@@ -19,7 +19,7 @@ Defined results
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -87,7 +87,22 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 Vector = tuple[np.ndarray, np.ndarray]
 
 
-def ftrl(rows: list[Vector], labels: np.ndarray, classes: int) -> np.ndarray:
+class _Vectors(Sequence):
+    """Unit vectors with a bias, made from the sample's bytes when they are asked for."""
+
+    def __init__(self, rows: list, idf: np.ndarray) -> None:
+        self.rows, self.idf = rows, idf
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> Vector:
+        at = np.frombuffer(self.rows[i]["grams"], np.int32).astype(np.int64)
+        x = np.frombuffer(self.rows[i]["tf"], np.float32) * self.idf[at]
+        return np.append(at, WIDTH), np.append(x / np.sqrt(x @ x), 1.0)
+
+
+def ftrl(rows: Sequence[Vector], labels: np.ndarray, classes: int) -> np.ndarray:
     """Weights (WIDTH + 1) x classes; the last row is the bias, which has no L1 penalty."""
     z = np.zeros((WIDTH + 1, classes))
     n = np.zeros((WIDTH + 1, classes))
@@ -168,22 +183,18 @@ def train(docs: DataFrame) -> Model:
 
     quota = max(2, SAMPLE_DOCS // len(languages))
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, quota / sizes[lang]))])
-    sample = known.filter(F.col("draw") < F.element_at(share, F.col("lang")))
+    # The draw follows the id; rows that repeat one are bounded by the limit.
+    sample = known.filter(F.col("draw") < F.element_at(share, F.col("lang"))).limit(4 * SAMPLE_DOCS)
     rows = sample.select("lang", "text").mapInArrow(_features, "lang string, grams binary, tf binary").collect()
     rows.sort(key=lambda row: (row["lang"], row["grams"], row["tf"]))
-    vectors, labels = [], []
-    for row in rows:
-        at = np.frombuffer(row["grams"], np.int32).astype(np.int64)
-        x = np.frombuffer(row["tf"], np.float32) * idf[at]
-        vectors.append((np.append(at, WIDTH), np.append(x / np.sqrt(x @ x), 1.0)))
-        labels.append(languages.index(row["lang"]))
-    labels = np.array(labels, np.int64)
+    labels = np.array([languages.index(row["lang"]) for row in rows], np.int64)
     fit = [i for i in range(len(rows)) if i % 5]
     if len(set(labels[fit])) < len(set(labels)):
         fit = list(range(len(rows)))
-    weights = ftrl([vectors[i] for i in fit], labels[fit], len(languages))
+    weights = ftrl(_Vectors([rows[i] for i in fit], idf), labels[fit], len(languages))
     apart = sorted(set(range(len(rows))) - set(fit))
-    scores = np.array([vectors[i][1] @ weights[vectors[i][0]] for i in apart]).reshape(len(apart), -1)
+    held = _Vectors([rows[i] for i in apart], idf)
+    scores = np.array([x @ weights[at] for at, x in held]).reshape(len(apart), -1)
     return Model(
         languages,
         (weights[:WIDTH] * idf[:, None]).astype(np.float32),
