@@ -1,8 +1,8 @@
 """Quality rules: base counts, and distribution divergence from language references.
 
 A document's histograms of character classes and of common words are compared with
-references of the languages in the table by Jensen-Shannon distance; its best match
-counts. References cover every row: class counts are summed by language, and common
+references of the languages in the table by Jensen-Shannon distance: with its own
+language's, and with all if it is not near that or has none. References cover every row: class counts are summed by language, and common
 words, those with at least ``COMMON_SHARE`` of a language's words, are found exactly
 in two passes. The first counts words by hash bucket, so its state has a fixed size;
 only words from buckets that hold the share can have it themselves, and the second
@@ -18,7 +18,7 @@ base rules alone.
 
 Defined results
 - A null text has no words; it fails the base rules like an empty one.
-- A null language, or a wrong one, does not matter: the best match over all
+- A null language, or a wrong one, does not matter: then the best match over all
   references counts.
 - Repeated rows each have their row, and count in the references each.
 - An empty table has no rows and no references.
@@ -27,6 +27,7 @@ Defined results
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ COMMON_SHARE = 0.002
 LANGUAGE_SHARE = 0.005
 REFERENCE_WORDS = 2000
 BUCKETS = 4096
+# Windows found again that are searched for one by one.
+FEW = 64
 # Limits of the Jensen-Shannon distances (0 to 1). That of words is wider for short
 # texts by a share of 1 / sqrt(words), as sampling alone takes a histogram that far.
 MAX_CLASS_DISTANCE = 0.26
@@ -49,33 +52,46 @@ WORD_DISTANCE_SLACK = 1.5
 CLASSES = ("lower", "space", "upper", "digit", "letter", "stop", "other")
 
 
-def n_repeat_words(words: Column) -> Column:
-    """Words that lie in a 3-word window found twice or more."""
-    windows = F.transform(words, lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)))
-    windows = F.slice(windows, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0)))
+def window_hashes(words: Column) -> Column:
+    """Hashes of the 3-word windows, in order."""
+    hashes = F.transform(words, lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)))
+    return F.slice(hashes, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0)))
 
-    def covered(hashes: Column) -> Column:
-        def of_sorted(order: Column) -> Column:
-            again = F.filter(
-                order,
-                lambda x, j: F.coalesce(x["h"] == F.get(order, j - 1)["h"], F.lit(False))
-                | F.coalesce(x["h"] == F.get(order, j + 1)["h"], F.lit(False)),
-            )
-            starts = F.sort_array(F.transform(again, lambda x: x["i"]))
-            return F.aggregate(
-                starts,
-                F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("n")),
-                lambda acc, p: F.struct(
-                    p.alias("last"), (acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n")
-                ),
-                lambda acc: acc["n"],
-            )
 
-        order = F.sort_array(F.transform(hashes, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        distinct = F.size(F.array_distinct(hashes)) == F.size(hashes)
-        return F.when(distinct, F.lit(0).cast("bigint")).otherwise(let(order, of_sorted))
+def found_again(hashes: Column, in_order: Column) -> Column:
+    """The hashes found twice or more; null if there are none."""
+    again = F.array_distinct(F.filter(in_order, lambda x, i: F.coalesce(x == F.get(in_order, i + 1), F.lit(False))))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), again)
+
+
+def n_repeat_words(hashes: Column, again: Column) -> Column:
+    """Words that lie in a window found twice or more."""
+
+    def covered(starts: Column) -> Column:
+        start = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("n"))
+
+        def add(acc: Column, p: Column) -> Column:
+            return F.struct(p.alias("last"), (acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n"))
+
+        return F.aggregate(starts, start, add, lambda acc: acc["n"])
 
-    return let(windows, covered)
+    def sorted_starts(order: Column) -> Column:
+        def same(x: Column, j: Column) -> Column:
+            return F.coalesce(x["h"] == F.get(order, j)["h"], F.lit(False))
+
+        twice = F.filter(order, lambda x, j: same(x, j - 1) | same(x, j + 1))
+        return F.sort_array(F.transform(twice, lambda x: x["i"]))
+
+    # A search for each window serves while few are found again, a sort beyond.
+    few = F.filter(
+        F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: F.array_contains(again, F.get(hashes, i))
+    )
+    order = F.sort_array(F.transform(hashes, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    return (
+        F.when(again.isNull(), F.lit(0).cast("bigint"))
+        .when(F.size(again) <= FEW, covered(few))
+        .otherwise(covered(let(order, sorted_starts)))
+    )
 
 
 def class_counts(text: Column) -> Column:
@@ -164,30 +180,32 @@ def _part(p: Column, q: Column) -> Column:
     return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(F.lit(0.0))
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-
-
 def _distance(divergence: Column) -> Column:
     return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
+def _least(values: list[Column]) -> Column:
+    return F.least(*values) if len(values) > 1 else values[0]
+
+
 def class_distance(counts: Column, shares: list[list[float]]) -> Column:
     """Least Jensen-Shannon distance of class counts from the references' shares."""
-    known = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in shares])
+    kinds = range(len(CLASSES))
+    total = F.greatest(reduce(Column.__add__, [counts[i] for i in kinds]), F.lit(1.0))
 
-    def to(p: Column, q: Column) -> Column:
-        return _distance(_total(F.zip_with(p, q, lambda a, b: (_part(a, b) + _part(b, a)) / 2)))
+    def to(share: list[float]) -> Column:
+        pairs = [(counts[i] / total, F.lit(float(share[i]))) for i in kinds]
+        return _distance(reduce(Column.__add__, [_part(p, q) + _part(q, p) for p, q in pairs]) / 2)
 
-    def least(total: Column) -> Column:
-        share = F.transform(counts, lambda x: x / total)
-        return let(share, lambda p: F.array_min(F.transform(known, lambda q: to(p, q))))
+    return _least([to(share) for share in shares])
 
-    return let(F.greatest(_total(counts), F.lit(1.0)), least)
 
+def word_distance(words: Column, shares: list[dict[str, float]], own: Column, limit: Column) -> Column:
+    """Jensen-Shannon distance of words from a reference's common words and the rest.
 
-def word_distance(words: Column, shares: list[dict[str, float]]) -> Column:
-    """Least Jensen-Shannon distance of words from the references' common words and the rest."""
+    That is the reference number ``own`` if the words are within ``limit`` of it, else
+    the nearest one.
+    """
     vocabulary = sorted(set().union(*shares))
     if not vocabulary:
         return F.lit(None).cast("double")
@@ -231,7 +249,9 @@ def word_distance(words: Column, shares: list[dict[str, float]]) -> Column:
 
             return F.aggregate(seen, start, add, end)
 
-        return F.array_min(F.transform(totals, to))
+        first = F.when(own.isNotNull(), to(F.get(totals, own), own))
+        nearest = F.array_min(F.transform(totals, to))
+        return let(first, lambda d: F.when(d <= limit, d).otherwise(nearest))
 
     return let(words, of_words)
 
@@ -244,42 +264,56 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
         F.col(lang_col).alias("lang"),
     )
     known = references(given.select("text", "lang"))
-    classes = [known[lang][0] for lang in sorted(known)]
-    commons = [known[lang][1] for lang in sorted(known)]
+    names = sorted(known)
+    lang = F.col("lang")
+    own = F.lit(None).cast("int")
+    for i, name in enumerate(names):
+        own = F.when(lang == name, i).otherwise(own)
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
-    counted = given.select(
-        "row",
-        "lang",
-        words_of(F.col("text")).alias("words"),
-        F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
-        (class_distance(class_counts(F.col("text")), classes) if known else F.lit(None).cast("double")).alias(
-            "class_distance"
-        ),
-        word_distance(plain_words(F.col("text")), commons).alias("word_distance")
-        if known
-        else F.lit(None).cast("double").alias("word_distance"),
-    ).select(
-        "row",
-        "lang",
-        F.size("words").cast("bigint").alias("n_words"),
-        F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
-        "n_symbols",
-        "n_dup_lines",
-        let(F.col("words"), n_repeat_words).alias("n_repeat_words"),
-        "class_distance",
-        "word_distance",
+    limit = MAX_WORD_DISTANCE + WORD_DISTANCE_SLACK / F.sqrt(F.greatest("n_words", F.lit(1)))
+    nothing = F.lit(None).cast("double")
+    # Columns that are used several times are selected first, to be computed once.
+    counted = (
+        given.select(
+            "row",
+            "text",
+            "lang",
+            words_of(F.col("text")).alias("words"),
+            class_counts(F.col("text")).alias("classes"),
+            F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
+            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
+        )
+        .withColumn("n_words", F.size("words").cast("bigint"))
+        .withColumn("word_chars", F.char_length(F.array_join("words", "")).cast("bigint"))
+        .withColumn("hashes", window_hashes(F.col("words")))
+        .withColumn("in_order", F.sort_array("hashes"))
+        .withColumn("again", found_again(F.col("hashes"), F.col("in_order")))
+        .withColumn("n_repeat_words", n_repeat_words(F.col("hashes"), F.col("again")))
+        .withColumn("class_distance", class_distance(F.col("classes"), [known[n][0] for n in names]) if known else nothing)
+        .withColumn("limit", limit)
+        .withColumn(
+            "word_distance",
+            word_distance(plain_words(F.col("text")), [known[n][1] for n in names], own, F.col("limit"))
+            if known
+            else nothing,
+        )
     )
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
-    no_reference = F.col("lang").isNotNull() & ~F.col("lang").isin(*known) if known else F.lit(True)
-    limit = MAX_WORD_DISTANCE + WORD_DISTANCE_SLACK / F.sqrt(F.greatest("n_words", F.lit(1)))
+    no_reference = lang.isNotNull() & ~lang.isin(*names) if known else F.lit(True)
     near = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (
-        F.coalesce("word_distance", F.lit(0.0)) <= limit
+        F.coalesce("word_distance", F.lit(0.0)) <= F.col("limit")
     )
     return counted.withColumn("base_failed", failed).select(
-        *[name for name in counted.columns if name != "lang"],
+        "row",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "class_distance",
+        "word_distance",
         "base_failed",
         (~F.col("base_failed") & (no_reference | near)).alias("kept"),
     )

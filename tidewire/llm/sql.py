@@ -92,9 +92,15 @@ ref_totals AS (SELECT lang AS ref, sum(q) AS total FROM common GROUP BY lang),
 rests AS (
   SELECT rid, coalesce(d, 0) AS d, total - coalesce(q, 0) AS missing, 1 - coalesce(p, 0) AS p, 1 - total AS q
   FROM docs JOIN ref_totals ON true LEFT JOIN matched USING (rid, ref)),
+near_words AS (
+  SELECT rid, ref, sqrt(greatest((d + missing + {_part('p', 'q')} + {_part('q', 'p')}) / 2, 0)) AS d FROM rests),
 word_distances AS (
-  SELECT rid, min(sqrt(greatest((d + missing + {_part('p', 'q')} + {_part('q', 'p')}) / 2, 0))) AS word_distance
-  FROM rests GROUP BY rid),
+  SELECT rid, coalesce(max(CASE WHEN ref = lang AND d <= max_distance THEN d END), min(d)) AS word_distance
+  FROM near_words JOIN (
+    SELECT rid, lang, {quality.MAX_WORD_DISTANCE} + {quality.WORD_DISTANCE_SLACK} / sqrt(greatest(len(words), 1))
+      AS max_distance
+    FROM based) USING (rid)
+  GROUP BY rid),
 features AS (
   SELECT doc_id, lang, len(words) AS n_words,
          CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
