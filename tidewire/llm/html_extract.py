@@ -18,6 +18,7 @@ Defined results
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -121,7 +122,9 @@ class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, dropped, link, region
+        # tag, dropped, link, region; inline elements that change none of these are left out.
+        self.open: list[tuple[str, bool, bool, int]] = []
+        self.depth: Counter[str] = Counter()
         self.parts: list[str] = []
         self.link_chars = 0
         self.heading = False
@@ -138,10 +141,19 @@ class _Reader(HTMLParser):
             self.blocks.append(Block(text, self.link_chars, region, self.heading, dropped))
         self.parts, self.link_chars, self.heading, self.breaks = [], 0, False, 0
 
-    def _close(self, at: int) -> None:
-        self._flush()
+    def _cut(self, at: int) -> None:
+        self.depth.subtract(tag for tag, *_ in self.open[at:])
         del self.open[at:]
 
+    def _end_open(self, tags: tuple[str, ...]) -> None:
+        """Close the nearest of ``tags`` that no block stands around."""
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] in tags:
+                self._cut(at)
+                return
+            if self.open[at][0] in WALLS:
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
             if tag == "br":
@@ -155,19 +167,15 @@ class _Reader(HTMLParser):
         if tag in BLOCK:
             self._flush()
             # A paragraph ends where the next block begins, a list item at the next item.
-            ends = ("p", *HEADINGS) if tag not in ("li", "dt", "dd") else (tag, "p")
-            for at in range(len(self.open) - 1, -1, -1):
-                if self.open[at][0] in ends:
-                    del self.open[at:]
-                    break
-                if self.open[at][0] in WALLS:
-                    break
+            self._end_open(("p", *HEADINGS) if tag not in ("li", "dt", "dd") else (tag, "p"))
             if tag in ARTICLE:
                 # An article does not stand in a menu, header or footer that was left open.
                 while self.open and self.open[-1][0] in ("nav", "header", "footer"):
-                    self.open.pop()
+                    self._cut(len(self.open) - 1)
         elif tag in ("td", "th"):
             self.parts.append(" ")
+        elif tag == "a":
+            self._end_open(("a",))
         dropped, link, region = self._state()
         named = {name: value or "" for name, value in attrs}
         if tag in ARTICLE and not region:
@@ -189,7 +197,10 @@ class _Reader(HTMLParser):
             dropped = dropped or "comment" in named.get("class", "").lower()
         if dropped and tag not in DROPPED and not self._state()[0]:
             self._flush()
-        self.open.append((tag, dropped, link or tag == "a", region))
+        state = (dropped, link or tag == "a", region)
+        if tag in WALLS or state != self._state():
+            self.open.append((tag, *state))
+            self.depth[tag] += 1
         if tag in HEADINGS:
             self.heading = True
 
@@ -199,21 +210,18 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in BLOCK:
+            self._flush()
+        if not self.depth[tag]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                if tag in DROPPED:
-                    del self.open[at:]
-                elif tag in BLOCK or self.open[at][1] != (self.open[at - 1][1] if at else False):
-                    self._close(at)
-                elif any(name in BLOCK for name, *_ in self.open[at:]):
-                    pass  # an inline end tag does not close the blocks within
-                else:
-                    del self.open[at:]
-                return
-            if tag not in BLOCK and self.open[at][0] in WALLS:
+                if tag not in DROPPED and self.open[at][1] != (self.open[at - 1][1] if at else False):
+                    self._flush()
+                self._cut(at)
                 return
-        if tag == "p":
-            self._flush()
+            if tag not in BLOCK and tag not in DROPPED and self.open[at][0] in WALLS:
+                return  # an inline end tag does not close the blocks within
 
     def handle_data(self, data: str) -> None:
         dropped, link, _ = self._state()
