@@ -90,7 +90,7 @@ matched AS (
   FROM seen GROUP BY rid, ref),
 ref_totals AS (SELECT lang AS ref, sum(q) AS total FROM common GROUP BY lang),
 rests AS (
-  SELECT rid, coalesce(d, 0) AS d, total - coalesce(q, 0) AS missing, 1 - coalesce(p, 0) AS p, 1 - total AS q
+  SELECT rid, ref, coalesce(d, 0) AS d, total - coalesce(q, 0) AS missing, 1 - coalesce(p, 0) AS p, 1 - total AS q
   FROM docs JOIN ref_totals ON true LEFT JOIN matched USING (rid, ref)),
 near_words AS (
   SELECT rid, ref, sqrt(greatest((d + missing + {_part('p', 'q')} + {_part('q', 'p')}) / 2, 0)) AS d FROM rests),
