@@ -305,11 +305,7 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
     near = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (
         F.coalesce("word_distance", F.lit(0.0)) <= F.col("limit")
     )
-    # A filter on the result must not reach below this selection: every step of the
-    # counts would be written out again within the condition.
-    always = F.monotonically_increasing_id() >= 0
-    return counted.withColumn("base_failed", failed).select(
-        "row",
+    verdict = F.struct(
         "n_words",
         "word_chars",
         "n_symbols",
@@ -317,6 +313,15 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
         "n_repeat_words",
         "class_distance",
         "word_distance",
-        F.when(always, F.col("base_failed")).alias("base_failed"),
+        "base_failed",
         (~F.col("base_failed") & (no_reference | near)).alias("kept"),
     )
+    # A filter on the result must not reach below this selection: every step of the
+    # counts would be written out again within the condition. An expression that Spark
+    # does not take for deterministic keeps it above.
+    always = F.monotonically_increasing_id() >= 0
+    return (
+        counted.withColumn("base_failed", failed)
+        .select("row", F.when(always, verdict).alias("verdict"))
+        .select("row", "verdict.*")
+    )
