@@ -37,7 +37,7 @@ from tidewire.llm.common import WORD, checkpointed
 NONE = "(none)"
 FLATNESS = 0.9
 KEPT_SHARE = 0.6
-MAX_SWEEPS = 40
+MAX_SWEEPS = 12
 TOLERANCE = 1e-9
 # A sweep that leaves more than this of the largest error before it is the last.
 STALL = 0.8
