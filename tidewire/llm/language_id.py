@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 ORDERS = (1, 2, 3)
 BITS = 16
 WIDTH = 1 << BITS
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 1000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.001
 UNKNOWN = "und"
