@@ -1,3 +1,7 @@
+import collections
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +72,43 @@ def test_edge_rows(spark, documents):
     assert raking.mix(docs.limit(0), {"lang": F.col("lang")}).count() == 0
     empty = raking.mix(docs.filter("text is null or text = ''"), {"lang": F.col("lang")}, kept_share=0.3)
     assert {row["share"] for row in empty.collect()} == {0.3}
+
+
+def sparse_tables(count):
+    """Skewed sparse (cells, kept share, targets): targets are the margins of shares below 1."""
+    rng = random.Random(9)
+    for _ in range(count):
+        rows, kept, total = [], 0.0, 0
+        wanted = {dim: collections.Counter() for dim in DIMS}
+        one, two = ([rng.lognormvariate(0, 1.5) for _ in range(6)] for _ in range(2))
+        for s, t, u in itertools.product(range(6), range(4), range(4)):
+            if rng.random() < 0.35:
+                tokens = int(rng.lognormvariate(5, 2) * (3 if s == 0 else 1)) + 1
+                part = tokens * min(1.0, 0.4 * one[s] * two[t])
+                rows.append((f"s{s}", f"l{t}", f"t{u}", 1, tokens))
+                kept, total = kept + part, total + tokens
+                for dim, value in zip(DIMS, rows[-1]):
+                    wanted[dim][value] += part
+        yield rows, kept / total, {dim: dict(of) for dim, of in wanted.items()}
+
+
+def test_targets_that_can_be_met_are_met(spark):
+    schema = "source string, lang string, topic string, docs bigint, tokens bigint"
+    for rows, kept_share, targets in sparse_tables(8):
+        raked = raking.rake(spark.createDataFrame(rows, schema), DIMS, kept_share, targets).collect()
+        for dim in DIMS:
+            got = collections.Counter()
+            for row in raked:
+                got[row[dim]] += row["tokens"] * row["share"]
+            assert dict(got) == pytest.approx(targets[dim], rel=1e-3)
+
+
+def test_sweeps_in_a_row_and_as_a_table_agree(spark, monkeypatch):
+    def shares():
+        cells = cells_of(spark)
+        raked = raking.rake(cells, DIMS, 0.2).collect()
+        return {tuple(row[dim] for dim in DIMS): row["share"] for row in raked}
+
+    in_row = shares()
+    monkeypatch.setattr(raking, "ROW_CELLS", 0)
+    assert shares() == pytest.approx(in_row, rel=1e-9)

@@ -8,9 +8,10 @@ sampled, so a cell counts with at most all its tokens, and what it cannot give g
 the other cells of its margins. Documents are then sampled by
 their cell's share, with a draw that depends on the id and the seed alone.
 
-Cells and factors stay tables: the sweeps join and sum cells, never documents, and
-each sweep's factors are checkpointed. Documents are read twice, to count and to
-sample. Their cells' shares are sent to them while these are few; beyond that the
+Sweeps go through cells, never documents. Up to ``ROW_CELLS`` cells are one row of
+arrays, and all sweeps one expression over it; beyond that, cells and factors stay
+tables, which are joined and summed, and each sweep's factors are checkpointed.
+Documents are read twice, to count and to sample. Their cells' shares are sent to them while these are few; beyond that the
 join on the cell is spread over ``SALTS`` parts, as one source may have a third of
 all rows. Only DataFrame functions are used.
 
@@ -20,8 +21,8 @@ Defined results
   sampled; targets of values without tokens are left out. Shares are scaled to 1.
 - Without targets a dimension's shares follow its tokens to the power ``flatness``.
 - A value whose target is more than it has gives all it has; the others of its
-  dimension share the rest. Where targets of several dimensions can't be met
-  together, sweeps end once one of them brings little.
+  dimension share the rest. Sweeps go on until all margins are met or, where targets
+  of several dimensions can't be met together, until the factors stand still.
 - Documents without tokens weigh nothing; they have their cell's share like others.
 - A null id is drawn as the text ``null``. Rows with one id are kept or left together.
 - An empty table gives no rows.
@@ -32,16 +33,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import WORD, checkpointed
+from tidewire.llm.common import WORD, checkpointed, let
 
 NONE = "(none)"
 FLATNESS = 0.9
 KEPT_SHARE = 0.6
-MAX_SWEEPS = 12
+MAX_SWEEPS = 1000
 TOLERANCE = 1e-9
-# A sweep that leaves more than this of the largest error before it is the last.
-STALL = 0.8
+# A sweep that changes no factor by more than this part of it is the last; factors
+# below NOTHING don't count.
+STILL = 1e-12
+NOTHING = 1e-15
 SALTS = 16
+# Up to this number, cells are swept in one row; beyond, as a table.
+ROW_CELLS = 5_000
 # Up to this number, cells go to the documents; beyond, documents are shuffled.
 BROADCAST_CELLS = 100_000
 # Factors stay within this range, where a target can't be met.
@@ -101,6 +106,100 @@ def _goals(
         full, level = now["n"], max(level, (budget - now["there"]) / now["w"])
 
 
+def _swept_in_row(fitted: DataFrame, dims: list[str]) -> DataFrame:
+    """``fitted`` (cells, factor and goals) after all sweeps, each over arrays in one row."""
+    at = F.struct(*dims, *[name for name in fitted.columns if name not in dims])
+    one = fitted.agg(F.sort_array(F.collect_list(at)).alias("cells"))
+    for dim in dims:
+        # The values of a dimension: each with its goal and the numbers of its cells.
+        numbered = F.transform("cells", lambda c, i: F.struct(c[dim].alias("v"), i.alias("i"), c[f"{dim}_goal"].alias("goal")))
+        one = one.withColumn("numbered", numbered).withColumn(
+            f"{dim}_values",
+            F.transform(
+                F.array_distinct(F.transform("numbered", lambda c: F.struct(c["v"], c["goal"]))),
+                lambda v: F.struct(
+                    v["goal"].alias("goal"),
+                    F.transform(F.filter("numbered", lambda c: c["v"] == v["v"]), lambda c: c["i"]).alias("at"),
+                    v["v"].alias("v"),
+                ),
+            ),
+        )
+        names = F.transform(f"{dim}_values", lambda v: v["v"])
+        place = F.transform("cells", lambda c: F.array_position(F.col("names"), c[dim]).cast("int") - 1)
+        one = one.withColumn("names", names).withColumn(f"{dim}_place", place).drop("names", "numbered")
+    one = one.withColumn("tokens", F.transform("cells", lambda c: c["tokens"].cast("double")))
+
+    def scaled(state: Column, dim: str) -> Column:
+        def scale(v: Column, masses: Column) -> Column:
+            given = F.aggregate(v["at"], F.lit(0.0), lambda total, i: total + F.get(masses, i))
+            return let(given, lambda g: F.when(g > 0, v["goal"] / g).otherwise(F.lit(1.0)))
+
+        def by(scales: Column) -> Column:
+            factors = F.transform(
+                state["factors"],
+                lambda x, i: F.least(x * F.get(scales, F.get(F.col(f"{dim}_place"), i)), F.lit(MOST)),
+            )
+            off = F.array_max(F.transform(scales, lambda x: F.abs(x - 1)))
+            return F.struct(factors.alias("factors"), F.greatest(state["off"], off).alias("off"))
+
+        masses = F.transform(
+            state["factors"], lambda x, i: F.get(F.col("tokens"), i) * F.least(F.lit(1.0), x)
+        )
+        scales = let(masses, lambda m: F.transform(f"{dim}_values", lambda v: scale(v, m)))
+        return let(scales, by)
+
+    def sweep(acc: Column) -> Column:
+        def end(state: Column) -> Column:
+            moved = F.transform(
+                state["factors"],
+                lambda x, i: F.when(x < NOTHING, 0.0).otherwise(F.abs(x / F.get(acc["factors"], i) - 1)),
+            )
+            done = (state["off"] < TOLERANCE) | (F.array_max(moved) < STILL)
+            return F.struct(state["factors"].alias("factors"), done.alias("done"))
+
+        def from_dim(state: Column, left: list[str]) -> Column:
+            return let(scaled(state, left[0]), lambda s: from_dim(s, left[1:])) if left else end(state)
+
+        start = F.struct(acc["factors"].alias("factors"), F.lit(0.0).alias("off"))
+        return let(start, lambda state: from_dim(state, dims))
+
+    first = F.struct(F.transform("cells", lambda c: c["factor"]).alias("factors"), F.lit(False).alias("done"))
+    factors = F.aggregate(
+        F.sequence(F.lit(1), F.lit(MAX_SWEEPS)),
+        first,
+        lambda acc, _: F.when(acc["done"], acc).otherwise(sweep(acc)),
+        lambda acc: acc["factors"],
+    )
+    # Checkpointed, so that the sweeps are not gone through again by every reader.
+    done = checkpointed(one.select(F.explode(F.arrays_zip("cells", factors.alias("factor"))).alias("x")))
+    return done.select("x.cells.*", F.col("x.factor").alias("new")).withColumn("factor", F.col("new")).drop("new")
+
+
+def _swept_as_table(fitted: DataFrame, dims: list[str]) -> DataFrame:
+    """``fitted`` (cells, factor and goals) after all sweeps, each by joins with the margins."""
+    mass = F.col("tokens") * F.least(F.lit(1.0), F.col("factor"))
+    for _ in range(MAX_SWEEPS):
+        off = [f"{dim}_off" for dim in dims]
+        fitted = fitted.withColumn("old", F.col("factor"))
+        for dim in dims:
+            scale = F.when(F.col("given") > 0, F.col(f"{dim}_goal") / F.col("given")).otherwise(F.lit(1.0))
+            fitted = (
+                fitted.join(fitted.groupBy(dim).agg(F.sum(mass).alias("given")), dim)
+                .withColumn(f"{dim}_off", F.abs(scale - 1))
+                .withColumn("factor", F.least(F.col("factor") * scale, F.lit(MOST)))
+                .drop("given")
+            )
+        fitted = checkpointed(fitted)
+        moved = F.when(F.col("factor") >= NOTHING, F.abs(F.col("factor") / F.col("old") - 1))
+        last = fitted.filter("factor > 0").agg(
+            F.max(F.greatest(*off, F.lit(0.0))).alias("off"), F.max(moved).alias("moved")
+        ).first()
+        fitted = fitted.drop(*off, "old")
+        if (last["off"] or 0.0) < TOLERANCE or (last["moved"] or 0.0) < STILL:
+            break
+    return fitted
+
+
 def rake(
     cells: DataFrame,
     dims: list[str],
@@ -119,25 +218,8 @@ def rake(
         fitted = fitted.join(goals.withColumnRenamed("goal", f"{dim}_goal"), dim, "left")
     unwanted = F.greatest(*[F.col(f"{dim}_goal").isNull().cast("int") for dim in dims], F.lit(0)) == 1
     fitted = checkpointed(fitted.withColumn("factor", F.when(unwanted, 0.0).otherwise(F.col("factor"))))
-    mass = F.col("tokens") * F.least(F.lit(1.0), F.col("factor"))
-    before = float("inf")
-    for _ in range(MAX_SWEEPS):
-        off = [f"{dim}_off" for dim in dims]
-        for dim in dims:
-            scale = F.when(F.col("given") > 0, F.col(f"{dim}_goal") / F.col("given")).otherwise(F.lit(1.0))
-            fitted = (
-                fitted.join(fitted.groupBy(dim).agg(F.sum(mass).alias("given")), dim)
-                .withColumn(f"{dim}_off", F.abs(scale - 1))
-                .withColumn("factor", F.least(F.col("factor") * scale, F.lit(MOST)))
-                .drop("given")
-            )
-        fitted = checkpointed(fitted)
-        worst = fitted.filter("factor > 0").agg(F.max(F.greatest(*off, F.lit(0.0))).alias("off")).first()["off"]
-        fitted = fitted.drop(*off)
-        if (worst or 0.0) < TOLERANCE or worst > STALL * before:
-            break
-        before = worst
-    return fitted.select(*cells.columns, F.least(F.lit(1.0), F.col("factor")).alias("share"))
+    swept = _swept_in_row if fitted.count() <= ROW_CELLS else _swept_as_table
+    return swept(fitted, dims).select(*cells.columns, F.least(F.lit(1.0), F.col("factor")).alias("share"))
 
 
 def mix(
