@@ -59,3 +59,61 @@ def test_every_rule_uses_known_sentences():
     names = {name for name, _ in licenses.SENTENCES}
     for _, sequence in licenses.RULES:
         assert set(sequence.split()) <= names
+
+
+SAMPLES = {
+    "apache2-ref": "Under the Apache License, Version 2.0",
+    "apache-comply": "You may not use this file except in compliance with the License",
+    "apache-copy": "You may obtain a copy of the License at this place",
+    "apache-warranty": "Unless required by applicable law or agreed to in writing, it comes as found",
+    "apache-limits": "See the License for the specific language governing limits",
+    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "mit-notice": "The above copyright notice and this permission notice shall be included in all copies",
+    "mit-ref": "Released under the MIT License",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose is granted",
+    "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "bsd-source": "Redistributions of source code must retain this",
+    "bsd-binary": "Redistributions in binary form must reproduce this",
+    "bsd-name": "Neither the name of the owner nor others may be used to endorse products",
+    "bsd-advert": "All advertising materials mentioning features or use of this software must display the following",
+    "bsd3-ref": "Distributed under the BSD 3-Clause terms",
+    "bsd2-ref": "Distributed under the BSD 2-Clause terms",
+    "bsd-ref": "Under a BSD-style license",
+    "agpl3-ref": "Released under the AGPL v3",
+    "lgpl3-ref": "Released under the LGPL v3",
+    "lgpl21-ref": "Released under the LGPL v2.1",
+    "lgpl2-ref": "GNU Library General Public License, version 2",
+    "gpl3-later": "GNU General Public License, version 3, or any later version",
+    "gpl2-later": "GNU General Public License, version 2, or any later version",
+    "gpl3-ref": "Released under the GPL, version 3",
+    "gpl2-ref": "Released under the GPL, version 2",
+    "gpl-ref": "Released under the GPL",
+    "mpl2-ref": "Mozilla Public License 2.0",
+    "epl2-ref": "Eclipse Public License 2.0",
+    "cc-by-nc-nd": "Attribution-NonCommercial-NoDerivatives 4.0 International",
+    "cc-by-nc-sa": "Attribution-NonCommercial-ShareAlike 4.0 International",
+    "cc-by-nc": "Attribution-NonCommercial 4.0 International",
+    "cc-by-nd": "Attribution-NoDerivatives 4.0 International",
+    "cc-by-sa": "Attribution-ShareAlike 4.0 International",
+    "cc0": "Given away as CC Zero",
+    "cc-by": "Creative Commons Attribution 4.0",
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "public-domain": "We place it in the public domain",
+    "rights-reserved": "All rights reserved",
+    "as-is": "It is provided as is",
+    "liability": "In no event shall the authors be liable",
+    "copyright": "Copyright 2020 Someone",
+}
+
+
+def test_every_known_sentence_and_rule_is_reached(documents):
+    assert set(SAMPLES) == set(dict(licenses.SENTENCES))
+    got = scan(documents, *[f"{text}." for text in SAMPLES.values()])
+    assert [sentences for sentences, _, _ in got] == list(SAMPLES)
+    texts = [". ".join(SAMPLES[name] for name in sequence.split()) + "." for _, sequence in licenses.RULES]
+    assert [found for _, found, _ in scan(documents, *texts)] == [name for name, _ in licenses.RULES]
+
+
+def test_original_bsd_licence(documents):
+    advert = f"{SAMPLES['bsd-advert']} acknowledgement: This product includes software. "
+    assert scan(documents, BSD.format(advert + NAME))[0][1] == "BSD-4-Clause"

@@ -20,11 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values. A sentence with one of these stems speaks of licensing.
+# Fixed values. A sentence with one of these stems speaks of licensing; so does every
+# sentence that one of SENTENCES fits.
 LICENCE_WORDS = (
     r"licen[sc]|copyright|copyleft|permission|warrant|redistribut|public domain"
     r"|free software|all rights reserved|creative commons|\bcc by\b|\bcc0\b"
-    r"|to endorse|\bas is\b|be liable"
+    r"|to endorse|\bas is\b|be liable|gpl|bsd [23] clause|cc zero|advertising materials"
+    r"|attribution (non ?commercial|no ?deriv|share ?alike)|unless required by applicable law|unencumbered software"
 )
 # Fixed values. Known sentences, as patterns on the normalised sentence; the first that fits counts.
 SENTENCES = (
@@ -63,8 +65,8 @@ SENTENCES = (
     ("cc-by-sa", r"\bcc by sa\b|attribution share ?alike"),
     ("cc0", r"\bcc0\b|cc zero"),
     ("cc-by", r"\bcc by\b|creative commons attribution"),
-    ("public-domain", r"(in|into|to) the public domain"),
     ("unlicense", r"free and unencumbered software released into|\bthe unlicense\b"),
+    ("public-domain", r"(in|into|to) the public domain"),
     ("rights-reserved", r"all rights reserved"),
     ("as-is", r"provided (by .* )?as is"),
     ("liability", r"in no event shall .* be liable"),
