@@ -83,3 +83,14 @@ def test_against_brute_force(spark):
         block = max([len(r) for r, c in active if c != "allow"], default=-1)
         want[i] = (len(active), ",".join(sorted({c for _, c in active})), block > allow)
     assert verdicts(spark, captures, entries) == want
+
+
+def test_rules_of_deep_paths(spark):
+    entries = [
+        ("h.org/a/b/c/d", "spam", "add", day(0)), ("h.org/a", "allow", "add", day(0)),
+        ("h.org/a/b/c/d/e/f", "allow", "add", day(0)),
+    ]
+    captures = [(f"http://h.org/{path}", day(1)) for path in ("a/b/c", "a/b/c/d", "a/b/c/d/e", "a/b/c/d/e/f/g")]
+    assert verdicts(spark, captures, entries) == {
+        0: (1, "allow", False), 1: (2, "allow,spam", True), 2: (2, "allow,spam", True), 3: (3, "allow,spam", False),
+    }

@@ -4,7 +4,7 @@ A list is a log of dated entries: at some time a rule is added to a category or
 removed from it. Entries become validity intervals, from each addition to the next
 entry of the same rule and category. Every capture is evaluated against the rules
 active when it was fetched: its host, the domains above it and the leading parts of
-its path are looked up by equality, and the interval must hold the fetch time. An
+its path, as many as the list's longest rule has, are looked up by equality, and the interval must hold the fetch time. An
 allow rule outweighs block rules that are less specific.
 
 Captures with one URL and time are looked up once. A host, or a capture, with a large
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.common import skewed_join
 
+# Path parts of the keys of a URL where no other depth is asked for; look-ups take the
+# depth from the list.
 PATH_DEPTH = 3
 ALLOW = "allow"
 
@@ -42,8 +44,11 @@ def path_of(url: Column) -> Column:
     return F.array_join(F.array_remove(F.split(path, "/"), ""), "/")
 
 
-def keys_of(url: Column) -> Column:
-    """Rules that may hold for a URL: domains as ``example.org``, prefixes as ``host/a/b``."""
+def keys_of(url: Column, depth: int = PATH_DEPTH) -> Column:
+    """Rules that may hold for a URL: domains as ``example.org``, prefixes as ``host/a/b``.
+
+    Prefixes have up to ``depth`` path parts.
+    """
     host, parts = host_of(url), F.split(path_of(url), "/")
     labels = F.split(host, r"\.")
     # From the whole host up to the domain of two labels.
@@ -52,7 +57,7 @@ def keys_of(url: Column) -> Column:
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     prefixes = F.transform(
-        F.sequence(F.lit(1), F.least(F.size(parts), F.lit(PATH_DEPTH))),
+        F.sequence(F.lit(1), F.least(F.size(parts), F.lit(max(depth, 1)))),
         lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")),
     )
     keys = F.when(path_of(url) == "", domains).otherwise(F.concat(domains, prefixes))
@@ -90,7 +95,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, url_col: str, time_col: st
         F.col(time_col).alias("at"),
     )
     asked = given.select("url", "at").distinct()
-    looked_up = asked.select("url", "at", F.explode(keys_of(F.col("url"))).alias("rule"))
+    longest = entries.agg(F.max(F.size(F.split("rule", "/")) - 1).alias("n")).first()["n"] or 0
+    looked_up = asked.select("url", "at", F.explode(keys_of(F.col("url"), longest)).alias("rule"))
     active = skewed_join(looked_up, intervals(entries), ["rule"], "inner").filter(
         (F.col("at") >= F.col("valid_from"))
         & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to")))
