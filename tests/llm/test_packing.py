@@ -84,3 +84,15 @@ def test_patterns_keep_every_piece(histogram):
 
 def test_short_pieces_fill_packs():
     assert sum(count for count, _ in packing.patterns({10: 100_000_000}, 2048)) == -(-100_000_000 // 204)
+
+
+def test_added_tokens_are_those_of_tokenizers(spark, documents):
+    tokenizer = Tokenizer.from_file(PATH)
+    encode = packing._with_added(PATH, packing._encoder(PATH)[0])
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    texts = ["plain text", *[f"a {token} b{token}{token}\n {token}" for token in added]]
+    assert added
+    for text in texts:
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    rows = list(enumerate(texts))
+    check(packing.pack(documents(*[(i, text, "en") for i, text in rows]), PATH).collect(), rows, packing.SIZE)

@@ -13,6 +13,7 @@ gathered as a whole, however many pieces have it.
 
 Defined results
 - A null or empty text is the one token ``end_id``.
+- Strings of added tokens in a text, such as special ones, are those tokens.
 - Repeated rows are documents of their own; pieces equal in every column may swap places.
 - Sequences have at most ``size`` tokens, offsets run from 0 without gaps.
 - An empty table gives no rows.
@@ -49,7 +50,7 @@ def _encoder(vocabulary: str, check_chars: int = 400):
     ``tiktoken`` applies the same merges to the same words several times faster. Its
     ranks are read from the vocabulary file itself, where ids follow the merges, and
     the ids of every batch's first text are compared with those of ``tokenizers``.
-    Strings of special tokens in a text are ordinary text.
+    Strings of special tokens in a text are ordinary text here; ``_with_added`` has them.
     """
     import tiktoken
     from tokenizers import Tokenizer
@@ -84,9 +85,26 @@ def _encoder(vocabulary: str, check_chars: int = 400):
     return encode, check
 
 
+def _with_added(vocabulary: str, encode):
+    """``encode``, with texts that hold an added token of the file sent to ``tokenizers``."""
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(vocabulary)
+    with open(vocabulary, encoding="utf-8") as file:
+        added = [token["content"] for token in json.load(file)["added_tokens"]]
+
+    def encode_all(text: str) -> list[int]:
+        if any(token in text for token in added):
+            return exact.encode(text, add_special_tokens=False).ids
+        return encode(text)
+
+    return encode_all
+
+
 def _pieces(vocabulary: str, size: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, check = _encoder(vocabulary)
+        encode = _with_added(vocabulary, encode)
         part = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         for batch in batches:
