@@ -15,6 +15,10 @@ CONTRACT = {
     "sequence_id:bigint offset:bigint",
     "op6_language_id": "doc_id:bigint held_out:boolean lang_pred:string score:double",
     "op7_simhash": "doc_id:bigint fingerprint:string component_id:bigint",
+    "op11_align": "doc_id:bigint n_a:bigint n_b:bigint n_groups:bigint n_links:bigint n_best:bigint "
+    "count_sum:bigint groups_sha256:string",
+    "op12_collocations": "lang:string rank:bigint phrase:string a:bigint l:bigint r:bigint n:bigint score:bigint",
+    "op13_shard": "doc_id:bigint size:bigint text_crc32:bigint law:string shard:int slot:bigint grown_shard:int",
 }
 
 
@@ -36,7 +40,7 @@ def test_columns_of_the_contract(spark, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op3_quality", "op9_mixing"])

@@ -7,12 +7,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm import (
+    alignment,
+    collocations,
     html_extract,
     language_id,
     licenses,
     packing,
     quality,
     raking,
+    sharding,
     simhash,
     sql,
     topk,
@@ -23,6 +26,7 @@ from tidewire.llm.common import table
 from tidewire.session import configure
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +120,25 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "sentences", "licenses", "n_unknown")
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    paths = public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES)
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    dealt = sharding.assign(table(spark, sf_dir, "documents"))
+    placed = sharding.slots(dealt.select("row.doc_id", "size", "text_crc32", "shard"))
+    law, grown = F.lit(sharding.LAW).alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_main_text": op2_main_text,
@@ -127,6 +150,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_licenses": op10_licenses,
+    "op11_align": op11_align,
+    "op12_collocations": op12_collocations,
+    "op13_shard": op13_shard,
 }
 
 SQL = {
@@ -135,4 +161,5 @@ SQL = {
     "op8_url_filter": sql.URL_FILTER,
     "op9_mixing": sql.MIXING,
     "op10_licenses": sql.LICENSES,
+    "op12_collocations": sql.COLLOCATIONS,
 }

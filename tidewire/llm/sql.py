@@ -259,3 +259,43 @@ FROM ids LEFT JOIN s{len(licenses.RULES)} USING (rid)
 
 
 LICENSES = _licence_sql()
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+grams AS (
+  SELECT lang, k, words[i:i + k - 1] AS words
+  FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM worded, range(1, 6) t(k))),
+counted AS (
+  SELECT lang, k, words, array_to_string(words, ' ') AS phrase, count(*) AS f
+  FROM grams GROUP BY lang, k, words),
+totals AS (SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE k >= 2 AND f >= 100),
+cuts AS (
+  SELECT lang, k, words, phrase, f AS a, unnest(range(1, k)) AS cut FROM candidates),
+cut_scores AS (
+  SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r, n,
+         CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[:cut], ' ') AND l.f >= 100
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[cut + 1:], ' ') AND r.f >= 100
+  JOIN totals t ON t.lang = c.lang),
+weakest AS (
+  SELECT * FROM cut_scores
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, max(f) AS longest
+  FROM (SELECT lang, words, f, m, unnest(range(1, k - m + 2)) AS i
+        FROM candidates, range(2, 5) t(m) WHERE m < k)
+  GROUP BY ALL)
+SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank,
+       w.phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM weakest w LEFT JOIN inside i ON i.lang = w.lang AND i.phrase = w.phrase
+WHERE longest IS NULL OR 100 * longest < 100 * a
+QUALIFY rank <= 2000
+"""
