@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -105,12 +106,17 @@ def test_groups_and_links_as_text(spark, documents):
 def test_windows_equal_shared_ends(text):
     aligner = _aligner()
     n_a, n_b, groups, links = aligner.align(text)
-    a, b = aligner.ids(text)
+    found = aligner.ids(text)
+    if found is None:
+        assert (n_a, n_b, groups, len(links)) == (0, 0, "", 0)
+        return
+    a, ends_a, b, ends_b = found
     assert (n_a, n_b) == (len(a), len(b))
-    shared = set(ends([aligner.bytes[0][i] for i in a])) & set(ends([aligner.bytes[1][i] for i in b]))
-    assert len(links) == len(shared) == (groups.count(";") + 1 if groups else 0)
-    if a:
-        assert aligner.window(tuple(a), tuple(b)) == (groups, links)
+    shared = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
+    assert len(links) == len(shared) == groups.count(";") + 1
+    assert aligner.groups(a, np.isin(ends_a, shared), b, np.isin(ends_b, shared))[0] == groups
+    # The windows again, now remembered or not.
+    assert aligner.align(text)[2] == groups
 
 
 _kept = []
@@ -123,13 +129,28 @@ def _aligner():
     return _kept[0]
 
 
-def test_another_encoder_where_the_fast_one_differs():
-    aligner = alignment.Aligner(A, B)
+def test_ids_equal_those_of_tokenizers(tokenizers):
+    aligner = _aligner()
+    points = [c for c in range(1, 0x30000, 11) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f" a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2  {chr(c)}'s" for c in points] + [" <|endoftext|> x"]
+    for text, want in zip(texts, tokenizers[0].encode_batch(texts, add_special_tokens=False)):
+        assert aligner.encode(text).tolist() == want.ids
 
-    def differs(text):
-        raise ValueError
 
-    aligner._check = differs
-    aligner.check("some text")
-    assert aligner.encode(" some text") == aligner.fast(" some text")
-    assert aligner.encode is not aligner.fast
+def test_another_encoder_where_the_fast_one_differs(monkeypatch):
+    aligner = alignment.Aligner(A, B)
+    aligner.check(" some text")
+    assert aligner.encode == aligner._fast
+    monkeypatch.setattr(aligner, "_fast", lambda text: aligner._exact(text)[:1])
+    aligner.check(" some text")
+    assert aligner.encode == aligner._exact
+    assert aligner.align("some text")[0] == 2
+
+
+def test_runs_of_look_ups(spark, documents, monkeypatch):
+    """Rows with more links than a run, and runs that end between rows."""
+    rows = [(i, "some words in a row " * (i % 5) * (40 if i == 7 else 1), "en") for i in range(40)]
+    want = found(alignment.align(documents(*rows), A, B))
+    monkeypatch.setattr(alignment, "BATCH_LINKS", 13)
+    assert found(alignment.align(documents(*rows), A, B)) == want
+    assert len(want) == 40

@@ -33,16 +33,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import skewed_join, written
-from tidewire.llm.packing import _encoder as byte_level_encoder
 from tidewire.session import run_folder
 
 # Different id pairs whose counts are sent to every worker: 34 MB.
 PAIRS = 1 << 21
 # Windows a task remembers before it starts anew, and the most ids of one that is
 # remembered; links in a batch of rows.
-KEEP_WINDOWS = 150_000
+KEEP_WINDOWS = 300_000
 KEEP_IDS = 64
-BATCH_LINKS = 1_000_000
+BATCH_LINKS = 500_000
+# Marks ids of the second tokenizer in a window.
+_SECOND = np.uint32(1 << 31)
+# Fixed: the word pattern of byte-level BPE.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 ALIGNED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups string, links array<bigint>"
 DIGEST = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links array<bigint>"
@@ -73,88 +76,137 @@ def piece_bytes(model) -> list[bytes]:
     ]
 
 
+class _Bytes:
+    """Bytes of ids: joined for a list of ids, and their ends."""
+
+    def __init__(self, names: list[bytes]):
+        self.flat = np.frombuffer(b"".join(names), np.uint8)
+        self.lengths = np.array([len(name) for name in names], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.spaced = np.array([name[:1] == b" " for name in names])
+
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        return np.cumsum(self.lengths[ids])
+
+    def joined(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        lengths = self.lengths[ids]
+        return self.flat[np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1])]
+
+
 class Aligner:
     """Both tokenizers, and the windows met so far."""
 
     def __init__(self, vocabulary_a: str, model_b: str, keep: int = KEEP_WINDOWS):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.fast, self._check = byte_level_encoder(vocabulary_a)
         self.exact = Tokenizer.from_file(vocabulary_a)
         self.exact.encode_special_tokens = True
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_b)
-        self.bytes = byte_level_bytes(vocabulary_a), piece_bytes(self.model)
-        self.lengths = tuple(np.array([len(x) for x in table]) for table in self.bytes)
-        self.spaced = tuple(np.array([x[:1] == b" " for x in table]) for table in self.bytes)
-        self.encode = self.fast
+        names = byte_level_bytes(vocabulary_a)
+        added = set(self.exact.get_added_tokens_decoder())
+        ranks = {name: i for i, name in enumerate(names) if name and i not in added}
+        # The same merges, several times faster; the first text of every batch is compared.
+        self.fast = tiktoken.Encoding("align", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a, self.b = _Bytes(names), _Bytes(piece_bytes(self.model))
+        # An id within its side of a group, as the last of A's side, as the last of B's.
+        self.width = max(len(self.a.lengths), len(self.b.lengths))
+        self.names = [f"{i}{mark}" for mark in ",|;" for i in range(self.width)]
+        self.encode = self._fast
         self.keep = keep
-        self.windows: dict[tuple, tuple[str, list[int]]] = {}
+        self.windows: dict[bytes, bytes] = {}
+
+    def _fast(self, text: str) -> np.ndarray:
+        return self.fast.encode_to_numpy(text, disallowed_special=())
+
+    def _exact(self, text: str) -> np.ndarray:
+        return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def check(self, text: str) -> None:
         """From the first text on which the fast encoder differs, the exact one is used."""
-        try:
-            self._check(text)
-        except ValueError:
-            self.encode = lambda text: self.exact.encode(text, add_special_tokens=False).ids
+        if not np.array_equal(self._fast(text), self._exact(text)):
+            self.encode = self._exact
 
-    def ids(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both tokenizers; none where one of them changes the text."""
+    def ids(self, text: str | None) -> tuple[np.ndarray, ...] | None:
+        """Ids of both tokenizers and their ends in bytes; None where one of them changes the text."""
         if not text:
-            return [], []
+            return None
         whole = " " + text
-        found = self.encode(whole), self.model.encode(text)
-        plain = whole.encode()
-        for ids, names in zip(found, self.bytes):
-            if b"".join(map(names.__getitem__, ids)) != plain:
-                return [], []
-        return found
-
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int]]:
-        """Groups and links of two id tuples with the same bytes."""
-        groups, links = [], []
-        i = j = end_a = end_b = first_a = first_b = 0
-        while i < len(a):
-            end_a += len(self.bytes[0][a[i]])
-            i += 1
-            while end_b < end_a:
-                end_b += len(self.bytes[1][b[j]])
-                j += 1
-            if end_a == end_b:
-                group = a[first_a:i], b[first_b:j]
-                groups.append("|".join(",".join(map(str, side)) for side in group))
-                links.append(a[i - 1] << 32 | b[j - 1])
-                first_a, first_b = i, j
-        return ";".join(groups), links
-
-    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        """Ends of the windows in both id lists."""
-        ends = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
-        marked = [end[:-1][spaced[ids[1:]]] for end, spaced, ids in zip(ends, self.spaced, (a, b))]
-        shared = np.intersect1d(*marked, assume_unique=True)
-        at = [np.searchsorted(end, shared) + 1 for end in ends]
-        return [*at[0].tolist(), len(a)], [*at[1].tolist(), len(b)]
-
-    def align(self, text: str | None) -> tuple[int, int, str, list[int]]:
+        plain = np.frombuffer(whole.encode(), np.uint8)
+        found = []
+        for ids, table in ((self.encode(whole), self.a), (np.array(self.model.encode(text), np.uint32), self.b)):
+            if not len(ids):
+                return None
+            ends = table.ends(ids)
+            if ends[-1] != len(plain) or not np.array_equal(table.joined(ids, ends), plain):
+                return None
+            found += [ids, ends]
+        return tuple(found)
+
+    def align(self, text: str | None) -> tuple[int, int, str, np.ndarray]:
         """(ids of A, ids of B, groups as text, links as a * 2^32 + b)."""
-        a, b = self.ids(text)
-        if not a:
-            return 0, 0, "", []
-        windows, groups, links = self.windows, [], []
-        i = j = 0
-        for end_a, end_b in zip(*self.cuts(np.array(a), np.array(b))):
-            key = tuple(a[i:end_a]), tuple(b[j:end_b])
-            found = windows.get(key)
-            if found is None:
-                found = self.window(*key)
-                if len(windows) >= self.keep:
-                    windows.clear()
-                if len(key[0]) + len(key[1]) <= KEEP_IDS:
-                    windows[key] = found
-            groups.append(found[0])
-            links += found[1]
-            i, j = end_a, end_b
-        return len(a), len(b), ";".join(groups), links
+        found = self.ids(text)
+        if found is None:
+            return 0, 0, "", np.empty(0, np.int64)
+        a, ends_a, b, ends_b = found
+        both, ends, sizes = self.windows_of(a, ends_a, b, ends_b)
+        last = self.look_up(both, ends, sizes)
+        of_b = both >= _SECOND
+        return len(a), len(b), *self.groups(a, last[~of_b], b, last[of_b])
+
+    def windows_of(self, a: np.ndarray, ends_a: np.ndarray, b: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Window by window the ids of A, then those of B with a mark; their ends; the windows' sizes."""
+        marked = (ends_a[:-1][self.a.spaced[a[1:]]], ends_b[:-1][self.b.spaced[b[1:]]])
+        anchors = np.intersect1d(*marked, assume_unique=True)
+        cut_a = np.append(np.searchsorted(ends_a, anchors) + 1, len(a))
+        cut_b = np.append(np.searchsorted(ends_b, anchors) + 1, len(b))
+        size_a, size_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
+        at_a = np.arange(len(a)) + np.repeat(cut_b - size_b, size_a)
+        at_b = np.arange(len(b)) + np.repeat(cut_a, size_b)
+        both, ends = np.empty(len(a) + len(b), np.uint32), np.empty(len(a) + len(b), np.int64)
+        both[at_a], both[at_b] = a, b | _SECOND
+        ends[at_a], ends[at_b] = ends_a, ends_b
+        return both, ends, size_a + size_b
+
+    def look_up(self, both: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """For every id of the windows, whether its token ends a group.
+
+        That follows from a window's ids, so it is computed for a window that is not
+        remembered and looked up by the ids from then on.
+        """
+        windows, packed = self.windows, both.tobytes()
+        bounds = [0, *(4 * np.cumsum(sizes)).tolist()]
+        keys = [packed[start:end] for start, end in zip(bounds, bounds[1:])]
+        found = list(map(windows.get, keys))
+        new = [i for i, known in enumerate(found) if known is None]
+        if new:
+            is_new = np.zeros(len(keys), bool)
+            is_new[new] = True
+            own = np.repeat(is_new, sizes)
+            at, of_b = ends[own], both[own] >= _SECOND
+            shared = np.intersect1d(at[~of_b], at[of_b], assume_unique=True)
+            flags = (shared[np.searchsorted(shared, at).clip(max=len(shared) - 1)] == at).tobytes()
+            if len(windows) + len(new) > self.keep:
+                windows.clear()
+            start = 0
+            for i in new:
+                end = start + len(keys[i]) // 4
+                found[i] = flags[start:end]
+                if end - start <= KEEP_IDS and len(windows) < self.keep:
+                    windows[keys[i]] = found[i]
+                start = end
+        return np.frombuffer(b"".join(found), bool)
+
+    def groups(self, a: np.ndarray, last_a: np.ndarray, b: np.ndarray, last_b: np.ndarray) -> tuple[str, np.ndarray]:
+        """Groups as text, and the links of the ids that end them."""
+        of_a, of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        size_a, size_b = np.bincount(of_a), np.bincount(of_b)
+        names = np.empty(len(a) + len(b), np.int64)
+        names[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[of_a]] = a + self.width * last_a
+        names[np.arange(len(b)) + np.cumsum(size_a)[of_b]] = b + 2 * self.width * last_b
+        links = a[last_a].astype(np.int64) << 32 | b[last_b]
+        return "".join(map(self.names.__getitem__, names.tolist()))[:-1], links
 
 
 def _aligned(vocabulary_a: str, model_b: str, digest: bool):
@@ -183,7 +235,7 @@ def _aligned(vocabulary_a: str, model_b: str, digest: bool):
                     groups = hashlib.sha256(groups.encode()).hexdigest()
                 # Every end of a group is a link, as tokens have at least a byte.
                 rows.append((doc_id, n_a, n_b, len(found), groups))
-                links.append(np.array(found, np.int64))
+                links.append(found)
                 waiting += len(found) + 1
                 if waiting > BATCH_LINKS:
                     yield out()
@@ -221,15 +273,22 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 def _looked_up(pairs):
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, best = pairs.value
+        names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
         for batch in batches:
-            links = batch.column("links")
-            values, offsets = links.values.to_numpy(), links.offsets.to_numpy()
-            at = np.searchsorted(keys, values)
-            sums = [np.concatenate([[0], np.cumsum(x[at])]) for x in (best, counts)]
-            n_best, count_sum = (total[offsets[1:]] - total[offsets[:-1]] for total in sums)
+            offsets = batch.column("links").offsets.to_numpy()
+            values = batch.column("links").values.to_numpy()
+            # Rows in runs of about BATCH_LINKS links, so that a run's look-ups stay small.
+            run = (offsets[:-1] - offsets[0]) // BATCH_LINKS
+            starts = np.r_[np.flatnonzero(np.diff(run, prepend=-1)), len(run)]
+            sums = np.zeros((2, len(run)), np.int64)
+            for i, k in zip(starts, starts[1:]):
+                own = offsets[i : k + 1]
+                at = np.searchsorted(keys, values[own[0] : own[-1]])
+                for row, of in zip(sums, (best, counts)):
+                    total = np.r_[0, np.cumsum(of[at], dtype=np.int64)][own - own[0]]
+                    row[i:k] = np.diff(total)
             first = batch.select(["doc_id", "n_a", "n_b", "n_groups"]).columns
-            more = [pa.array(x.astype(np.int64)) for x in (np.diff(offsets), n_best, count_sum)]
-            names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+            more = [pa.array(x.astype(np.int64)) for x in (np.diff(offsets), *sums)]
             yield pa.RecordBatch.from_arrays([*first, *more, batch.column("groups_sha256")], names=names)
 
     return look_up
