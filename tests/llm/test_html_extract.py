@@ -1,5 +1,9 @@
 import html
+import random
 import re
+import time
+
+import pytest
 
 from tidewire.llm.html_extract import extract, main_text
 
@@ -66,3 +70,63 @@ def test_malformed_pages():
     assert main_text("<p><b>a<br><p>b</p></b>c</i>") == "a\nb\nc"
     assert main_text("<p>hello <script>x</script> world") == "hello world"
     assert main_text("<!-- <p>no</p> --><p>yes<!-- no") == "yes"
+
+
+def test_markup_that_no_parser_knows():
+    for mark in ("<![foo[ x ]]>", "<![CDATA[ x ]]>", "<![if !IE]>", "<![", "<!foo bar>", "<?php x ?>", "<!--->"):
+        page = f"<p>{LONG}</p>{mark}<p>{LONG}</p>"
+        assert main_text(page).startswith(LONG), mark
+    assert main_text(f"<article><p>{LONG} &#{'9' * 6000}; &#{'0' * 5000}65; &#x{'f' * 6000};</p></article>") == (
+        f"{LONG} \ufffd A \ufffd"
+    )
+    assert main_text(f"<a href='&#{'9' * 6000};'>x</a><p>{LONG}</p>") == LONG
+
+
+def test_one_malformed_page_stops_no_job(spark):
+    pages = spark.createDataFrame([(1, "u", "<![foo[ x ]]><p>x</p>"), (2, "u", "<p>y</p>")], "page_id long, url string, html string")
+    assert [(row["page_id"], row["text"]) for row in sorted(extract(pages).collect())] == [(1, "x"), (2, "y")]
+
+
+PARTS = (
+    "<p> </p> <div> </div> <article> </article> <nav> </nav> <form> </form> <script> </script> <a href=x> </a> <h1> </h1>"
+    " <![foo[ ]]> <![CDATA[ <!-- --> <!x <? ?> </ < > & &amp; &#; &#x; &#99999999999; &#xD800; <br/> <li> <td> </table>"
+    " <b </b <svg> </svg> <textarea> <title> word the and of \x00 é 日本語 \ud800 = ' \" <p/class='nav'> <main hidden>"
+    " <plaintext> </body> <!DOCTYPE <!ELEMENT <![if ]> <a<b> <p =x> <p a='"
+).split()
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_random_markup_never_raises(seed):
+    draw = random.Random(seed)
+    for _ in range(1000):
+        glue = draw.choice(["", " "])
+        text = main_text(glue.join(draw.choices(PARTS, k=draw.randint(1, 40))))
+        assert isinstance(text, str) and text == text.strip()
+
+
+def test_languages_that_are_not_listed():
+    russian = "Сегодня утром в городе прошёл сильный дождь, и многие улицы оказались под водой. " * 3
+    japanese = "今日は朝から強い雨が降り続き、町の多くの通りが水に浸かりました。" * 9
+    for prose in (russian.strip(), japanese):
+        page = f"<body><ul><li><a href=a>x</a></li></ul><h1>x</h1><p>{prose}</p><p>y</p><div><a href=x>{prose}</a></div></body>"
+        assert main_text(page) == f"x\n{prose}\ny"
+
+
+def test_an_article_in_a_form_around_the_page():
+    page = f"<body><form id=page><nav><a href=a>no</a></nav><article><p>{LONG}</p></article></form></body>"
+    assert main_text(page) == LONG
+    assert main_text(f"<form><article class=comment><p>{LONG}</p></article></form>") == ""
+    assert main_text(f"<div class=sidebar><form><article><p>{LONG}</p></article></form></div><p>{LONG} x</p>") == f"{LONG} x"
+
+
+def test_a_heading_that_is_a_link():
+    page = f"<article><h1><a href=x>Title</a></h1><p>{LONG}</p><p><a href=x>More of this</a></p></article>"
+    assert main_text(page) == f"Title\n{LONG}"
+
+
+def test_deep_pages_take_no_longer_than_flat_ones():
+    deep = 9000
+    page = f"<nav>{'<div>x' * deep}{'</div>' * deep}</nav><p>{LONG}</p>" + "<p>y</p>" * deep
+    start = time.perf_counter()
+    assert main_text(page).startswith(LONG)
+    assert time.perf_counter() - start < 2

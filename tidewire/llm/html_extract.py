@@ -7,12 +7,17 @@ as are blocks that are mostly links; long enough blocks with many stop words are
 content; long ones without are boilerplate, unless they stand in an article. Pass
 two gives each block left open the label of its nearest decided neighbours.
 Neighbours are sought within a region only, an article or the rest of the page.
+A page with next to no listed stop word is in a language that isn't listed: there
+length and links decide alone.
 
 Defined results
 - A null or empty page has the empty text, and no characters.
-- Malformed pages (open tags, stray ends, no body) are read as far as they go.
-- A page's text is never cut; blocks are joined in page order by one line feed.
+- Malformed pages (open tags, stray ends, no body, unknown declarations, character
+  references beyond Unicode) are read as far as they go; no page stops the job.
+- A page's text is never cut, whatever its length; blocks are joined in page order by
+  one line feed.
 - Repeated rows give repeated results; other columns of the input are not read.
+- An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ from pyspark.sql import functions as F
 MAX_LINK_DENSITY = 0.33
 MAX_LINK_DENSITY_ARTICLE = 0.6
 MIN_STOP_DENSITY = 0.2
+# With a smaller share of characters in listed stop words, a page's language is none of the listed.
+LISTED_DENSITY = 0.02
 SHORT_CHARS = 70
 GOOD_CHARS = 140
 
@@ -93,6 +100,7 @@ ARTICLE_PARTS = frozenset("header byline search".split())
 _PIECES = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _GAP = re.compile(r"\s+")
 _EDGE = ".,;:!?'\"()[]{}%&$#*|-"
+_LONG_REFERENCE = re.compile(r"&#([0-9]{8,})")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -122,8 +130,10 @@ class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        # tag, dropped, link, region; inline elements that change none of these are left out.
-        self.open: list[tuple[str, bool, bool, int]] = []
+        # tag, dropped, link, region, and whether it is dropped for what it is itself; inline
+        # elements that change none of the states are left out.
+        self.open: list[tuple[str, bool, bool, int, bool]] = []
+        self.silent = 0  # open elements that have no text
         self.depth: Counter[str] = Counter()
         self.parts: list[str] = []
         self.link_chars = 0
@@ -132,7 +142,7 @@ class _Reader(HTMLParser):
         self.breaks = 0
 
     def _state(self) -> tuple[bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, 0)
+        return self.open[-1][1:4] if self.open else (False, False, 0)
 
     def _flush(self) -> None:
         text = _GAP.sub(" ", "".join(self.parts)).strip()
@@ -142,7 +152,9 @@ class _Reader(HTMLParser):
         self.parts, self.link_chars, self.heading, self.breaks = [], 0, False, 0
 
     def _cut(self, at: int) -> None:
-        self.depth.subtract(tag for tag, *_ in self.open[at:])
+        closed = [tag for tag, *_ in self.open[at:]]
+        self.depth.subtract(closed)
+        self.silent -= sum(tag in DROPPED for tag in closed)
         del self.open[at:]
 
     def _end_open(self, tags: tuple[str, ...]) -> None:
@@ -181,10 +193,10 @@ class _Reader(HTMLParser):
         if tag in ARTICLE and not region:
             self.regions += 1
             region = self.regions
+        own = False
         if tag not in ("html", "body", *ARTICLE):
-            dropped = (
-                dropped
-                or tag in DROPPED
+            own = (
+                tag in DROPPED
                 or tag in BOILERPLATE
                 or (tag == "header" and not region)
                 or "hidden" in named
@@ -194,13 +206,17 @@ class _Reader(HTMLParser):
                 or _hinted(f"{named.get('class', '')} {named.get('id', '')}", region > 0)
             )
         elif tag in ARTICLE:
-            dropped = dropped or "comment" in named.get("class", "").lower()
+            own = "comment" in named.get("class", "").lower()
+            # A form around a whole page doesn't drop the article in it.
+            dropped = dropped and any(mine and name != "form" for name, *_, mine in self.open)
+        dropped = dropped or own
         if dropped and tag not in DROPPED and not self._state()[0]:
             self._flush()
         state = (dropped, link or tag == "a", region)
         if tag in WALLS or state != self._state():
-            self.open.append((tag, *state))
+            self.open.append((tag, *state, own))
             self.depth[tag] += 1
+            self.silent += tag in DROPPED
         if tag in HEADINGS:
             self.heading = True
 
@@ -225,7 +241,7 @@ class _Reader(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         dropped, link, _ = self._state()
-        if dropped and any(tag in DROPPED for tag, *_ in self.open):
+        if dropped and self.silent:
             return
         if not data.isspace():
             self.breaks = 0
@@ -233,6 +249,10 @@ class _Reader(HTMLParser):
         if link:
             self.link_chars += len(_GAP.sub(" ", data).strip())
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Whatever it is called, a section like ``<![name[`` ends at the next ``>``."""
+        return self.rawdata.find(">", i) + 1 or -1
+
     def finish(self) -> list[Block]:
         if self.rawdata.startswith("<!--"):
             self.rawdata = ""  # an open comment reaches to the end
@@ -241,25 +261,44 @@ class _Reader(HTMLParser):
         return self.blocks
 
 
-def _decide(block: Block, articles: bool) -> bool | None:
+def _stops(block: Block) -> list[str]:
+    """The listed stop words of a block."""
+    words = (word.strip(_EDGE) for word in block.text.lower().split())
+    return [word for word in words if word in STOP_WORDS]
+
+
+def _decide(block: Block, articles: bool, listed: bool) -> bool | None:
     """Pass one: content, boilerplate or open."""
     if block.dropped or (articles and not block.region):
         return False
+    if block.heading and block.region:
+        return None
     size = len(block.text)
     links = block.link_chars / size
     if links > (MAX_LINK_DENSITY_ARTICLE if block.region else MAX_LINK_DENSITY):
         return False
     if block.heading:
         return None
-    words = block.text.lower().split()
-    stops = sum(word.strip(_EDGE) in STOP_WORDS for word in words) / len(words)
-    if size >= GOOD_CHARS and stops >= MIN_STOP_DENSITY:
+    dense = not listed or len(_stops(block)) >= MIN_STOP_DENSITY * len(block.text.split())
+    if size >= GOOD_CHARS and dense:
         return True
-    if size < SHORT_CHARS or stops >= MIN_STOP_DENSITY or block.region:
+    if size < SHORT_CHARS or dense or block.region:
         return None
     return False
 
 
+def _listed(blocks: list[Block]) -> bool:
+    """Whether the page's own text has stop words of a listed language."""
+    own = [b for b in blocks if not b.dropped and b.link_chars <= MAX_LINK_DENSITY * len(b.text)]
+    stops = sum(len(word) for block in own for word in _stops(block))
+    return stops >= LISTED_DENSITY * sum(len(block.text) for block in own)
+
+
+def _short_reference(match: re.Match) -> str:
+    """A reference beyond Unicode by a number that is short enough to be read."""
+    return "&#" + (match[1].lstrip("0")[:8] or "0")
+
+
 def _inherit(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
     """Pass two: open blocks take the label of their nearest decided neighbours.
 
@@ -301,10 +340,11 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     reader = _Reader()
-    reader.feed(page)
+    reader.feed(_LONG_REFERENCE.sub(_short_reference, page))
     blocks = reader.finish()
     articles = any(block.region and not block.dropped for block in blocks)
-    labels = [_decide(block, articles) for block in blocks]
+    listed = _listed(blocks)
+    labels = [_decide(block, articles, listed) for block in blocks]
     # Dropped blocks are no neighbours: what stands beside a menu need not be one.
     seen = [i for i, block in enumerate(blocks) if not block.dropped]
     kept = _inherit([blocks[i] for i in seen], [labels[i] for i in seen])
