@@ -5,6 +5,7 @@ import numpy as np
 from hypothesis import given as examples
 from hypothesis import settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidewire.llm import collocations
 
@@ -129,3 +130,24 @@ def test_small_bit_sets_prune_less_and_change_nothing(spark, documents, monkeypa
     monkeypatch.setattr(collocations, "BITS", 64)
     assert found(collocations.collocations(documents(*rows), min_count=4, top=100)) == want
     assert np.all(collocations._bucket(np.arange(100, dtype=np.uint64)) < 64)
+
+
+def test_hashes_are_those_of_spark(spark):
+    rows = [("en", "naïve"), ("en", "a"), ("", "日本"), ("und", "x" * 100)]
+    frame = spark.createDataFrame(rows, "lang string, word string")
+    for salt in ("0", "7"):
+        got = frame.select(collocations.word_hash(frame["lang"], frame["word"], salt)).collect()
+        for (lang, word), (h,) in zip(rows, got):
+            table = collocations._Words(lang, salt)
+            table.numbers([word.encode()])
+            assert table.hashes()[1:].view(np.int64).tolist() == [h]
+
+
+def test_another_salt_where_words_share_a_hash(spark, monkeypatch):
+    words = spark.createDataFrame([("en", "a"), ("en", "b"), ("de", "a")], "lang string, phrase string")
+    assert collocations._salt(words) == "0"
+    plain = collocations.word_hash
+    monkeypatch.setattr(
+        collocations, "word_hash", lambda lang, word, salt: F.lit(5).cast("bigint") if salt < "3" else plain(lang, word, salt)
+    )
+    assert collocations._salt(words) == "3"

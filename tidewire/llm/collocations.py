@@ -7,12 +7,14 @@ each distinct chunk once, with how often the parse uses it. A phrase of at most
 words lies within a chunk; the chunk in which it starts before the overlap owns it, so
 every occurrence is counted once, with the chunk's frequency as its weight.
 
-Phrases are counted length by length. A phrase can only reach the least count if both
-phrases inside it that are one word shorter do, so each pass skips the others by a bit
-set of the last pass's frequent phrases. The bit set has a fixed size: a corpus with
-very many frequent phrases fills it and prunes less, and counts are exact either way,
-as occurrences of one phrase are kept or skipped together and the least count is
-tested on the sum.
+Phrases are counted length by length, as tuples of their words' hashes. A phrase can only
+reach the least count if both phrases inside it that are one word shorter do, so each
+pass skips the others by a bit set of the last pass's frequent phrases. The bit set has a
+fixed size: a corpus with very many frequent phrases fills it and prunes less, and counts
+are exact either way, as occurrences of one phrase are kept or skipped together and the
+least count is tested on the sum. After the pairs, chunks are cut to their runs of
+frequent pairs, which the longer phrases are counted in. Hashes tell words apart: if two
+words of a language had the same one, another salt would be taken.
 
 Defined results
 - A null or empty text, or one of separators alone, has no words and adds nothing.
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +50,8 @@ PERIOD = 64
 BITS = 1 << 24
 # Different words a task keeps numbers for before it starts anew.
 KEEP_WORDS = 400_000
+# The seed of Spark's xxhash64.
+SEED = 42
 
 _OVERLAP = MAX_WORDS - 1
 _END = b"."
@@ -57,7 +62,7 @@ _TABLE = bytes.maketrans(_LETTERS + _ENDS + b"\t", _LETTERS.lower() + _END * len
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 CHUNKS = "lang string, chunk string, owned int, n bigint"
-COUNTS = "lang string, phrase string, n bigint"
+RUNS = "run binary, owned int, n bigint"
 
 
 class _Hashes(dict):
@@ -72,10 +77,14 @@ class _Hashes(dict):
 
 
 class _Words(dict):
-    """Numbers for words in order of appearance, and a hash for each number. Ends of pieces are 0."""
+    """Numbers for the words of a language in order of appearance, and a hash for each number.
 
-    def __init__(self):
+    Ends of pieces have number 0. Hashes are those of ``word_hash``.
+    """
+
+    def __init__(self, lang: str, salt: str):
         super().__init__({_END: 0})
+        self.seed = xxhash.xxh64_intdigest((lang + salt).encode("utf-8", "surrogatepass"), SEED)
         self.names = [_END]
         self._hashes = np.empty(0, np.uint64)
 
@@ -90,20 +99,25 @@ class _Words(dict):
     def hashes(self) -> np.ndarray:
         new = self.names[len(self._hashes) :]
         if new:
-            more = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
+            more = np.array([xxhash.xxh64_intdigest(word, self.seed) for word in new], np.uint64)
             self._hashes = np.concatenate([self._hashes, more])
         return self._hashes
 
 
+def word_hash(lang: Column, word: Column, salt: str) -> Column:
+    return F.xxhash64(F.concat(lang, F.lit(salt)), word)
+
+
 def tokens(text: str) -> list[bytes]:
     """Words of a text, lower-cased, and a ``.`` at every end of a piece."""
     plain = text.encode("utf-8", "surrogatepass").translate(_TABLE)
-    return [token for token in plain.replace(_END, b" . ").split(b" ") if token]
+    # No other white space of bytes is left: its other characters end a piece.
+    return plain.replace(_END, b" . ").split()
 
 
-def _mixed(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+def _mixed(hashes: np.ndarray, size: int) -> np.ndarray:
     """A hash for every ``size`` neighbours."""
-    out = np.full(max(0, len(hashes) - size + 1), seed, np.uint64)
+    out = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
     for k in range(size):
         out = (out ^ (out >> np.uint64(29)) ^ hashes[k : k + len(out)]) * _ODD
     return out ^ (out >> np.uint64(32))
@@ -154,83 +168,145 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes * _ODD >> np.uint64(32)) % np.uint64(BITS)
 
 
-def _seed(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang.encode())
+def _in_set(bits, hashes: np.ndarray, size: int) -> np.ndarray:
+    """Whether ``size`` neighbours may be a frequent phrase, for each place that they begin at."""
+    bucket = _bucket(_mixed(hashes, size))
+    return bits.value[bucket >> np.uint64(6)] >> (bucket & np.uint64(63)) & np.uint64(1) == 1
+
 
+def _read(batches: Iterator[pa.RecordBatch], salt: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """Chunks of one language after another as arrays over their tokens.
+
+    That is the words' hashes, 0 at ends of pieces; whether the place is owned; the chunk's frequency.
+    """
+    tables: dict[str, _Words] = {}
+    for batch in batches:
+        if sum(map(len, tables.values())) > KEEP_WORDS:
+            tables.clear()
+        langs = np.array(batch.column(0).to_pylist(), object)
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        owned, weight = (batch.column(k).to_numpy() for k in (2, 3))
+        for lang in dict.fromkeys(langs):
+            rows = np.flatnonzero(langs == lang)
+            # An end of a piece between chunks, so that no phrase crosses from one to the next.
+            parts = b" . ".join([texts[i] for i in rows]).split(b" ")
+            lengths = np.array([texts[i].count(b" ") + 2 for i in rows])
+            starts = np.cumsum(lengths) - lengths
+            chunk = np.repeat(np.arange(len(rows)), lengths)[: len(parts)]
+            words = tables.setdefault(lang, _Words(lang, salt))
+            numbers = words.numbers(parts)
+            hashes = np.where(numbers == 0, np.uint64(0), words.hashes()[numbers])
+            yield hashes, np.arange(len(parts)) - starts[chunk] < owned[rows][chunk], weight[rows][chunk]
+
+
+def _grams(hashes: np.ndarray, mine: np.ndarray, weight: np.ndarray, size: int) -> pa.RecordBatch | None:
+    """Weighted counts of the phrases of ``size`` words that begin at the places in ``mine``."""
+    at = np.flatnonzero(mine)
+    if not len(at):
+        return None
+    rows = hashes[at[:, None] + np.arange(size)]
+    code = np.zeros(len(at), np.int64)
+    # Exact: a phrase is numbered by its words' numbers, one word at a time.
+    for k in range(size):
+        own = np.unique(rows[:, k], return_inverse=True)[1]
+        code = np.unique(code * (int(own.max()) + 1) + own, return_inverse=True)[1]
+    first = np.empty(int(code.max()) + 1, np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    total = np.zeros(len(first), np.int64)
+    np.add.at(total, code, weight[at])
+    columns = [pa.array(rows[first, k].view(np.int64)) for k in range(size)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(total)], names=[*_names(size), "n"])
 
-def _count(size: int, bits):
-    """Weighted counts of the phrases of ``size`` words that may be frequent, for each batch of chunks."""
 
-    def phrases(rows: np.ndarray, weights: np.ndarray, names: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-        # Exact: a phrase is numbered by its words' numbers, one word at a time.
-        code = rows[:, 0]
-        for k in range(1, rows.shape[1]):
-            code = np.unique(code * len(names) + rows[:, k], return_inverse=True)[1]
-        _, first, same = np.unique(code, return_index=True, return_inverse=True)
-        total = np.zeros(len(first), np.int64)
-        np.add.at(total, same, weights)
-        return [b" ".join([names[i] for i in row]) for row in rows[first].tolist()], total
+def _names(size: int) -> list[str]:
+    return [f"h{k}" for k in range(size)]
 
+
+def _may_begin(hashes: np.ndarray, bits, size: int) -> np.ndarray:
+    """Places where a frequent phrase of ``size`` words may begin, as both shorter ones in it may be."""
+    n = max(0, len(hashes) - size + 1)
+    shorter = _in_set(bits, hashes, size - 1)
+    found = shorter[:n] & shorter[1 : n + 1]
+    for k in range(size):
+        found &= hashes[k : k + n] != 0
+    return found
+
+
+def _pairs(bits, salt: str):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, mine, weight in _read(batches, salt):
+            found = _may_begin(hashes, bits, 2)
+            batch = _grams(hashes, found & mine[: len(found)], weight, 2)
+            if batch is not None:
+                yield batch
+
+    return count
+
+
+def _runs(bits, salt: str):
+    """Runs of frequent pairs, of three words or more."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, mine, weight in _read(batches, salt):
+            n = max(0, len(hashes) - 1)
+            pair = _in_set(bits, hashes, 2) & (hashes[:n] != 0) & (hashes[1 : n + 1] != 0)
+            edges = np.flatnonzero(np.diff(np.r_[False, pair, False].astype(np.int8)))
+            starts, ends = edges[::2], edges[1::2] + 1
+            # A run lies within a chunk, of which the first places are owned.
+            owned = np.add.reduceat(np.r_[mine, False].astype(np.int64), np.stack([starts, ends], 1).ravel())[::2] if len(starts) else starts
+            kept = (ends - starts >= 3) & (owned > 0)
+            starts, ends, owned = starts[kept], ends[kept], owned[kept]
+            packed = hashes.tobytes()
+            runs = [packed[a:b] for a, b in zip((8 * starts).tolist(), (8 * ends).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(runs, pa.binary()), pa.array(owned.astype(np.int32)), pa.array(weight[starts])],
+                names=["run", "owned", "n"],
+            )
+
+    return cut
+
+
+def _in_runs(size: int, bits):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
         for batch in batches:
-            if len(words) > KEEP_WORDS:
-                words = _Words()
-            langs = np.array(batch.column(0).to_pylist(), object)
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            owned, weight = (batch.column(k).to_numpy() for k in (2, 3))
-            for lang in set(langs):
-                rows = np.flatnonzero(langs == lang)
-                # One end of a piece between chunks, so no phrase crosses from one to the next.
-                parts = b" . ".join([texts[i] for i in rows]).split(b" ")
-                lengths = np.array([texts[i].count(b" ") + 2 for i in rows])
-                starts = np.cumsum(lengths) - lengths
-                chunk = np.repeat(np.arange(len(rows)), lengths)[: len(parts)]
-                numbers = words.numbers(parts)
-                mine = np.arange(len(parts)) - starts[chunk] < owned[rows][chunk]
-                n = max(0, len(parts) - size + 1)
-                mine = mine[:n].copy()
-                for k in range(size):
-                    mine &= numbers[k : k + n] != 0
-                if bits is not None:
-                    shorter = _mixed(words.hashes()[numbers], size - 1, _seed(lang))
-                    bucket = _bucket(shorter)
-                    kept = bits.value[bucket >> np.uint64(6)] >> (bucket & np.uint64(63)) & np.uint64(1) == 1
-                    mine &= kept[:n] & kept[1 : n + 1]
-                at = np.flatnonzero(mine)
-                if len(at):
-                    names, total = phrases(
-                        numbers[at[:, None] + np.arange(size)], weight[rows][chunk[at]], words.names
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(names), pa.string()),
-                            pa.array(names, pa.binary()).cast(pa.string()),
-                            pa.array(total, pa.int64()),
-                        ],
-                        names=["lang", "phrase", "n"],
-                    )
+            runs = batch.column(0).to_pylist()
+            if not runs:
+                continue
+            # A 0 between runs, as at ends of pieces.
+            hashes = np.frombuffer(bytes(8).join(runs), np.uint64)
+            lengths = np.array([len(run) // 8 + 1 for run in runs])
+            starts = np.cumsum(lengths) - lengths
+            run = np.repeat(np.arange(len(runs)), lengths)[: len(hashes)]
+            owned, weight = (batch.column(k).to_numpy()[run] for k in (1, 2))
+            found = _may_begin(hashes, bits, size)
+            mine = (np.arange(len(hashes)) - starts[run] < owned)[: len(found)]
+            out = _grams(hashes, found & mine, weight, size)
+            if out is not None:
+                yield out
 
     return count
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cells(size: int):
     """Places of phrases in the bit set."""
-    for batch in batches:
-        cells: dict[int, int] = {}
-        for lang, phrase in zip(*(column.to_pylist() for column in batch.columns)):
-            parts = phrase.encode("utf-8", "surrogatepass").split(b" ")
-            hashes = np.array([xxhash.xxh64_intdigest(word) for word in parts], np.uint64)
-            bucket = int(_bucket(_mixed(hashes, len(parts), _seed(lang)))[0])
-            cells[bucket >> 6] = cells.get(bucket >> 6, 0) | 1 << (bucket & 63)
-        values = np.array(list(cells.values()), np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cells.keys(), pa.int64()), pa.array(values)], names=["cell", "bits"]
-        )
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.stack([column.to_numpy().view(np.uint64) for column in batch.columns], axis=1)
+            # Each phrase by itself: one row after the other, every size-th hash of them.
+            bucket = _bucket(_mixed(rows.ravel(), size)[::size])
+            cells, at = np.unique(bucket >> np.uint64(6), return_inverse=True)
+            bits = np.zeros(len(cells), np.uint64)
+            np.bitwise_or.at(bits, at, np.uint64(1) << (bucket & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cells.astype(np.int64)), pa.array(bits.view(np.int64))], names=["cell", "bits"]
+            )
+
+    return place
 
 
-def _bit_set(frequent: DataFrame) -> np.ndarray:
-    cells = frequent.select("lang", "phrase").mapInArrow(_cells, "cell bigint, bits bigint")
+def _bit_set(frequent: DataFrame, size: int) -> np.ndarray:
+    cells = frequent.select(*_names(size)).mapInArrow(_cells(size), "cell bigint, bits bigint")
     # At most BITS / 64 rows.
     found = cells.groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(BITS // 64, np.uint64)
@@ -238,28 +314,53 @@ def _bit_set(frequent: DataFrame) -> np.ndarray:
     return out
 
 
+def _salt(words: DataFrame) -> str:
+    """A salt by which no two words of the table have one hash, nor one the mark of an end."""
+    for salt in map(str, range(100)):
+        hashed = words.select(word_hash(F.col("lang"), F.col("phrase"), salt).alias("h"))
+        if hashed.groupBy("h").count().filter("count > 1 OR h = 0").isEmpty():
+            return salt
+    raise ValueError("words without hashes of their own")
+
+
 def phrase_counts(
     docs: DataFrame, text: Column, lang: Column, min_count: int = MIN_COUNT, period: int = PERIOD
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k, f) of every phrase with ``min_count`` occurrences, and (lang, n) words."""
     spark = docs.sparkSession
     parsed = written(dictionary(docs, text, lang, period), "chunks")
-
-    def counted(size: int, bits=None) -> DataFrame:
-        return parsed.mapInArrow(_count(size, bits), COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-
-    words = written(counted(1), "words")
-    found = words.filter(F.col("f") >= min_count)
-    frequent = found.withColumn("k", F.lit(1))
+    own = F.slice(F.split("chunk", " "), F.lit(1), F.col("owned"))
+    words = parsed.select("lang", F.explode(own).alias("phrase"), "n").filter(F.col("phrase") != ".")
+    words = written(words.groupBy("lang", "phrase").agg(F.sum("n").alias("f")), "words")
+    salt = _salt(words)
+    names = words.filter(F.col("f") >= min_count).select(
+        "lang", "phrase", "f", word_hash(F.col("lang"), F.col("phrase"), salt).alias("h0")
+    )
+    found, runs = written(names, "frequent-words"), None
+    names, grams = found, []
     for size in range(2, MAX_WORDS + 1):
-        cells = _bit_set(found)
+        cells = _bit_set(found, size - 1)
         if not cells.any():
             break
         bits = spark.sparkContext.broadcast(cells)
-        longer = counted(size, bits).filter(F.col("f") >= min_count)
-        found = written(longer, f"phrases-{size}")
-        frequent = frequent.unionByName(found.withColumn("k", F.lit(size)))
-    return frequent, words.groupBy("lang").agg(F.sum("f").alias("n"))
+        if size == 3:
+            cut = parsed.mapInArrow(_runs(bits, salt), RUNS).groupBy("run", "owned").agg(F.sum("n").alias("n"))
+            runs = written(cut, "runs")
+        rows, count = (parsed, _pairs(bits, salt)) if size == 2 else (runs, _in_runs(size, bits))
+        shape = ", ".join(f"{name} bigint" for name in [*_names(size), "n"])
+        counted = rows.mapInArrow(count, shape).groupBy(*_names(size)).agg(F.sum("n").alias("f"))
+        found = written(counted.filter(F.col("f") >= min_count), f"phrases-{size}")
+        grams.append(found.select(F.array(*_names(size)).alias("hashes"), F.lit(size).alias("k"), "f"))
+    frequent = names.select("lang", "phrase", F.lit(1).alias("k"), "f")
+    if grams:
+        every = reduce(DataFrame.unionByName, grams)
+        placed = every.select("*", F.posexplode("hashes").alias("at", "h0")).join(names.select("lang", "phrase", "h0"), "h0")
+        ordered = F.sort_array(F.collect_list(F.struct("at", "phrase")))
+        phrases = placed.groupBy("lang", "hashes", "k", "f").agg(
+            F.array_join(F.transform(ordered, lambda x: x["phrase"]), " ").alias("phrase")
+        )
+        frequent = frequent.unionByName(phrases.select("lang", "phrase", "k", "f"))
+    return written(frequent, "frequent"), words.groupBy("lang").agg(F.sum("f").alias("n"))
 
 
 def scored(frequent: DataFrame, totals: DataFrame) -> DataFrame:
