@@ -1,22 +1,25 @@
 """Toxicity by class-conditional Kneser-Ney models of words.
 
 Two interpolated bigram models, of toxic and of ordinary labelled texts, share one
-lowest order: the continuation counts of both classes together. A word or pair that
-makes up less than ``SHARE`` of either class, or is in less than ``LEAST`` documents, is
-rare: it has no estimate of its own in either model and is smoothed by the shared
-counts, which then cancel in the ratio. So is a word or pair whose shares in the
-classes are within a factor ``RATIO`` of each other or no farther apart than chance
-takes them: such differences come from the mix of languages and topics and would,
-word by word, outweigh the few that matter.
-What is kept has at most 2 / SHARE words and as many pairs whatever the input, so the
-scorer is small; the counts behind it are taken over every labelled row and grow with
-them.
+lowest order: the continuation counts of both classes together, that is before how many
+different words a word stands. A pair is smoothed by its second word, a word by the
+shared counts. A score is the logistic of the difference in log-likelihood per word,
+fitted on the training rows.
 
 Counts are of documents: however often a text repeats a word or pair, it counts once,
-so that loops and copied lines weigh no more than a use. Words are found in two passes. The first counts hash buckets, the second the words of
-buckets that hold the share; a pair is kept only if both of its words are. The score
-is the logistic of the difference in log-likelihood per word, fitted on a histogram
-of that difference over all training rows.
+so that loops and copied lines weigh no more than a use. A word or pair has an estimate
+of its own in a class from ``LEAST`` documents on, a fixed number at every corpus size,
+if its shares in the classes really differ: by a factor ``RATIO``, and by ``CERTAIN``
+standard deviations of a count dealt to the classes by chance. More rows make more
+expressions certain, never fewer. All others, the rare ones among them, are left to the
+shared counts, which then are alike in both classes: without this rule the many words
+that some hundred documents have by chance outweigh the few that matter.
+
+Counts are tables that grow with the labelled rows. What the models say about a text is a
+sum over its words and pairs, so the models are a table of keys and values; only
+expressions that differ are in it. Texts are scored by a sorted array while it has at
+most ``MODEL_ROWS`` rows, and by a join beyond, with the same result. Labelled texts are
+read twice and all texts once.
 
 Defined results
 - Texts that are null or have no word: the score of no difference between the models.
@@ -24,224 +27,297 @@ Defined results
 - A document with several labels is toxic if one of them says so. Null labels and
   rows without an id are not learned from; a row without an id counts as held out.
 - Repeated documents are learned from and scored each.
+- A text of any length is read whole by one task; an empty table gives no rows.
+- Other columns of the input, whatever their names, take no part.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHARE = 5e-5
+from tidewire.llm.common import skewed_join, written
+
 LEAST = 5
 DISCOUNT = 0.75
 RATIO = 3.0
 CERTAIN = 4.0
-BUCKETS = 1 << 17
 # Labelled ids up to this number go to the documents; beyond, documents are shuffled.
 BROADCAST_ROWS = 2_000_000
-# Differences per word are cut to this size, and binned for the fit of the score.
-LIMIT = 0.5
+# Rows of the model that are sent to every worker: 16 MB.
+MODEL_ROWS = 1 << 20
+# Differences per word are binned for the fit of the score.
 BINS = 20_000
-ALL = -1
-# Pairs that a task holds before it sums them.
-HELD_PAIRS = 1_000_000
-
+# Bits of the set of frequent words: 2 MB. Words outside it are one word before others.
+BITS = 1 << 24
+# Words or pairs that a task holds before it sums them; hashes that it remembers.
+HELD = 1_000_000
+KEEP_WORDS = 400_000
+
+WORDS = "w bigint, t bigint, o bigint, ft bigint, fo bigint"
+PAIRS = "v bigint, w bigint, t bigint, o bigint"
+OTHER = 0  # any word before that is not frequent
+_CONTEXT = 0x5DEECE66D1A2B3C5
 _WORDS = re.compile(r"[^\W\d_]+")
-_JVM_WORDS = r"\p{L}+"
 
 
 def words_of_text(text: str | None) -> list[str]:
     return _WORDS.findall((text or "").lower())
 
 
-@dataclass
-class Model:
-    words: dict[str, int]  # kept words by number, from 1; 0 is any other word
-    unigram: np.ndarray  # log ratio by word
-    context: np.ndarray  # log ratio of the weights of the lower order, by word before
-    pairs: np.ndarray  # kept pairs, before * len + word, sorted
-    extra: np.ndarray  # what a kept pair adds to the two above
-    slope: float = 1.0
-    offset: float = 0.0
-
-    def parts(self) -> tuple:
-        """The fields: plain values can be broadcast to workers without this package."""
-        return (
-            self.words,
-            self.unigram,
-            self.context,
-            self.pairs,
-            self.extra,
-            self.slope,
-            self.offset,
-        )
-
-    def difference(self, text: str | None) -> float | None:
-        """Toxic minus ordinary log-likelihood per word; None without a word."""
-        known = self.words
-        ids = np.array([known.get(word, 0) for word in words_of_text(text)], np.int64)
-        if not len(ids):
-            return None
-        total = self.unigram[ids].sum() + self.context[ids[:-1]].sum()
-        if len(self.pairs):
-            keys = ids[:-1] * len(self.unigram) + ids[1:]
-            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            total += self.extra[at[self.pairs[at] == keys]].sum()
-        return float(total / len(ids))
-
-    def score(self, text: str | None) -> float:
-        d = self.difference(text)
-        x = self.offset if d is None else self.offset + self.slope * min(max(d, -LIMIT), LIMIT)
-        return float(1 / (1 + np.exp(-x)))
-
-
-def _pair_counts(words: dict[str, int]):
-    """(word, before, toxic, ordinary): documents with a pair whose second word is kept.
-
-    A kept word before is its number, any other a hash beyond the numbers. Under the
-    word ``ALL`` stand the pairs that begin with a kept word, whatever their second.
-    Counts are summed over HELD_PAIRS pairs, and by Spark over those.
-    """
+class _Hashes(dict):
+    """Hashes of words; 0 is none of them."""
+
+    def __missing__(self, word: str) -> int:
+        found = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) or 1
+        if len(self) < KEEP_WORDS:
+            self[word] = found
+        return found
+
+    def of(self, text: str | None) -> np.ndarray:
+        words = words_of_text(text)
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def pair_keys(v: np.ndarray, w: np.ndarray | int) -> np.ndarray:
+    return ((v << np.uint64(21)) | (v >> np.uint64(43))) ^ np.uint64(w)
+
+
+def _pair_key(v: Column, w: Column) -> Column:
+    """``pair_keys`` in Spark."""
+    turned = F.shiftleft(v, 21).bitwiseOR(F.shiftrightunsigned(v, 43))
+    return turned.bitwiseXOR(w)
 
-    beyond = len(words) + 1
 
-    def keys_of(found: list[str]) -> np.ndarray:
-        rare = (beyond + (zlib.crc32(w.encode("utf-8", "replace")) & 0x7FFFFFFF) for w in found)
-        return np.array([words.get(w) or r for w, r in zip(found, rare)], np.uint64)
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return hashes % np.uint64(BITS)
 
-    def summed(found: list[np.ndarray], toxic: list[np.ndarray]) -> pa.RecordBatch:
-        pairs, marks = np.concatenate(found, axis=1), np.concatenate(toxic)
-        order = np.lexsort(pairs)
-        pairs, marks = pairs[:, order], marks[order]
-        first = np.flatnonzero(np.r_[True, np.any(np.diff(pairs, axis=1) != 0, axis=0)])
-        both, ill = np.diff(np.r_[first, len(marks)]), np.add.reduceat(marks, first)
-        columns = [pairs[0][first], pairs[1][first], ill, both - ill]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.int64()) for x in columns], names=["word", "before", "t", "o"]
-        )
+
+def _sums(keys: list[np.ndarray], weights: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """Rows of keys, one for each different one, with their weights added up."""
+    rows, values = np.concatenate(keys, axis=1), np.concatenate(weights, axis=1)
+    order = np.lexsort(rows)
+    rows, values = rows[:, order], values[:, order]
+    first = np.flatnonzero(np.r_[True, np.any(np.diff(rows.view(np.int64), axis=1) != 0, axis=0)])
+    columns = [*rows[:, first].view(np.int64), *np.add.reduceat(values, first, axis=1)]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+
+
+def _counter(names: list[str], of_text):
+    """Sums of what ``of_text`` finds in the hashes of each text, over ``HELD`` finds and by Spark over those."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, toxic, size = [], [], 0
+        hashes, keys, weights, size = _Hashes(), [], [], 0
         for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys = keys_of(words_of_text(text.as_py()))
-                packed = np.unique((keys[:-1] << np.uint64(32)) | keys[1:])
-                before = (packed >> np.uint64(32)).astype(np.int64)
-                word = (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                own, first = word < beyond, before < beyond
-                total = np.full(first.sum(), ALL)
-                found.append(np.stack([np.r_[word[own], total], np.r_[before[own], before[first]]]))
-                toxic.append(np.full(found[-1].shape[1], label, np.int64))
-                size += len(toxic[-1])
-                if size >= HELD_PAIRS:
-                    yield summed(found, toxic)
-                    found, toxic, size = [], [], 0
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found, values = of_text(hashes.of(text.as_py()), int(toxic))
+                if found.shape[1]:
+                    keys.append(found)
+                    weights.append(values)
+                    size += found.shape[1]
+                if size >= HELD:
+                    yield _sums(keys, weights, names)
+                    keys, weights, size = [], [], 0
         if size:
-            yield summed(found, toxic)
+            yield _sums(keys, weights, names)
 
     return count
 
 
-def _differ(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Rows of (toxic, ordinary) counts, out of totals, whose shares really differ.
+def _words_in(hashes: np.ndarray, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different words, each with the number of different pairs that it begins."""
+    words, place = np.unique(hashes, return_inverse=True)
+    _, first = np.unique(pair_keys(hashes[:-1], hashes[1:]) if len(hashes) > 1 else hashes[:0], return_index=True)
+    pairs = np.bincount(place[:-1][first], minlength=len(words)).astype(np.int64)
+    ones = np.ones(len(words), np.int64)
+    return words[None, :], np.stack([ones * toxic, ones * (1 - toxic), pairs * toxic, pairs * (1 - toxic)])
+
+
+def _pairs_in(bits):
+    def find(hashes: np.ndarray, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+        """Different pairs with a frequent second word; a first one that isn't frequent is ``OTHER``."""
+        bucket = _bucket(hashes)
+        frequent = bits.value[bucket >> np.uint64(6)] >> (bucket & np.uint64(63)) & np.uint64(1) == 1
+        v, w = np.where(frequent, hashes, np.uint64(OTHER))[:-1][frequent[1:]], hashes[1:][frequent[1:]]
+        _, first = np.unique(pair_keys(v, w) if len(v) else v, return_index=True)
+        ones = np.ones(len(first), np.int64)
+        return np.stack([v[first], w[first]]), np.stack([ones * toxic, ones * (1 - toxic)])
+
+    return find
+
+
+def _differ(t: Column, o: Column, total_t: Column, total_o: Column) -> Column:
+    """Whether counts of the classes, out of totals, have shares that really differ."""
+    toxic, ordinary = (t + 1) / (total_t + 1), (o + 1) / (total_o + 1)
+    far = F.greatest(toxic, ordinary) >= RATIO * F.least(toxic, ordinary)
+    expected = (t + o) * total_t / F.greatest(total_t + total_o, F.lit(1))
+    sure = F.abs(t - expected) >= CERTAIN * F.sqrt(expected + 1)
+    return (F.greatest(t, o) >= LEAST) & far & sure
 
-    That is by a factor RATIO, and by CERTAIN standard deviations of a count that is
-    dealt to the classes by chance. A boolean column.
+
+def _cells(words: DataFrame) -> np.ndarray:
+    """The bit set of the words' buckets, of at most BITS / 64 rows."""
+    cell = F.shiftright(F.pmod(F.col("w"), F.lit(BITS).cast("bigint")), 6)
+    bit = F.expr("shiftleft(1L, cast(pmod(w, 64) AS int))")
+    found = words.groupBy(cell.alias("cell")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(BITS // 64, np.uint64)
+    out[found["cell"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def train(docs: DataFrame) -> tuple[DataFrame, float] | None:
+    """The models from all rows (toxic boolean, text); None unless there are words of both classes.
+
+    That is a table (key, value) and the value of a word that is not in it. A text's
+    difference is the sum over the keys of its words, of its words before others
+    (``pair_keys`` with a constant) and of its pairs.
     """
-    shares = counts / totals + SHARE
-    far = shares.max(axis=1) >= RATIO * shares.min(axis=1)
-    expected = counts.sum(axis=1) * (totals / totals.sum(axis=-1, keepdims=True))[..., 0]
-    sure = np.abs(counts[:, 0] - expected) >= CERTAIN * np.sqrt(expected + 1)
-    return (far & sure)[:, None]
-
-
-def _is_kept(t: Column, o: Column, total_t: int, total_o: int) -> Column:
-    return (t >= max(LEAST, SHARE * total_t)) | (o >= max(LEAST, SHARE * total_o))
-
-
-def train(docs: DataFrame) -> Model | None:
-    """Model from all rows (toxic boolean, text); None unless there are words of both classes."""
-    docs = docs.select(F.col("toxic").cast("bigint").alias("toxic"), "text")
-    found = F.regexp_extract_all(F.lower("text"), F.lit(_JVM_WORDS), F.lit(0))
-    tokens = docs.select(
-        "toxic", F.explode(F.array_distinct(found)).alias("word")
-    ).withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)))
-    sums = [F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")]
-    by_bucket = tokens.groupBy("bucket").agg(*sums)
-    totals = by_bucket.agg(F.sum("t").alias("t"), F.sum("o").alias("o")).first()
-    total_t, total_o = totals["t"], totals["o"]
-    if not total_t or not total_o:
+    spark = docs.sparkSession
+    sums = [F.sum(name).alias(name) for name in ("t", "o")]
+    counted = docs.mapInArrow(_counter(["w", "t", "o", "ft", "fo"], _words_in), WORDS)
+    by_word = counted.groupBy("w").agg(*sums, F.sum("ft").alias("ft"), F.sum("fo").alias("fo"))
+    # Rows of words below the floor are summed up, not kept.
+    frequent = F.greatest("t", "o") >= LEAST
+    slim = by_word.groupBy(F.when(frequent, F.col("w")).alias("w")).agg(
+        *sums, F.sum("ft").alias("ft"), F.sum("fo").alias("fo")
+    )
+    everything = written(slim, "toxic-words")
+    total = everything.agg(*sums).first()
+    if not total["t"] or not total["o"]:
         return None
-    kept = _is_kept(F.col("t"), F.col("o"), total_t, total_o)
-    # At most 2 / SHARE buckets and words.
-    heavy = by_bucket.filter(kept).select("bucket")
-    words = tokens.join(F.broadcast(heavy), "bucket").groupBy("word").agg(*sums).filter(kept).collect()
-    words.sort(key=lambda row: row["word"])
-    known = {row["word"]: i + 1 for i, row in enumerate(words)}
-    counts = np.array([(0, 0), *((row["t"], row["o"]) for row in words)], float)
-    size = len(counts)
-
-    pairs = docs.mapInArrow(_pair_counts(known), "word bigint, before bigint, t bigint, o bigint")
-    pairs = pairs.groupBy("word", "before").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    own = F.when((F.col("before") < size) & (kept | (F.col("word") == ALL)), F.struct("before", "t", "o"))
-    # At most 2 / SHARE words, as many kept pairs and as many words before.
-    lower = pairs.groupBy("word").agg(F.count("*").alias("types"), F.collect_list(own).alias("kept")).collect()
-
-    types, follow = np.zeros(size), np.ones((size, 2))
-    rows = []
-    for row in lower:
-        if row["word"] == ALL:
-            for x in row["kept"]:
-                follow[x["before"]] = max(x["t"], 1), max(x["o"], 1)
-        else:
-            types[row["word"]] = row["types"]
-            rows += [(x["before"], row["word"], x["t"], x["o"]) for x in row["kept"]]
-    kept_pairs = np.array(sorted(rows), float).reshape(-1, 4)
-
-    total = np.array([total_t, total_o], float)
-    taken = np.where(_differ(counts, total), np.maximum(counts - DISCOUNT, 0), 0)
-    # What the kept words do not take goes to the shared lowest order. Each token of a
-    # rare word stands for one type of pair there.
-    gamma = 1 - taken.sum(axis=0) / total
-    shared = types / max(1.0, types.sum() + (total.sum() - counts.sum()))
-    single = taken / total + gamma * shared[:, None]
-    unigram = np.log(np.maximum(single[:, 0], 1e-12) / np.maximum(single[:, 1], 1e-12))
-    unigram[~_differ(counts, total)[:, 0]] = np.log(max(gamma[0], 1e-12) / max(gamma[1], 1e-12))
-
-    behind = follow[kept_pairs[:, 0].astype(np.int64)]
-    kept_pairs = kept_pairs[_differ(kept_pairs[:, 2:], behind)[:, 0]]
-    before, after = kept_pairs[:, 0].astype(np.int64), kept_pairs[:, 1].astype(np.int64)
-    share = np.maximum(kept_pairs[:, 2:] - DISCOUNT, 0) / follow[before]
-    taken_after = np.zeros((size, 2))
-    np.add.at(taken_after, before, share)
-    weight = np.maximum(1 - taken_after, 1e-6)
-    context = np.log(weight[:, 0] / weight[:, 1])
-    joint = share + weight[before] * single[after]
-    extra = np.log(joint[:, 0] / joint[:, 1]) - context[before] - unigram[after]
-    keys = before * size + after
-    return Model(known, unigram, context, keys, extra)
-
-
-def _fit(slope_rows: list) -> tuple[float, float]:
+    total_t, total_o = F.lit(float(total["t"])), F.lit(float(total["o"]))
+    words = everything.filter(F.col("w").isNotNull())
+
+    bits = spark.sparkContext.broadcast(_cells(words))
+    pairs = docs.mapInArrow(_counter(["v", "w", "t", "o"], _pairs_in(bits)), PAIRS).groupBy("v", "w").agg(*sums)
+    # Of every pair one row for its second word's types; frequent ones have a row of their own.
+    nothing = F.lit(None).cast("bigint")
+    own = F.when(frequent, F.struct(F.col("v").alias("v"), F.col("t").alias("t"), F.col("o").alias("o"), F.lit(0).alias("types")))
+    typed = F.struct(nothing.alias("v"), nothing.alias("t"), nothing.alias("o"), F.lit(1).alias("types"))
+    kept = pairs.select("w", F.explode(F.array_compact(F.array(typed, own))).alias("x")).select("w", "x.*")
+    kept = written(kept.groupBy("w", "v").agg(*sums, F.sum("types").alias("types")), "toxic-pairs")
+
+    types = kept.filter(F.col("v").isNull()).select("w", "types")
+    all_types = F.lit(float(types.agg(F.sum("types")).first()[0] or 1))
+    differs = _differ(F.col("t"), F.col("o"), total_t, total_o)
+    taken = {
+        "t": F.when(differs, F.greatest(F.col("t") - DISCOUNT, F.lit(0.0)) / total_t).otherwise(0.0),
+        "o": F.when(differs, F.greatest(F.col("o") - DISCOUNT, F.lit(0.0)) / total_o).otherwise(0.0),
+    }
+    left = words.agg(F.sum(taken["t"]).alias("t"), F.sum(taken["o"]).alias("o")).first()
+    # What the words of their own do not take goes to the shared lowest order.
+    rest = {"t": max(1 - (left["t"] or 0.0), 1e-12), "o": max(1 - (left["o"] or 0.0), 1e-12)}
+    base = float(np.log(rest["t"] / rest["o"]))
+    share = F.coalesce("types", F.lit(1)) / all_types
+    single = words.join(types, "w", "left").select(
+        "w", *[(taken[c] + F.lit(rest[c]) * share).alias(f"p{c}") for c in "to"], differs.alias("differs")
+    )
+    single = single.withColumn("own", F.when(F.col("differs"), F.log(F.col("pt") / F.col("po")) - base).otherwise(0.0))
+
+    follow = words.select(F.col("w").alias("v"), F.greatest("ft", F.lit(1)).alias("ft"), F.greatest("fo", F.lit(1)).alias("fo"))
+    sure = (
+        kept.filter(F.col("v").isNotNull() & (F.col("v") != OTHER))
+        .join(follow, "v")
+        .filter(_differ(F.col("t"), F.col("o"), F.col("ft"), F.col("fo")))
+        .select("v", "w", *[(F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"f{c}")).alias(f"s{c}") for c in "to"])
+    )
+    sure = written(sure, "toxic-sure")
+    weight = sure.groupBy("v").agg(*[F.greatest(1 - F.sum(f"s{c}"), F.lit(1e-6)).alias(f"w{c}") for c in "to"])
+    context = weight.withColumn("context", F.log(F.col("wt") / F.col("wo")))
+    joint = {c: F.col(f"s{c}") + F.col(f"w{c}") * F.col(f"p{c}") for c in "to"}
+    extra = sure.join(context, "v").join(single, "w")
+    extra = extra.select(
+        _pair_key(F.col("v"), F.col("w")).alias("key"),
+        (F.log(joint["t"] / joint["o"]) - F.col("context") - F.col("own") - base).alias("value"),
+    )
+    constant = F.lit(_CONTEXT).cast("bigint")
+    parts = (
+        single.filter("differs")
+        .select(F.col("w").alias("key"), F.col("own").alias("value"))
+        .unionByName(context.select(_pair_key(F.col("v"), constant).alias("key"), F.col("context").alias("value")))
+        .unionByName(extra)
+    )
+    return written(parts.groupBy("key").agg(F.sum("value").alias("value")), "toxic-model"), base
+
+
+def _keys(hashes: np.ndarray) -> np.ndarray:
+    before = hashes[:-1]
+    return np.concatenate([hashes, pair_keys(before, _CONTEXT), pair_keys(before, hashes[1:])]) if len(hashes) else hashes
+
+
+def _differences(model, base: float):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values = model.value
+        hashes = _Hashes()
+        for batch in batches:
+            found = []
+            for text in batch.column("text"):
+                own = hashes.of(text.as_py())
+                asked = _keys(own)
+                at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                hit = at[keys[at] == asked] if len(keys) else at[:0]
+                found.append(base + values[hit].sum() / len(own) if len(own) else None)
+            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(found, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "d"])
+
+    return score
+
+
+def _text_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = _Hashes()
+    for batch in batches:
+        found, times, sizes = [], [], []
+        for text in batch.column("text"):
+            own = hashes.of(text.as_py())
+            keys, counts = np.unique(_keys(own), return_counts=True)
+            found.append(keys.view(np.int64))
+            times.append(counts.astype(np.int64))
+            sizes.append(len(own))
+        offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        lists = [
+            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *x]))) for x in (found, times)
+        ]
+        columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(sizes, pa.int64()), *lists]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_words", "keys", "times"])
+
+
+def differences(given: DataFrame, model: DataFrame, base: float, max_rows: int | None = None) -> DataFrame:
+    """(doc_id, held_out, d) of rows (doc_id, held_out, text): d is toxic minus ordinary log-likelihood per word."""
+    spark = given.sparkSession
+    if model.count() <= (MODEL_ROWS if max_rows is None else max_rows):
+        table = model.toArrow()
+        keys = table["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        shared = spark.sparkContext.broadcast((keys[order], table["value"].to_numpy()[order]))
+        return given.mapInArrow(_differences(shared, base), "doc_id bigint, held_out boolean, d double")
+    shape = "doc_id bigint, held_out boolean, n_words bigint, keys array<bigint>, times array<bigint>"
+    texts = written(given.mapInArrow(_text_keys, shape), "toxic-texts").withColumn("row", F.monotonically_increasing_id())
+    asked = texts.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("row", "x.*")
+    asked = skewed_join(asked.withColumnRenamed("keys", "key"), model, ["key"], "inner")
+    totals = asked.groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("total"))
+    d = F.when(F.col("n_words") > 0, base + F.coalesce("total", F.lit(0.0)) / F.col("n_words"))
+    return texts.join(totals, "row", "left").select("doc_id", "held_out", d.alias("d"))
+
+
+def _fit(rows: list) -> tuple[float, float]:
     """Slope and offset of the logistic, from rows (toxic, bin, n), by Newton steps."""
-    x = np.array([(row["bin"] + 0.5) / BINS * 2 * LIMIT - LIMIT for row in slope_rows])
-    y = np.array([float(row["toxic"]) for row in slope_rows])
-    n = np.array([float(row["n"]) for row in slope_rows])
-    mean = (n @ y) / n.sum()
+    place = np.array([(row["bin"] + 0.5) / BINS * 2 - 1 for row in rows])
+    x = place / (1 - np.abs(place))
+    y = np.array([float(row["toxic"]) for row in rows])
+    n = np.array([float(row["n"]) for row in rows])
+    mean = (n @ y) / n.sum() if len(n) else 0.0
     if mean in (0.0, 1.0):
         return 0.0, 0.0
     scale = max(np.sqrt(n @ (x - (n @ x) / n.sum()) ** 2 / n.sum()), 1e-9)
     design = np.stack([x / scale, np.ones_like(x)], axis=1)
     beta = np.array([0.0, np.log(mean / (1 - mean))])
-    for _ in range(100):
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         slope = design.T @ (n * (y - p)) - 1e-3 * beta
         curve = (design * (n * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
@@ -256,17 +332,15 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(True))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(toxic, text) of the documents with a label."""
+def _marks(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled ids that may be learned from; broadcast while few."""
     marks = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .filter(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg((F.max("toxic") > 0).alias("toxic"))
     )
-    if marks.count() <= BROADCAST_ROWS:
-        marks = F.broadcast(marks)
-    return docs.join(marks, "doc_id").select("toxic", "text")
+    return F.broadcast(marks) if marks.count() <= BROADCAST_ROWS else marks
 
 
 def score_documents(
@@ -276,36 +350,24 @@ def score_documents(
 
     ``labels`` has doc_id and toxic (0 or 1); those of held-out ids are not read.
     """
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    context = docs.sparkSession.sparkContext
-    known = _labelled(given, labels.select("doc_id", "toxic"))
-    model = train(known)
-    if model is not None:
-        first = context.broadcast(model.parts())
-
-        def differences(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            own = Model(*first.value)
-            for batch in texts:
-                yield batch.map(own.difference, na_action=None).astype(float)
-
-        d = F.pandas_udf(differences, "double")("text")
-        place = F.floor((F.greatest(F.least(F.col("d"), F.lit(LIMIT)), F.lit(-LIMIT)) + LIMIT) / (2 * LIMIT) * BINS)
-        bins = (
-            known.select("toxic", d.alias("d"))
-            .filter(F.col("d").isNotNull() & ~F.isnan("d"))
-            .groupBy("toxic", F.least(place, F.lit(BINS - 1)).alias("bin"))
-            .agg(F.count("*").alias("n"))
-        )
-        model.slope, model.offset = _fit(bins.collect())
-    else:
-        model = Model({}, np.zeros(1), np.zeros(1), np.zeros(0, np.int64), np.zeros(0))
-    final = context.broadcast(model.parts())
-
-    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = Model(*final.value)
-        for batch in texts:
-            yield batch.map(own.score, na_action=None).astype(float)
-
-    return given.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.pandas_udf(scores, "double")("text").alias("score")
-    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    doc_id, text = F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`")
+    given = docs.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), text.alias("text"))
+    marks = _marks(labels.select("doc_id", "toxic"))
+    trained = train(given.join(marks, "doc_id").select("toxic", "text"))
+    if trained is None:
+        scored = given.select("doc_id", "held_out", F.lit(0.5).alias("score"))
+        return scored.withColumn("predicted", F.lit(1))
+    found = written(differences(given, *trained), "toxic-differences")
+    place = F.col("d") / (1 + F.abs("d"))
+    bins = (
+        found.filter(F.col("d").isNotNull())
+        .join(marks, "doc_id")
+        .groupBy("toxic", F.least(F.floor((place + 1) / 2 * BINS), F.lit(BINS - 1)).alias("bin"))
+        .agg(F.count("*").alias("n"))
+    )
+    # At most 2 * BINS rows.
+    slope, offset = _fit(bins.collect())
+    score = 1 / (1 + F.exp(-(F.lit(offset) + F.lit(slope) * F.coalesce("d", F.lit(0.0)))))
+    return found.select("doc_id", "held_out", score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
