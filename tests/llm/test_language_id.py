@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -72,3 +73,69 @@ def test_penalties_leave_weights_sparse():
     used = np.flatnonzero(np.abs(weights[:-1]).sum(axis=1))
     assert 0 in used and 1 in used and len(used) < 4000
     assert weights[0, 0] > 0 > weights[1, 0]
+
+
+def test_rows_that_share_an_id_lose_no_language(spark, documents):
+    """Very many rows under one id, whichever it is, beside few of another language."""
+    for shared in (3, 4, 8):
+        rows = [(shared, f"the dog {i} and the cat in the house", "en") for i in range(1500)]
+        rows += [(100 + i, f"der Hund {i} und die Katze im Haus", "de") for i in range(60)]
+        got = language_id.fit_and_predict(documents(*rows)).select("row.lang", "lang_pred").collect()
+        learned = zlib.crc32(str(shared).encode()) % 4 != 2
+        wrong = [row for row in got if row["lang"] != row["lang_pred"]]
+        assert not wrong if learned else {row["lang_pred"] for row in got} == {"de"}
+
+
+def test_the_sample_is_even_and_bounded(spark, documents, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 40)
+    monkeypatch.setattr(language_id, "LANGUAGES", 3)
+    seen = []
+    ftrl = language_id.ftrl
+
+    def spy(rows, labels, classes):
+        seen.append((len(rows), np.bincount(labels, minlength=classes).tolist()))
+        return ftrl(rows, labels, classes)
+
+    monkeypatch.setattr(language_id, "ftrl", spy)
+    rows = [(i, f"{word} {i} {word}", lang) for k, (word, lang) in enumerate(
+        [("dog", "en"), ("hund", "de"), ("perro", "es"), ("chien", "fr")]) for i in range(200 * k, 200 * k + 150 - k)]
+    got = language_id.fit_and_predict(documents(*rows)).select("lang_pred").distinct().collect()
+    # Three languages, 13 documents of each, a fifth of them kept apart.
+    assert len(seen) == 1 and sum(seen[0][1]) == seen[0][0] == 31 and max(seen[0][1]) - min(seen[0][1]) <= 2
+    assert len(got) == 3
+
+
+def test_ftrl_equals_a_plain_version():
+    """Per-coordinate sums in dictionaries, one number at a time."""
+    rng = np.random.default_rng(1)
+    rows, labels, classes = [], rng.integers(0, 3, 40), 3
+    for _ in range(40):
+        at = np.append(np.sort(rng.choice(60, 8, replace=False)), language_id.WIDTH)
+        rows.append((at, np.append(rng.random(8), 1.0)))
+    z, n = {}, {}
+
+    def weight(key):
+        a, b = z.get(key, 0.0), n.get(key, 0.0)
+        l1 = 0.0 if key[0] == language_id.WIDTH else language_id.L1
+        shrunk = math.copysign(max(abs(a) - l1, 0.0), a)
+        return -shrunk / ((language_id.BETA + math.sqrt(b)) / language_id.ALPHA + language_id.L2)
+
+    order = np.random.default_rng(0)
+    for _ in range(language_id.EPOCHS):
+        for i in order.permutation(len(rows)):
+            at, x = rows[i]
+            old = {(j, c): weight((j, c)) for j in at for c in range(classes)}
+            scores = [sum(old[j, c] * v for j, v in zip(at, x)) for c in range(classes)]
+            top = max(scores)
+            raised = [math.exp(score - top) for score in scores]
+            for j, v in zip(at, x):
+                for c in range(classes):
+                    g = v * (raised[c] / sum(raised) - (labels[i] == c))
+                    before = n.get((j, c), 0.0)
+                    grown = before + g * g
+                    z[j, c] = z.get((j, c), 0.0) + g - (math.sqrt(grown) - math.sqrt(before)) / language_id.ALPHA * old[j, c]
+                    n[j, c] = grown
+    weights = language_id.ftrl(rows, labels, classes)
+    for j in [*range(60), language_id.WIDTH]:
+        for c in range(classes):
+            assert math.isclose(weights[j, c], weight((j, c)), abs_tol=1e-9)

@@ -3,9 +3,12 @@
 Features are hashed character n-grams of the letters of a text, weighted by inverse
 document frequency over every training document and scaled to unit length. The
 weights come from follow-the-regularised-leader (proximal, per coordinate) with L1
-and L2 penalties, on a sample of at most about ``SAMPLE_DOCS`` documents spread evenly
-over the languages; a fifth of the sample is kept apart for the temperature that
-calibrates the probabilities. Everything else covers all rows.
+and L2 penalties, on a sample of at most ``SAMPLE_DOCS`` documents (or two of each
+language): of each language the same number, those with the smallest hashes of id and
+text, whatever other languages there are. A fifth of the sample is kept apart for the
+temperature that calibrates the probabilities. Everything else covers all rows. The
+classifier knows the ``LANGUAGES`` most frequent languages of the table, ties in
+alphabetical order, which bounds it and its sample.
 
 Defined results
 - Texts that are null or have no letter: ``und``, score 0. So is every text if there
@@ -13,7 +16,10 @@ Defined results
 - Rows without a language or an id are not learned from. A row without an id counts
   as held out.
 - Equal probabilities: the language that is first in alphabetical order.
-- Repeated rows are learned from and labelled each.
+- Repeated rows are learned from and labelled each; rows that share an id are told apart
+  by their texts.
+- A text of any length is read whole by one task; an empty table gives no rows.
+- Other columns of the input, whatever their names, stay in ``row`` and take no part.
 """
 
 from __future__ import annotations
@@ -28,10 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.operators.topn import top_n
+
 ORDERS = (1, 2, 3)
 BITS = 16
 WIDTH = 1 << BITS
-SAMPLE_DOCS = 1000
+SAMPLE_DOCS = 2000
+LANGUAGES = 200
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.001
 UNKNOWN = "und"
@@ -168,10 +177,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame) -> Model:
-    """Model from all rows (lang, text, draw), of which ``draw`` in [0, 1) picks the sample."""
+    """Model from all rows (lang, text, draw); ``draw`` puts the rows of a language in order."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(sizes)
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    languages = sorted(row["lang"] for row in sizes.orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect())
     if not languages:
         return Model([], np.zeros((WIDTH, 0)), np.zeros(WIDTH), np.zeros(0), 1.0)
     found = known.select("text").mapInArrow(_frequencies, "gram bigint, docs bigint")
@@ -179,12 +189,11 @@ def train(docs: DataFrame) -> Model:
     by_gram = found.groupBy("gram").agg(F.sum("docs").alias("docs")).toPandas()
     frequency = np.zeros(WIDTH)
     frequency[by_gram["gram"].to_numpy(np.int64)] = by_gram["docs"]
-    idf = np.log((1 + sum(sizes.values())) / (1 + frequency)) + 1
+    idf = np.log((1 + total) / (1 + frequency)) + 1
 
     quota = max(2, SAMPLE_DOCS // len(languages))
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, quota / sizes[lang]))])
-    # The draw follows the id; rows that repeat one are bounded by the limit.
-    sample = known.filter(F.col("draw") < F.element_at(share, F.col("lang"))).limit(4 * SAMPLE_DOCS)
+    # Pruned in every input partition before texts are shuffled.
+    sample = top_n(known.filter(F.col("lang").isin(languages)), ["lang"], [F.col("draw")], quota, spread=64)
     rows = sample.select("lang", "text").mapInArrow(_features, "lang string, grams binary, tf binary").collect()
     rows.sort(key=lambda row: (row["lang"], row["grams"], row["tf"]))
     labels = np.array([languages.index(row["lang"]) for row in rows], np.int64)
@@ -231,7 +240,7 @@ def fit_and_predict(
         F.col(text_col).alias("text"),
         F.col(lang_col).alias("lang"),
         held_out(F.col(id_col)).alias("held_out"),
-        (F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 20)) / (1 << 20)).alias("draw"),
+        F.xxhash64(F.col(id_col), F.col(text_col), F.lit("sample")).alias("draw"),
     )
     model = train(given.filter(~F.col("held_out")).select("lang", "text", "draw"))
     return given.select(
