@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
-from tidewire.operators.ordered import DAY, SECOND, as_of, lag_by
+from tidewire.operators.ordered import DAY, SECOND, as_of, lag_by, trailing
 from tidewire.operators.topn import top_n
 
 START = dt.datetime(2024, 1, 1)
@@ -154,3 +154,59 @@ def test_top_n(spark, spread):
     plain = Window.partitionBy("g").orderBy(F.col("x").desc(), F.col("id"))
     expected = df.withColumn("rank", F.row_number().over(plain)).filter("rank <= 5")
     assert rows_of(got.select(*expected.columns)) == rows_of(expected)
+
+
+def brute_trailing(left, right, keyed, seconds):
+    out = []
+    for row in left:
+        if row["at"] is None or keyed and row["k"] is None:
+            out.append((row["id"], None, None))
+            continue
+        first = row["at"] - dt.timedelta(seconds=seconds)
+        near = [r for r in right if r["seen"] and first <= r["seen"] <= row["at"] and (not keyed or r["k"] == row["k"])]
+        values = [r["v"] for r in near if r["v"] is not None]
+        out.append((row["id"], len(near), sum(values) if values else None))
+    return sorted(out)
+
+
+@given(seed=st.integers(0, 10**6), keyed=st.booleans(), hot=st.sampled_from([3, 100_000]))
+@relaxed
+def test_trailing_equals_brute_force(spark, seed, keyed, hot):
+    """Ties, both ends of the range, a crowded minute that is split, gaps of days, NULLs."""
+    rng = random.Random(seed)
+
+    def instant():
+        kind = rng.random()
+        if kind < 0.05:
+            return None
+        if kind < 0.6:
+            return START + dt.timedelta(seconds=rng.randrange(0, 60), microseconds=rng.choice([0, 1, 999_999]))
+        return START + dt.timedelta(minutes=rng.choice([0, 1, 4, 5, 6, 1439, 1440, 20_000]), seconds=rng.choice([0, 30]))
+
+    keys = ["a", "b", None]
+    right = [(rng.choice(keys), instant(), rng.choice([None, 1, -2, 30])) for _ in range(60)]
+    left = [(i, rng.choice([*keys, "c"]), instant()) for i in range(60)]
+    right_df = spark.createDataFrame(right, "k string, seen timestamp, v bigint").repartition(3)
+    left_df = spark.createDataFrame(left, "id int, k string, at timestamp").repartition(3)
+    seconds = rng.choice([0, 1, 300, 90_000])
+    by = ["k"] if keyed else []
+    got = trailing(left_df, right_df, "at", "seen", seconds, "n", {"v": "total"}, by=by, hot=hot)
+    expected = brute_trailing(left_df.collect(), right_df.collect(), keyed, seconds)
+    assert sorted((r.id, r.n, r.total) for r in got.collect()) == expected
+
+
+def test_trailing_over_nothing(spark):
+    left = spark.createDataFrame([(1, START)], "id int, at timestamp")
+    right = spark.createDataFrame([], "seen timestamp")
+    assert [tuple(r) for r in trailing(left, right, "at", "seen", 5, "n").collect()] == [(1, START, 0)]
+    assert trailing(left.limit(0), right, "at", "seen", 5, "n").count() == 0
+
+
+def test_trailing_of_a_hot_instant_and_minute(spark):
+    """Very many rows at one instant on both sides are added up before they meet."""
+    left = spark.range(4000).select("id", F.lit(START).alias("at"))
+    seen = F.timestamp_micros(F.unix_micros(F.lit(START)) - F.col("id") % 7)
+    got = trailing(left, spark.range(5000).select(seen.alias("seen")), "at", "seen", 60, "n", hot=2)
+    assert got.groupBy("n").count().collect() == [(5000, 4000)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan

@@ -21,7 +21,7 @@ from tidewire.catalog.inputs import (
 from tidewire.functions import scalars as S
 from tidewire.functions.forecast import model_forecaster, trend_forecaster
 from tidewire.functions.sentiment import lexicon_scorer
-from tidewire.operators.ordered import DAY, as_of
+from tidewire.operators.ordered import DAY, as_of, trailing
 from tidewire.plans import daily, speed
 
 SENTIMENTS = ["avg_sentiment_bullish", "avg_sentiment_bearish", "avg_sentiment_neutral"]
@@ -159,6 +159,26 @@ def asof_price_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(rows, "created_utc")
 
 
+def posts_trailing_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each tick with the posts of the five minutes up to it."""
+    asked = ticks(spark, sf_dir).select("tick_id", "symbol", "last_updated")
+    sent = posts(spark, sf_dir).select("created_utc")
+    rows = trailing(asked, sent, "last_updated", "created_utc", 5 * 60, "posts_last_5_minutes")
+    return ntz(rows, "last_updated")
+
+
+def scores_trailing_week_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each tick with the posts of the same user in the week up to it, and the sum of their scores."""
+    asked = ticks(spark, sf_dir).select("tick_id", F.expr("max_supply div 1000").alias("user_id"), "last_updated")
+    sent = posts(spark, sf_dir).select(
+        F.col("view_count").cast("bigint").alias("user_id"), "created_utc", F.col("score").cast("bigint").alias("score")
+    )
+    rows = trailing(
+        asked, sent, "last_updated", "created_utc", 7 * 86_400, "posts_last_week", {"score": "score_last_week"}, by=["user_id"]
+    )
+    return ntz(rows, "last_updated")
+
+
 def daily_ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = daily.daily_prices(ticks(spark, sf_dir), "last_updated", "price_usd", ["symbol"])
     return rounded(rows, 6, "change_from_kafka")
@@ -239,6 +259,8 @@ QUERIES = {
     "join_window_inner": join_window_inner,
     "asof_price": asof_price,
     "asof_price_by_user": asof_price_by_user,
+    "posts_trailing_5m": posts_trailing_5m,
+    "scores_trailing_week_by_user": scores_trailing_week_by_user,
     "daily_ohlc": daily_ohlc,
     "sentiment_weighted": sentiment_weighted,
     "batch_rows": batch_rows,
@@ -361,6 +383,26 @@ SELECT post_id, created_utc, p.user_id, tick_id, price_usd
 FROM (SELECT post_id, created_utc, CAST(view_count AS BIGINT) AS user_id FROM posts) p
 ASOF LEFT JOIN (SELECT tick_id, price_usd, last_updated, max_supply // 1000 AS user_id FROM ticks) t
   ON p.user_id = t.user_id AND p.created_utc >= t.last_updated""",
+    "posts_trailing_5m": f"""WITH {TICKS_SQL},
+{POSTS_SQL},
+both_kinds AS (
+  SELECT tick_id, symbol, last_updated, NULL AS post_id FROM ticks
+  UNION ALL SELECT NULL, NULL, created_utc, post_id FROM posts),
+counted AS (
+  SELECT *, count(post_id) OVER (ORDER BY last_updated RANGE BETWEEN INTERVAL 5 MINUTES PRECEDING AND CURRENT ROW)
+           AS posts_last_5_minutes
+  FROM both_kinds)
+SELECT tick_id, symbol, last_updated, posts_last_5_minutes FROM counted WHERE tick_id IS NOT NULL""",
+    "scores_trailing_week_by_user": f"""WITH {TICKS_SQL},
+{POSTS_SQL},
+both_kinds AS (
+  SELECT tick_id, max_supply // 1000 AS user_id, last_updated, NULL AS post_id, NULL AS score FROM ticks
+  UNION ALL SELECT NULL, CAST(view_count AS BIGINT), created_utc, post_id, score FROM posts),
+counted AS (
+  SELECT *, count(post_id) OVER w AS posts_last_week, CAST(sum(score) OVER w AS BIGINT) AS score_last_week
+  FROM both_kinds
+  WINDOW w AS (PARTITION BY user_id ORDER BY last_updated RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW))
+SELECT tick_id, user_id, last_updated, posts_last_week, score_last_week FROM counted WHERE tick_id IS NOT NULL""",
     "daily_ohlc": f"""WITH {TICKS_SQL}
 SELECT *, round((close_price - open_price) / nullif(open_price, 0) * 100 + 1e-10, 6) AS change_from_kafka
 FROM (SELECT symbol, CAST(last_updated AS DATE) AS day, arg_min(price_usd, last_updated) AS open_price,
