@@ -25,19 +25,22 @@ from tidewire.catalog.inputs import (
 )
 from tidewire.catalog.ingest import POST_ID_SQL, TICK_ID_SQL
 from tidewire.catalog.market import DAILY_SQL, SPEED_VIEW_SQL, daily_sql_view, speed_view as market_view
-from tidewire.catalog.social import _AVERAGES_SQL, AVERAGES
+from tidewire.catalog.social import _AVERAGES_SQL, AVERAGES, SQL as SOCIAL_SQL
 from tidewire.functions.sentiment import lexicon_scorer
 from tidewire.operators import messages as M
-from tidewire.plans import daily, speed as batch_speed
+from tidewire.operators.posts import NEWEST_PER_FORUM
+from tidewire.plans import daily, speed as batch_speed, states as window_states
 from tidewire.plans.speed import scored_posts
-from tidewire.schemas import POST_TOPIC, TICK_TOPIC, create_tables, refresh_tables, struct, table_schemas
+from tidewire.schemas import POST_TOPIC, TICK_TOPIC, create_tables, refresh_tables, struct
 from tidewire.session import configure, run_folder, stream_session
 from tidewire.sources import topics
 from tidewire.sources.tables import read_quarantine, read_topic_table
-from tidewire.streaming import ingest, run, serving, speed
+from tidewire.streaming import ingest, newest, run, serving, speed, states
 
 # State partitions of the queries' streams, which are small.
 STATE_PARTITIONS = 8
+# Files that hold one drain of the stream with late rows.
+LATE_FILES = 3
 JOBS_AS_OF = dt.datetime(2024, 1, 25, 12, 0)
 
 
@@ -215,7 +218,7 @@ def _daily_view(rows: DataFrame) -> DataFrame:
 def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored daily rows of the days that are over: late rows count, bad prices do not."""
     folder = _job_folder(spark, sf_dir)
-    rows = spark.read.schema(table_schemas()["batch_layer"]).parquet(f"{folder}/batch_layer")
+    rows = jobs.stored_days(spark, folder, "batch_layer")
     return _daily_view(rows.filter(F.col("event_day") < F.lit(JOBS_AS_OF.date())))
 
 
@@ -242,6 +245,72 @@ def serving_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks and scored posts as rows of one table."""
+    sent = scored_posts(batch_posts(spark, sf_dir), lexicon_scorer(DOCUMENT_WORDS))
+    return window_states.timed_rows(batch_ticks(spark, sf_dir), sent)
+
+
+def daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows kept up by four batches: three of ten days, the second with a part of the first's
+    rows, and one with a tenth of all rows, late. The second runs twice, and days are compacted."""
+    configure(spark)
+    folder = run_folder(spark, "incremental")
+    rows = timed(spark, sf_dir)
+    draw = F.pmod(F.xxhash64("kind", "symbol", "at", "price_usd"), F.lit(10))
+    start = rows.agg(F.min(F.to_date("at")).alias("d")).scalar()
+    third = F.least(F.floor(F.date_diff(F.to_date("at"), start) / 10), F.lit(2))
+    batch = F.when(draw == 0, 3).when(draw == 1, F.least(third + 1, F.lit(2))).otherwise(third)
+    dealt = rows.withColumn("batch", batch.cast("int"))
+    for batch_id in (0, 1, 1, 2, 3):
+        states.add_batch(dealt.filter(F.col("batch") == batch_id).drop("batch"), batch_id, folder)
+        if batch_id == 2:
+            states.compact(spark, f"{folder}/states", F.lit(True))
+    return _daily_view(states.daily_view(spark, folder))
+
+
+def stream_late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the rows arrives after all others, behind the watermark; two drains of several
+    micro-batches. The view has them all."""
+    folder = _late_folder(spark, sf_dir, files=1)
+    return market_view(states.corrected_view(spark, folder))
+
+
+def stream_corrections_made(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in one micro-batch a drain: late rows of each kind and day that the corrections hold."""
+    found = states.corrections(spark, _late_folder(spark, sf_dir, files=LATE_FILES))
+    return found.groupBy("kind", F.to_date("window_start").alias("day")).agg(F.sum("n_rows").alias("late_rows"))
+
+
+def _late_folder(spark: SparkSession, sf_dir: str, files: int) -> str:
+    configure(spark)
+    folder = run_folder(spark, "late")
+    session = session_for(spark)
+    rows = timed(spark, sf_dir).withColumn("late", F.second("at") % 5 == 0)
+    schema = rows.drop("late").schema
+    for late in (False, True):
+        part = rows.filter(F.col("late") == late).drop("late")
+        part.repartition(LATE_FILES).write.mode("append").parquet(f"{folder}/feed")
+        feed = session.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/feed")
+        run.drain(run.each_batch(feed, "append", states.late_writer(folder, 10)), f"{folder}/checkpoint")
+    return folder
+
+
+def stream_newest30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest 30 posts of each forum, kept up over several micro-batches and a restart."""
+    configure(spark)
+    folder = run_folder(spark, "newest30")
+    session = session_for(spark)
+    rows = batch_posts(spark, sf_dir).select("post_id", "subreddit", "created_utc", "url")
+    kept = (["subreddit"], [F.col("created_utc").desc(), F.col("post_id")], NEWEST_PER_FORUM)
+    for part in (0, 1):
+        some = rows.filter(F.col("post_id") % 2 == part)
+        some.repartition(4, "post_id").write.mode("append").parquet(f"{folder}/feed")
+        feed = session.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/feed")
+        run.drain(run.each_batch(feed, "append", newest.writer(f"{folder}/newest", *kept)), f"{folder}/checkpoint")
+    return ntz(newest.view(spark, f"{folder}/newest", rows.schema, *kept, rank="newest_rank"), "created_utc")
+
+
 def stream_result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean scores in a named result table, read by SQL after a bounded wait."""
     configure(spark)
@@ -264,6 +333,10 @@ QUERIES = {
     "stream_raw_posts": stream_raw_posts,
     "stream_quarantine": stream_quarantine,
     "stream_result_table": stream_result_table,
+    "stream_newest30": stream_newest30,
+    "stream_late_corrections": stream_late_corrections,
+    "stream_corrections_made": stream_corrections_made,
+    "daily_incremental": daily_incremental,
     "daily_job": daily_job,
     "daily_rows_damaged": daily_rows_damaged,
     "serving_tables": serving_tables,
@@ -312,6 +385,17 @@ FROM posts""",
     "stream_quarantine": f"""WITH {TICKS_SQL}
 SELECT 'cut ' || tick_id AS message FROM ticks WHERE tick_id % 5 = 0""",
     "stream_result_table": f"WITH {POSTS_SQL},\n{SCORED_SQL}\nSELECT {_AVERAGES_SQL} FROM scored",
+    "stream_newest30": SOCIAL_SQL["newest30_per_forum"],
+    "stream_late_corrections": f"WITH {SPEED_INPUT_SQL}\n{SPEED_VIEW_SQL}",
+    "stream_corrections_made": f"""WITH {TICKS_SQL},
+{POSTS_SQL},
+timed AS (
+  SELECT 'tick' AS kind, last_updated AS moment FROM ticks UNION ALL SELECT 'post', created_utc FROM posts),
+marked AS (SELECT *, second(moment) % 5 = 0 AS held FROM timed)
+SELECT kind, CAST(moment AS DATE) AS day, CAST(count(*) AS BIGINT) AS late_rows
+FROM marked WHERE held AND moment < (SELECT max(moment) FROM marked WHERE NOT held) - INTERVAL 10 MINUTES
+GROUP BY ALL""",
+    "daily_incremental": f"WITH {SPEED_INPUT_SQL},\n{DAILY_SQL}\n{daily_sql_view('timestamp')}",
     "daily_job": f"""WITH {_DAMAGED_INPUT}
 SELECT symbol, timestamp, open_price, close_price, posts_last_day, change_from_kafka, avg_sentiment_bullish,
        avg_sentiment_bearish, avg_sentiment_neutral, predicted_bitcoin_price, Max_Price, Min_Price, day AS event_day

@@ -12,10 +12,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidewire.functions.forecast import TIME_STEP, Forecaster
 from tidewire.functions.sentiment import Scorer
+from tidewire.operators.posts import drop_repeats
 from tidewire.plans.daily import daily_rows
 from tidewire.plans.speed import scored_posts, speed_rows as batch_speed_rows
 from tidewire.schemas import BATCH_COLUMNS, POST_TOPIC, SPEED_COLUMNS, TICK_TOPIC, struct, table_schemas
@@ -83,14 +85,22 @@ def speed_rows_to(
     """
     today = as_of.date()
     over = F.col("event_day").between(F.lit(today - dt.timedelta(days=days_back)), F.lit(today - dt.timedelta(days=1)))
-    ticks, posts = (
-        read_topic_table(spark, f"{folder}/{topic}", topic).filter(over).dropDuplicates(["id"]) for topic in TOPICS
-    )
+    ticks, posts = (newest_copies(read_topic_table(spark, f"{folder}/{topic}", topic).filter(over)) for topic in TOPICS)
     past = batch_speed_rows(ticks, posts, scorer)
     live = speed.speed_view(spark, f"{folder}/speed_log", F.col("event_day") == F.lit(today))
     return past.unionByName(live).filter(F.col("timestamp") < F.lit(as_of))
 
 
+def newest_copies(rows: DataFrame) -> DataFrame:
+    """One copy of each row of a raw table: the newest by its file's time, then by a hash of its values.
+
+    So two ticks of an asset and instant with different prices give the same row in every run.
+    """
+    names = rows.columns
+    arrived = rows.select("*", F.col("_metadata.file_modification_time").alias("_arrived"))
+    return drop_repeats(arrived, F.col("_arrived"), [F.xxhash64(*names)]).select(*names)
+
+
 def run_daily(
     spark: SparkSession,
     folder: str,
@@ -104,20 +114,32 @@ def run_daily(
     The daily row of a day that is over is stamped with its last second, that of the
     open day with ``as_of``. A later run replaces the days that it computes, with what
     has come in late by then.
+
+    Speed rows are computed once and written; daily rows are made from what was written.
+    Both are staged under the run's number and published together.
     """
-    rows = speed_rows_to(spark, folder, as_of, late_days + TIME_STEP - 1, scorer)
-    first = F.lit(as_of.date() - dt.timedelta(days=late_days))
-    days = daily_rows(rows, forecaster).filter(F.col("day") >= first)
+    first = as_of.date() - dt.timedelta(days=late_days)
+    number = serving.new_run(spark)
+
+    def stage(rows: DataFrame, table: str, shape: dict[str, str]) -> None:
+        columns = [F.col(f.name).cast(f.dataType) for f in struct({"symbol": "string", **shape}).fields]
+        serving.stage_days(rows.select(*columns), f"{folder}/{table}", "timestamp", number)
+
+    # With the days before that the forecasts need; those are not published.
+    stage(speed_rows_to(spark, folder, as_of, late_days + TIME_STEP - 1, scorer), "speed_layer", SPEED_COLUMNS)
+    staged = T.StructType([*table_schemas()["speed_layer"].fields]).add("run_id", "long")
+    rows = spark.read.schema(staged).parquet(f"{folder}/speed_layer").filter(F.col("run_id") == number)
+    days = daily_rows(rows, forecaster).filter(F.col("day") >= F.lit(first))
     end = F.timestamp_seconds(F.unix_seconds((F.date_add("day", 1)).cast("timestamp")) - 1)
     days = days.withColumn("timestamp", F.when(F.col("day") == F.lit(as_of.date()), F.lit(as_of)).otherwise(end))
-    stored = {
-        "speed_layer": rows.filter(F.col("timestamp").cast("date") >= first),
-        "batch_layer": days,
-    }
-    for table, shape in (("speed_layer", SPEED_COLUMNS), ("batch_layer", BATCH_COLUMNS)):
-        columns = [F.col(f.name).cast(f.dataType) for f in struct({"symbol": "string", **shape}).fields]
-        serving.replace_days(stored[table].select(*columns), f"{folder}/{table}", "timestamp")
-    return spark.read.schema(table_schemas()["batch_layer"]).parquet(f"{folder}/batch_layer")
+    stage(days, "batch_layer", BATCH_COLUMNS)
+    serving.publish(spark, folder, number, serving.staged_days(spark, f"{folder}/batch_layer", number))
+    return stored_days(spark, folder, "batch_layer")
+
+
+def stored_days(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The published rows of ``speed_layer`` or ``batch_layer``."""
+    return serving.published(spark, folder, table, table_schemas()[table])
 
 
 def run_upkeep(spark: SparkSession, folder: str, as_of: dt.datetime, days_back: int = 2) -> None:

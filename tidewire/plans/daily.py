@@ -47,15 +47,10 @@ def last_closes(days: DataFrame, keys: list[str], steps: int = TIME_STEP) -> Dat
     return days.withColumn("last_closes", F.collect_list("close_price").over(window))
 
 
-def daily_rows(
-    speed: DataFrame,
-    forecaster: Forecaster | None = None,
-    keys: list[str] | None = None,
-) -> DataFrame:
-    """The whole daily row: one grouped aggregate over the speed rows, then the forecast."""
+def day_rows(speed: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row per key and day, without the forecast: one grouped aggregate over the speed rows."""
     keys = ["symbol"] if keys is None else keys
-    forecaster = forecaster or trend_forecaster()
-    days = speed.groupBy(*keys, event_day(F.col("timestamp")).alias("day")).agg(
+    return speed.groupBy(*keys, event_day(F.col("timestamp")).alias("day")).agg(
         F.max("timestamp").alias("timestamp"),
         oldest("bitcoin_price", "timestamp").alias("open_price"),
         newest("bitcoin_price", "timestamp").alias("close_price"),
@@ -67,9 +62,16 @@ def daily_rows(
         F.coalesce(F.max("bitcoin_price"), F.lit(0.0)).alias("Max_Price"),
         F.coalesce(F.min("bitcoin_price"), F.lit(0.0)).alias("Min_Price"),
     )
-    closes = last_closes(days, keys)
+
+
+def with_forecast(
+    days: DataFrame, forecaster: Forecaster | None = None, keys: list[str] | None = None
+) -> DataFrame:
+    """The whole daily row from ``day_rows``: change, and the forecast from the last closes."""
+    keys = ["symbol"] if keys is None else keys
+    forecaster = forecaster or trend_forecaster()
     # Prices default in the output only: a close that is not there is no close of 0.
-    return closes.select(
+    return last_closes(days, keys).select(
         *keys,
         "day",
         "timestamp",
@@ -84,6 +86,15 @@ def daily_rows(
     )
 
 
+def daily_rows(
+    speed: DataFrame,
+    forecaster: Forecaster | None = None,
+    keys: list[str] | None = None,
+) -> DataFrame:
+    """The whole daily row: one grouped aggregate over the speed rows, then the forecast."""
+    return with_forecast(day_rows(speed, keys), forecaster, keys)
+
+
 def daily_row_as_of(
     speed: DataFrame, as_of: dt.datetime, forecaster: Forecaster | None = None
 ) -> DataFrame:

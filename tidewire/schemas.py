@@ -105,6 +105,11 @@ GOOD, BAD = "good", "bad"
 CORRUPT = "_corrupt_record"
 RAW_PARTITIONS = ("status", "event_day")
 
+# Serving tables keep every run's days; the published ones are listed.
+SERVING_TABLES = ("speed_layer", "batch_layer")
+PUBLISHED = "published_days"
+PUBLISHED_SCHEMA = T.StructType().add("event_day", "date").add("run_id", "long")
+
 # What a message source delivers, whatever the connector.
 MESSAGE_SCHEMA = T.StructType().add("topic", "string").add("value", "binary")
 
@@ -155,25 +160,45 @@ def refresh_tables(spark: SparkSession, names: list[str]) -> None:
     the stream has committed.
     """
     for name in names:
-        if any(column.isPartition for column in spark.catalog.listColumns(name)):
-            spark.sql(f"MSCK REPAIR TABLE {name}")
-        spark.catalog.refreshTable(name)
+        namespace, _, table = name.rpartition(".")
+        stored = [f"{name}_runs", f"{namespace}.{PUBLISHED}"] if table in SERVING_TABLES else [name]
+        for part in stored:
+            if any(column.isPartition for column in spark.catalog.listColumns(part)):
+                spark.sql(f"MSCK REPAIR TABLE {part}")
+            spark.catalog.refreshTable(part)
 
 
 def create_tables(
     spark: SparkSession, namespace: str = "market", fmt: str = "parquet", location: str | None = None
 ) -> list[str]:
-    """Create the namespace and the four tables, each partitioned by event day."""
+    """Create the namespace, the raw tables by event day, and the serving tables.
+
+    A serving table is a view: of every day the rows of the newest published run, out of
+    ``<table>_runs``, which has a folder for each day and run.
+    """
     at = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{at}")
+
+    def create(table: str, folder: str, schema: T.StructType, partitions: list[str]) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+        at = f" LOCATION '{location}/{folder}'" if location else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {namespace}.{table} ({columns}) USING {fmt}{by}{at}")
+
+    create(PUBLISHED, PUBLISHED, PUBLISHED_SCHEMA, [])
     names = []
     for table, schema in table_schemas().items():
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        at = f" LOCATION '{location}/{table}'" if location else ""
-        partitions = ", ".join(name for name in RAW_PARTITIONS if name in schema.names)
+        names.append(f"{namespace}.{table}")
+        if table not in SERVING_TABLES:
+            create(table, table, schema, [name for name in RAW_PARTITIONS if name in schema.names])
+            continue
+        full = T.StructType([*schema.fields]).add("run_id", "long")
+        create(f"{table}_runs", table, full, ["event_day", "run_id"])
+        columns = ", ".join(f"`{name}`" for name in schema.fieldNames())
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {namespace}.{table} ({columns}) "
-            f"USING {fmt} PARTITIONED BY ({partitions}){at}"
+            f"""CREATE OR REPLACE VIEW {namespace}.{table} AS
+                SELECT {columns} FROM {namespace}.{table}_runs
+                JOIN (SELECT event_day, max(run_id) AS run_id FROM {namespace}.{PUBLISHED} GROUP BY event_day)
+                USING (event_day, run_id)"""
         )
-        names.append(f"{namespace}.{table}")
     return names

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tidewire.functions.scalars import event_day
 from tidewire.operators.topn import top_n
-from tidewire.schemas import RAW_PARTITIONS, raw_table_schema
+from tidewire.schemas import PUBLISHED, PUBLISHED_SCHEMA, RAW_PARTITIONS, raw_table_schema
 from tidewire.sources.tables import closed_path
 
 # Top folders of a serving table: batches as they came, and days that are over.
@@ -77,6 +77,15 @@ def run_number(spark: SparkSession, checkpoint: str) -> int:
 
 def replace_days(rows: DataFrame, path: str, at: str, files: int = FILES) -> None:
     """Write rows into a table by ``event_day``; days that get rows are replaced whole."""
+    _write_days(rows, path, at, ["event_day"], files)
+
+
+def stage_days(rows: DataFrame, path: str, at: str, run: int, files: int = FILES) -> None:
+    """Write rows below their day and the run's own folder, where no reader looks before ``publish``."""
+    _write_days(rows.withColumn("run_id", F.lit(run).cast("bigint")), path, at, ["event_day", "run_id"], files)
+
+
+def _write_days(rows: DataFrame, path: str, at: str, folders: list[str], files: int) -> None:
     share = F.pmod(F.xxhash64(*rows.columns), F.lit(files)).alias("_share")
     dealt = rows.withColumn("event_day", event_day(F.col(at))).select("*", share)
     (
@@ -84,11 +93,42 @@ def replace_days(rows: DataFrame, path: str, at: str, files: int = FILES) -> Non
         .drop("_share")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_day")
+        .partitionBy(*folders)
         .parquet(path)
     )
 
 
+def new_run(spark: SparkSession) -> int:
+    """A number greater than those of earlier runs."""
+    return spark.sql("SELECT unix_micros(now()) AS run").first()["run"]
+
+
+def staged_days(spark: SparkSession, path: str, run: int) -> list[dt.date]:
+    """The days that a run has staged rows of: as many as it computes."""
+    stamps = spark.read.schema("event_day date, run_id bigint").parquet(path)
+    found = stamps.filter(F.col("run_id") == run).select("event_day").distinct().collect()
+    return sorted(row["event_day"] for row in found)
+
+
+def publish(spark: SparkSession, folder: str, run: int, days: Sequence[dt.date]) -> None:
+    """Make the run's rows of these days those of every table in ``folder``, in one commit.
+
+    One file lists the days, so readers see all of them or none, and a run that failed
+    before leaves all tables as they were.
+    """
+    rows = spark.createDataFrame([(day, run) for day in days], PUBLISHED_SCHEMA)
+    rows.coalesce(1).write.mode("append").parquet(f"{folder}/{PUBLISHED}")
+
+
+def published(spark: SparkSession, folder: str, table: str, schema: T.StructType) -> DataFrame:
+    """A table's rows of the newest published run of each day. ``schema`` ends with ``event_day``."""
+    full = T.StructType([*schema.fields]).add("run_id", "long")
+    newest = spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{folder}/{PUBLISHED}")
+    newest = newest.groupBy("event_day").agg(F.max("run_id").alias("run_id"))
+    stored = spark.read.schema(full).parquet(f"{folder}/{table}")
+    return stored.join(newest, ["event_day", "run_id"]).select(*schema.fieldNames())
+
+
 def latest(
     spark: SparkSession,
     path: str,
@@ -104,6 +144,7 @@ def latest(
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, days: Column | None) -> DataFrame:
+    """Every stored row with its ``FOLDERS`` columns."""
     # A copy of the field list: adding to a StructType extends the list it was given.
     full = T.StructType([*schema.fields]).add("part", "string")
     full = full.add("event_day", "date").add("run_id", "long").add("batch_id", "long")
