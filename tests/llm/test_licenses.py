@@ -1,4 +1,7 @@
-from tidewire.llm import licenses
+import duckdb
+
+from tests import oracle
+from tidewire.llm import licenses, sql
 
 MIT = """MIT License
 
@@ -71,6 +74,7 @@ SAMPLES = {
     "mit-notice": "The above copyright notice and this permission notice shall be included in all copies",
     "mit-ref": "Released under the MIT License",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose is granted",
+    "isc-ref": "Under the ISC license",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted",
     "bsd-source": "Redistributions of source code must retain this",
     "bsd-binary": "Redistributions in binary form must reproduce this",
@@ -117,3 +121,48 @@ def test_every_known_sentence_and_rule_is_reached(documents):
 def test_original_bsd_licence(documents):
     advert = f"{SAMPLES['bsd-advert']} acknowledgement: This product includes software. "
     assert scan(documents, BSD.format(advert + NAME))[0][1] == "BSD-4-Clause"
+
+
+def test_results_written_by_hand(documents):
+    """Expected names are of the licences themselves, not of the pattern table."""
+    cases = {
+        "Dual licensed under the MIT License or the Apache License, Version 2.0.": "Apache-2.0,MIT",
+        "Released under the MIT License\nLicensed under CC BY-NC 4.0": "MIT,CC-BY-NC",
+        "SPDX-License-Identifier: MIT": "MIT",
+        "# SPDX-License-Identifier: Apache-2.0 OR MIT": "Apache-2.0,MIT",
+        "code\n// SPDX-License-Identifier: (GPL-2.0-or-later AND BSD-3-Clause)\nmore code": "BSD-3-Clause,GPL-2.0-or-later",
+        "SPDX-License-Identifier: CC-BY-SA-4.0": "CC-BY-SA",
+        "released under the ISC license": "ISC",
+        "You may use version 3 of the GNU General Public License.": "GPL-3.0",
+        "under version 2.1 of the GNU Lesser General Public License": "LGPL-2.1",
+        "either version 3 or any later version of the GNU General Public License": "GPL-3.0-or-later",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version": "GPL-3.0-or-later",
+        "Released under the GPLv3": "GPL-3.0",
+        "under the GPL or the Apache License, Version 2.0": "Apache-2.0,GPL",
+        "Licensed under the MIT or the BSD 2-Clause licence": "MIT,BSD-2-Clause",
+        "Available under the Mozilla Public License v2.0": "MPL-2.0",
+        "This file is available under the Mozilla Public License, v. 2.0, and the MIT license.": "MIT,MPL-2.0",
+        "The above\ncopyright notice and this permission notice shall be included in all copies.": "",
+        "Copyright 2020 Someone, all rights reserved": "All-Rights-Reserved",
+        "MIT is a university; a licence to print money": "",
+    }
+    got = scan(documents, *cases)
+    assert [names for _, names, _ in got] == list(cases.values())
+    assert got[0][0] == "mit-ref,apache2-ref" and got[16][0] == "mit-notice"
+
+
+def test_order_of_position(documents):
+    text = "The GPL, the MIT License and the GPL again."
+    assert scan(documents, text)[0] == ("gpl-ref,mit-ref,gpl-ref", "MIT,GPL", 0)
+
+
+def test_sql_twin_of_results_written_by_hand(documents, tmp_path):
+    texts = [*SAMPLES.values(), MIT, BSD.format(NAME), "SPDX-License-Identifier: MIT\nLicensed under the GPL, v. 2.0", None, ""]
+    docs = documents(*[(i, text, "en") for i, text in enumerate(texts)])
+    docs.write.parquet(f"{tmp_path}/documents")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    rows = licenses.scan(docs).select("row.doc_id", "sentences", "licenses", "n_unknown")
+    names, rows = oracle.spark_rows(rows)
+    assert (names, oracle.differences(rows, oracle.duck_rows(con, sql.LICENSES)[1])) == (sorted(names), [])

@@ -64,10 +64,8 @@ kinds AS (
   FROM counted),
 tokens AS (SELECT rid, lang, unnest({WORDS.format(_PLAIN)}) AS word FROM docs),
 languages AS (
-  SELECT lang, words
-  FROM (SELECT lang, count(*) AS words, sum(count(*)) OVER () AS everything
-        FROM tokens WHERE lang IS NOT NULL GROUP BY lang)
-  WHERE words >= greatest({quality.REFERENCE_WORDS}, {quality.LANGUAGE_SHARE} * everything)),
+  SELECT lang, count(*) AS words FROM tokens WHERE lang IS NOT NULL
+  GROUP BY lang HAVING count(*) >= {quality.REFERENCE_WORDS}),
 common AS (
   SELECT lang, word, count(*) / any_value(words) AS q
   FROM tokens JOIN languages USING (lang) GROUP BY lang, word
@@ -227,8 +225,18 @@ FROM docs JOIN shares USING (source, lang, topic)
 
 
 def _licence_sql() -> str:
-    cases = " ".join(
-        f"WHEN regexp_matches(x, '{pattern}') THEN '{name}'" for name, pattern in licenses.SENTENCES
+    numbers = {name: i for i, (name, _) in enumerate(licenses.SENTENCES, 1)}
+
+    def marked(patterns: tuple[tuple[str, str], ...]) -> str:
+        x = "x"
+        for name, pattern in patterns:
+            x = f"regexp_replace({x}, '{pattern}', ' #{numbers[name]}# ', 'g')"
+        return f"regexp_extract_all({x}, '{licenses.MARK}', 1)"
+
+    names = ", ".join(f"'{name}'" for name in numbers)
+    found = (
+        f"CASE WHEN starts_with(x, '{licenses.SPDX}') THEN {marked(licenses.SPDX_NAMES)}"
+        f" ELSE {marked(licenses.SENTENCES)} END"
     )
     steps = []
     for i, (name, sequence) in enumerate(licenses.RULES):
@@ -240,13 +248,23 @@ def _licence_sql() -> str:
     chain = ",\n".join(steps)
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+sentences AS MATERIALIZED (
+  SELECT rid, i, x
+  FROM (SELECT rid, unnest(range(len(parts))) AS i, unnest(parts) AS x
+        FROM (SELECT rid, list_transform(regexp_split_to_array(regexp_replace(regexp_replace(regexp_replace(
+                     text, '{licenses.NOTICE}', E'\n\n\\1', 'g'), '{licenses.SPDX_TAG}', '{licenses.SPDX} ', 'g'),
+                     '{licenses.VERSION_STOP}', 'v \1', 'g'),
+                     '{licenses.SENTENCE_END}'),
+                     lambda x: trim(regexp_replace(lower(x), '{licenses.NOT_A_WORD}', ' ', 'g'))) AS parts
+              FROM docs))
+  WHERE regexp_matches(x, '{licenses.LICENCE_WORDS}')),
+known AS (
+  SELECT rid, i, list_transform({found}, lambda n: [{names}][CAST(n AS INTEGER)]) AS found FROM sentences),
 ids AS MATERIALIZED (
-  SELECT rid, doc_id, list_transform(list_filter(list_transform(
-           regexp_split_to_array(text, '{licenses.SENTENCE_END}'),
-           lambda x: trim(regexp_replace(lower(x), '{licenses.NOT_A_WORD}', ' ', 'g'))),
-           lambda x: regexp_matches(x, '{licenses.LICENCE_WORDS}')),
-           lambda x: CASE {cases} ELSE '{licenses.UNKNOWN}' END) AS ids
-  FROM docs),
+  SELECT rid, doc_id, coalesce(ids, []) AS ids
+  FROM docs LEFT JOIN (
+    SELECT rid, flatten(list(CASE WHEN len(found) > 0 THEN found ELSE ['{licenses.UNKNOWN}'] END ORDER BY i)) AS ids
+    FROM known GROUP BY rid) USING (rid)),
 s0 AS MATERIALIZED (
   SELECT rid, ' ' || array_to_string(ids, '  ') || ' ' AS rest, CAST([] AS VARCHAR[]) AS names
   FROM ids WHERE len(ids) > 0),
