@@ -50,6 +50,8 @@ PERIOD = 64
 BITS = 1 << 24
 # Different words a task keeps numbers for before it starts anew.
 KEEP_WORDS = 400_000
+# Tokens that a task counts phrases in at once; Spark adds these counts up.
+HELD = 1_500_000
 # The seed of Spark's xxhash64.
 SEED = 42
 
@@ -232,13 +234,31 @@ def _may_begin(hashes: np.ndarray, bits, size: int) -> np.ndarray:
     return found
 
 
+def _gathered(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays over about ``HELD`` tokens, with an end of a piece behind each part."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for part in parts:
+        held.append(tuple(np.append(x, np.zeros(1, x.dtype)) for x in part))
+        size += len(part[0])
+        if size >= HELD:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def _counted(parts: Iterator[tuple[np.ndarray, ...]], size: int, bits) -> Iterator[pa.RecordBatch]:
+    for hashes, mine, weight in _gathered(parts):
+        found = _may_begin(hashes, bits, size)
+        batch = _grams(hashes, found & mine[: len(found)], weight, size)
+        if batch is not None:
+            yield batch
+
+
 def _pairs(bits, salt: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, mine, weight in _read(batches, salt):
-            found = _may_begin(hashes, bits, 2)
-            batch = _grams(hashes, found & mine[: len(found)], weight, 2)
-            if batch is not None:
-                yield batch
+        yield from _counted(_read(batches, salt), 2, bits)
 
     return count
 
@@ -267,7 +287,7 @@ def _runs(bits, salt: str):
 
 
 def _in_runs(size: int, bits):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             runs = batch.column(0).to_pylist()
             if not runs:
@@ -278,11 +298,10 @@ def _in_runs(size: int, bits):
             starts = np.cumsum(lengths) - lengths
             run = np.repeat(np.arange(len(runs)), lengths)[: len(hashes)]
             owned, weight = (batch.column(k).to_numpy()[run] for k in (1, 2))
-            found = _may_begin(hashes, bits, size)
-            mine = (np.arange(len(hashes)) - starts[run] < owned)[: len(found)]
-            out = _grams(hashes, found & mine, weight, size)
-            if out is not None:
-                yield out
+            yield hashes, np.arange(len(hashes)) - starts[run] < owned, weight
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _counted(read(batches), size, bits)
 
     return count
 
