@@ -125,3 +125,20 @@ def test_projected_submission(spark):
     row = P.project_submissions(landed).collect()[0]
     assert (row.created_utc, row.subreddit, row.title, row.score) == ("2024-01-17 00:00:00", "btc", "T", "7")
     assert len(row) == 14 and row.selftext is None
+
+
+def test_listings_in_any_currency(spark):
+    quote = '{"USD":{"price":1.5,"market_cap":7},"XAU":{"price":"n/a"},"EUR":null}'
+    values = [
+        f'{{"data":[{{"symbol":"A","name":"a","last_updated":"2024-01-17T10:00:00Z","quote":{quote}}},{{"symbol":"B"}}]}}',
+        '{"data":[{"symbol":"C","last_updated":"x","quote":[1]},{"symbol":"D","quote":{"CHF":{"price":2}}},5]}',
+        '{"data":[]}', '{"data":5}', '{"other":[]}', "not json", "[1]", "", '{"data":[{"symbol":"E"', None,
+    ]
+    payloads = spark.createDataFrame([(i, value) for i, value in enumerate(values)], "n int, value string")
+    rows = listing.extract_currencies(payloads, "n").collect()
+    got = sorted((r.n, r.symbol, r.currency, r.price, r.market_cap, r.last_updated is not None) for r in rows)
+    assert got == [
+        (0, "A", "EUR", None, None, True), (0, "A", "USD", 1.5, 7.0, True), (0, "A", "XAU", None, None, True),
+        (1, "D", "CHF", 2.0, None, False),
+    ]
+    assert sorted(r.n for r in listing.unreadable(payloads).collect()) == [3, 4, 5, 6, 7, 8]

@@ -309,7 +309,7 @@ def test_command_line(spark, tmp_path, sf_dir):
         serving.append_raw(M.landed(rows, topic), f"{tmp_path}/{topic}")
     jobs.main(["daily", "--folder", str(tmp_path), "--as-of", "2024-01-15 23:59:00"])
     stored = spark.read.parquet(f"{tmp_path}/batch_layer").groupBy("event_day").count().collect()
-    assert sorted((str(r.event_day), r["count"]) for r in stored) == [("2024-01-14", 4), ("2024-01-15", 4)]
+    assert sorted((str(r.event_day), r["count"]) for r in stored) == [("2024-01-14", 5), ("2024-01-15", 5)]
     jobs.main(["upkeep", "--folder", str(tmp_path), "--as-of", "2024-01-15 23:59:00"])
     days = spark.read.parquet(f"{tmp_path}/speed_log").filter("part = 'days'").select("event_day").distinct()
     assert sorted(str(r.event_day) for r in days.collect()) == ["2024-01-13", "2024-01-14"]

@@ -129,6 +129,42 @@ SELECT date_trunc('hour', last_updated) AS polled_at, arg_max(name, last_updated
 FROM ticks"""
 
 
+def currency_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly listings that quote each asset in its own currencies; those of five o'clock are cut short."""
+    newest = (
+        ticks(spark, sf_dir)
+        .groupBy(F.date_trunc("hour", "last_updated").alias("polled_at"), "symbol")
+        .agg(
+            F.max("last_updated").alias("last_updated"),
+            *[F.max_by(c, "last_updated").alias(c) for c in ("num_market_pairs", "price_usd")],
+        )
+    )
+    pairs, price = F.col("num_market_pairs"), F.col("price_usd")
+    quotes = F.create_map(
+        F.lit("USD"), F.struct(price.alias("price")),
+        F.lit("EUR"), F.when(pairs % 2 == 0, F.struct((price * 2).alias("price"))),
+        F.concat(F.lit("X"), pairs % 7), F.struct((price * 4).alias("price")),
+    )
+    entry = F.struct(
+        "symbol",
+        F.date_format("last_updated", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("last_updated"),
+        F.map_filter(quotes, lambda _, quote: quote.isNotNull()).alias("quote"),
+    )
+    text = F.to_json(F.struct(F.collect_list(entry).alias("data")))
+    rows = newest.groupBy("polled_at").agg(text.alias("value"))
+    cut = F.when(F.hour("polled_at") == 5, F.left("value", F.length("value") - 2)).otherwise(F.col("value"))
+    return rows.select("polled_at", cut.alias("value"))
+
+
+def listing_currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = listing.extract_currencies(currency_payloads(spark, sf_dir), "polled_at")
+    return ntz(found.select("polled_at", "symbol", "last_updated", "currency", "price"), "polled_at", "last_updated")
+
+
+def listing_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ntz(listing.unreadable(currency_payloads(spark, sf_dir)).select("polled_at"), "polled_at")
+
+
 def post_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed posts with the forum as an object and an attribute nobody asked for."""
     rows = posts(spark, sf_dir)
@@ -220,6 +256,8 @@ QUERIES = {
     "select_fields_posts": select_fields_posts,
     "listing_extract": listing_extract,
     "listing_all": listing_all,
+    "listing_currencies": listing_currencies,
+    "listing_unreadable": listing_unreadable,
     "post_project": post_project,
     "conform_ticks": conform_ticks,
     "conform_posts": conform_posts,
@@ -249,6 +287,19 @@ FROM ticks""",
     "select_fields_posts": f"WITH {POSTS_SQL} SELECT selftext, title FROM posts",
     "listing_extract": f"{LISTING_SQL} WHERE symbol = '{ASSET}' GROUP BY symbol, polled_at",
     "listing_all": f"{LISTING_SQL} GROUP BY symbol, polled_at",
+    "listing_currencies": f"""WITH {TICKS_SQL},
+newest AS (
+  SELECT date_trunc('hour', last_updated) AS polled_at, symbol, max(last_updated) AS newest_at,
+         arg_max(num_market_pairs, last_updated) AS pairs, arg_max(price_usd, last_updated) AS price
+  FROM ticks GROUP BY ALL),
+quoted AS (
+  SELECT *, 'USD' AS currency, 1 AS rate FROM newest
+  UNION ALL SELECT *, 'EUR', 2 FROM newest WHERE pairs % 2 = 0
+  UNION ALL SELECT *, 'X' || pairs % 7, 4 FROM newest)
+SELECT polled_at, symbol, newest_at AS last_updated, currency, price * rate AS price
+FROM quoted WHERE hour(polled_at) <> 5""",
+    "listing_unreadable": f"""WITH {TICKS_SQL}
+SELECT DISTINCT date_trunc('hour', last_updated) AS polled_at FROM ticks WHERE hour(last_updated) = 5""",
     "post_project": f"""WITH {POSTS_SQL}
 SELECT post_id, strftime(created_utc, '%Y-%m-%d %H:%M:%S') AS created_utc, subreddit, selftext, title,
        subreddit_name_prefixed, CAST(NULL AS VARCHAR) AS _comments_by_id,
@@ -268,12 +319,12 @@ FROM posts""",
     "content_id": f"WITH {POSTS_SQL} SELECT post_id, {POST_ID_SQL} AS id FROM posts",
     "topic_union": f"""WITH {POSTS_SQL}
 SELECT topic, count(*) AS messages, count(DISTINCT id) AS distinct_messages
-FROM (SELECT 'bitcoin_data' AS topic, event_id AS id FROM events WHERE event_type <> 'click'
+FROM (SELECT 'bitcoin_data' AS topic, event_id AS id FROM events
       UNION ALL SELECT 'reddit_data', post_id FROM posts
       UNION ALL SELECT 'audit', event_id FROM events WHERE event_type = 'error')
 GROUP BY topic""",
     "topic_split": f"""WITH {POSTS_SQL}
-SELECT event_id AS message_id, 'bitcoin_data' AS branch FROM events WHERE event_type <> 'click'
+SELECT event_id AS message_id, 'bitcoin_data' AS branch FROM events
 UNION ALL SELECT post_id, 'reddit_data' FROM posts
 UNION ALL SELECT event_id, 'unsupported' FROM events WHERE event_type = 'error'""",
 }

@@ -1,8 +1,8 @@
 """The given tables seen as ticks, posts and messages, in Spark and in SQL.
 
-Ticks are the events other than clicks, the event type being the asset. Posts
-are the documents, each at the time of an event; the whole text of every document
-is used, as the body or (for posts without one) as the title.
+Ticks are the events, the event type being the asset. Posts are the documents, each at
+the time of an event; the whole text of every document is used, as the body or (for posts
+without one) as the title.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def props_k() -> Column:
 
 def as_ticks(event_rows: DataFrame) -> DataFrame:
     k = props_k()
-    return event_rows.filter(F.col("event_type") != "click").select(
+    return event_rows.select(
         F.col("event_id").alias("tick_id"),
         F.concat(F.lit("Asset "), "event_type").alias("name"),
         F.col("event_type").alias("symbol"),
@@ -138,8 +138,7 @@ TICKS_SQL = """ticks AS (
          ts AS last_updated, value AS price_usd, value * 1000000 AS market_cap_usd,
          value * 1000 AS volume_24h_usd, CAST(k - 50 AS DOUBLE) AS percent_change_24h,
          (k - 50) / 10.0::DOUBLE AS percent_change_1h
-  FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events)
-  WHERE event_type <> 'click')"""
+  FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events))"""
 
 POSTS_SQL = f"""posts AS (
   SELECT post_id, created_utc, subreddit, selftext,

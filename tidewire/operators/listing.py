@@ -38,6 +38,49 @@ def extract_all(payloads: DataFrame, *keep: str) -> DataFrame:
     return payloads.select(*keep, F.explode(entries).alias("entry")).select(*keep, *_flat())
 
 
+# Figures of a quote, in whatever currency.
+QUOTE_FIGURES = ("price", "market_cap", "volume_24h", "percent_change_24h", "percent_change_1h")
+
+
+def readable(value: Column) -> Column:
+    """Whether a payload is JSON with a list of entries."""
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(value), "$.data", "variant"))
+    return F.coalesce(kind.startswith("ARRAY"), F.lit(False))
+
+
+def extract_currencies(payloads: DataFrame, *keep: str) -> DataFrame:
+    """One row for each entry and currency of every payload, whichever currencies it quotes.
+
+    A payload is parsed once, as a variant: its currencies are keys of an object and no
+    schema names them. An entry without a quote, or with one that is no object, gives no
+    row; a figure that is no number is NULL. What isn't ``readable`` is left out here.
+    """
+    spark = payloads.sparkSession
+
+    def each(value: Column) -> DataFrame:
+        return spark.tvf.variant_explode(value.outer())
+
+    entries = F.try_variant_get(F.try_parse_json(F.col("value")), "$.data", "variant")
+    listed = payloads.filter(readable(F.col("value"))).select(*keep, entries.alias("_data"))
+    listed = listed.lateralJoin(each(F.col("_data"))).select(*keep, F.col("value").alias("_entry"))
+    quote = F.try_variant_get("_entry", "$.quote", "variant")
+    quoted = listed.filter(F.schema_of_variant(quote).startswith("OBJECT")).select(*keep, "_entry", quote.alias("_quote"))
+    quoted = quoted.lateralJoin(each(F.col("_quote"))).select(
+        *keep, "_entry", F.col("key").alias("currency"), F.col("value").alias("_figures")
+    )
+    return quoted.select(
+        *keep,
+        *[F.try_variant_get("_entry", f"$.{name}", "string").alias(name) for name in ("name", "symbol", "last_updated")],
+        "currency",
+        *[F.try_variant_get("_figures", f"$.{name}", "double").alias(name) for name in QUOTE_FIGURES],
+    ).withColumn("last_updated", F.col("last_updated").try_cast("timestamp"))
+
+
+def unreadable(payloads: DataFrame) -> DataFrame:
+    """The payloads that go to quarantine. NULL payloads carry nothing and are dropped."""
+    return payloads.filter(F.col("value").isNotNull() & ~readable(F.col("value")))
+
+
 def _flat() -> list[Column]:
     return [F.col(f"entry.{path}").alias(key) for key, path in ENTRY_PATHS.items()]
 
