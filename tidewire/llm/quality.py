@@ -2,19 +2,22 @@
 
 A document's histograms of character classes and of common words are compared with
 references of the languages in the table by Jensen-Shannon distance: with its own
-language's, and with all if it is not near that or has none. References cover every row: class counts are summed by language, and common
-words, those with at least ``COMMON_SHARE`` of a language's words, are found exactly
-in two passes. The first counts words by hash bucket, so its state has a fixed size;
-only words from buckets that hold the share can have it themselves, and the second
-counts those. A language has at most 1 / COMMON_SHARE common words, and at most
-1 / LANGUAGE_SHARE languages have a reference, so the references are small for any
-input. Everything else is row-local: texts are not shuffled. Only DataFrame
-functions are used.
+language's, and with all if it is not near that or has none. References cover every
+row: class counts are summed by language, and common words, those with at least
+``COMMON_SHARE`` of a language's words, are found exactly in two passes. The first
+counts words by hash bucket, so its state has a fixed size for each language; only
+words from buckets that hold the share can have it themselves, and the second counts
+those. A language has at most 1 / COMMON_SHARE common words.
+
+References are tables. While at most ``LITERAL_LANGUAGES`` languages have one, they go
+into the expressions and everything else is row-local: texts are not shuffled. Beyond
+that, documents' words are joined to the common words, with the same result. Only
+DataFrame functions are used.
 
 Guards: a document below the base rules' length is judged by these alone; a shorter
 one may lie farther from its reference, as its histogram is a smaller sample; a
-language without enough words has no reference, and its documents are judged by the
-base rules alone.
+language with less than ``REFERENCE_WORDS`` words in the table has no reference, however
+many other languages have, and its documents are judged by the base rules alone.
 
 Defined results
 - A null text has no words; it fails the base rules like an empty one.
@@ -22,6 +25,7 @@ Defined results
   references counts.
 - Repeated rows each have their row, and count in the references each.
 - An empty table has no rows and no references.
+- A text of any length is counted whole. Other columns stay in ``row``.
 """
 
 from __future__ import annotations
@@ -32,15 +36,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import GAP, WORD, checkpointed, let, words_of
+from tidewire.llm.common import GAP, WORD, checkpointed, let, skewed_join, words_of, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
 COMMON_SHARE = 0.002
-LANGUAGE_SHARE = 0.005
 REFERENCE_WORDS = 2000
 BUCKETS = 4096
+# Languages whose references go into the expressions, and rows of one that are broadcast.
+LITERAL_LANGUAGES = 32
+BROADCAST_ROWS = 500_000
 # Windows found again that are searched for one by one.
 FEW = 64
 # Limits of the Jensen-Shannon distances (0 to 1). That of words is wider for short
@@ -131,49 +137,43 @@ def plain_words(text: Column) -> Column:
     return words_of(F.replace(F.replace(F.lower(text), F.lit("."), F.lit("")), F.lit(","), F.lit("")))
 
 
-def references(docs: DataFrame) -> dict[str, tuple[list[float], dict[str, float]]]:
-    """Class shares and common words' shares of each language, over all of (text, lang)."""
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join with a table that is broadcast while it is small; beyond, hot keys are split."""
+    if right.count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), keys, how)
+    return skewed_join(left, right, keys, how)
+
+
+def references(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Class shares (lang, shares) and common words (lang, word, q), over all of (text, lang)."""
     known = docs.filter(F.col("lang").isNotNull())
     tokens = known.select("lang", F.explode(plain_words(F.col("text"))).alias("word")).withColumn(
         "bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS))
     )
     # Used three times; BUCKETS rows a language.
     by_bucket = checkpointed(tokens.groupBy("lang", "bucket").agg(F.count("*").alias("n")))
-    totals = by_bucket.groupBy("lang").agg(F.sum("n").alias("words"))
-    everything = totals.agg(F.sum("words").alias("w")).first()["w"] or 0
-    least = max(REFERENCE_WORDS, LANGUAGE_SHARE * everything)
-    # At most 1 / LANGUAGE_SHARE rows, and 1 / COMMON_SHARE heavy buckets each.
-    sizes = {row["lang"]: row["words"] for row in totals.filter(F.col("words") >= least).collect()}
-    if not sizes:
-        return {}
+    totals = by_bucket.groupBy("lang").agg(F.sum("n").alias("words")).filter(F.col("words") >= REFERENCE_WORDS)
     heavy = (
-        by_bucket.join(F.broadcast(totals.filter(F.col("words") >= least)), "lang")
+        by_bucket.join(totals, "lang")
         .filter(F.col("n") >= COMMON_SHARE * F.col("words"))
         .select("lang", "bucket", "words")
     )
     common = (
-        tokens.join(F.broadcast(heavy), ["lang", "bucket"])
+        _meet(tokens, heavy, ["lang", "bucket"], "inner")
         .groupBy("lang", "word", "words")
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") >= COMMON_SHARE * F.col("words"))
-        .collect()
+        .select("lang", "word", (F.col("n") / F.col("words")).alias("q"))
     )
     counts = class_counts(F.col("text"))
-    sums = (
-        known.select("lang", counts.alias("c"))
-        .groupBy("lang")
-        .agg(*[F.sum(F.col("c")[i]).alias(name) for i, name in enumerate(CLASSES)])
-        .filter(F.col("lang").isin(*sizes))
-        .collect()
+    sums = known.select("lang", counts.alias("c")).groupBy("lang").agg(
+        F.array(*[F.sum(F.col("c")[i]) for i in range(len(CLASSES))]).alias("sums")
+    )
+    total = reduce(Column.__add__, [F.col("sums")[i] for i in range(len(CLASSES))])
+    shares = sums.join(totals.select("lang"), "lang").select(
+        "lang", F.transform("sums", lambda n: n / total).alias("shares")
     )
-    found: dict[str, tuple[list[float], dict[str, float]]] = {}
-    shares: dict[str, dict[str, float]] = defaultdict(dict)
-    for row in common:
-        shares[row["lang"]][row["word"]] = row["n"] / row["words"]
-    for row in sums:
-        total = sum(row[name] for name in CLASSES)
-        found[row["lang"]] = ([row[name] / total for name in CLASSES], shares[row["lang"]])
-    return found
+    return written(shares, "class-shares"), written(common, "common-words")
 
 
 def _part(p: Column, q: Column) -> Column:
@@ -188,16 +188,16 @@ def _least(values: list[Column]) -> Column:
     return F.least(*values) if len(values) > 1 else values[0]
 
 
-def class_distance(counts: Column, shares: list[list[float]]) -> Column:
-    """Least Jensen-Shannon distance of class counts from the references' shares."""
+def _class_distance(counts: Column, share) -> Column:
     kinds = range(len(CLASSES))
     total = F.greatest(reduce(Column.__add__, [counts[i] for i in kinds]), F.lit(1.0))
+    pairs = [(counts[i] / total, share[i]) for i in kinds]
+    return _distance(reduce(Column.__add__, [_part(p, q) + _part(q, p) for p, q in pairs]) / 2)
 
-    def to(share: list[float]) -> Column:
-        pairs = [(counts[i] / total, F.lit(float(share[i]))) for i in kinds]
-        return _distance(reduce(Column.__add__, [_part(p, q) + _part(q, p) for p, q in pairs]) / 2)
 
-    return _least([to(share) for share in shares])
+def class_distance(counts: Column, shares: list[list[float]]) -> Column:
+    """Least Jensen-Shannon distance of class counts from the references' shares."""
+    return _least([_class_distance(counts, [F.lit(float(x)) for x in share]) for share in shares])
 
 
 def word_distance(words: Column, shares: list[dict[str, float]], own: Column, limit: Column) -> Column:
@@ -256,28 +256,58 @@ def word_distance(words: Column, shares: list[dict[str, float]], own: Column, li
     return let(words, of_words)
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Every row as struct ``row``, with its counts, distances, base_failed and kept."""
-    given = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.col(lang_col).alias("lang"),
+def word_distances(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """(rid, word_distance) of rows (rid, text, lang, limit), as ``word_distance`` has it, by joins."""
+    totals = common.groupBy("lang").agg(F.sum("q").alias("total"))
+    words = plain_words(F.col("text"))
+    sized = rows.select("rid", "lang", "limit", words.alias("words"))
+    tokens = sized.select("rid", F.greatest(F.size("words"), F.lit(1)).alias("size"), F.explode("words").alias("word"))
+    lookup = common.groupBy("word").agg(F.collect_list(F.struct(F.col("lang").alias("ref"), "q")).alias("refs"))
+    seen = _meet(tokens, lookup.select("word"), ["word"], "left_semi").groupBy("rid", "size", "word")
+    seen = _meet(seen.agg((F.count("*") / F.col("size")).alias("p")), lookup, ["word"], "inner")
+    seen = seen.select("rid", "p", F.inline("refs"))
+    p, q = F.col("p"), F.col("q")
+    matched = seen.groupBy("rid", "ref").agg(
+        F.sum(_part(p, q) + _part(q, p)).alias("d"), F.sum("p").alias("p"), F.sum("q").alias("q")
     )
-    known = references(given.select("text", "lang"))
-    names = sorted(known)
-    lang = F.col("lang")
-    own = F.lit(None).cast("int")
-    for i, name in enumerate(names):
-        own = F.when(lang == name, i).otherwise(own)
+
+    def whole(d: Column, p: Column, q: Column, total: Column) -> Column:
+        return _distance((d + (total - q) + _part(1 - p, 1 - total) + _part(1 - total, 1 - p)) / 2)
+
+    nothing = F.lit(0.0)
+    matched = _meet(matched, totals.withColumnRenamed("lang", "ref"), ["ref"], "inner")
+    matched = matched.withColumn("d", whole(F.col("d"), p, q, F.col("total")))
+    by_row = matched.groupBy("rid").agg(F.collect_list(F.struct("d", "ref")).alias("matched"))
+    # Distances from references of which a text has no word, the least first.
+    apart = totals.select(F.struct(whole(nothing, nothing, nothing, F.col("total")).alias("d"), F.col("lang").alias("ref")).alias("x"))
+    apart = apart.agg(F.sort_array(F.collect_list("x"))).scalar()
+    refs = F.transform("matched", lambda x: x["ref"])
+    others = F.filter(F.col("apart"), lambda x: ~F.array_contains(refs, x["ref"]))
+    every = F.concat("matched", F.slice("others", 1, 1))
+    own = F.filter(F.concat("matched", "others"), lambda x: x["ref"] == F.col("lang"))
+    found = (
+        sized.select("rid", "lang", "limit")
+        .join(by_row, "rid", "left")
+        .withColumn("matched", F.coalesce("matched", F.array().cast("array<struct<d:double,ref:string>>")))
+        .withColumn("apart", apart)
+        .withColumn("others", others)
+        .withColumn("own", F.get(own, F.lit(0))["d"])
+        .withColumn("nearest", F.array_min(F.transform(every, lambda x: x["d"])))
+    )
+    d = F.when(F.col("own") <= F.col("limit"), F.col("own")).otherwise(F.col("nearest"))
+    return found.select("rid", d.alias("word_distance"))
+
+
+def _word_limit(n_words: Column) -> Column:
+    return MAX_WORD_DISTANCE + WORD_DISTANCE_SLACK / F.sqrt(F.greatest(n_words, F.lit(1)))
+
+
+def _counted(given: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
-    limit = MAX_WORD_DISTANCE + WORD_DISTANCE_SLACK / F.sqrt(F.greatest("n_words", F.lit(1)))
-    nothing = F.lit(None).cast("double")
     # Columns that are used several times are selected first, to be computed once.
-    counted = (
+    return (
         given.select(
-            "row",
-            "text",
-            "lang",
+            "*",
             words_of(F.col("text")).alias("words"),
             class_counts(F.col("text")).alias("classes"),
             F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
@@ -289,19 +319,64 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
         .withColumn("in_order", F.sort_array("hashes"))
         .withColumn("again", found_again(F.col("hashes"), F.col("in_order")))
         .withColumn("n_repeat_words", n_repeat_words(F.col("hashes"), F.col("again")))
-        .withColumn("class_distance", class_distance(F.col("classes"), [known[n][0] for n in names]) if known else nothing)
-        .withColumn("limit", limit)
+    )
+
+
+def _by_expressions(given: DataFrame, shares: DataFrame, common: DataFrame) -> DataFrame:
+    """Counts, distances and no_reference, with the references as literals."""
+    # At most LITERAL_LANGUAGES rows, and 1 / COMMON_SHARE words each.
+    classes = {row["lang"]: row["shares"] for row in shares.collect()}
+    words: dict[str, dict[str, float]] = defaultdict(dict)
+    for row in common.collect():
+        words[row["lang"]][row["word"]] = row["q"]
+    names, lang, nothing = sorted(words), F.col("lang"), F.lit(None).cast("double")
+    own = F.lit(None).cast("int")
+    for i, name in enumerate(names):
+        own = F.when(lang == name, i).otherwise(own)
+    return (
+        _counted(given)
+        .withColumn("class_distance", class_distance(F.col("classes"), [classes[n] for n in sorted(classes)]) if classes else nothing)
+        .withColumn("limit", _word_limit(F.col("n_words")))
         .withColumn(
             "word_distance",
-            word_distance(plain_words(F.col("text")), [known[n][1] for n in names], own, F.col("limit"))
-            if known
-            else nothing,
+            word_distance(plain_words(F.col("text")), [words[n] for n in names], own, F.col("limit")) if words else nothing,
         )
+        .withColumn("no_reference", lang.isNotNull() & ~lang.isin(*classes) if classes else F.lit(True))
+    )
+
+
+def _by_joins(given: DataFrame, shares: DataFrame, common: DataFrame) -> DataFrame:
+    """The same for any number of languages."""
+    rows = written(given.withColumn("rid", F.monotonically_increasing_id()), "quality-rows")
+    counted = _counted(rows).withColumn("limit", _word_limit(F.col("n_words")))
+    near = word_distances(rows.withColumn("limit", _word_limit(F.size(words_of(F.col("text"))))), common)
+    has = _meet(
+        rows.select("rid", "lang"), shares.select("lang", F.lit(True).alias("has")), ["lang"], "left"
+    ).select("rid", (F.col("lang").isNotNull() & F.col("has").isNull()).alias("no_reference"))
+    every = shares.agg(F.collect_list("shares")).scalar()
+    classes = F.array_min(F.transform(F.col("every"), lambda share: _class_distance(F.col("classes"), share)))
+    return (
+        counted.withColumn("every", every)
+        .withColumn("class_distance", classes)
+        .drop("every")
+        .join(near, "rid")
+        .join(has, "rid")
+    )
+
+
+def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Every row as struct ``row``, with its counts, distances, base_failed and kept."""
+    given = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.col(lang_col).alias("lang"),
     )
+    shares, common = references(given.select("text", "lang"))
+    few = shares.count() <= LITERAL_LANGUAGES
+    counted = (_by_expressions if few else _by_joins)(given, shares, common)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
-    no_reference = lang.isNotNull() & ~lang.isin(*names) if known else F.lit(True)
     near = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (
         F.coalesce("word_distance", F.lit(0.0)) <= F.col("limit")
     )
@@ -314,7 +389,7 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
         "class_distance",
         "word_distance",
         "base_failed",
-        (~F.col("base_failed") & (no_reference | near)).alias("kept"),
+        (~F.col("base_failed") & (F.col("no_reference") | near)).alias("kept"),
     )
     # A filter on the result must not reach below this selection: every step of the
     # counts would be written out again within the condition. An expression that Spark
