@@ -16,7 +16,8 @@ Defined results
 - Strings of added tokens in a text, such as special ones, are those tokens.
 - Repeated rows are documents of their own; pieces equal in every column may swap places.
 - Sequences have at most ``size`` tokens, offsets run from 0 without gaps.
-- An empty table gives no rows.
+- An empty table gives no rows. A text of any length is tokenised whole by one task.
+- Other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations

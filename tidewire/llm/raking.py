@@ -11,8 +11,8 @@ their cell's share, with a draw that depends on the id and the seed alone.
 Sweeps go through cells, never documents. Up to ``ROW_CELLS`` cells are one row of
 arrays, and all sweeps one expression over it; beyond that, cells and factors stay
 tables, which are joined and summed, and each sweep's factors are checkpointed.
-Documents are read twice, to count and to sample. Their cells' shares are sent to them while these are few; beyond that the
-join on the cell is spread over ``SALTS`` parts, as one source may have a third of
+Documents are read twice, to count and to sample. Their cells' shares are sent to them
+while these are few; beyond that the join on the cell is spread over ``SALTS`` parts, as one source may have a third of
 all rows. Only DataFrame functions are used.
 
 Defined results
@@ -25,7 +25,8 @@ Defined results
   of several dimensions can't be met together, until the factors stand still.
 - Documents without tokens weigh nothing; they have their cell's share like others.
 - A null id is drawn as the text ``null``. Rows with one id are kept or left together.
-- An empty table gives no rows.
+- An empty table gives no rows. A text of any length is counted whole.
+- Other columns, whatever their names, stay in ``row``.
 """
 
 from __future__ import annotations

@@ -14,6 +14,8 @@ Defined results
 - Repeated rows keep one row each, all with the same fingerprint and component.
 - Rows without an id have a fingerprint; their component is the smallest id
   reachable, null if no linked row has an id.
+- A text of any length is hashed whole by one task; an empty table gives no rows.
+- Other columns take no part; ``keep_one`` returns them.
 """
 
 from __future__ import annotations

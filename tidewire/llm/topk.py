@@ -13,6 +13,8 @@ Defined results
 - Vectors of other lengths have no inner product with the query and are passed over.
 - Ties go to the smaller id. Fewer than k candidates: all of them.
 - Scores beyond the range of long are cut to its ends.
+- An empty table, or one without queries, gives no rows; other columns take no part.
+- A vector of any length is one row of its block.
 """
 
 from __future__ import annotations

@@ -4,8 +4,9 @@ A list is a log of dated entries: at some time a rule is added to a category or
 removed from it. Entries become validity intervals, from each addition to the next
 entry of the same rule and category. Every capture is evaluated against the rules
 active when it was fetched: its host, the domains above it and the leading parts of
-its path, as many as the list's longest rule has, are looked up by equality, and the interval must hold the fetch time. An
-allow rule outweighs block rules that are less specific.
+its path, as many as the list's longest rule has, are looked up by equality, and the
+interval must hold the fetch time. An allow rule outweighs block rules that are less
+specific.
 
 Captures with one URL and time are looked up once. A host, or a capture, with a large
 part of all rows is split into parts, and its few list entries are repeated for each.
@@ -16,7 +17,10 @@ Defined results
 - Intervals are closed at the start and open at the end. Of entries at one time for
   one rule and category the removal wins. A removal without an addition does nothing.
 - Entries without rule, action or date are passed over; equal entries count once.
-- Repeated captures have a row each.
+- Repeated captures have a row each; an empty table of captures gives no rows, and with an
+  empty list nothing is active.
+- A URL of any length has all its keys, up to the parts of the list's longest rule.
+- Other columns of the captures, whatever their names, stay in ``row``.
 """
 
 from __future__ import annotations
