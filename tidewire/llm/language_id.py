@@ -192,8 +192,14 @@ def train(docs: DataFrame) -> Model:
     idf = np.log((1 + total) / (1 + frequency)) + 1
 
     quota = max(2, SAMPLE_DOCS // len(languages))
-    # Pruned in every input partition before texts are shuffled.
-    sample = top_n(known.filter(F.col("lang").isin(languages)), ["lang"], [F.col("draw")], quota, spread=64)
+    learned = known.filter(F.col("lang").isin(languages))
+    # First the draws alone: at most LANGUAGES rows say how far a language's sample reaches.
+    drawn = top_n(learned.select("lang", "draw"), ["lang"], [F.col("draw")], quota, spread=64)
+    reach = drawn.groupBy("lang").agg(F.max("draw").alias("last")).collect()
+    last = F.create_map(*[F.lit(x) for row in reach for x in (row["lang"], row["last"])])
+    # Texts follow for these; of equal rows at the end, as many as there is room for.
+    near = learned.filter(F.col("draw") <= F.element_at(last, F.col("lang")))
+    sample = top_n(near, ["lang"], [F.col("draw")], quota, spread=64)
     rows = sample.select("lang", "text").mapInArrow(_features, "lang string, grams binary, tf binary").collect()
     rows.sort(key=lambda row: (row["lang"], row["grams"], row["tf"]))
     labels = np.array([languages.index(row["lang"]) for row in rows], np.int64)
