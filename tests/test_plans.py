@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tidewire import catalog
-from tidewire.catalog import inputs
+from tidewire.catalog import inputs, streams
 from tidewire.functions.sentiment import constant_scorer
 from tidewire.plans import daily, speed
 
@@ -62,6 +62,45 @@ def test_hot_aggregates_combine_before_the_shuffle(spark, sf_dir):
         assert "HashAggregate" in plan and "SortAggregate" not in plan and "partial_max_by" in plan, name
 
 
+def tables(spark, folder):
+    """Eight events and three documents, one without a text; two of them share an event."""
+    rows = [(i, dt.datetime(2024, 1, 1 + 4 * i, 9, i), i, "view", 1.0 + i, f'{{"k": {i}}}') for i in range(8)]
+    shape = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, shape).write.parquet(f"{folder}/events.parquet")
+    rows = [(1, "the and it", "en", "src0"), (3, None, "en", "src1"), (9, "of", None, "src0")]
+    shape = "doc_id long, text string, lang string, source string"
+    spark.createDataFrame(rows, shape).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_scores_are_shuffled_and_no_texts(spark, tmp_path, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = streams.timed(spark, tables(spark, tmp_path))
+    rows.explain("formatted")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = [part.splitlines()[1] for part in capsys.readouterr().out.split(") Exchange")[1:]]
+    shuffled = [line for line in shuffled if line.startswith("Input [")]
+    assert shuffled and not [line for line in shuffled if "text" in line or "title" in line], shuffled
+    scores = {tuple(row["sentiment"]) for row in rows.filter("kind = 'post'").collect()}
+    assert rows.count() == 8 + 3 and scores == {(0.6, 0.2, 0.4), (1 / 3, 2 / 3, 1 / 3), (None, None, None)}
+
+
+def test_batches_are_dealt_from_stored_rows(spark, tmp_path, monkeypatch):
+    read = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(rows, *rest):
+        read.extend(rows.inputFiles())
+        raise Stop
+
+    monkeypatch.setattr(streams.states, "add_batch", stop)
+    with pytest.raises(Stop):
+        streams.daily_incremental(spark, tables(spark, tmp_path))
+    assert read and not [name for name in read if "documents" in name or "events" in name]
+
+
 POSTS = "title string, selftext string, created_utc timestamp"
 TICKS = "symbol string, last_updated timestamp, price_usd double"
 

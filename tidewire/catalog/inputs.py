@@ -68,25 +68,37 @@ def as_ticks(event_rows: DataFrame) -> DataFrame:
     )
 
 
-def as_posts(event_rows: DataFrame, documents: DataFrame, all_events: DataFrame) -> DataFrame:
-    """``event_rows`` may be a part of the events, or a stream of them."""
-    event_count = all_events.agg(F.count("*").alias("n")).scalar()
-    doc_id, k = F.col("doc_id"), props_k()
+def post_texts(documents: DataFrame) -> DataFrame:
+    """Documents with the title and the body of their posts, which no event has a part in."""
+    doc_id = F.col("doc_id")
     selftext = (
         F.when(doc_id % 3 == 0, F.lit(None)).when(doc_id % 7 == 0, F.lit("")).otherwise(F.col("text"))
     )
     has_body = F.length(selftext) > 0
     title = F.when(has_body, F.concat(F.lit("Document "), doc_id)).otherwise(F.col("text"))
+    return documents.select("doc_id", title.alias("title"), selftext.alias("selftext"), "lang", "source")
+
+
+def as_posts(event_rows: DataFrame, documents: DataFrame, all_events: DataFrame) -> DataFrame:
+    """``event_rows`` may be a part of the events, or a stream of them."""
+    return posts_at_events(event_rows, post_texts(documents), all_events)
+
+
+def posts_at_events(event_rows: DataFrame, texts: DataFrame, all_events: DataFrame, *keep: str) -> DataFrame:
+    """Posts from ``post_texts``, with columns that these have got since, as scores.
+
+    A caller that takes such columns instead of the texts has none of the texts shuffled.
+    """
+    event_count = all_events.agg(F.count("*").alias("n")).scalar()
+    doc_id, k = F.col("doc_id"), props_k()
     sent = event_rows.select("event_id", "ts", "user_id", k.alias("k"))
-    texts = documents.select("doc_id", "text", "lang", "source").withColumn(
-        "event_id", doc_id * SPACING % event_count
-    )
+    texts = texts.withColumn("event_id", doc_id * SPACING % event_count)
     return sent.join(texts, "event_id").select(
         doc_id.alias("post_id"),
         F.col("ts").alias("created_utc"),
         F.col("source").alias("subreddit"),
-        selftext.alias("selftext"),
-        title.alias("title"),
+        "selftext",
+        "title",
         F.concat(F.lit("r/"), "source").alias("subreddit_name_prefixed"),
         (F.col("k") / 100).cast("float").alias("upvote_ratio"),
         F.col("lang").alias("category"),
@@ -96,6 +108,7 @@ def as_posts(event_rows: DataFrame, documents: DataFrame, all_events: DataFrame)
         F.concat(F.lit("https://example.org/p/"), doc_id).alias("url"),
         F.col("user_id").cast("int").alias("view_count"),
         (F.col("user_id") % 2 == 0).alias("send_replies"),
+        *keep,
     )
 
 

@@ -17,8 +17,11 @@ from tidewire.catalog.inputs import (
     TICKS_SQL,
     as_posts,
     as_ticks,
+    events as batch_events,
     ntz,
+    post_texts,
     posts as batch_posts,
+    posts_at_events,
     read,
     rounded,
     ticks as batch_ticks,
@@ -246,17 +249,25 @@ def serving_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks and scored posts as rows of one table."""
-    sent = scored_posts(batch_posts(spark, sf_dir), lexicon_scorer(DOCUMENT_WORDS))
-    return window_states.timed_rows(batch_ticks(spark, sf_dir), sent)
+    """Ticks and scored posts as rows of one table.
+
+    Posts are scored before they meet their events, so that scores are shuffled and no texts.
+    """
+    rows = batch_events(spark, sf_dir)
+    texts = scored_posts(post_texts(read(spark, sf_dir, "documents")), lexicon_scorer(DOCUMENT_WORDS))
+    return window_states.timed_rows(as_ticks(rows), posts_at_events(rows, texts, rows, "sentiment"))
 
 
 def daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily rows kept up by four batches: three of ten days, the second with a part of the first's
-    rows, and one with a tenth of all rows, late. The second runs twice, and days are compacted."""
+    rows, and one with a tenth of all rows, late. The second runs twice, and days are compacted.
+
+    The rows that the batches are dealt from are made once and stored."""
     configure(spark)
     folder = run_folder(spark, "incremental")
-    rows = timed(spark, sf_dir)
+    made = timed(spark, sf_dir)
+    made.write.parquet(f"{folder}/feed")
+    rows = spark.read.schema(made.schema).parquet(f"{folder}/feed")
     draw = F.pmod(F.xxhash64("kind", "symbol", "at", "price_usd"), F.lit(10))
     start = rows.agg(F.min(F.to_date("at")).alias("d")).scalar()
     third = F.least(F.floor(F.date_diff(F.to_date("at"), start) / 10), F.lit(2))
