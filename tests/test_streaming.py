@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tidewire import jobs
-from tidewire.catalog import inputs
+from tidewire.catalog import inputs, streams
 from tidewire.functions.sentiment import lexicon_scorer
 from tidewire.operators import messages as M
 from tidewire.plans import daily, speed as batch_speed
@@ -248,6 +248,41 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert rows_of(closed.filter(two_days).select("id")) == rows_of(ticks.filter(two_days).select("id"))
 
 
+def test_messages_are_made_once_for_both_drains(spark, tmp_path, monkeypatch):
+    """Each drain has its part of the feed, of which the second is late for the first's stream."""
+    made, paths = [], []
+    rows = [(TICK_TOPIC, bytearray(f"message {i}", "ascii")) for i in range(40)]
+    sent = spark.createDataFrame(rows, "topic string, value binary")
+    write = streams.topics.write_topic
+    monkeypatch.setattr(streams, "damaged_messages", lambda *of: sent)
+    monkeypatch.setattr(streams.topics, "write_topic", lambda *of, **kw: (made.append(kw["path"]), write(*of, **kw)))
+    monkeypatch.setattr(streams.jobs, "run_speed", lambda *of, path, **kw: paths.append(path))
+    monkeypatch.setattr(streams.jobs, "run_daily", lambda *of, **kw: None)
+    streams._job_folder(spark, str(tmp_path))
+    assert len(made) == 1 and len(set(paths)) == 2
+    first, second = ({bytes(r.value) for r in topics.read_topics(spark, [TICK_TOPIC], "parquet", path=p).collect()} for p in paths)
+    assert first and second and first | second == {bytes(value) for _, value in rows} and not first & second
+
+
+@pytest.mark.parametrize("spread", [None, 2])
+def test_last_shuffle_before_the_windows_has_no_texts(spark, tmp_path, capsys, spread):
+    shape = "topic string, value binary"
+    land(spark, f"{tmp_path}/in", [(POST_TOPIC, bytearray(b"{}"))], shape)
+    posts = ingest.typed_rows(stream_of(spark, f"{tmp_path}/in", shape), POST_TOPIC)
+    rows = ingest.without_repeats(posts, POST_TOPIC, spread=spread, make=lambda few: batch_speed.scored_posts(few))
+    rows.select("created_utc", "sentiment").explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1]
+    last = plan.split("DeduplicateWithinWatermark [id")[1].splitlines()[1]
+    assert ("sentiment" in last and "title#" not in last.split("sentiment")[-1]) == bool(spread), plan
+
+
+def test_raw_tables_are_packed(spark, tmp_path):
+    land(spark, f"{tmp_path}/in", [("A", at(0), 1.0)])
+    rows = stream_of(spark, f"{tmp_path}/in").withColumn("event_day", F.col("last_updated").cast("date"))
+    run.drain(run.append_to(rows, f"{tmp_path}/out"), f"{tmp_path}/c")
+    assert list(tmp_path.glob("out/*/*.zstd.parquet")) and not list(tmp_path.glob("out/*/*.snappy.parquet"))
+
+
 def test_interval_trigger_keeps_running(spark, tmp_path):
     land(spark, f"{tmp_path}/in", [("A", at(0), 1.0)])
     rows = stream_of(spark, f"{tmp_path}/in").withColumn("event_day", F.col("last_updated").cast("date"))

@@ -186,17 +186,17 @@ def _job_folder(spark: SparkSession, sf_dir: str) -> str:
 
     Every third price is text that is no number, and so are all after 22:00. The first
     drain gets all messages but every fifth, the second the rest, which are late for
-    the stream. The daily job runs for every day of the last week, then twice for the last.
+    the stream. The messages are made once, each drain's in a folder of its own. The daily job runs for every day of the last week, then twice for the last.
     """
     configure(spark)
     folder = run_folder(spark, "jobs")
     number = F.pmod(F.xxhash64("value"), F.lit(5))
     sent = damaged_messages(spark, sf_dir).withColumn("late", number == 0)
-    for late in (False, True):
-        topics.write_topic(sent.filter(F.col("late") == late), "parquet", path=f"{folder}/feed")
+    topics.write_topic(sent, "parquet", parts=["late"], path=f"{folder}/feed", compression="zstd")
+    for late in ("false", "true"):
         jobs.run_speed(
             spark, folder, "parquet", available_now=True, scorer=lexicon_scorer(DOCUMENT_WORDS),
-            state_partitions=STATE_PARTITIONS, path=f"{folder}/feed",
+            state_partitions=STATE_PARTITIONS, path=f"{folder}/feed/late={late}",
         )
     for days in (7, 7):
         jobs.run_daily(spark, folder, JOBS_AS_OF, scorer=lexicon_scorer(DOCUMENT_WORDS), late_days=days)

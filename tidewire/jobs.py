@@ -44,10 +44,10 @@ def speed_writers(
     alone, and the speed query parses each topic once.
     """
     writers = ingest.raw_writers(feeds, folder)
-    ticks, posts = (
-        ingest.without_repeats(ingest.typed_rows(feeds[topic], topic), topic, spread=spread) for topic in TOPICS
-    )
-    windows = speed.speed_windows(ticks, scored_posts(posts, scorer), watermark=None)
+    ticks, posts = (ingest.typed_rows(feeds[topic], topic) for topic in TOPICS)
+    ticks = ingest.without_repeats(ticks, TICK_TOPIC, spread=spread)
+    scored = ingest.without_repeats(posts, POST_TOPIC, spread=spread, make=lambda few: scored_posts(few, scorer))
+    windows = speed.speed_windows(ticks, scored, watermark=None)
     checkpoint = f"{folder}/checkpoint/speed"
     write = serving.log_writer(f"{folder}/speed_log", "window_start", serving.run_number(spark, checkpoint))
     writers[checkpoint] = run.each_batch(windows, "update", write)

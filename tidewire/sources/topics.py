@@ -6,6 +6,8 @@ file format works with ``path`` and the columns ``topic`` and ``value``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +40,15 @@ def read_topics(
     return reader.schema(MESSAGE_SCHEMA).load().filter(F.col("topic").isin(topics))
 
 
-def write_topic(messages: DataFrame, fmt: str = "kafka", mode: str = "append", **options: str) -> None:
-    """Publish ``topic`` and ``value`` rows; as files, each topic in a folder of its own."""
-    writer = messages.select("topic", "value").write.format(fmt).mode(mode).options(**options)
-    (writer if fmt == "kafka" else writer.partitionBy("topic")).save()
+def write_topic(
+    messages: DataFrame, fmt: str = "kafka", mode: str = "append", parts: Sequence[str] = (), **options: str
+) -> None:
+    """Publish ``topic`` and ``value`` rows; as files, each topic in a folder of its own.
+
+    Files go below folders of the columns ``parts``, each of which is a feed by itself.
+    """
+    if fmt == "kafka":
+        messages.select("topic", "value").write.format(fmt).mode(mode).options(**options).save()
+        return
+    rows = messages.select(*parts, "topic", "value")
+    rows.write.format(fmt).mode(mode).options(**options).partitionBy(*parts, "topic").save()

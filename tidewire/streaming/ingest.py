@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -31,7 +33,11 @@ def raw_writers(feeds: dict[str, DataFrame], folder: str, fmt: str = "parquet")
 
 
 def without_repeats(
-    rows: DataFrame, topic: str, watermark: str = WATERMARK, spread: int | None = SPREAD
+    rows: DataFrame,
+    topic: str,
+    watermark: str = WATERMARK,
+    spread: int | None = SPREAD,
+    make: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """First copy of each row; ids are forgotten once the watermark has passed them.
 
@@ -39,9 +45,15 @@ def without_repeats(
     in ``spread`` parts by input partition first, so that at most as many copies of a
     row are left to meet in one task. That costs one more shuffle and state for each
     part; None leaves it out.
+
+    ``make`` adds columns to a row, as scores of its text. With parts it gets the rows that
+    the first shuffle leaves, at most ``spread`` copies of each, so that the second one
+    carries the new columns and none that only they are made from.
     """
+    make = make or (lambda once: once)
     timed = rows.withWatermark(M.event_time(topic), watermark)
     if spread:
         parted = timed.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(spread)))
-        timed = parted.dropDuplicatesWithinWatermark(["id", "_part"]).drop("_part")
-    return timed.dropDuplicatesWithinWatermark(["id"])
+        few = parted.dropDuplicatesWithinWatermark(["id", "_part"]).drop("_part")
+        return make(few).dropDuplicatesWithinWatermark(["id"])
+    return make(timed.dropDuplicatesWithinWatermark(["id"]))
