@@ -142,3 +142,20 @@ def test_listings_in_any_currency(spark):
         (1, "D", "CHF", 2.0, None, False),
     ]
     assert sorted(r.n for r in listing.unreadable(payloads).collect()) == [3, 4, 5, 6, 7, 8]
+
+
+def test_needed_columns_only(spark):
+    """The same rows and the same bad messages as with every key read."""
+    values = [
+        GOOD, None, "", "oops", "{}", "[]", "null", '{"Symbol":"A"', GOOD + "x", GOOD[:-9] + "}", '{"Symbol":"A","Name":01}',
+        '{"Name":{"a":[1,{"b":2}]},"Symbol":"B","last_updated":"2024-01-17"}', '{"Name":"a\\q","Symbol":"C"}',
+        '{"max_supply":1,"Symbol":"D","Symbol":"E","Price (USD)":"n/a"}', '{"num_market_pairs":NaN,"Symbol":7}',
+    ]
+    names = ["symbol", "last_updated", "price_usd"]
+    sent = feed(spark, *values)
+    every, some = (M.parse_or_flag(sent, TICK_TOPIC, only=only) for only in (None, names))
+    assert some.columns == ["Symbol", "last_updated", "Price (USD)", M.CORRUPT]
+    assert rows_of(some) == rows_of(every.select(*[f"`{name}`" for name in some.columns]))
+    whole = M.conform(every, TICK_TOPIC, M.CORRUPT).select(M.CORRUPT, "id", *names)
+    found = M.conform(some, TICK_TOPIC, M.CORRUPT, only=names)
+    assert found.columns == whole.columns and rows_of(found) == rows_of(whole)

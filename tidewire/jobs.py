@@ -27,6 +27,11 @@ from tidewire.sources.topics import read_topics_stream
 from tidewire.streaming import ingest, run, serving, speed
 
 TOPICS = [TICK_TOPIC, POST_TOPIC]
+# Columns that speed rows and the natural keys are made from.
+SPEED_INPUT = {
+    TICK_TOPIC: ["symbol", "last_updated", "price_usd"],
+    POST_TOPIC: ["created_utc", "subreddit", "title", "selftext", "url"],
+}
 # State partitions of a job's streams; a checkpoint keeps the number it was started with.
 STATE_PARTITIONS = 200
 
@@ -44,7 +49,7 @@ def speed_writers(
     alone, and the speed query parses each topic once.
     """
     writers = ingest.raw_writers(feeds, folder)
-    ticks, posts = (ingest.typed_rows(feeds[topic], topic) for topic in TOPICS)
+    ticks, posts = (ingest.typed_rows(feeds[topic], topic, SPEED_INPUT[topic]) for topic in TOPICS)
     ticks = ingest.without_repeats(ticks, TICK_TOPIC, spread=spread)
     scored = ingest.without_repeats(posts, POST_TOPIC, spread=spread, make=lambda few: scored_posts(few, scorer))
     windows = speed.speed_windows(ticks, scored, watermark=None)

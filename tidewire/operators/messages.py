@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,12 +34,17 @@ def parse(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
     return decode(messages, *keep).select(*keep, parsed).select(*keep, "data.*")
 
 
-def parse_or_flag(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
+def parse_or_flag(
+    messages: DataFrame, topic: str, *keep: str, only: Sequence[str] | None = None
+) -> DataFrame:
     """Like ``parse`` with the text of a bad message in ``_corrupt_record``.
 
-    NULL messages carry nothing to parse or to quarantine and are left out.
+    NULL messages carry nothing to parse or to quarantine and are left out. Catalyst keeps
+    unused keys here, so a caller names the typed columns that it needs in ``only``. All
+    keys are text, so the others are read past and the same messages are bad.
     """
-    schema = T.StructType([*raw_schema(topic).fields, T.StructField(CORRUPT, T.StringType())])
+    keys = [field for field in raw_schema(topic).fields if _wanted(topic, field.name, only)]
+    schema = T.StructType([*keys, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("data")
     decoded = decode(messages, *keep).filter(F.col("value").isNotNull())
     return decoded.select(*keep, parsed).select(*keep, "data.*")
@@ -56,18 +63,25 @@ def select_fields(parsed: DataFrame, topic: str) -> DataFrame:
     return parsed.select(*columns_of(SELECTED_KEYS[topic]))
 
 
-def conform(parsed: DataFrame, topic: str, *keep: str) -> DataFrame:
-    """All-text columns to the typed table row; a value that does not fit becomes NULL."""
-    columns = [
-        _conformed(key, kind).alias(column)
+def conform(parsed: DataFrame, topic: str, *keep: str, only: Sequence[str] | None = None) -> DataFrame:
+    """All-text columns to the typed table row; a value that does not fit becomes NULL.
+
+    ``only`` names the columns to make, those of the natural key among them.
+    """
+    columns = {
+        column: _conformed(key, kind).alias(column)
         for key, (column, kind) in topic_keys(topic).items()
-        if column
-    ]
-    typed = parsed.select(*keep, *columns)
-    names = [column for column, _ in topic_keys(topic).values() if column]
+        if column and _wanted(topic, key, only)
+    }
+    typed = parsed.select(*keep, *columns.values())
+    names = list(columns)
     return typed.select(*keep, natural_id(topic).alias("id"), *names)
 
 
+def _wanted(topic: str, key: str, only: Sequence[str] | None) -> bool:
+    return only is None or topic_keys(topic)[key][0] in only
+
+
 def event_time(topic: str) -> str:
     topic_keys(topic)
     return "last_updated" if topic == TICK_TOPIC else "created_utc"

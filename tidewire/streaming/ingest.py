@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +17,9 @@ WATERMARK = "10 minutes"
 SPREAD = 8
 
 
-def typed_rows(feed: DataFrame, topic: str) -> DataFrame:
-    """Good messages of one topic as typed rows."""
-    return M.conform(M.good(M.parse_or_flag(M.of_topic(feed, topic), topic)), topic)
+def typed_rows(feed: DataFrame, topic: str, only: Sequence[str] | None = None) -> DataFrame:
+    """Good messages of one topic as typed rows; of ``id`` and the columns ``only``, if given."""
+    return M.conform(M.good(M.parse_or_flag(M.of_topic(feed, topic), topic, only=only)), topic, only=only)
 
 
 def raw_writers(feeds: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, DataStreamWriter]:
