@@ -154,3 +154,30 @@ def test_runs_of_look_ups(spark, documents, monkeypatch):
     monkeypatch.setattr(alignment, "BATCH_LINKS", 13)
     assert found(alignment.align(documents(*rows), A, B)) == want
     assert len(want) == 40
+
+
+def test_bytes_of_the_fast_encoder_are_joined_no_more(monkeypatch):
+    """Its tokens are parts of the text in order: their sizes tell whether all are there."""
+    aligner, joined, join = alignment.Aligner(A, B), [], alignment._Bytes.joined
+    monkeypatch.setattr(alignment._Bytes, "joined", lambda side, *given: joined.append(side) or join(side, *given))
+    want = aligner.align("Hello worlds, 日本語")
+    assert joined == [aligner.b]
+    aligner.encode = aligner._exact
+    assert [str(x) for x in aligner.align("Hello worlds, 日本語")] == [str(x) for x in want] and want[0]
+    assert joined[1:] == [aligner.a, aligner.b]
+    monkeypatch.setattr(aligner, "_fast", lambda text: aligner._exact(text)[:-1])
+    aligner.encode = aligner._fast
+    assert aligner.align("Hello worlds")[:3] == (0, 0, "")
+
+
+@settings(max_examples=50, deadline=None)
+@examples(st.lists(st.tuples(st.lists(st.integers(0, 50_000), max_size=3), st.lists(st.integers(0, 31_999), max_size=3)), min_size=1))
+def test_names_of_groups(groups):
+    """Ids of any number of digits, in groups of any sizes, as text."""
+    aligner = _aligner()
+    groups = [([*a, 7], [*b, 31_999]) for a, b in groups]
+    sides = [np.array([i for group in groups for i in group[side]], np.uint32) for side in (0, 1)]
+    lasts = [np.array([k == 1 for group in groups for k in range(len(group[side]), 0, -1)]) for side in (0, 1)]
+    text, links = aligner.groups(sides[0], lasts[0], sides[1], lasts[1])
+    assert text == ";".join("|".join(",".join(map(str, side)) for side in group) for group in groups)
+    assert links.tolist() == [7 << 32 | 31_999] * len(groups)

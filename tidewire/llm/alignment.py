@@ -93,6 +93,13 @@ class _Bytes:
         return self.flat[np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1])]
 
 
+def _among(at: np.ndarray, others: np.ndarray, size: int) -> np.ndarray:
+    """Which offsets in ``at`` are in ``others`` too; all are below ``size``."""
+    mark = np.zeros(size, bool)
+    mark[others] = True
+    return mark[at]
+
+
 class Aligner:
     """Both tokenizers, and the windows met so far."""
 
@@ -112,7 +119,8 @@ class Aligner:
         self.a, self.b = _Bytes(names), _Bytes(piece_bytes(self.model))
         # An id within its side of a group, as the last of A's side, as the last of B's.
         self.width = max(len(self.a.lengths), len(self.b.lengths))
-        self.names = [f"{i}{mark}" for mark in ",|;" for i in range(self.width)]
+        # Names are padded to eight bytes, so that a text's names are one array. Fixed: ids below ten million.
+        self.names = np.array([f"{i}{mark}" for mark in ",|;" for i in range(self.width)], "S8").view(np.uint64)
         self.encode = self._fast
         self.keep = keep
         self.windows: dict[bytes, bytes] = {}
@@ -134,12 +142,16 @@ class Aligner:
             return None
         whole = " " + text
         plain = np.frombuffer(whole.encode(), np.uint8)
+        # The fast encoder's tokens are parts of the text in their order, so none is missing if their sizes add up.
+        in_order = self.encode == self._fast
         found = []
         for ids, table in ((self.encode(whole), self.a), (np.array(self.model.encode(text), np.uint32), self.b)):
             if not len(ids):
                 return None
             ends = table.ends(ids)
-            if ends[-1] != len(plain) or not np.array_equal(table.joined(ids, ends), plain):
+            if ends[-1] != len(plain):
+                return None
+            if not (in_order and table is self.a) and not np.array_equal(table.joined(ids, ends), plain):
                 return None
             found += [ids, ends]
         return tuple(found)
@@ -150,26 +162,25 @@ class Aligner:
         if found is None:
             return 0, 0, "", np.empty(0, np.int64)
         a, ends_a, b, ends_b = found
-        both, ends, sizes = self.windows_of(a, ends_a, b, ends_b)
-        last = self.look_up(both, ends, sizes)
-        of_b = both >= _SECOND
+        both, ends, sizes, of_b = self.windows_of(a, ends_a, b, ends_b)
+        last = self.look_up(both, ends, sizes, of_b)
         return len(a), len(b), *self.groups(a, last[~of_b], b, last[of_b])
 
     def windows_of(self, a: np.ndarray, ends_a: np.ndarray, b: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Window by window the ids of A, then those of B with a mark; their ends; the windows' sizes."""
-        marked = (ends_a[:-1][self.a.spaced[a[1:]]], ends_b[:-1][self.b.spaced[b[1:]]])
-        anchors = np.intersect1d(*marked, assume_unique=True)
-        cut_a = np.append(np.searchsorted(ends_a, anchors) + 1, len(a))
-        cut_b = np.append(np.searchsorted(ends_b, anchors) + 1, len(b))
-        size_a, size_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
-        at_a = np.arange(len(a)) + np.repeat(cut_b - size_b, size_a)
-        at_b = np.arange(len(b)) + np.repeat(cut_a, size_b)
-        both, ends = np.empty(len(a) + len(b), np.uint32), np.empty(len(a) + len(b), np.int64)
-        both[at_a], both[at_b] = a, b | _SECOND
-        ends[at_a], ends[at_b] = ends_a, ends_b
-        return both, ends, size_a + size_b
-
-    def look_up(self, both: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Window by window the ids of A, then those of B with a mark; their ends; the windows' sizes; which are of B."""
+        size = ends_a[-1] + 1
+        cut_a, cut_b = np.flatnonzero(self.a.spaced[a[1:]]), np.flatnonzero(self.b.spaced[b[1:]])
+        at_a, at_b = ends_a[cut_a], ends_b[cut_b]
+        # Anchors: the same number of either side, in the same order.
+        cut_a, cut_b = cut_a[_among(at_a, at_b, size)] + 1, cut_b[_among(at_b, at_a, size)] + 1
+        sizes = np.diff(np.stack([np.append(cut_a, len(a)), np.append(cut_b, len(b))], 1), axis=0, prepend=0)
+        of_b = np.repeat(np.arange(sizes.size) % 2 == 1, sizes.ravel())
+        both, ends = np.empty(len(of_b), np.uint32), np.empty(len(of_b), np.int64)
+        both[~of_b], both[of_b] = a, b | _SECOND
+        ends[~of_b], ends[of_b] = ends_a, ends_b
+        return both, ends, sizes.sum(1), of_b
+
+    def look_up(self, both: np.ndarray, ends: np.ndarray, sizes: np.ndarray, of_b: np.ndarray) -> np.ndarray:
         """For every id of the windows, whether its token ends a group.
 
         That follows from a window's ids, so it is computed for a window that is not
@@ -179,22 +190,25 @@ class Aligner:
         bounds = [0, *(4 * np.cumsum(sizes)).tolist()]
         keys = [packed[start:end] for start, end in zip(bounds, bounds[1:])]
         found = list(map(windows.get, keys))
-        new = [i for i, known in enumerate(found) if known is None]
-        if new:
+        if None in found:
+            new = [i for i, known in enumerate(found) if known is None]
             is_new = np.zeros(len(keys), bool)
             is_new[new] = True
             own = np.repeat(is_new, sizes)
-            at, of_b = ends[own], both[own] >= _SECOND
-            shared = np.intersect1d(at[~of_b], at[of_b], assume_unique=True)
-            flags = (shared[np.searchsorted(shared, at).clip(max=len(shared) - 1)] == at).tobytes()
+            at, second = ends[own], of_b[own]
+            shared = np.empty(len(at), bool)
+            shared[~second] = _among(at[~second], at[second], ends[-1] + 1)
+            shared[second] = _among(at[second], at[~second], ends[-1] + 1)
+            flags = shared.tobytes()
             if len(windows) + len(new) > self.keep:
                 windows.clear()
             start = 0
             for i in new:
-                end = start + len(keys[i]) // 4
+                key = keys[i]
+                end = start + len(key) // 4
                 found[i] = flags[start:end]
                 if end - start <= KEEP_IDS and len(windows) < self.keep:
-                    windows[keys[i]] = found[i]
+                    windows[key] = found[i]
                 start = end
         return np.frombuffer(b"".join(found), bool)
 
@@ -206,7 +220,7 @@ class Aligner:
         names[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[of_a]] = a + self.width * last_a
         names[np.arange(len(b)) + np.cumsum(size_a)[of_b]] = b + 2 * self.width * last_b
         links = a[last_a].astype(np.int64) << 32 | b[last_b]
-        return "".join(map(self.names.__getitem__, names.tolist()))[:-1], links
+        return self.names[names].tobytes().translate(None, b"\0")[:-1].decode("ascii"), links
 
 
 def _aligned(vocabulary_a: str, model_b: str, digest: bool):
