@@ -151,3 +151,15 @@ def test_another_salt_where_words_share_a_hash(spark, monkeypatch):
         collocations, "word_hash", lambda lang, word, salt: F.lit(5).cast("bigint") if salt < "3" else plain(lang, word, salt)
     )
     assert collocations._salt(words) == "3"
+
+
+def test_triples_are_the_owned_places_of_runs(spark):
+    """One row for each, in however many tasks: counts for tasks of their own grew with these."""
+    runs = spark.createDataFrame([([1, 2, 3, 1, 2, 3], 6, 5), ([1, 2, 3], 1, 2), ([4, 1, 2, 3, 4], 1, 7)], collocations.RUNS)
+    want = Counter({(1, 2, 3): 12, (2, 3, 1): 5, (3, 1, 2): 5, (4, 1, 2): 7})
+    for tasks in (1, 3):
+        made = collocations._triples(runs.repartition(tasks))
+        assert made.count() == 6
+        got = made.groupBy("h0", "h1", "h2").agg(F.sum("n").alias("f")).collect()
+        assert {tuple(row)[:3]: row["f"] for row in got} == want
+    assert collocations._triples(runs.limit(0)).count() == 0

@@ -13,8 +13,9 @@ pass skips the others by a bit set of the last pass's frequent phrases. The bit
 fixed size: a corpus with very many frequent phrases fills it and prunes less, and counts
 are exact either way, as occurrences of one phrase are kept or skipped together and the
 least count is tested on the sum. After the pairs, chunks are cut to their runs of
-frequent pairs, which the longer phrases are counted in. Hashes tell words apart: if two
-words of a language had the same one, another salt would be taken.
+frequent pairs, which the longer phrases are counted in. Any three words of a run are a
+phrase to count, so built-in functions count these, a row for each place. Hashes tell words
+apart: if two words of a language had the same one, another salt would be taken.
 
 Defined results
 - A null or empty text, or one of separators alone, has no words and adds nothing.
@@ -64,7 +65,7 @@ _TABLE = bytes.maketrans(_LETTERS + _ENDS + b"\t", _LETTERS.lower() + _END * len
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 CHUNKS = "lang string, chunk string, owned int, n bigint"
-RUNS = "run binary, owned int, n bigint"
+RUNS = "run array<bigint>, owned int, n bigint"
 
 
 class _Hashes(dict):
@@ -276,29 +277,38 @@ def _runs(bits, salt: str):
             owned = np.add.reduceat(np.r_[mine, False].astype(np.int64), np.stack([starts, ends], 1).ravel())[::2] if len(starts) else starts
             kept = (ends - starts >= 3) & (owned > 0)
             starts, ends, owned = starts[kept], ends[kept], owned[kept]
-            packed = hashes.tobytes()
-            runs = [packed[a:b] for a, b in zip((8 * starts).tolist(), (8 * ends).tolist())]
+            offsets = np.cumsum(np.r_[0, ends - starts])
+            own = np.repeat(starts - offsets[:-1], ends - starts) + np.arange(offsets[-1])
+            runs = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(hashes[own].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(runs, pa.binary()), pa.array(owned.astype(np.int32)), pa.array(weight[starts])],
-                names=["run", "owned", "n"],
+                [runs, pa.array(owned.astype(np.int32)), pa.array(weight[starts])], names=["run", "owned", "n"]
             )
 
     return cut
 
 
+def _triples(runs: DataFrame) -> DataFrame:
+    """The three words at every owned place of the runs, with the run's frequency."""
+    at = F.sequence(F.lit(0), F.least("owned", F.size("run") - 2) - 1)
+    places = runs.select("run", "n", F.explode(at).alias("at"))
+    return places.select(*[F.get("run", F.col("at") + k).alias(name) for k, name in enumerate(_names(3))], "n")
+
+
 def _in_runs(size: int, bits):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
-            runs = batch.column(0).to_pylist()
-            if not runs:
+            if not batch.num_rows:
                 continue
-            # A 0 between runs, as at ends of pieces.
-            hashes = np.frombuffer(bytes(8).join(runs), np.uint64)
-            lengths = np.array([len(run) // 8 + 1 for run in runs])
-            starts = np.cumsum(lengths) - lengths
-            run = np.repeat(np.arange(len(runs)), lengths)[: len(hashes)]
+            offsets = batch.column(0).offsets.to_numpy()
+            values = batch.column(0).values.to_numpy()[offsets[0] : offsets[-1]]
+            # A 0 behind each run, as at ends of pieces.
+            lengths = np.diff(offsets) + 1
+            run = np.repeat(np.arange(len(lengths)), lengths)
+            place = np.arange(len(run)) - (np.cumsum(lengths) - lengths)[run]
+            hashes = np.zeros(len(run), np.uint64)
+            hashes[place < lengths[run] - 1] = values.view(np.uint64)
             owned, weight = (batch.column(k).to_numpy()[run] for k in (1, 2))
-            yield hashes, np.arange(len(hashes)) - starts[run] < owned, weight
+            yield hashes, place < owned, weight
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _counted(read(batches), size, bits)
@@ -365,9 +375,12 @@ def phrase_counts(
         if size == 3:
             cut = parsed.mapInArrow(_runs(bits, salt), RUNS).groupBy("run", "owned").agg(F.sum("n").alias("n"))
             runs = written(cut, "runs")
-        rows, count = (parsed, _pairs(bits, salt)) if size == 2 else (runs, _in_runs(size, bits))
         shape = ", ".join(f"{name} bigint" for name in [*_names(size), "n"])
-        counted = rows.mapInArrow(count, shape).groupBy(*_names(size)).agg(F.sum("n").alias("f"))
+        if size == 2:
+            held = parsed.mapInArrow(_pairs(bits, salt), shape)
+        else:
+            held = _triples(runs) if size == 3 else runs.mapInArrow(_in_runs(size, bits), shape)
+        counted = held.groupBy(*_names(size)).agg(F.sum("n").alias("f"))
         found = written(counted.filter(F.col("f") >= min_count), f"phrases-{size}")
         grams.append(found.select(F.array(*_names(size)).alias("hashes"), F.lit(size).alias("k"), "f"))
     frequent = names.select("lang", "phrase", F.lit(1).alias("k"), "f")
